@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -99,18 +98,16 @@ def running_sums(df: DataFrame, seq: str, order: str, cols: list[str], block: in
 
 
 def _running_sums(df, seq, order, cols, block, last):
+    frame = (Window.unboundedPreceding, 0)
     if last < block:
-        upto = Window.partitionBy(seq).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return reduce(lambda d, c: d.withColumn(f"sum_{c}", F.sum(c).over(upto)), cols, df)
+        upto = Window.partitionBy(seq).orderBy(order).rowsBetween(*frame)
+        return df.select("*", *[F.sum(c).over(upto).alias(f"sum_{c}") for c in cols])
     blocked = df.withColumn("_block", F.floor(F.col(order) / block).cast("bigint"))
     totals = blocked.groupBy(seq, "_block").agg(*[F.sum(c).alias(c) for c in cols])
-    carried = _running_sums(totals, seq, "_block", cols, block, last // block)
-    carried = carried.select(
+    carried = _running_sums(totals, seq, "_block", cols, block, last // block).select(
         seq, "_block", *[(F.col(f"sum_{c}") - F.col(c)).alias(f"_carry_{c}") for c in cols]
     )
-    upto = Window.partitionBy(seq, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    inside = reduce(lambda d, c: d.withColumn(f"sum_{c}", F.sum(c).over(upto)), cols, blocked)
-    joined = inside.join(carried, [seq, "_block"])
-    return reduce(
-        lambda d, c: d.withColumn(f"sum_{c}", F.col(f"sum_{c}") + F.col(f"_carry_{c}")), cols, joined
-    ).drop("_block", *[f"_carry_{c}" for c in cols])
+    upto = Window.partitionBy(seq, "_block").orderBy(order).rowsBetween(*frame)
+    inside = blocked.select("*", *[F.sum(c).over(upto).alias(f"_in_{c}") for c in cols])
+    sums = [(F.col(f"_in_{c}") + F.col(f"_carry_{c}")).alias(f"sum_{c}") for c in cols]
+    return inside.join(carried, [seq, "_block"]).select(*df.columns, *sums)

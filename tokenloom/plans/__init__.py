@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tokenloom.plans import corpus, language_model  # noqa: F401
+from tokenloom.plans import corpus, language_model, logs, pairs, streams, vectors  # noqa: F401
 from tokenloom.plans.registry import ORACLES, QUERIES
 
 
