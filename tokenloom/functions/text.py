@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Literal
 
 import numpy as np
@@ -9,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ---- fixed values -------------------------------------------------------------------------
 # Special tokens in id order.
@@ -30,6 +32,9 @@ MARKED_WORD_PATTERN = (
 
 MAX_CODE_POINT = 0x110000
 
+# The Arrow functions below are declared nondeterministic so that a plan evaluates each of them
+# once, instead of again for every filter on its result that is pushed below it.
+
 
 def char_tokens(text: Column) -> Column:
     """Characters (code points) of `text`."""
@@ -54,9 +59,13 @@ def piece_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PIECE_PATTERN), F.lit(0))
 
 
-def ids_text(ids: Column, sep: str = " ") -> Column:
-    """An id array as text."""
-    return F.array_join(ids.cast("array<string>"), sep)
+def distinct_chars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct characters of one task's texts."""
+    seen: set[str] = set()
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            seen.update(text or "")
+    yield pa.RecordBatch.from_arrays([pa.array(sorted(seen), pa.string())], ["token"])
 
 
 def list_offsets(lengths: np.ndarray) -> pa.Array:
@@ -69,6 +78,16 @@ def list_lengths(col: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False)
 
 
+@F.arrow_udf(T.StringType())
+def ids_text(col: pa.Array) -> pa.Array:
+    """An id array as text."""
+    words = pc.cast(pc.list_flatten(col), pa.string())
+    return pc.binary_join(pa.ListArray.from_arrays(list_offsets(list_lengths(col)), words), " ")
+
+
+ids_text = ids_text.asNondeterministic()
+
+
 def token_to_id(tokens: list[str], ids: list[int], default: int):
     """Arrow function: array of tokens -> array of ids; `default` for tokens outside the table."""
     keys = pa.array(tokens, pa.string())
@@ -80,7 +99,7 @@ def token_to_id(tokens: list[str], ids: list[int], default: int):
         out = pc.fill_null(values.take(found), default)
         return pa.ListArray.from_arrays(list_offsets(list_lengths(col)), out)
 
-    return encode
+    return encode.asNondeterministic()
 
 
 def id_to_text(tokens: list[str], ids: list[int], hidden: list[int], sep: str):
@@ -100,7 +119,7 @@ def id_to_text(tokens: list[str], ids: list[int], hidden: list[int], sep: str):
         counts = np.bincount(row[keep], minlength=len(col))
         return pc.binary_join(pa.ListArray.from_arrays(list_offsets(counts), kept), sep)
 
-    return decode
+    return decode.asNondeterministic()
 
 
 def char_to_id(chars: list[str], ids: list[int], unk_policy: int | Literal["error", "drop"]):
@@ -127,7 +146,7 @@ def char_to_id(chars: list[str], ids: list[int], unk_policy: int | Literal["erro
                 out = np.where(unseen, np.int32(unk_policy), out)
         return pa.ListArray.from_arrays(list_offsets(lengths), pa.array(out, pa.int32()))
 
-    return encode
+    return encode.asNondeterministic()
 
 
 def id_to_chars(chars: list[str], ids: list[int]):
@@ -145,4 +164,4 @@ def id_to_chars(chars: list[str], ids: list[int]):
         starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         return pa.array([text[a:b] for a, b in zip(starts, ends)], pa.string())
 
-    return decode
+    return decode.asNondeterministic()

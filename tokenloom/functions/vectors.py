@@ -111,7 +111,7 @@ def causal_pool(scale: float | None, w_q=None, w_k=None, w_v=None):
             out.append(_weights(q @ k.T * factor, later) @ v)
         return _nested(out)
 
-    return pool
+    return pool.asNondeterministic()
 
 
 def cross_weights(scale: float | None, w_q=None, w_k=None):
@@ -127,7 +127,7 @@ def cross_weights(scale: float | None, w_q=None, w_k=None):
             out.append(_weights(q @ k.T * factor, hidden))
         return _nested(out)
 
-    return weigh
+    return weigh.asNondeterministic()
 
 
 def apply_weights(w_v=None):
@@ -138,4 +138,4 @@ def apply_weights(w_v=None):
         pairs = zip(_matrices(weights), _matrices(values))
         return _nested([w @ _project(v, w_v) for w, v in pairs])
 
-    return pool
+    return pool.asNondeterministic()

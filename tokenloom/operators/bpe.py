@@ -160,7 +160,7 @@ def bpe_function(merges: DataFrame):
         per_row = np.bincount(row, weights=sizes[where], minlength=len(col)).astype(np.int64)
         return pa.ListArray.from_arrays(list_offsets(per_row), parts.flatten())
 
-    return encode
+    return encode.asNondeterministic()
 
 
 def decode_bpe(df: DataFrame, merges: DataFrame, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -173,4 +173,4 @@ def decode_bpe(df: DataFrame, merges: DataFrame, ids: str = "ids", into: str = "
         joined = pc.binary_join(pa.ListArray.from_arrays(list_offsets(list_lengths(col)), parts), b"")
         return pa.array([b.decode("utf-8", "replace") for b in joined.to_pylist()], pa.string())
 
-    return df.withColumn(into, decode(F.col(ids)))
+    return df.withColumn(into, decode.asNondeterministic()(F.col(ids)))

@@ -29,15 +29,37 @@ def _cut(w: Column, first: Column, length: int, step: int, ids: str) -> Column:
     return F.struct(w.alias("window_id"), begin.alias("start"), part.alias("part"))
 
 
+def _met(first: Column, size: Column, length: int, step: int, n_windows: int) -> tuple[Column, Column]:
+    """First and last window that share tokens with a document."""
+    low = F.greatest(F.lit(0).cast("bigint"), _whole((first - length) / step) + 1)
+    return low, F.least(F.lit(n_windows - 1).cast("bigint"), _whole((first + size - 1) / step))
+
+
+def _located(docs: DataFrame, index: StreamIndex, ids: str) -> DataFrame:
+    return docs.join(index.offsets.select(index.key, "offset"), index.key).filter(F.size(ids) > 0)
+
+
 def stream_parts(
-    docs: DataFrame, index: StreamIndex, length: int, step: int, n_windows: int, ids: str = "ids"
+    docs: DataFrame,
+    index: StreamIndex,
+    length: int,
+    step: int,
+    n_windows: int,
+    ids: str = "ids",
+    whole: bool | None = None,
 ) -> DataFrame:
-    """`(window_id, start, part)`: what each document adds to windows [w*step, w*step + length)."""
-    placed = docs.join(index.offsets.select(index.key, "offset"), index.key).filter(F.size(ids) > 0)
-    first = F.col("offset")
-    low = F.greatest(F.lit(0).cast("bigint"), _whole((first - length) / step) + 1)
-    high = F.least(F.lit(n_windows - 1).cast("bigint"), _whole((first + F.size(ids) - 1) / step))
-    parts = F.transform(F.sequence(low, high), lambda w: _cut(w, first, length, step, ids))
+    """`(window_id, start, part)`: what each document adds to windows [w*step, w*step + length).
+
+    `whole` keeps only windows that lie in one document, or only those that do not.
+    """
+    placed = _located(docs, index, ids)
+    first, size = F.col("offset"), F.size(ids)
+    low, high = _met(first, size, length, step, n_windows)
+    windows = F.sequence(low, high)
+    if whole is not None:
+        inside = lambda w: (w * step >= first) & (w * step + length <= first + size)
+        windows = F.filter(windows, inside if whole else lambda w: ~inside(w))
+    parts = F.transform(windows, lambda w: _cut(w, first, length, step, ids))
     return placed.filter(low <= high).select(F.inline(parts))
 
 
@@ -54,14 +76,14 @@ def _shifted(df: DataFrame, T: int) -> DataFrame:
 def pack_windows(docs: DataFrame, index: StreamIndex, B: int, T: int, ids: str = "ids") -> DataFrame:
     """`(window_id, batch_id, row, x, y)`: consecutive windows in batches of B, the tail dropped.
 
-    A window gathers at most T + 1 tokens, so groups are bounded whatever the documents' sizes.
+    A window inside one document is cut from it where it is. Only windows that cross documents are
+    gathered, each from at most T + 1 tokens, so groups are bounded whatever the documents' sizes.
     """
     n_windows = max(0, index.total - 1) // (B * T) * B
-    runs = (
-        stream_parts(docs, index, T + 1, T, n_windows, ids)
-        .groupBy("window_id")
-        .agg(_joined_parts().alias("run"))
-    )
+    inside = stream_parts(docs, index, T + 1, T, n_windows, ids, whole=True)
+    crossing = stream_parts(docs, index, T + 1, T, n_windows, ids, whole=False)
+    gathered = crossing.groupBy("window_id").agg(_joined_parts().alias("run"))
+    runs = inside.select("window_id", F.col("part").alias("run")).unionByName(gathered)
     batch, row = _whole(F.col("window_id") / B), F.col("window_id") % B
     return _shifted(runs, T).select("window_id", batch.alias("batch_id"), row.alias("row"), "x", "y")
 

@@ -9,7 +9,7 @@ from tokenloom.functions.text import SPECIALS, UNK_ID
 from tokenloom.session import MAX_BROADCAST_ROWS, lookup_join, stage
 
 
-def _types(df: DataFrame, ids: str, name: str) -> Column:
+def _types(ids: str, name: str) -> Column:
     """Distinct ids of a row with how often they occur in it."""
     def counted(x: Column) -> Column:
         n = F.size(F.filter(ids, lambda y: y == x))
@@ -18,30 +18,37 @@ def _types(df: DataFrame, ids: str, name: str) -> Column:
     return F.transform(F.array_distinct(ids), counted)
 
 
-def fit_lexical(pairs: DataFrame, iters: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def fit_lexical(pairs: DataFrame, iters: int) -> DataFrame:
     """`t(src, trg, p)`: probability of a target word for a source word, by expectation steps.
 
     In each step every target word of a pair shares its count among the pair's source words in
     proportion to the current table; the shares summed over all pairs and scaled per source word
-    are the next table. Repeats inside a pair are counted first. Pairs of words are streamed from
-    the row of their sentence pair and summed in the same task before they are shuffled.
+    are the next table. Copies of a pair become one row with a weight, and repeats inside a pair
+    are counted first, so no pair of words is more than a small part of the rows. Word pairs are
+    streamed from the row of their sentence pair and summed in the same task before a shuffle.
     """
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    once = pairs.groupBy("src_ids", "trg_ids").agg(
+        F.min("pair_id").alias("pair_id"), F.count("*").alias("weight")
+    )
+    # Each row grows to many, so the rows are spread evenly before.
+    typed = once.repartition(parts, "pair_id").select(
+        "pair_id", "weight", _types("src_ids", "src").alias("ss"), _types("trg_ids", "trg").alias("ts")
+    )
+    typed = stage(typed, "typed")
+    words = typed.select("pair_id", "weight", "ss", F.inline("ts")).select(
+        "pair_id", "weight", "trg", "n_trg", F.inline("ss")
+    )
     table = None
     for _ in range(iters):
-        words = pairs.select("pair_id", "trg_ids", F.inline(_types(pairs, "src_ids", "src"))).select(
-            "pair_id", "src", "n_src", F.inline(_types(pairs, "trg_ids", "trg"))
-        )
-        if table is None:
-            met = words.withColumn("p", F.lit(1.0))
-        else:
-            met = lookup_join(words, table, ["src", "trg"], "inner", ["pair_id"], max_rows)
+        met = words.withColumn("p", F.lit(1.0)) if table is None else words.join(table, ["src", "trg"])
         # One sentence's source words for one target word: bounded by that sentence.
         whole = F.sum(F.col("n_src") * F.col("p")).over(Window.partitionBy("pair_id", "trg"))
-        share = F.col("n_trg") * F.col("n_src") * F.col("p") / whole
+        share = F.col("weight") * F.col("n_trg") * F.col("n_src") * F.col("p") / whole
         shares = met.withColumn("share", share).groupBy("src", "trg").agg(F.sum("share").alias("share"))
         shares = stage(shares, "shares")
         totals = shares.groupBy("src").agg(F.sum("share").alias("total"))
-        table = lookup_join(shares, totals, ["src"], "inner", ["trg"], max_rows).select(
+        table = lookup_join(shares, totals, ["src"], "inner", ["trg"]).select(
             "src", "trg", (F.col("share") / F.col("total")).alias("p")
         )
     return table

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.functions.text import SPECIALS, UNK_ID, char_tokens, word_tokens
+from tokenloom.functions.text import SPECIALS, UNK_ID, distinct_chars, word_tokens
 from tokenloom.session import MAX_BROADCAST_ROWS, lookup_join
 
 MAX_WORDS = 30_000  # includes the special tokens
@@ -14,9 +14,10 @@ MAX_WORDS = 30_000  # includes the special tokens
 def char_vocab(corpus: DataFrame, text: str = "text") -> DataFrame:
     """`vocab(token, id)`: distinct characters in code-point order, ids from 0.
 
-    There are at most 1.1 million code points, so one task may order the distinct table.
+    Each task passes on the set of its characters. There are at most 1.1 million code points, so
+    one task may order the distinct table.
     """
-    chars = corpus.select(F.explode(F.array_distinct(char_tokens(F.col(text)))).alias("token")).distinct()
+    chars = corpus.select(text).mapInArrow(distinct_chars, "token string").distinct()
     return chars.select("token", (F.row_number().over(Window.orderBy("token")) - 1).alias("id"))
 
 

@@ -45,15 +45,15 @@ def corpus_scan(spark, folder):
 )
 def corpus_profile(spark, folder):
     docs = corpus(spark, folder)
-    chars = F.array_distinct(char_tokens(F.col("text")))
-    first = F.min_by(F.substring("text", 1, 1000), "doc_id")
-    # Sets of characters are bounded by the code points, so they merge inside the aggregation.
-    return docs.agg(
+    facts = docs.agg(
         F.count("*").alias("docs"),
         F.sum(F.length("text")).alias("chars"),
-        F.size(F.array_distinct(F.flatten(F.collect_set(chars)))).alias("vocab_size"),
-        first.alias("preview"),
-    ).select(*whole("docs", "chars", "vocab_size"), "preview")
+        F.min_by(F.substring("text", 1, 1000), "doc_id").alias("preview"),
+    )
+    size = vocab.char_vocab(docs).agg(F.count("*").alias("vocab_size"))
+    return facts.withColumn("vocab_size", size.scalar()).select(
+        *whole("docs", "chars", "vocab_size"), "preview"
+    )
 
 
 @query(

@@ -9,7 +9,7 @@ from tokenloom.operators import bigram, evaluation, examples, splits, translatio
 from tokenloom.operators.encode import decode_words
 from tokenloom.plans.corpus import SEED
 from tokenloom.plans.registry import as_text, query, six, vocab_sql, whole, words_sql
-from tokenloom.session import stage
+from tokenloom.session import spread, stage
 from tokenloom.sources.corpus import read_pairs, table, turn_pairs
 from tokenloom.sources.predictions import predictions, preview
 
@@ -40,7 +40,7 @@ fitting AS (SELECT *, [2] || s || [3] AS e, [2] || t AS d, t || [3] AS l FROM en
 
 
 def pairs_table(spark, folder) -> DataFrame:
-    return read_pairs(turn_pairs(table(spark, folder, "conversations")), "user", "assistant")
+    return read_pairs(turn_pairs(spread(table(spark, folder, "conversations"))), "user", "assistant")
 
 
 def encoded_pairs(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:

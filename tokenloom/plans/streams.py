@@ -80,7 +80,7 @@ def pack_stream_query(spark, folder):
     return packed.select("source", "shard", "window_id", as_text("x").alias("x"), as_text("y").alias("y"))
 
 
-N_MERGES = 64
+N_MERGES = 32
 
 
 def merges_of(spark, folder):

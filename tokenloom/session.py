@@ -13,6 +13,9 @@ MAX_BROADCAST_ROWS = 200_000
 # Copies made of the smaller side when a join with hot keys is salted.
 SALTS = 16
 
+# Inputs from this size on, and below this size per core, are spread over the cores.
+SPREAD_FROM, SPREAD_SPLIT = 1 << 20, 64 << 20
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
@@ -64,6 +67,18 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over all cores when it is too small for its files to occupy them.
+
+    Large inputs, which arrive in enough splits, are left as they are.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if SPREAD_FROM <= size < cores * SPREAD_SPLIT:
+        return df.repartition(cores)
+    return df
+
+
 def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     """Whether `df` has at most `max_rows` rows, without counting past the bound."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from tokenloom.session import fits, lookup_join, stage
+from tokenloom.session import fits, lookup_join, spread, stage
+
+ROW_BITS = 33  # low bits of a generated row id, which count rows inside one task
+
 
-# Grows along a sorted table; its low 33 bits count rows inside one task.
 def _row():
     return F.monotonically_increasing_id()
 
-ROW_BITS = 33
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -27,7 +26,7 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     text, so that joining the rows in `doc_id` order gives the files back.
     """
     if fmt == "parquet":
-        return spark.read.parquet(path).select(F.col("doc_id").cast("bigint"), "text")
+        return spread(spark.read.parquet(path).select(F.col("doc_id").cast("bigint"), "text"))
     if fmt == "text":
         files = spark.read.text(path, wholetext=True).select(
             F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
