@@ -6,34 +6,42 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import EOS_ID
-from tokenloom.session import MAX_BROADCAST_ROWS, SALTS, fits, hash_below, stage
+from tokenloom.session import HOT_SHARE, MAX_BROADCAST_ROWS, fits, hash_below, hot_keys, salted, stage
 
 CUT_EVERY = 12  # steps between staged states
 
 
-def _follow(state: DataFrame, choices: DataFrame, small: bool) -> DataFrame:
+def _hot_tokens(prompts: DataFrame, choices: DataFrame) -> DataFrame:
+    """Tokens that many prompts end in, at first or by how often they occur: a bounded table."""
+    totals = choices.groupBy("prev").agg(F.max("hi").alias("n"))
+    everything = totals.agg(F.sum("n")).first()[0] or 0
+    frequent = totals.filter(F.col("n") * HOT_SHARE > everything).select(F.col("prev").alias("last"))
+    return hot_keys(prompts, ["last"]).union(frequent).distinct()
+
+
+def _follow(state: DataFrame, choices: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Joins running prompts with the choices after their last token that cover their draw."""
     drawn = (F.col("lo") <= F.col("draw")) & (F.col("draw") < F.col("hi"))
-    if small:
-        on = (F.col("last") == F.col("prev")) & drawn
-        return state.join(F.broadcast(choices), on, "left")
-    salted = state.withColumn("_salt", F.pmod(F.xxhash64("prompt_id"), F.lit(SALTS)).cast("int"))
-    copies = choices.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    if hot is None:
+        return state.join(F.broadcast(choices), (F.col("last") == F.col("prev")) & drawn, "left")
+    after = choices.withColumnRenamed("prev", "last")
+    left, right = salted(state, after, ["last"], hot, ["prompt_id"])
+    right = right.withColumnRenamed("last", "prev").withColumnRenamed("_salt", "_copy")
     on = (F.col("last") == F.col("prev")) & (F.col("_salt") == F.col("_copy")) & drawn
-    return salted.join(copies, on, "left").drop("_salt", "_copy")
+    return left.join(right, on, "left").drop("_salt", "_copy")
 
 
 def _run(prompts, choices, steps, seed, eos_id, max_rows):
     """`choices(prev, next, lo, hi, next_total)` maps a draw in [0, total) to the next token."""
     choices = stage(choices, "choices")
-    small = fits(choices, max_rows)
+    hot = None if fits(choices, max_rows) else stage(_hot_tokens(prompts, choices), "hot")
     totals = choices.groupBy("prev").agg(F.max("hi").alias("total")).withColumnRenamed("prev", "last")
     keep = ["prompt_id", "last", "total", "out"]
     empty = F.array().cast("array<int>")
     state = prompts.join(totals, "last", "left").withColumn("out", empty).select(*keep)
     for step in range(steps):
         draw = hash_below(F.col("total"), F.col("prompt_id"), F.lit(step), F.lit(seed))
-        moved = _follow(state.withColumn("draw", draw), choices, small)
+        moved = _follow(state.withColumn("draw", draw), choices, hot)
         grown = F.when(F.col("next").isNull(), F.col("out")).otherwise(F.concat("out", F.array("next")))
         # A missing total ends a row: nothing can be drawn for it any more.
         goes_on = F.when(F.col("next") != eos_id, F.col("next_total"))

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.session import lookup_join
+from tokenloom.session import lookup_join, stage
 
 BACKOFF = 0.4  # published factor of the scoring rule
 NONE = -1  # stands for "before the start of the text"
@@ -77,7 +77,7 @@ def score_ngram(model: DataFrame, docs: DataFrame, order: int, key: str, ids: st
         choices.append(F.col(f"s{n}") + (order - n) * math.log(BACKOFF))
     seen = model.filter(F.col("n") == 1).agg(F.max("total").alias("total")).first()["total"] or 1
     floor = F.lit((order - 1) * math.log(BACKOFF) - math.log(seen))
-    table = scored.select(*names, F.coalesce(*choices, floor).alias("score"))
+    table = stage(scored.select(*names, F.coalesce(*choices, floor).alias("score")), "scores")
     return (
         lookup_join(counts, table, names, "inner", [key])
         .groupBy(key)

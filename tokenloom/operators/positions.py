@@ -102,12 +102,13 @@ def _running_sums(df, seq, order, cols, block, last):
     if last < block:
         upto = Window.partitionBy(seq).orderBy(order).rowsBetween(*frame)
         return df.select("*", *[F.sum(c).over(upto).alias(f"sum_{c}") for c in cols])
-    blocked = df.withColumn("_block", F.floor(F.col(order) / block).cast("bigint"))
-    totals = blocked.groupBy(seq, "_block").agg(*[F.sum(c).alias(c) for c in cols])
-    carried = _running_sums(totals, seq, "_block", cols, block, last // block).select(
-        seq, "_block", *[(F.col(f"sum_{c}") - F.col(c)).alias(f"_carry_{c}") for c in cols]
+    place = f"{order}_block"
+    blocked = df.withColumn(place, F.floor(F.col(order) / block).cast("bigint"))
+    totals = blocked.groupBy(seq, place).agg(*[F.sum(c).alias(c) for c in cols])
+    carried = _running_sums(totals, seq, place, cols, block, last // block).select(
+        seq, place, *[(F.col(f"sum_{c}") - F.col(c)).alias(f"_carry_{c}") for c in cols]
     )
-    upto = Window.partitionBy(seq, "_block").orderBy(order).rowsBetween(*frame)
+    upto = Window.partitionBy(seq, place).orderBy(order).rowsBetween(*frame)
     inside = blocked.select("*", *[F.sum(c).over(upto).alias(f"_in_{c}") for c in cols])
     sums = [(F.col(f"_in_{c}") + F.col(f"_carry_{c}")).alias(f"sum_{c}") for c in cols]
-    return inside.join(carried, [seq, "_block"]).select(*df.columns, *sums)
+    return inside.join(carried, [seq, place]).select(*df.columns, *sums)

@@ -66,7 +66,7 @@ def best_targets(table: DataFrame) -> DataFrame:
 def translate_greedy(pairs: DataFrame, table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Adds `pred_ids`: the likeliest target word for each source word, [UNK] where none is known."""
     words = pairs.select("pair_id", F.posexplode("src_ids").alias("pos", "src"))
-    met = lookup_join(words, best_targets(table), ["src"], "left", ["pair_id", "pos"], max_rows)
+    met = lookup_join(words, stage(best_targets(table), "best"), ["src"], "left", ["pair_id", "pos"], max_rows)
     placed = F.struct("pos", F.coalesce("trg", F.lit(UNK_ID)).alias("trg"))
     made = met.groupBy("pair_id").agg(F.array_sort(F.collect_list(placed)).alias("_placed"))
     return pairs.join(made, "pair_id", "left").select(

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 # Largest table that may be broadcast or turned into a lookup inside tasks.
 MAX_BROADCAST_ROWS = 200_000
-# Copies made of the smaller side when a join with hot keys is salted.
-SALTS = 16
+# In a shuffled join, keys with more than one HOT_SHARE-th of the rows go to SALTS tasks each.
+HOT_SHARE, SALTS = 1000, 16
 
 # Inputs from this size on, and below this size per core, are spread over the cores.
 SPREAD_FROM, SPREAD_SPLIT = 1 << 20, 64 << 20
@@ -84,6 +84,28 @@ def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
+    """Keys that hold more than one HOT_SHARE-th of the rows: fewer than HOT_SHARE of them."""
+    n = df.count()
+    return df.groupBy(*on).count().filter(F.col("count") * HOT_SHARE > n).select(*on)
+
+
+def salted(
+    big: DataFrame, small: DataFrame, on: list[str], hot: DataFrame, salt_by: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a `_salt` column that spreads the hot keys, and only them, over tasks.
+
+    `hot` must be a bounded table of keys.
+    """
+    marked = F.broadcast(hot.select(*on, F.lit(True).alias("_hot")))
+    spot = F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)).cast("int")
+    spots = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    left = big.join(marked, on, "left").withColumn("_salt", F.when(F.col("_hot"), spot).otherwise(0))
+    copies = F.explode(F.when(F.col("_hot"), spots).otherwise(F.array(F.lit(0))))
+    right = small.join(marked, on, "left").withColumn("_salt", copies)
+    return left.drop("_hot"), right.drop("_hot")
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
@@ -94,16 +116,15 @@ def lookup_join(
 ) -> DataFrame:
     """Join `big` with a table that is unique on `on`, safe for hot keys in `big`.
 
-    A table within `max_rows` is broadcast. A larger one is shuffled, and rows of `big` that
-    share a key are spread over `SALTS` tasks by a hash of `salt_by`.
+    A table within `max_rows` is broadcast. A larger one is shuffled, and rows of `big` that share
+    a hot key are spread over `SALTS` tasks by a hash of `salt_by`.
     """
     if fits(small, max_rows):
         return big.join(F.broadcast(small), on, how)
     if not salt_by:
         return big.join(small, on, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, on + ["_salt"], how).drop("_salt")
+    left, right = salted(big, small, on, stage(hot_keys(big, on), "hot"), salt_by)
+    return left.join(right, on + ["_salt"], how).drop("_salt")
 
 
 def hash_below(modulus: Column | int, *parts: Column) -> Column:
