@@ -33,18 +33,25 @@ def fit_lexical(pairs: DataFrame, iters: int) -> DataFrame:
     )
     # Each row grows to many, so the rows are spread evenly before.
     typed = once.repartition(parts, "pair_id").select(
-        "pair_id", "weight", _types("src_ids", "src").alias("ss"), _types("trg_ids", "trg").alias("ts")
+        "pair_id",
+        "weight",
+        F.size("src_ids").alias("n_all"),
+        _types("src_ids", "src").alias("ss"),
+        _types("trg_ids", "trg").alias("ts"),
     )
     typed = stage(typed, "typed")
-    words = typed.select("pair_id", "weight", "ss", F.inline("ts")).select(
-        "pair_id", "weight", "trg", "n_trg", F.inline("ss")
+    words = typed.select("pair_id", "weight", "n_all", "ss", F.inline("ts")).select(
+        "pair_id", "weight", "n_all", "trg", "n_trg", F.inline("ss")
     )
     table = None
     for _ in range(iters):
-        met = words.withColumn("p", F.lit(1.0)) if table is None else words.join(table, ["src", "trg"])
-        # One sentence's source words for one target word: bounded by that sentence.
-        whole = F.sum(F.col("n_src") * F.col("p")).over(Window.partitionBy("pair_id", "trg"))
-        share = F.col("weight") * F.col("n_trg") * F.col("n_src") * F.col("p") / whole
+        if table is None:  # all source words are equally likely
+            met, p, whole = words, F.lit(1.0), F.col("n_all")
+        else:
+            met, p = words.join(table, ["src", "trg"]), F.col("p")
+            # One sentence's source words for one target word: bounded by that sentence.
+            whole = F.sum(F.col("n_src") * p).over(Window.partitionBy("pair_id", "trg"))
+        share = F.col("weight") * F.col("n_trg") * F.col("n_src") * p / whole
         shares = met.withColumn("share", share).groupBy("src", "trg").agg(F.sum("share").alias("share"))
         shares = stage(shares, "shares")
         totals = shares.groupBy("src").agg(F.sum("share").alias("total"))
