@@ -1,6 +1,7 @@
 """Training windows cut from the one stream that all documents form.
 
-Documents stay arrays throughout: work moves slices of them, never one row per token.
+Documents stay arrays throughout: work moves slices of them, never one row per token. Documents
+may carry their `offset` already (see `StreamIndex.attach`); otherwise it is joined here.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ def _met(first: Column, size: Column, length: int, step: int, n_windows: int) ->
 
 
 def _located(docs: DataFrame, index: StreamIndex, ids: str) -> DataFrame:
-    return docs.join(index.offsets.select(index.key, "offset"), index.key).filter(F.size(ids) > 0)
+    placed = docs if "offset" in docs.columns else index.attach(docs)
+    return placed.filter(F.size(ids) > 0)
 
 
 def stream_parts(

@@ -22,6 +22,10 @@ class StreamIndex:
     key: str
     total: int
 
+    def attach(self, df: DataFrame) -> DataFrame:
+        """Adds `offset`. Best done while rows are still text, which is smaller than ids to shuffle."""
+        return df.join(self.offsets.select(self.key, "offset"), self.key)
+
     def locate(self, position: int) -> tuple[int | None, int]:
         """The document that holds `position`, and the position inside it."""
         if position >= self.total:

@@ -10,6 +10,8 @@ from tokenloom.operators.positions import HASH_DIGITS, StreamIndex, row_index
 
 def _inside(index: StreamIndex, position: int, size: Column) -> Column:
     """How many tokens of a document lie before a stream position."""
+    if position <= 0:
+        return F.lit(0)
     doc, within = index.locate(position)
     if doc is None:
         return size
@@ -26,9 +28,10 @@ def stream_split(
     the corpus is not shuffled.
     """
     size = F.size(ids)
+    before = {at: _inside(index, at, size) for at in {p for pair in bounds.values() for p in pair}}
     parts = []
     for name, (low, high) in bounds.items():
-        begin, end = _inside(index, low, size), _inside(index, high, size)
+        begin, end = before[low], before[high]
         part = F.slice(F.col(ids), begin + 1, F.greatest(end - begin, F.lit(0)))
         parts.append(F.struct(F.lit(name).alias("split"), part.alias("_part")))
     met = F.filter(F.array(*parts), lambda p: F.size(p["_part"]) > 0)

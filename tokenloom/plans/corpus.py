@@ -23,12 +23,16 @@ def corpus(spark: SparkSession, folder: str) -> DataFrame:
     return read_corpus(spark, f"{folder}/documents.parquet")
 
 
-def char_stream(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, StreamIndex]:
-    """Documents as character ids, the vocabulary, and where the documents lie in the stream."""
+def char_stream(spark: SparkSession, folder: str, placed: bool = False) -> tuple[DataFrame, DataFrame, StreamIndex]:
+    """Documents as character ids, the vocabulary, and where the documents lie in the stream.
+
+    `placed` documents carry their offset, for packing.
+    """
     docs = corpus(spark, folder)
     chars = stage(vocab.char_vocab(docs), "chars")
     index = stream_index(docs, "doc_id", F.length("text"))
-    return encode_chars(docs, chars).drop("text"), chars, index
+    texts = index.attach(docs) if placed else docs
+    return encode_chars(texts, chars).drop("text"), chars, index
 
 
 @query("corpus_scan", "SELECT doc_id, text FROM documents")
@@ -199,7 +203,7 @@ WINDOWS_SQL = f"{CHARS_SQL}, {_windows_sql(B, T)}"
 
 @query("pack_windows", f"WITH {WINDOWS_SQL} SELECT * FROM windows")
 def pack_windows(spark, folder):
-    docs, _, index = char_stream(spark, folder)
+    docs, _, index = char_stream(spark, folder, placed=True)
     return packing.pack_windows(docs, index, B, T).select(
         "window_id", "batch_id", "row", as_text("x").alias("x"), as_text("y").alias("y")
     )
@@ -291,7 +295,7 @@ def random_split(spark, folder):
     FROM wanted JOIN stream USING (pos) GROUP BY sample_id, start""",
 )
 def random_windows(spark, folder):
-    docs, _, index = char_stream(spark, folder)
+    docs, _, index = char_stream(spark, folder, placed=True)
     sampled = packing.random_windows(docs, index, index.total // 1000, T, SEED)
     return sampled.select("sample_id", "start", as_text("x").alias("x"), as_text("y").alias("y"))
 
@@ -304,7 +308,7 @@ def random_windows(spark, folder):
     SELECT step, epoch, batch_id, "row", x, y FROM steps JOIN windows USING (batch_id)""",
 )
 def batch_cursor(spark, folder):
-    docs, _, index = char_stream(spark, folder)
+    docs, _, index = char_stream(spark, folder, placed=True)
     windows = packing.pack_windows(docs, index, B, T)
     n_batches = max(0, index.total - 1) // (B * T)
     stepped = packing.batches_for_steps(windows, n_batches, 5, n_batches + 3)

@@ -106,13 +106,13 @@ def bpe_decode(spark, folder):
 
 
 @query(
-    "text_functions",
+    "text_udf",
     f"""WITH {PAIRS_SQL}, {words_sql("pairs", "pair_id", "src", "words")},
     counted AS (SELECT pair_id, count(*) AS n_words, count(DISTINCT token) AS n_distinct FROM words GROUP BY pair_id)
     SELECT pair_id, length(src) AS n_chars, n_words, n_distinct, CAST(0 AS BIGINT) AS self_edits
     FROM pairs JOIN counted USING (pair_id)""",
 )
-def text_functions(spark, folder):
+def text_udf(spark, folder):
     register_text_functions(spark)
     return spark.sql(
         """SELECT pair_id, CAST(size(char_tokenize(src)) AS BIGINT) n_chars,

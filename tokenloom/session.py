@@ -14,7 +14,7 @@ MAX_BROADCAST_ROWS = 200_000
 HOT_SHARE, SALTS = 1000, 16
 
 # Inputs from this size on, and below this size per core, are spread over the cores.
-SPREAD_FROM, SPREAD_SPLIT = 1 << 20, 64 << 20
+SPREAD_FROM, SPREAD_SPLIT = 1 << 20, 8 << 20
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
