@@ -10,7 +10,7 @@ from tokenloom.operators import packing, splits, vocab
 from tokenloom.operators.encode import decode_chars, decode_words, encode_chars, encode_words
 from tokenloom.operators.positions import StreamIndex, stream_index
 from tokenloom.plans.registry import CHARS_SQL, as_text, query, vocab_sql, whole, words_sql
-from tokenloom.session import stage, staging_path
+from tokenloom.session import spread, stage, staging_path
 from tokenloom.sources.corpus import read_corpus, table
 from tokenloom.sources.vocab_store import load_or_build_vocab
 
@@ -140,7 +140,7 @@ def vocab_store(spark, folder):
     FROM words LEFT JOIN vocab USING (token) GROUP BY lang""",
 )
 def token_id_join(spark, folder):
-    docs = table(spark, folder, "documents").select("lang", "text")
+    docs = spread(table(spark, folder, "documents").select("lang", "text"))
     return vocab.coverage(docs, stage(vocab.word_vocab(docs), "words"), "lang")
 
 
@@ -335,7 +335,7 @@ size AS (SELECT count(*) AS n FROM stream)
     GROUP BY window_id, t, target""",
 )
 def prefix_examples(spark, folder):
-    turns = table(spark, folder, "conversations").select(
+    turns = spread(table(spark, folder, "conversations")).select(
         (F.col("conv_id") * 100 + F.col("turn")).alias("doc_id"), "text"
     )
     docs = encode_chars(turns, vocab.char_vocab(turns))
