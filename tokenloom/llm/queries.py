@@ -47,3 +47,10 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixture = mix_sources(rows, "size", F.array("tag"), ["doc_id", "tag"])
     return (mixture.rows.join(F.broadcast(mixture.sources), "tag")
             .select("doc_id", "size", "source_size", "target", "taken"))
+
+
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenloom.llm.jaccard import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
