@@ -70,3 +70,36 @@ def repeated_bytes(docs, width=200):
         left = bytes(x for x, g in zip(b, gone) if not g)
         out[d] = (len(b), sum(gone), spans, hashlib.sha256(left).hexdigest())
     return out
+
+
+SECRET_PATTERNS = (
+    ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)),
+    ("access", re.compile(r"AKIA[A-Z0-9]+")),
+    ("hex", re.compile(r"[0-9a-f]+")),
+)
+
+
+def digest(spans):
+    return hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans).encode()).hexdigest()
+
+
+def secret_base(text):
+    """[(kind, start, end)] by start, then kind."""
+    out = []
+    for kind, pattern in SECRET_PATTERNS:
+        for m in pattern.finditer(text or ""):
+            size = len(m.group(2)) if kind == "assign" else len(m.group())
+            if size >= {"assign": 6, "access": 20, "hex": 24}[kind]:
+                out.append((kind, m.start(), m.end()))
+    order = [k for k, _ in SECRET_PATTERNS]
+    return sorted(out, key=lambda s: (s[1], order.index(s[0])))
+
+
+def edited_texts(docs):
+    """docs: [(doc_id, text)] with distinct ids -> {doc_id: edited text}"""
+    docs = sorted((d, t or "") for d, t in docs)
+    out = {}
+    for i, (d, t) in enumerate(docs):
+        cut = len(t) // 4
+        out[d] = t[: len(t) - cut] + docs[(i + 1) % len(docs)][1][:cut]
+    return out

@@ -19,6 +19,8 @@ FOLDED_KEYS = BYTE_KEYS.copy()
 FOLDED_KEYS[65:91] = BYTE_KEYS[97:123]
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+# Separators for tokens that are runs of letters, digits and non-ASCII characters.
+NOT_LETTERS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 PLACES = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
@@ -87,10 +89,10 @@ def _stretches(data: np.ndarray) -> Iterator[tuple[int, int]]:
     yield at, len(data)
 
 
-def _words_of(data: np.ndarray, breaks: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, ...]:
+def _words_of(data, breaks, keys, gaps, prefix) -> tuple[np.ndarray, ...]:
     if not len(data):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-    inside = ~SPACE[data]
+    inside = ~gaps[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()
@@ -103,22 +105,26 @@ def _words_of(data: np.ndarray, breaks: np.ndarray, keys: np.ndarray) -> tuple[n
     sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
     np.cumsum(keys[data] * up, out=sums[1:])
-    return starts, ends, mix((sums[ends] - sums[starts]) * down[starts])
+    upto = ends if prefix is None else np.minimum(starts + prefix, ends)
+    return starts, ends, mix((sums[upto] - sums[starts]) * down[starts])
 
 
-def words(data: np.ndarray, offsets: np.ndarray, fold: bool = False) -> tuple[np.ndarray, ...]:
+def words(
+    data: np.ndarray, offsets: np.ndarray, fold: bool = False, gaps: np.ndarray = SPACE, prefix: int | None = None
+) -> tuple[np.ndarray, ...]:
     """(starts, ends, hashes, bounds) of the words of the texts in `data`.
 
     Row r has the words bounds[r]:bounds[r + 1]. `fold` lower-cases A-Z. Equal words have equal
-    64-bit hashes; different ones differ but for a chance of about 2^-60.
+    64-bit hashes; different ones differ but for a chance of about 2^-60. `gaps` says which bytes
+    separate words (spaces must be among them); with `prefix` only so many first bytes are hashed.
     """
     keys = FOLDED_KEYS if fold else BYTE_KEYS
     if len(data) <= CHUNK:
-        starts, ends, hashes = _words_of(data, offsets, keys)
+        starts, ends, hashes = _words_of(data, offsets, keys, gaps, prefix)
     else:
         found = []
         for a, b in _stretches(data):
-            s, e, h = _words_of(data[a:b], offsets - a, keys)
+            s, e, h = _words_of(data[a:b], offsets - a, keys, gaps, prefix)
             found.append((s + a, e + a, h))
         starts, ends, hashes = (np.concatenate(x) for x in zip(*found))
     return starts, ends, hashes, np.searchsorted(starts, offsets)

@@ -54,3 +54,18 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tokenloom.llm.jaccard import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenloom.llm.secrets import find_secrets
+
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenloom.llm.imatch import edit_study, lexicon
+
+    docs = table(spark, sf_dir, "documents")
+    return edit_study(docs, lexicon(docs))
