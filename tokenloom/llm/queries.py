@@ -69,3 +69,10 @@ def op9_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return edit_study(docs, lexicon(docs))
+
+
+@query
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenloom.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
