@@ -24,6 +24,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -173,7 +174,7 @@ OUT = "doc_id long, item_id long, score double, question_overlap double, answer_
 
 def _match(index: ItemIndex, ids: pa.Array, data: np.ndarray, offsets: np.ndarray):
     """Verified pairs of the texts in one stretch; start and end are the code points of the best passage."""
-    starts, ends, hashes, bounds = kernels.words(data, offsets, fold=True)
+    starts, ends, hashes, bounds = kernels.words(data, offsets)
     known = index.lookup(hashes)
     place = np.flatnonzero(known >= 0)
     if not len(place):
@@ -214,11 +215,15 @@ def _match(index: ItemIndex, ids: pa.Array, data: np.ndarray, offsets: np.ndarra
     return record_batch(OUT, *[list(c) for c in zip(*rows)])
 
 
+def lowered(column: pa.Array) -> pa.Array:
+    """Lower-cased character by character, so that offsets stay."""
+    return pc.utf8_lower(column.cast(pa.large_string()))
+
+
 def item_words(question: str, answer: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of a test item's question and answer; without an answer, its last quarter is one."""
     def hashed(text):
-        raw = np.frombuffer(text.encode(), np.uint8)
-        return kernels.words(raw, np.array([0, len(raw)]), fold=True)[2]
+        return kernels.words(*kernels.column_bytes(lowered(pa.array([text]))))[2]
 
     words = hashed(question)
     if answer is not None:
@@ -247,7 +252,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, items_per_index: int = I
 
         def run(batches, index=index):
             for batch in batches:
-                data, offsets = kernels.column_bytes(batch.column("text"))
+                data, offsets = kernels.column_bytes(lowered(batch.column("text")))
                 for a, b in kernels.pieces(offsets):
                     out = _match(index.value, batch.column("doc_id").slice(a, b - a),
                                  data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
