@@ -76,3 +76,30 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     from tokenloom.llm.decontaminate import contaminated
 
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+REJECT_BELOW, TOXIC_FROM = 0.3, 0.7
+
+
+@query
+def op8_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenloom.llm.quality import fit, score_documents
+    from tokenloom.llm.shared import held_out
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = held_out(F.col("doc_id"), 5, 0)
+    votes = fit(docs, table(spark, sf_dir, "labels"), "quality", ~held)
+    return score_documents(docs, votes).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= REJECT_BELOW).cast("int").alias("predicted"))
+
+
+@query
+def op10_toxicity_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenloom.llm.shared import held_out
+    from tokenloom.llm.toxicity import fit, score_documents
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = held_out(F.col("doc_id"), 3, 1)
+    model = fit(docs, table(spark, sf_dir, "labels"), "toxic", ~held)
+    return score_documents(docs, model).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "spans")
