@@ -1,8 +1,8 @@
 """Quality by nearest-neighbour voting among labelled documents in a latent-semantic space.
 
 The terms of a document are its pairs of neighbouring characters, with characters put into 64 classes
-(letters by case, digits, kinds of space and punctuation, non-ASCII), so every text has a vector of
-at most 4,096 counts. Latent vectors are the projection of log counts times inverse document
+(letters by case, digits, kinds of space and punctuation, non-ASCII), and how often a word is the one
+before it or two before it, so every text has a vector of at most 4,098 counts. Latent vectors are the projection of log counts times inverse document
 frequency on the leading singular vectors of a bounded sample of labelled documents.
 
 The labelled latent vectors are broadcast: at most 2 * per_class rows of DIMENSIONS floats, whatever
@@ -22,6 +22,9 @@ from tokenloom.llm.shared import mixed, record_batch
 
 PER_CLASS, DIMENSIONS, NEIGHBOURS, SHARPNESS = 2048, 48, 25, 8
 SIDE = 64
+# Besides the pairs, the shares of words equal to the word 1 or 2 places before, with this weight.
+REPEATS, REPEAT_WEIGHT = (1, 2), 8.0
+TERMS = SIDE * SIDE + len(REPEATS)
 ROWS_AT_ONCE = 512
 
 
@@ -41,16 +44,24 @@ def _classes() -> np.ndarray:
 CLASS = _classes()
 
 
-def pair_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """For each text, how often each pair of classes stands next to each other."""
+def term_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each text, how often each pair of classes stands next to each other, and repeated words per 100."""
     n, lengths = len(offsets) - 1, np.diff(offsets)
+    out = np.zeros((n, TERMS), np.float32)
     if not len(data):
-        return np.zeros((n, SIDE * SIDE), np.float32)
+        return out
     kind = CLASS[data]
     row = np.repeat(np.arange(n), lengths)
     code = row[:-1] * (SIDE * SIDE) + kind[:-1] * SIDE + kind[1:]
     code = code[row[:-1] == row[1:]]
-    return np.bincount(code, minlength=n * SIDE * SIDE).reshape(n, SIDE * SIDE).astype(np.float32)
+    out[:, : SIDE * SIDE] = np.bincount(code, minlength=n * SIDE * SIDE).reshape(n, SIDE * SIDE)
+    _, _, hashes, bounds = kernels.words(data, offsets)
+    words = np.diff(bounds)
+    owner = np.repeat(np.arange(n), words)
+    for k, back in enumerate(REPEATS):
+        same = (hashes[back:] == hashes[:-back]) & (owner[back:] == owner[:-back])
+        out[:, SIDE * SIDE + k] = 100 * np.bincount(owner[back:][same], minlength=n) / np.maximum(words, 1)
+    return out
 
 
 def fit_space(counts: np.ndarray, dimensions: int = DIMENSIONS) -> tuple[np.ndarray, np.ndarray]:
@@ -60,6 +71,7 @@ def fit_space(counts: np.ndarray, dimensions: int = DIMENSIONS) -> tuple[np.ndar
     """
     n = max(1, len(counts))
     idf = np.log((1 + n) / (1 + (counts > 0).sum(0))).astype(np.float32) + 1
+    idf[SIDE * SIDE :] = REPEAT_WEIGHT
     weighted = _weighted(counts, idf)
     basis = np.random.Generator(np.random.PCG64(8)).standard_normal((counts.shape[1], dimensions + 8)).astype(np.float32)
     for _ in range(6):
@@ -125,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, train, per_class: int =
         for batch in batches:
             data, offsets = kernels.column_bytes(batch.column("text"))
             for a, b in kernels.pieces(offsets):
-                counts = pair_counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                counts = term_counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 codes = [np.flatnonzero(r) for r in counts]
                 yield record_batch(SAMPLE, batch.column("doc_id").slice(a, b - a),
                                    [c.astype(np.uint16).tobytes() for c in codes],
@@ -134,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, train, per_class: int =
     # One row for a document that comes several times.
     rows = (mine.mapInArrow(run, SAMPLE).groupBy("doc_id")
             .agg(F.min(F.struct("codes", "counts")).alias("r")).orderBy("doc_id").collect())
-    counts = np.zeros((len(rows), SIDE * SIDE), np.float32)
+    counts = np.zeros((len(rows), TERMS), np.float32)
     for out, r in zip(counts, rows):
         out[np.frombuffer(r["r"]["codes"], np.uint16)] = np.frombuffer(r["r"]["counts"], np.float32)
     known = np.array([chosen[r["doc_id"]] for r in rows], np.int64)
@@ -162,7 +174,7 @@ def score_documents(docs: DataFrame, votes: NeighbourVotes) -> DataFrame:
         for a, b in kernels.pieces(offsets):
             for c in range(a, b, ROWS_AT_ONCE):
                 d = min(b, c + ROWS_AT_ONCE)
-                out.append(sent.value.score(pair_counts(data[offsets[c] : offsets[d]], offsets[c : d + 1] - offsets[c])))
+                out.append(sent.value.score(term_counts(data[offsets[c] : offsets[d]], offsets[c : d + 1] - offsets[c])))
         return pd.Series(np.concatenate(out) if out else np.empty(0))
 
     return docs.withColumn("score", score("text"))

@@ -125,12 +125,15 @@ class ToxicField:
         chance = self.marginals(scores[at], at - bounds[rows], rows)
         return starts[at], ends[at], chance, rows, np.diff(bounds), at
 
-    def summary(self, chance: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-        """Per text: 1, log of the expected number of toxic tokens, the largest marginal."""
-        total, most = np.zeros(n), np.zeros(n)
+    def summary(self, chance: np.ndarray, rows: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """Per text: 1, log of the expected number of toxic tokens, the largest marginal, log of the length.
+
+        The length counts only together with toxic tokens: long texts have some by chance.
+        """
+        total, most = np.zeros(len(tokens)), np.zeros(len(tokens))
         np.add.at(total, rows, chance)
         np.maximum.at(most, rows, chance)
-        return np.stack([np.ones(n), np.log1p(total), most], 1)
+        return np.stack([np.ones(len(tokens)), np.log1p(total), most, most * np.log1p(tokens) / 10], 1)
 
     def document_scores(self, summary: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(summary @ self.curve, -30, 30)))
@@ -139,7 +142,7 @@ class ToxicField:
 def _fit_curve(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
     """Weighted logistic regression with a small ridge, by Newton steps."""
     beta = np.zeros(x.shape[1])
-    ridge = 1e-2 * np.eye(x.shape[1]) * max(1.0, w.sum() / 100) * np.array([0.01, 1, 1])
+    ridge = 1e-2 * np.eye(x.shape[1]) * max(1.0, w.sum() / 100) * np.array([0.01, 1, 1, 1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
         hessian = (x * (w * p * (1 - p) + 1e-9)[:, None]).T @ x + ridge
@@ -241,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, train, per_class: int =
     curve = F.crc32(F.concat(F.lit("curve"), F.col("doc_id").cast("string"))) % 4 == 0
     held = {r["label"]: r["count"] for r in sample.filter(~curve).groupBy("label").count().collect()}
     names = _lexicon(mine.filter(~curve), FEATURES, held)
-    model = ToxicField(names, np.zeros(len(names)), -3.0, np.zeros((2, 2)), np.zeros(3))
+    model = ToxicField(names, np.zeros(len(names)), -3.0, np.zeros((2, 2)), np.zeros(4))
     width = 1 + len(PREFIXES)
 
     def windows(batches):
@@ -281,20 +284,20 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, train, per_class: int =
         for batch in batches:
             data, offsets = kernels.column_bytes(batch.column("text"))
             for a, b in kernels.pieces(offsets):
-                _, _, chance, rows, _, _ = sent.value.tag(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                x = sent.value.summary(chance, rows, b - a)
-                yield record_batch("label int, total double, most double",
-                                   batch.column("label").slice(a, b - a).cast(pa.int32()), x[:, 1], x[:, 2])
+                _, _, chance, rows, tokens, _ = sent.value.tag(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                x = sent.value.summary(chance, rows, tokens)
+                yield record_batch(SEEN, batch.column("label").slice(a, b - a).cast(pa.int32()), *x[:, 1:].T)
 
-    seen = mine.filter(curve).mapInArrow(summaries, "label int, total double, most double").collect()
-    x = np.array([[1.0, r["total"], r["most"]] for r in seen]).reshape(-1, 3)
+    seen = mine.filter(curve).mapInArrow(summaries, SEEN).collect()
+    x = np.array([[1.0, r["total"], r["most"], r["long"]] for r in seen]).reshape(-1, 4)
     y = np.array([float(r["label"]) for r in seen])
     held = {k: max(1, int((y == k).sum())) for k in (0, 1)}
     weights = np.array([sizes[int(k)] / held[int(k)] for k in y])
-    model.curve = _fit_curve(x, y, weights) if len(seen) else np.array([-2.0, 1.0, 2.0])
+    model.curve = _fit_curve(x, y, weights) if len(seen) else np.array([-2.0, 1.0, 2.0, 0.0])
     return model
 
 
+SEEN = "label int, total double, most double, long double"
 OUT = "doc_id long, score double, spans string"
 
 
@@ -311,8 +314,8 @@ def score_documents(docs: DataFrame, model: ToxicField) -> DataFrame:
             data, offsets = kernels.column_bytes(batch.column("text"))
             for a, b in kernels.pieces(offsets):
                 part, cuts = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                starts, ends, chance, rows, _, at = sent.value.tag(part, cuts)
-                scores = sent.value.document_scores(sent.value.summary(chance, rows, b - a))
+                starts, ends, chance, rows, tokens, at = sent.value.tag(part, cuts)
+                scores = sent.value.document_scores(sent.value.summary(chance, rows, tokens))
                 high = np.flatnonzero(chance >= MARGINAL)
                 spans = [""] * (b - a)
                 if len(high):
