@@ -103,3 +103,10 @@ def op10_toxicity_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit(docs, table(spark, sf_dir, "labels"), "toxic", ~held)
     return score_documents(docs, model).select(
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "spans")
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenloom.llm.repeats import repeated_spans
+
+    return repeated_spans(table(spark, sf_dir, "documents")).drop("removed")
