@@ -11,13 +11,15 @@
 4. Verification intersects the two sets. Links make components.
 
 A group of near copies has a posting list as long as the group, so pairs are not taken from it at
-once. First every list gives a chain of neighbours. Then, with the components known so far, every
-list gives a chain over one member of each component. Last, all pairs of groups in different
-components are taken, which is the whole join less the pairs that could not change a component. No
-candidate is dropped.
+once. First every list ties its members to its most central ones (those with the fewest shingles of
+their own). Then, with the components known so far, every list ties one member of each component to
+its most central one. Last come all pairs of groups in different components, where a pair is taken
+from the list of its first common shingle only. That is the whole join less the pairs that could not
+change a component. No candidate is dropped.
 
 Similarity is exact: 100 * intersection >= percent * union on whole sets. Hash collisions would
-have to fall inside one pair of sets (chance about 1e-13 per pair).
+have to fall inside one pair of sets (after step 1 shingles are told apart by their range and 40 bits:
+chance about 1e-9 per pair).
 """
 
 from __future__ import annotations
@@ -36,7 +38,8 @@ from tokenloom.llm.shared import partitions, record_batch, stage
 
 WORDS, PERCENT = 5, 80
 TASK_TOKENS = 1_500_000
-LIST_SPLIT = 4096
+LIST_SPLIT, HUBS = 4096, 2
+TOKEN_BITS = 40
 SETS = "doc_id long, n_shingles long, node long"
 TOKENS = "bucket int, nodes binary, sizes binary, counts binary, tokens binary, class binary"
 NODES = "node long, n int, tokens array<long>, prefix array<long>, class array<int>, first int"
@@ -69,55 +72,73 @@ def signatures(docs: DataFrame, n: int = WORDS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SETS)
 
 
-def _emit(schema: str, bits: int, keys: np.ndarray, node: np.ndarray, size: np.ndarray,
-          token: np.ndarray, kind: np.ndarray | None) -> pa.RecordBatch | None:
-    """Packed rows, one for each value of the top `bits` of `keys`; `node` must be sorted."""
-    if not len(keys):
-        return None
-    bucket = (keys >> np.uint64(64 - bits)).astype(np.uint16)
-    order = np.argsort(bucket, kind="stable")
-    bucket, node, size, token = bucket[order], node[order], size[order], token[order]
+def _labels(spark, tasks: int) -> list[int]:
+    """For each of `tasks` ranges a number that Spark's hash partitioning sends to a task of its own."""
+    rows = (spark.range(64 * tasks).select(F.col("id").cast("int").alias("i"))
+            .groupBy(F.pmod(F.hash("i"), F.lit(tasks)).alias("p")).agg(F.min("i").alias("i")).collect())
+    given = {r["p"]: r["i"] for r in rows}
+    return [given.get(p, 64 * tasks + p) for p in range(tasks)]
+
+
+def _range_of(token: np.ndarray, tasks: int) -> np.ndarray:
+    return ((token >> np.uint64(40)) * np.uint64(tasks) >> np.uint64(24)).astype(np.int64)
+
+
+def _low_bytes(token: np.ndarray) -> bytes:
+    return token.view(np.uint8).reshape(-1, 8)[:, : TOKEN_BITS // 8].tobytes()
+
+
+def _emit(labels: list[int], bucket: np.ndarray, node: np.ndarray, size: np.ndarray,
+          token: np.ndarray, kind: np.ndarray | None) -> pa.RecordBatch:
+    """One packed row per bucket; the elements must be sorted by node."""
+    order = np.argsort(bucket.astype(np.uint16), kind="stable")
+    bucket, node, size, token = bucket[order], node[order], size[order], np.ascontiguousarray(token[order])
     kind = kind[order] if kind is not None else None
-    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.empty(0, np.int64)
     rows = [[], [], [], [], [], []]
     for a, b in zip(cuts.tolist(), np.r_[cuts[1:], len(bucket)].tolist()):
         runs = np.flatnonzero(np.r_[True, node[a + 1 : b] != node[a : b - 1]])
-        rows[0].append(int(bucket[a]))
+        rows[0].append(labels[int(bucket[a])])
         rows[1].append(node[a:b][runs].tobytes())
         rows[2].append(size[a:b][runs].astype(np.int32).tobytes())
-        rows[3].append(np.diff(np.r_[runs, b - a]).astype(np.int32).tobytes())
-        rows[4].append(token[a:b].tobytes())
+        counts = np.diff(np.r_[runs, b - a])
+        rows[3].append(counts.astype(np.uint16 if counts.max() < 1 << 16 else np.int64).tobytes())
+        # The answers keep the whole token id; what is dealt by range keeps its low bytes.
+        rows[4].append(_low_bytes(token[a:b]) if kind is None else token[a:b].tobytes())
         rows[5].append(kind[a:b].tobytes() if kind is not None else b"")
-    return record_batch(schema, *rows)
+    return record_batch(TOKENS, *rows)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
-    """node, size, token, class of all packed rows of a task."""
+    """node, size, token, class of all packed rows of a task; token ids are label and low bytes."""
     parts: list[list[np.ndarray]] = [[], [], [], []]
     for batch in batches:
         for r in batch.to_pylist():
-            counts = np.frombuffer(r["counts"], np.int32)
-            parts[0].append(np.repeat(np.frombuffer(r["nodes"], np.int64), counts))
+            nodes = np.frombuffer(r["nodes"], np.int64)
+            counts = np.frombuffer(r["counts"], np.uint16 if len(r["counts"]) == 2 * len(nodes) else np.int64).astype(np.int64)
+            parts[0].append(np.repeat(nodes, counts))
             parts[1].append(np.repeat(np.frombuffer(r["sizes"], np.int32), counts))
-            parts[2].append(np.frombuffer(r["tokens"], np.uint64))
+            if r["class"]:
+                token = np.frombuffer(r["tokens"], np.uint64)
+            else:
+                raw = np.frombuffer(r["tokens"], np.uint8).reshape(-1, TOKEN_BITS // 8)
+                wide = np.zeros((len(raw), 8), np.uint8)
+                wide[:, : TOKEN_BITS // 8] = raw
+                token = wide.view(np.uint64).ravel() | np.uint64(r["bucket"] << TOKEN_BITS)
+            parts[2].append(token)
             parts[3].append(np.frombuffer(r["class"], np.uint8))
     if not parts[0]:
         return (np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.uint64), np.empty(0, np.uint8))
     return tuple(np.concatenate(p) for p in parts)
 
 
-def _bits(buckets: int) -> int:
-    """Enough leading bits for four blocks per task, so that hashing blocks to tasks evens out."""
-    return min(16, max(4, (4 * buckets - 1).bit_length()))
-
-
 def shared_tokens(docs: DataFrame, tasks: int, n: int = WORDS) -> DataFrame:
     """One row (NODES) for each set that may have a partner.
 
     `tokens` are its shingles that other sets have too, `prefix` those among the first in the order
     (class, hash), where class grows with the number of sets; `first` is the place of prefix[0].
     """
-    bits = _bits(tasks)
+    labels = _labels(docs.sparkSession, tasks)
 
     def deal(batches):
         seen: set[int] = set()
@@ -140,7 +161,7 @@ def shared_tokens(docs: DataFrame, tasks: int, n: int = WORDS) -> DataFrame:
         sizes = np.array([len(s) for _, s in held])
         token = np.concatenate([s for _, s in held])
         node = np.repeat(np.array([k for k, _ in held], np.int64), sizes)
-        return _emit(TOKENS, bits, token, node, np.repeat(sizes, sizes), token, None)
+        return _emit(labels, _range_of(token, tasks), node, np.repeat(sizes, sizes), token, None)
 
     def count(batches):
         node, size, token, _ = _read(batches)
@@ -164,9 +185,8 @@ def shared_tokens(docs: DataFrame, tasks: int, n: int = WORDS) -> DataFrame:
         kind = np.ceil(4 * np.log2(np.maximum(often, 1))).astype(np.uint8)[kept]
         node, size, token = node[kept], size[kept], token[kept]
         order = np.argsort(node, kind="stable")
-        out = _emit(TOKENS, bits, node[order].view(np.uint64), node[order], size[order], token[order], kind[order])
-        if out is not None:
-            yield out
+        node = node[order]
+        yield _emit(labels, _range_of(node.view(np.uint64), tasks), node, size[order], token[order], kind[order])
 
     def gather(batches):
         node, size, token, kind = _read(batches)
@@ -209,62 +229,70 @@ def _fits(a: str, b: str):
     """Size and position filter on two postings: what is left of either set can still reach the overlap."""
     left = F.least(F.col(f"{a}.n") - F.col(f"{a}.at"), F.col(f"{b}.n") - F.col(f"{b}.at"))
     sizes = F.col(f"{a}.n") + F.col(f"{b}.n")
-    return ((100 * F.least(F.col(f"{a}.n"), F.col(f"{b}.n")) >= PERCENT * F.greatest(F.col(f"{a}.n"), F.col(f"{b}.n")))
-            & ((100 + PERCENT) * left >= PERCENT * sizes))
+    # Shingles of one set alone are in the union and not in the overlap.
+    most = F.least(F.col(f"{a}.n") - F.col(f"{a}.first"), F.col(f"{b}.n") - F.col(f"{b}.first"))
+    union = F.greatest(F.col(f"{a}.n") + F.col(f"{b}.first"), F.col(f"{b}.n") + F.col(f"{a}.first"))
+    return ((100 * most >= PERCENT * union) & ((100 + PERCENT) * left >= PERCENT * sizes))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
+def _to_hubs(lists: DataFrame, keys: list[str], hubs: int) -> DataFrame:
+    """Pairs of every `node` with the most central ones of its list (least `own`)."""
+    order = W.partitionBy(*keys).orderBy("own", "node")
+    upto = order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    central = F.array(*[F.nth_value("node", k).over(upto) for k in range(1, hubs + 1)])
+    return (lists.withColumn("hubs", central).select(F.explode("hubs").alias("a"), F.col("node").alias("b")).dropna())
+
+
 def node_links(nodes: DataFrame) -> DataFrame:
     """(node, component) of every set that has a link."""
     nodes = stage(nodes, "sets")
     group = F.xxhash64("n", "prefix")
-    members = nodes.select("node", group.alias("g"))
+    members = nodes.select("node", group.alias("g"), (F.col("first") / F.col("n")).alias("own"))
     postings = stage(
-        nodes.select(group.alias("g"), "node", "n", "first", F.arrays_zip("prefix", "class").alias("p"))
-        .groupBy("g", "n", "first", "p").agg(F.min("node").alias("lead"))
-        .select("g", "lead", "n", "first", F.posexplode("p").alias("i", "t"))
-        .select("g", "lead", "n", (F.col("first") + F.col("i")).alias("at"),
-                F.col("t.prefix").alias("token"), F.col("t.class").alias("class")), "postings")
-    # Chains: neighbours in a posting list, with long lists in several parts, and inside a group.
+        nodes.select(group.alias("g"), "node", "n", "first", "prefix", "class")
+        .groupBy("g", "n", "first", "prefix", "class").agg(F.min("node").alias("node"))
+        .select("g", "node", "n", "first", (F.col("first") / F.col("n")).alias("own"), "prefix",
+                F.posexplode(F.arrays_zip(F.col("prefix").alias("p"), F.col("class").alias("c"))).alias("i", "t"))
+        .select("g", "node", "n", "first", "own", "prefix", (F.col("first") + F.col("i")).alias("at"),
+                F.col("t.p").alias("token"), F.col("t.c").alias("class")), "postings")
+    # Long lists and groups in several parts, each with hubs of its own.
     parts = F.greatest(F.lit(1), F.pow(F.lit(2.0), F.col("class") / 4) / LIST_SPLIT).cast("int")
-    near = W.partitionBy("token", "part").orderBy("n", "g")
-    chain = (postings.withColumn("part", F.pmod("g", parts))
-             .withColumn("a", F.lag("lead").over(near)).select("a", F.col("lead").alias("b")).dropna())
-    inside = (members.withColumn("part", F.pmod(F.hash("node"), F.lit(16)))
-              .withColumn("a", F.lag("node").over(W.partitionBy("g", "part").orderBy("node")))
-              .select("a", F.col("node").alias("b")).dropna())
-    links = stage(verify(_ordered(chain.union(inside)), nodes), "linked")
+    pairs = _to_hubs(postings.select("token", "node", "own", F.pmod("g", parts).alias("part")), ["token", "part"], HUBS)
+    inside = _to_hubs(members.withColumn("part", F.pmod(F.hash("node"), F.lit(16))), ["g", "part"], 1)
+    links = stage(verify(_ordered(pairs.union(inside)), nodes), "linked")
 
     def known():
         c = components(links)
-        return (members.join(c, "node", "left")
-                .select("node", "g", F.coalesce("component", "node").alias("c")))
-
-    # Chains over one member of each component in a list.
-    placed = stage(known(), "placed")
-    listed = (postings.join(placed.select("g", "c", "node"), "g")
-              .groupBy("token", "c").agg(F.min("node").alias("node"), F.min("n").alias("n")))
-    chain = (listed.withColumn("a", F.lag("node").over(W.partitionBy("token").orderBy("n", "node")))
-             .select("a", F.col("node").alias("b")).dropna())
-    leads = placed.groupBy("g", "c").agg(F.min("node").alias("node"))
-    inside = (leads.withColumn("a", F.lag("node").over(W.partitionBy("g").orderBy("node")))
-              .select("a", F.col("node").alias("b")).dropna())
-    links = stage(links.union(verify(_ordered(chain.union(inside)), nodes)).distinct(), "linked")
-    # All that is left: groups that meet in a list and have members in different components.
-    placed = stage(known(), "placed")
-    held = postings.join(placed.select("g", "c").distinct(), "g")
-    mixed = held.groupBy("token").agg(F.min("c").alias("_low"), F.max("c").alias("_high")).filter("_low < _high")
-    held = stage(held.join(mixed.select("token"), "token", "left_semi"), "open")
-    by = held.select("token", "c").distinct()
-    meet = (by.select("token", F.col("c").alias("ca"))
-            .join(by.select("token", F.col("c").alias("cb")), "token").filter("ca < cb"))
-    x, y = held.alias("x"), held.alias("y")
-    met = meet.alias("m").join(x, (F.col("m.token") == F.col("x.token")) & (F.col("m.ca") == F.col("x.c")))
-    met = met.join(y, (F.col("m.token") == F.col("y.token")) & (F.col("m.cb") == F.col("y.c"))).filter(_fits("x", "y"))
-    groups = met.select(F.col("x.g").alias("ga"), F.col("y.g").alias("gb"), "ca", "cb").distinct()
+        return stage(members.join(c, "node", "left")
+                     .select("node", "g", "own", F.coalesce("component", "node").alias("c")), "placed")
+
+    def leads(lists: DataFrame, keys: list[str]) -> DataFrame:
+        """The most central member of every component in a list."""
+        return (lists.groupBy(*keys, "c").agg(F.min(F.struct("own", "node")).alias("m"))
+                .select(*keys, F.col("m.own").alias("own"), F.col("m.node").alias("node")))
+
+    placed = known()
+    listed = postings.select("token", "g").join(placed, "g")
+    pairs = _to_hubs(leads(listed, ["token"]), ["token"], HUBS)
+    inside = _to_hubs(leads(placed, ["g"]), ["g"], 1)
+    links = stage(links.union(verify(_ordered(pairs.union(inside)), nodes)).distinct(), "linked")
+    # All that is left: in every list, members outside its largest component against all others.
+    placed = known()
+    held = postings.drop("node", "own", "class").join(placed.select("g", "c").distinct(), "g")
+    sizes = held.groupBy("token", "c").agg(F.count("*").alias("k"))
+    largest = sizes.groupBy("token").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("cs"))
+    largest = largest.filter("cs > 1").select("token", F.col("m.c").alias("main"))
+    held = stage(held.join(largest, "token"), "open")
+    x, y = held.filter("c != main").alias("x"), held.alias("y")
+    once = (F.col("y.c") == F.col("y.main")) | (F.col("x.c") < F.col("y.c"))
+    first = F.get(F.array_intersect("x.prefix", "y.prefix"), F.lit(0)) == F.col("x.token")
+    meet = (F.col("x.token") == F.col("y.token")) & (F.col("x.c") != F.col("y.c")) & once & _fits("x", "y") & first
+    groups = x.join(y, meet).select(F.col("x.g").alias("ga"), F.col("x.c").alias("ca"),
+                                    F.col("y.g").alias("gb"), F.col("y.c").alias("cb")).distinct()
     side = lambda k: placed.select(F.col("g").alias(f"g{k}"), F.col("c").alias(f"c{k}"), F.col("node").alias(k))
     across = groups.join(side("a"), ["ga", "ca"]).join(side("b"), ["gb", "cb"]).select("a", "b")
     # Members of one group share their prefix, whatever their components.

@@ -110,3 +110,11 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tokenloom.llm.repeats import repeated_spans
 
     return repeated_spans(table(spark, sf_dir, "documents")).drop("removed")
+
+
+@query
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenloom.llm.pii import find_personal_data, fit
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_personal_data(docs, fit(docs)).drop("text")
