@@ -103,3 +103,33 @@ def edited_texts(docs):
         cut = len(t) // 4
         out[d] = t[: len(t) - cut] + docs[(i + 1) % len(docs)][1][:cut]
     return out
+
+
+PII_PATTERNS = (
+    ("email", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")),
+    ("ip", re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")),
+    ("card", re.compile(r"[0-9]([\x20-]?[0-9])+")),
+    ("phone", re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")),
+)
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (2 if i % 2 else 1)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def pii_base(text):
+    """[(kind, start, end)] by start, then kind."""
+    out = []
+    for kind, pattern in PII_PATTERNS:
+        for m in pattern.finditer(text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            fine = {"email": lambda: True, "ip": lambda: all(int(p) <= 255 for p in m.group().split(".")),
+                    "card": lambda: 14 <= len(digits) <= 19 and luhn(digits), "phone": lambda: 10 <= len(digits) <= 15}[kind]()
+            if fine:
+                out.append((kind, m.start(), m.end()))
+    order = [k for k, _ in PII_PATTERNS]
+    return sorted(out, key=lambda s: (s[1], order.index(s[0])))

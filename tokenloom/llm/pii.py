@@ -59,7 +59,7 @@ CUES = {
 AGAINST = r"(?i)(?:version|release|licen[cs]e|section|chapter|figure|table|isbn|page|\bv\.?) *$"
 LABELERS = ("format", "gazetteer", "context", "shape", "around")
 FEATURES = ("size", "before", "after")
-ROUNDS = 20
+ROUNDS = 12
 ADD_FROM = math.log(4.0)
 CONTEXT = 40
 
@@ -182,29 +182,35 @@ def fit(texts: DataFrame, rounds: int = ROUNDS) -> SpanModel:
             odds = odds + _lookup(F.col(j), {v: math.log(a / b) for v, (a, b) in reliability[j].items()})
         return 1 / (1 + F.exp(-odds))
 
+    def sums(of: list[str]) -> dict:
+        """{(name, value): (expected personal, expected other)} for the columns `of`, and for all rows."""
+        seen = table.select("n", chance().alias("q"), F.explode(F.array(
+            F.struct(F.lit("").alias("name"), F.lit(0).alias("value")),
+            *[F.struct(F.lit(c).alias("name"), F.col(c).cast("int").alias("value")) for c in of])).alias("e"))
+        rows = seen.groupBy("e.name", "e.value").agg(
+            F.sum(F.col("n") * F.col("q")).alias("y"), F.sum(F.col("n") * (1 - F.col("q"))).alias("x")).collect()
+        return {(r["name"], r["value"]): (r["y"], r["x"]) for r in rows}
+
     for _ in range(rounds):
-        q = F.col("n") * chance()
-        sums = [F.sum(q).alias("yes"), F.sum(F.col("n") - q).alias("no")]
-        for name, values in [("kind", range(len(KINDS))), *[(j, (-1, 0, 1)) for j in LABELERS]]:
-            for v in values:
-                hit = F.col(name) == v
-                sums += [F.sum(F.when(hit, q).otherwise(0)).alias(f"{name}{v}yes"),
-                         F.sum(F.when(hit, F.col("n") - q).otherwise(0)).alias(f"{name}{v}no")]
-        got = table.agg(*sums).first().asDict()
-        yes, no = got["yes"] or 0.0, got["no"] or 0.0
-        reliability = {j: {v: ((got[f"{j}{v}yes"] or 0.0) / (yes + 3) + 1 / (yes + 3), (got[f"{j}{v}no"] or 0.0) / (no + 3) + 1 / (no + 3))
-                           for v in (-1, 0, 1)} for j in LABELERS}
-        prior = {k: ((got[f"kind{k}yes"] or 0.0) + 1) / ((got[f"kind{k}yes"] or 0.0) + (got[f"kind{k}no"] or 0.0) + 2) for k in prior}
-    q = chance()
-    odds: dict = {"kind": {k: math.log(p / (1 - p)) for k, p in prior.items()}}
-    totals = table.agg(F.sum(F.col("n") * q), F.sum(F.col("n") * (1 - q))).first()
-    yes, no = (totals[0] or 0.0) + 8, (totals[1] or 0.0) + 8
-    for name in names:
-        rows = table.groupBy(name).agg(F.sum(F.col("n") * q).alias("y"), F.sum(F.col("n") * (1 - q)).alias("x")).collect()
-        odds[name] = {r[name]: math.log((r["y"] + 1) / yes) - math.log((r["x"] + 1) / no) for r in rows}
+        got = sums(["kind", *LABELERS])
+        yes, no = got.get(("", 0), (0.0, 0.0))
+        of = lambda name, v: got.get((name, v), (0.0, 0.0))
+        reliability = {j: {v: ((of(j, v)[0] + 1) / (yes + 3), (of(j, v)[1] + 1) / (no + 3)) for v in (-1, 0, 1)}
+                       for j in LABELERS}
+        prior = {k: (of("kind", k)[0] + 1) / (sum(of("kind", k)) + 2) for k in prior}
+    got = sums(names)
+    yes, no = (x + 8 for x in got.get(("", 0), (0.0, 0.0)))
+    odds: dict = {"kind": {k: math.log(p / (1 - p)) for k, p in prior.items()}} | {name: {} for name in names}
+    for (name, value), (y, x) in got.items():
+        if name:
+            odds[name][value] = math.log((y + 1) / yes) - math.log((x + 1) / no)
     return SpanModel(reliability, prior, odds)
 
 
+def _is_kind(number: int):
+    return lambda c: c["kind"] == number
+
+
 def _lookup(key: Column, values: dict[int, float]) -> Column:
     out = F.lit(0.0)
     for k, v in values.items():
@@ -212,6 +218,9 @@ def _lookup(key: Column, values: dict[int, float]) -> Column:
     return out
 
 
+OUTPUTS = ("n_email", "n_ip", "n_card", "n_phone", "n_added", "base_sha256", "spans")
+
+
 def _texts_of(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
     ordered = F.array_sort(F.transform(spans, lambda c: F.struct(c["start"], c["kind"], c["end"])))
@@ -232,16 +241,21 @@ def find_personal_data(docs: DataFrame, model: SpanModel) -> DataFrame:
         clear = ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
         return ~c["base"] & clear & (score >= ADD_FROM)
 
-    out = docs.withColumn("_found", candidates(F.coalesce("text", F.lit(""))))
-    out = out.withColumn("_base", F.filter("_found", lambda c: c["base"]))
-    out = out.withColumn("_added", F.when(F.size("_found") > F.size("_base"), F.filter(
-        "_found", lambda c: personal(c, F.col("_base")))).otherwise(F.filter("_base", lambda c: F.lit(False))))
-    for k, name in enumerate(KINDS[:BASE_KINDS]):
-        out = out.withColumn(f"n_{name}", F.size(F.filter("_base", lambda c, k=k: c["kind"] == k)).cast("long"))
-    return (out.withColumn("n_added", F.size("_added").cast("long"))
-            .withColumn("base_sha256", F.sha2(_texts_of(F.col("_base")), 256))
-            .withColumn("spans", _texts_of(F.concat("_base", "_added")))
-            .drop("_found", "_base", "_added"))
+    def result(x: Column) -> Column:
+        """All outputs of a text from its candidates and the base ones among them."""
+        added = F.when(F.size(x["found"]) > F.size(x["base"]), F.filter(x["found"], lambda c: personal(c, x["base"])))
+        added = F.coalesce(added, F.slice(x["base"], 1, 0))
+        counts = [F.size(F.filter(x["base"], _is_kind(k))).cast("long").alias(f"n_{name}")
+                  for k, name in enumerate(KINDS[:BASE_KINDS])]
+        return F.struct(*counts, F.size(added).cast("long").alias("n_added"),
+                        F.sha2(_texts_of(x["base"]), 256).alias("base_sha256"),
+                        _texts_of(F.concat(x["base"], added)).alias("spans"))
+
+    # Arrays of one element name a value inside an expression, so that it is computed once.
+    found = F.array(candidates(F.coalesce("text", F.lit(""))))
+    both = F.transform(found, lambda f: F.struct(f.alias("found"), F.filter(f, lambda c: c["base"]).alias("base")))
+    return docs.withColumn("_out", F.get(F.transform(both, result), F.lit(0))).select(
+        *[c for c in docs.columns if c not in OUTPUTS], "_out.*")
 
 
 def redact(docs: DataFrame, found: str = "spans") -> DataFrame:
