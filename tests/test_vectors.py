@@ -42,20 +42,29 @@ def attended(q, k, v, hidden):
     return e / e.sum(axis=1, keepdims=True) @ v
 
 
-def test_causal_pooling_in_blocks_and_projected(df, table):
+def test_causal_pooling_is_exact_for_any_block(df, table):
     w = np.random.default_rng(1).normal(size=(3, 4, 2))
-    for block in (1024, 6):
-        expected = {}
-        for s, n in ((0, 20), (1, 1), (2, 7)):
-            for b in range(0, n, block):
-                m = np.array([table[s, t] for t in range(b, min(n, b + block))])
-                out = attended(m @ w[0], m @ w[1], m @ w[2], np.triu(np.ones((len(m), len(m))), 1) > 0)
-                expected.update({(s, b + i): row for i, row in enumerate(out)})
+    expected = {}
+    for s, n in ((0, 20), (1, 1), (2, 7)):
+        m = np.array([table[s, t] for t in range(n)])
+        out = attended(m @ w[0], m @ w[1], m @ w[2], np.triu(np.ones((n, n)), 1) > 0)
+        expected.update({(s, t): row for t, row in enumerate(out)})
+    for block in (1024, 6, 1):
         made = vectors.causal_pooling(df, block=block, w_q=w[0], w_k=w[1], w_v=w[2]).collect()
         assert_close(made, "pooled", expected)
 
 
-def test_cross_pooling_hides_padding_and_guards_length(df, table):
+def test_causal_pooling_beyond_one_block(spark):
+    n = vectors.BLOCK + 3
+    m = np.random.default_rng(2).normal(size=(n, 2))
+    rows = spark.createDataFrame([(0, t, v.tolist()) for t, v in enumerate(m)], "seq_id bigint, t bigint, v array<double>")
+    made = {r["t"]: r["pooled"] for r in vectors.causal_pooling(rows).filter(F.col("t") >= n - 4).collect()}
+    out = attended(m, m, m, np.triu(np.ones((n, n)), 1) > 0)
+    for t in range(n - 4, n):
+        np.testing.assert_allclose(made[t], out[t], atol=1e-9)
+
+
+def test_cross_pooling_hides_padding_in_any_block(df, table):
     keys = df.filter("seq_id <> 1").withColumn("visible", F.col("t") < 5)
     made = vectors.cross_pooling(df.filter("seq_id <> 1"), keys).collect()
     expected = {}
@@ -67,8 +76,9 @@ def test_cross_pooling_hides_padding_and_guards_length(df, table):
     assert all(math.isclose(sum(r["weights"]), 1) and not any(r["weights"][5:]) for r in made)
     hidden = vectors.cross_pooling(df, df.withColumn("visible", F.lit(0))).first()
     assert not any(hidden["weights"]) and not any(hidden["pooled"])
-    with pytest.raises(Exception, match="longer than 10"):
-        vectors.cross_pooling(df, keys, limit=10).collect()
+    cut = vectors.cross_pooling(df.filter("seq_id <> 1"), keys, block=3).collect()
+    assert_close(cut, "pooled", expected)
+    assert all(math.isclose(sum(r["weights"]), 1) and not any(r["weights"][5:]) for r in cut)
 
 
 def test_standardized_rows(df):
@@ -88,11 +98,13 @@ def test_softmax_and_positions(spark):
     np.testing.assert_allclose(row["p"], [math.sin(3), math.cos(3), math.sin(0.03), math.cos(0.03)])
 
 
-def test_embedding_join_paths_agree(spark):
+def test_embedding_join_paths_agree_and_no_id_vanishes(spark):
     emb = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(5)], "id int, v array<double>")
     tokens = spark.createDataFrame([(1, p, i) for p, i in enumerate([0, 3, 3, 4, 9])], "doc_id int, pos int, id int")
-    one = vectors.embed_tokens(tokens, emb, True, True, ["doc_id"]).collect()
-    two = vectors.embed_tokens(tokens, emb, True, True, ["doc_id", "pos"], max_rows=0).collect()
-    assert sorted(map(str, one)) == sorted(map(str, two)) and len(one) == 4
-    pooled = vectors.mean_pool(tokens, emb, "doc_id").first()
-    assert pooled["v"] == [2.5, 1.0]
+    one = vectors.embed_tokens(tokens, emb, True, True, ["doc_id"], missing="zero").collect()
+    two = vectors.embed_tokens(tokens, emb, True, True, ["doc_id", "pos"], max_rows=0, missing="zero").collect()
+    assert sorted(map(str, one)) == sorted(map(str, two)) and len(one) == 5
+    assert vectors.mean_pool(tokens, emb, "doc_id", missing="zero").first()["v"] == [2.0, 0.8]
+    for rows in (vectors.MAX_BROADCAST_ROWS, 0):
+        with pytest.raises(Exception, match="no vector for id 9"):
+            vectors.embed_tokens(tokens, emb, salt_by=["pos"], max_rows=rows).collect()

@@ -18,7 +18,7 @@ UNK, PAD, SOS, EOS = "[UNK]", "[PAD]", "[SOS]", "[EOS]"
 SPECIALS = [UNK, PAD, SOS, EOS]
 UNK_ID, PAD_ID, SOS_ID, EOS_ID = 0, 1, 2, 3
 # A word character by the Unicode definition: letters, marks, digits, connectors, joiners.
-WORD_CHARS = r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{200C}\x{200D}\x{24B6}-\x{24E9}"
+WORD_CHARS = r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{200C}\x{200D}\x{24B6}-\x{24E9}\x{1F130}-\x{1F149}\x{1F150}-\x{1F169}\x{1F170}-\x{1F189}"
 SPACE_CHARS = r"\s\x{0B}\x{85}\p{Z}"
 WORD_PATTERN = rf"[{WORD_CHARS}]+|[^{WORD_CHARS}{SPACE_CHARS}]+"
 # The published pre-split of byte-pair encoders.

@@ -8,10 +8,11 @@ from typing import Literal
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tokenloom.functions.text import list_offsets
+from tokenloom.functions.text import list_lengths, list_offsets
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -78,64 +79,47 @@ def _matrices(col: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def _nested(matrices: list[np.ndarray]) -> pa.Array:
-    flat = np.concatenate([m.ravel() for m in matrices]) if matrices else np.zeros(0)
-    widths = np.concatenate([np.full(len(m), m.shape[1]) for m in matrices]) if matrices else np.zeros(0)
-    rows = np.array([len(m) for m in matrices], dtype=np.int64)
-    inner = pa.ListArray.from_arrays(list_offsets(widths.astype(np.int64)), pa.array(flat, pa.float64()))
-    return pa.ListArray.from_arrays(list_offsets(rows), inner)
-
-
-def _weights(scores: np.ndarray, hidden: np.ndarray) -> np.ndarray:
-    scores = np.where(hidden, -np.inf, scores)
-    top = scores.max(axis=1, keepdims=True, initial=-np.inf)
-    powers = np.exp(scores - np.where(np.isfinite(top), top, 0.0))
-    powers = np.where(hidden, 0.0, powers)
-    return powers / np.maximum(powers.sum(axis=1, keepdims=True), np.finfo(float).tiny)
-
-
 def _project(m: np.ndarray, w: np.ndarray | None) -> np.ndarray:
     return m if w is None else m @ w
 
 
-def causal_pool(scale: float | None, w_q=None, w_k=None, w_v=None):
-    """Arrow function: a sequence of vectors -> weighted means over each one's past and itself."""
-
-    @F.arrow_udf("array<array<double>>")
-    def pool(col: pa.Array) -> pa.Array:
-        out = []
-        for m in _matrices(col):
-            q, k, v = _project(m, w_q), _project(m, w_k), _project(m, w_v)
-            factor = 1 / math.sqrt(max(1, q.shape[1])) if scale is None else scale
-            later = np.triu(np.ones((len(m), len(m)), dtype=bool), 1)
-            out.append(_weights(q @ k.T * factor, later) @ v)
-        return _nested(out)
-
-    return pool.asNondeterministic()
-
+PART = "array<struct<t:bigint,m:double,s:double,acc:array<double>,e:array<double>>>"
 
-def cross_weights(scale: float | None, w_q=None, w_k=None):
-    """Arrow function: queries, keys, 0/1 flags of visible keys -> weights per query."""
 
-    @F.arrow_udf("array<array<double>>")
-    def weigh(queries: pa.Array, keys: pa.Array, flags: pa.Array) -> pa.Array:
-        out = []
-        for q, k, seen in zip(_matrices(queries), _matrices(keys), flags):
-            q, k = _project(q, w_q), _project(k, w_k)
-            factor = 1 / math.sqrt(max(1, q.shape[1])) if scale is None else scale
-            hidden = np.broadcast_to(seen.values.to_numpy(zero_copy_only=False) == 0, (len(q), len(k)))
-            out.append(_weights(q @ k.T * factor, hidden))
-        return _nested(out)
+def _rows(matrices: list[np.ndarray]) -> pa.Array:
+    """All rows of the matrices as one array of arrays."""
+    flat = np.concatenate([m.ravel() for m in matrices]) if matrices else np.zeros(0)
+    widths = np.concatenate([np.full(len(m), m.shape[1]) for m in matrices]) if matrices else np.zeros(0)
+    return pa.ListArray.from_arrays(list_offsets(widths.astype(np.int64)), pa.array(flat, pa.float64()))
 
-    return weigh.asNondeterministic()
 
+def block_pool(scale: float | None, w_q, w_k, w_v, causal: bool, weights: bool):
+    """Arrow function: a block of queries and a block of keys, with their places -> a part per query.
 
-def apply_weights(w_v=None):
-    """Arrow function: weights per query, values -> weighted sums."""
+    A part is (place, largest score, sum of weights, weighted sum of values, weights), relative to the
+    largest score; without `weights` the last is empty. Keys with flag 0, and for `causal` later ones,
+    have no weight; a query that sees no key has -inf as its largest score.
+    """
 
-    @F.arrow_udf("array<array<double>>")
-    def pool(weights: pa.Array, values: pa.Array) -> pa.Array:
-        pairs = zip(_matrices(weights), _matrices(values))
-        return _nested([w @ _project(v, w_v) for w, v in pairs])
+    @F.arrow_udf(PART)
+    def pool(at: pa.Array, queries: pa.Array, key_at: pa.Array, keys: pa.Array, flags: pa.Array) -> pa.Array:
+        tops, sums, means, kept = [], [], [], []
+        for t, q, u, m, seen in zip(at, _matrices(queries), key_at, _matrices(keys), flags):
+            q, k, v = _project(q, w_q), _project(m, w_k), _project(m, w_v)
+            factor = 1 / math.sqrt(max(1, q.shape[1])) if scale is None else scale
+            hidden = np.broadcast_to(np.asarray(seen.values) == 0, (len(q), len(k)))
+            if causal:
+                hidden = hidden | (np.asarray(u.values)[None, :] > np.asarray(t.values)[:, None])
+            scores = np.where(hidden, -np.inf, q @ k.T * factor)
+            top = scores.max(axis=1, initial=-np.inf)
+            e = np.where(hidden, 0.0, np.exp(scores - np.where(np.isfinite(top), top, 0.0)[:, None]))
+            tops.append(top)
+            sums.append(e.sum(axis=1))
+            means.append(e @ v)
+            kept.append(e if weights else e[:, :0])
+        whole = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+        fields = [pc.list_flatten(at).cast(pa.int64()), whole(tops), whole(sums), _rows(means), _rows(kept)]
+        rows = pa.StructArray.from_arrays(fields, ["t", "m", "s", "acc", "e"])
+        return pa.ListArray.from_arrays(list_offsets(list_lengths(at)), rows)
 
     return pool.asNondeterministic()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache, reduce
 
 import numpy as np
@@ -56,7 +57,8 @@ def _independent(top: list[Row], limit: int) -> list[Row]:
 
     A merge changes only counts of pairs that share a symbol with it, and a pair it creates is no
     more frequent than a pair it replaces. So while pairs share no symbol, and each is strictly
-    more frequent than all that follow, the next one stays the next one.
+    more frequent than all that follow, the next one stays the next one. A pair of equal symbols is the
+    exception: it creates a pair of its own double, which no other listed pair bounds, so it ends the pass.
     """
     taken, used = [], set()
     for i, row in enumerate(top[:limit]):
@@ -66,7 +68,7 @@ def _independent(top: list[Row], limit: int) -> list[Row]:
             break
         taken.append(row)
         used |= pair
-        if not followed:
+        if not followed or row["left"] == row["right"]:
             break
     return taken
 
@@ -122,7 +124,7 @@ def _piece_encoder(rules: list[tuple[bytes, bytes]]):
     def encode(piece: str) -> list[int]:
         parts = [bytes([b]) for b in piece.encode("utf-8")]
         while len(parts) > 1:
-            best = min(zip(parts, parts[1:]), key=lambda p: ranks.get(p, MAX_MERGES))
+            best = min(zip(parts, parts[1:]), key=lambda p: ranks.get(p, math.inf))
             if best not in ranks:
                 break
             joined, i = [], 0

@@ -86,14 +86,18 @@ def decode_words(
     skip_specials: bool = True,
     max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Adds the words joined by spaces, without special tokens unless asked for."""
+    """Adds the words joined by spaces, without special tokens unless asked for.
+
+    An id without a word stops the job, whatever the size of the vocabulary.
+    """
     small = small_table(vocab, max_rows)
     hidden = list(range(len(SPECIALS))) if skip_specials else []
     if small:
         return df.withColumn(into, id_to_text(*small, hidden, " ")(F.col(ids)))
     placed = df.select(key, F.posexplode(ids).alias("pos", "id")).filter(~F.col("id").isin(hidden))
     words = (
-        lookup_join(placed, vocab.select("id", "token"), ["id"], "inner", [key, "pos"], max_rows)
+        lookup_join(placed, vocab.select("id", "token"), ["id"], "left", [key, "pos"], max_rows)
+        .withColumn("token", F.coalesce("token", F.raise_error(F.concat(F.lit("no token with id "), F.col("id").cast("string")))))
         .groupBy(key)
         .agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("_placed"))
         .select(key, F.array_join(F.col("_placed.token"), " ").alias(into))

@@ -6,6 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def metrics_steps(metrics: DataFrame, tokens_per_row: int, by: list[str] | None = None) -> DataFrame:
+    """Per run, metric and step: micro-batches, mean, milliseconds and tokens per second.
+
+    `tokens_per_row` is the size of a micro-batch. A step of no measurable time has no rate.
+    """
+    by = by or ["run_id", "name"]
+    seconds = (F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))) / 1e6
+    steps = metrics.groupBy(*by, "step").agg(
+        F.count("*").alias("micro_batches"), (F.sum("value") / F.count("*")).alias("mean"), seconds.alias("seconds"))
+    rate = F.when(F.col("seconds") > 0, F.col("micro_batches") * tokens_per_row / F.col("seconds"))
+    return steps.select(*by, "step", "micro_batches", "mean", (F.col("seconds") * 1000).alias("ms"), rate.alias("tokens_per_second"))
+
+
 def metrics_rollup(metrics: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Per run and metric: step means over micro-batches, their mean, last and best, and the rate.
 

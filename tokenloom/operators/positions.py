@@ -11,6 +11,7 @@ from tokenloom.session import stage
 
 MAX_BUCKETS = 1024
 ROWS_PER_BUCKET = 50_000
+PART_BITS = 33  # low bits of a generated row id, which count rows inside one part
 HASH_DIGITS = 4  # 65,536 buckets of a hash order
 
 
@@ -68,6 +69,27 @@ def stream_index(sizes: DataFrame, key: str, size: Column) -> StreamIndex:
     return StreamIndex(offsets, key, stats["total"])
 
 
+def dense_order(df: DataFrame, *order: Column | str, into: str = "idx") -> DataFrame:
+    """Adds the place of every row, from 0, in the given order, which must be total.
+
+    A distributed sort is staged with the place inside each of its parts; the parts are then counted
+    and their counts summed. One task orders one row per part.
+    """
+    at = F.monotonically_increasing_id()
+    placed = stage(df.orderBy(*order).select("*", at.alias("_at")), "sorted")
+    part = F.shiftright("_at", PART_BITS)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy(part.alias("_part")).count().select(
+        "_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    inside = F.col("_at").bitwiseAND(F.lit((1 << PART_BITS) - 1))
+    return (
+        placed.withColumn("_part", part)
+        .join(F.broadcast(starts), "_part")
+        .withColumn(into, F.col("_start") + inside)
+        .drop("_at", "_part", "_start")
+    )
+
+
 def row_index(df: DataFrame, digest: Column, *tie_break: str) -> DataFrame:
     """`idx`: dense rank from 0 in the order of a hex digest, ties by `tie_break`.
 

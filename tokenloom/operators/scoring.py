@@ -16,15 +16,16 @@ def score_with(
     load: Callable[[], Callable],
     cols: list[str],
     batch_size: int = 256,
-    width: int | None = None,
+    width: int | list[int] | None = None,
     into: str = "score",
     returns: T.DataType | None = None,
 ) -> DataFrame:
     """Adds the model's output. `load` runs once per worker and returns the batch function.
 
-    `width` is the length of array inputs.
+    `width` is the length of array inputs: one for all columns, or one per column (0 for a number).
     """
-    shapes = [[width]] if width else None
+    widths = width if isinstance(width, list) else [width] * len(cols)
+    shapes = [[w] if w else [] for w in widths] if any(widths) else None
     score = predict_batch_udf(
         load, return_type=returns or T.DoubleType(), batch_size=batch_size, input_tensor_shapes=shapes
     )

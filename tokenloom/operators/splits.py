@@ -81,6 +81,17 @@ def random_split(df: DataFrame, key: str, fraction: float, seed: int) -> DataFra
     return df.withColumn("split", F.when(before, "train").otherwise("val"))
 
 
+def split_leakage(parts: DataFrame, key: str, text: str, seen: str = "train", held: str = "val") -> DataFrame:
+    """`(key, n_train)`: rows of the `held` split whose text the `seen` split has, and how often.
+
+    Texts meet by their 256-bit digest and are not shuffled; copies in the `seen` split are counted
+    before the join, so a text with many copies is one row there.
+    """
+    digests = parts.select(key, "split", F.sha2(F.col(text), 256).alias("_digest"))
+    known = digests.filter(F.col("split") == seen).groupBy("_digest").agg(F.count("*").alias("n_train"))
+    return digests.filter(F.col("split") == held).join(known, "_digest").select(key, "n_train")
+
+
 def shuffle_batches(df: DataFrame, key: str, batch_size: int, seed: int, epoch: int = 0) -> DataFrame:
     """Adds `batch_id` and `row` in a hash order that differs by seed and epoch; last batch kept."""
     digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)), F.lit(str(epoch))))

@@ -3,21 +3,21 @@
 from __future__ import annotations
 
 import math
+from typing import Literal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.vectors import (
-    apply_weights,
-    causal_pool,
-    cross_weights,
+    block_pool,
     position_vector,
     standardized,
 )
 from tokenloom.operators.positions import running_sums
-from tokenloom.session import MAX_BROADCAST_ROWS, lookup_join
+from tokenloom.session import MAX_BROADCAST_ROWS, lookup_join, stage
 
-MAX_CONTEXT = 1024
+BLOCK = 1024
+MAX_BROADCAST_BYTES = 256 << 20
 
 
 def width(vectors: DataFrame, v: str = "v") -> int:
@@ -45,8 +45,32 @@ def causal_mean(vectors: DataFrame, seq: str = "seq_id", order: str = "t", v: st
     return sums.select(seq, order, means.alias("mean"))
 
 
-def _sequence(v: str, order: str) -> Column:
-    return F.array_sort(F.collect_list(F.struct(F.col(order).alias("t"), F.col(v).alias("v"))))
+def _blocks(df: DataFrame, seq: str, order: str, block: int, *fields: Column) -> DataFrame:
+    """`(seq, at, rows)`: each sequence in blocks of at most `block` positions, ordered inside."""
+    row = F.struct(F.col(order).alias("t"), *fields)
+    place = F.floor(F.col(order) / block).alias("at")
+    return df.groupBy(seq, place).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+
+
+def _merged(parts: DataFrame, seq: str, order: str) -> DataFrame:
+    """Query positions with the parts of all key blocks put together.
+
+    A part has the largest score m, the sum s and the weighted sum of values acc relative to it, and
+    the weights e of its keys, so parts of different blocks only differ by the factor exp(m - top).
+    """
+    part = F.struct("at", "m", "s", "acc", "e")
+    rows = parts.groupBy(seq, order).agg(F.array_sort(F.collect_list(part)).alias("_parts"))
+    top = F.array_max(F.transform("_parts", lambda p: p["m"]))
+    rows = rows.withColumn("_top", top).withColumn("_parts", F.transform("_parts", lambda p: p.withField(
+        "s", F.when(p["m"] == F.lit(float("-inf")), 0.0).otherwise(F.exp(p["m"] - F.col("_top"))))
+        .withField("m", p["s"])))
+    # Now s is the factor of a part and m its own sum.
+    whole = F.aggregate("_parts", F.lit(0.0), lambda a, p: a + p["s"] * p["m"])
+    rows = rows.withColumn("_whole", F.greatest(whole, F.lit(2.2250738585072014e-308)))
+    zero = F.transform(F.get(F.col("_parts"), F.lit(0))["acc"], lambda x: F.lit(0.0))
+    pooled = F.aggregate("_parts", zero, lambda a, p: F.zip_with(a, p["acc"], lambda x, y: x + p["s"] * y))
+    weights = F.flatten(F.transform("_parts", lambda p: F.transform(p["e"], lambda w: w * p["s"] / F.col("_whole"))))
+    return rows.select(seq, order, weights.alias("weights"), F.transform(pooled, lambda x: x / F.col("_whole")).alias("pooled"))
 
 
 def causal_pooling(
@@ -55,31 +79,24 @@ def causal_pooling(
     order: str = "t",
     v: str = "v",
     scale: float | None = None,
-    block: int = MAX_CONTEXT,
+    block: int = BLOCK,
     w_q=None,
     w_k=None,
     w_v=None,
 ) -> DataFrame:
-    """`(seq, order, pooled)`: similarity-weighted mean over earlier positions of the same block.
+    """`(seq, order, pooled)`: similarity-weighted mean over all earlier positions and itself.
 
-    A sequence is a run of contexts of `block` positions, as training windows are, so a task holds
-    at most `block` vectors of one sequence at a time. Scale is 1/sqrt(d) unless given; `w_*` are
-    optional projection matrices.
+    Sequences of any length: a block of `block` queries meets every earlier block of keys in a task of
+    its own, and the parts are put together. Scale is 1/sqrt(d) unless given; `w_*` are optional
+    projection matrices.
     """
-    place = F.floor(F.col(order) / block).alias("_block")
-    blocks = vectors.groupBy(seq, place).agg(_sequence(v, order).alias("_rows"))
-    pooled = blocks.select(
-        seq,
-        F.col("_rows.t").alias(order),
-        causal_pool(scale, w_q, w_k, w_v)(F.col("_rows.v")).alias("pooled"),
-    )
-    return pooled.select(seq, F.inline(F.arrays_zip(order, "pooled")))
-
-
-def _bounded(df: DataFrame, order: str, limit: int) -> DataFrame:
-    """Stops the job at a position beyond the context, before anything is gathered."""
-    late = F.raise_error(F.lit(f"a sequence is longer than {limit}")).cast("boolean")
-    return df.filter(F.when(F.col(order) >= limit, late).otherwise(True))
+    blocks = stage(_blocks(vectors, seq, order, block, F.col(v).alias("v")), "blocks")
+    asked = blocks.select(seq, F.col("at").alias("_q"), F.col("rows").alias("_asked"))
+    met = asked.join(blocks, seq).filter(F.col("at") <= F.col("_q"))
+    part = block_pool(scale, w_q, w_k, w_v, causal=True, weights=False)
+    seen = F.transform("rows", lambda r: F.lit(1))
+    parts = met.select(seq, "at", F.inline(part("_asked.t", "_asked.v", "rows.t", "rows.v", seen)))
+    return _merged(parts.withColumnRenamed("t", order), seq, order).drop("weights")
 
 
 def cross_pooling(
@@ -90,25 +107,23 @@ def cross_pooling(
     v: str = "v",
     visible: str = "visible",
     scale: float | None = None,
-    limit: int = MAX_CONTEXT,
+    block: int = BLOCK,
     w_q=None,
     w_k=None,
     w_v=None,
 ) -> DataFrame:
     """`(seq, order, weights, pooled)`: queries of one table over the visible keys of another.
 
-    Both sides are cut off by an error at `limit` positions, as longer sentences are, so the groups
-    are bounded. Hidden keys (`visible` = 0) get no weight.
+    Sequences of any length, in blocks as in `causal_pooling`. Hidden keys (`visible` = 0) get no weight;
+    a row of `weights` has one number per key.
     """
-    asked = _bounded(queries, order, limit).groupBy(seq).agg(_sequence(v, order).alias("_q"))
-    key = F.struct(F.col(order).alias("t"), F.col(v).alias("v"), F.col(visible).cast("int").alias("seen"))
-    given = _bounded(keys, order, limit).groupBy(seq).agg(F.array_sort(F.collect_list(key)).alias("_k"))
-    weights = cross_weights(scale, w_q, w_k)(F.col("_q.v"), F.col("_k.v"), F.col("_k.seen"))
-    weighed = asked.join(given, seq).select(
-        seq, F.col("_q.t").alias(order), weights.alias("weights"), F.col("_k.v").alias("_values")
-    )
-    pooled = weighed.withColumn("pooled", apply_weights(w_v)("weights", "_values"))
-    return pooled.select(seq, F.inline(F.arrays_zip(order, "weights", "pooled")))
+    asked = _blocks(queries, seq, order, block, F.col(v).alias("v")).select(
+        seq, F.col("at").alias("_q"), F.col("rows").alias("_asked"))
+    given = _blocks(keys, seq, order, block, F.col(v).alias("v"), F.col(visible).cast("int").alias("seen"))
+    part = block_pool(scale, w_q, w_k, w_v, causal=False, weights=True)
+    parts = asked.join(given, seq).select(
+        seq, "at", F.inline(part("_asked.t", "_asked.v", "rows.t", "rows.v", "rows.seen")))
+    return _merged(parts.withColumnRenamed("t", order), seq, order)
 
 
 def embed_tokens(
@@ -118,10 +133,19 @@ def embed_tokens(
     positions: bool = False,
     salt_by: list[str] | None = None,
     max_rows: int = MAX_BROADCAST_ROWS,
+    missing: Literal["error", "zero"] = "error",
 ) -> DataFrame:
-    """Adds `v`, the vector of `id`; times sqrt(d) and plus the vector of `pos` if asked for."""
+    """Adds `v`, the vector of `id`; times sqrt(d) and plus the vector of `pos` if asked for.
+
+    An id without a vector stops the job, or has zeros if `missing` says so. The table is broadcast
+    if it has at most `max_rows` rows and MAX_BROADCAST_BYTES bytes.
+    """
     d = width(table)
-    joined = lookup_join(tokens, table.select("id", "v"), ["id"], "inner", salt_by, max_rows)
+    max_rows = min(max_rows, MAX_BROADCAST_BYTES // (8 * max(1, d)))
+    joined = lookup_join(tokens, table.select("id", "v"), ["id"], "left", salt_by, max_rows)
+    absent = F.array_repeat(F.lit(0.0), d) if missing == "zero" else F.raise_error(
+        F.concat(F.lit("no vector for id "), F.col("id").cast("string"))).cast("array<double>")
+    joined = joined.withColumn("v", F.coalesce("v", absent))
     if scaled:
         joined = joined.withColumn("v", F.transform("v", lambda x: x * math.sqrt(d)))
     if positions:
@@ -130,10 +154,12 @@ def embed_tokens(
     return joined
 
 
-def mean_pool(tokens: DataFrame, table: DataFrame, key: str, scaled: bool = False) -> DataFrame:
+def mean_pool(
+    tokens: DataFrame, table: DataFrame, key: str, scaled: bool = False, missing: Literal["error", "zero"] = "error"
+) -> DataFrame:
     """`(key, v)`: mean vector of a row's tokens, each distinct token of a row joined once."""
     d = width(table)
     counts = tokens.groupBy(key, "id").agg(F.count("*").alias("n"))
-    placed = embed_tokens(counts, table, scaled, salt_by=[key])
+    placed = embed_tokens(counts, table, scaled, salt_by=[key], missing=missing)
     means = [F.sum(F.col("n") * F.col("v")[i]) / F.sum("n") for i in range(d)]
     return placed.groupBy(key).agg(F.array(*means).alias("v"))

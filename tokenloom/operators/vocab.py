@@ -6,11 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import SPECIALS, UNK_ID, distinct_chars, word_tokens
+from tokenloom.operators.positions import dense_order
 from tokenloom.session import MAX_BROADCAST_ROWS, lookup_join
 
-MAX_WORDS = 30_000  # includes the special tokens
-
-
 def char_vocab(corpus: DataFrame, text: str = "text") -> DataFrame:
     """`vocab(token, id)`: distinct characters in code-point order, ids from 0.
 
@@ -27,22 +25,19 @@ def word_counts(corpus: DataFrame, text: str = "text") -> DataFrame:
     return words.groupBy("token").agg(F.count("*").alias("freq"))
 
 
-def ranked_vocab(counts: DataFrame, min_frequency: int = 2, max_size: int = MAX_WORDS) -> DataFrame:
+def ranked_vocab(counts: DataFrame, min_frequency: int = 2, max_size: int | None = None) -> DataFrame:
     """`vocab(token, id, freq, is_special)`: special tokens first, then words by falling frequency.
 
-    The most frequent words are taken by a distributed top-k; only they, at most `max_size`, are
-    numbered in one task.
+    All words of the frequency are kept, unless `max_size` (special tokens included) is given. They
+    are numbered by a distributed sort.
     """
     spark = counts.sparkSession
-    frequent = (
-        counts.filter(F.col("freq") >= min_frequency)
-        .orderBy(F.desc("freq"), "token")
-        .limit(max(0, max_size - len(SPECIALS)))
-    )
-    order = Window.orderBy(F.desc("freq"), "token")
+    frequent = dense_order(counts.filter(F.col("freq") >= min_frequency), F.desc("freq"), "token", into="place")
+    if max_size is not None:
+        frequent = frequent.filter(F.col("place") < max_size - len(SPECIALS))
     numbered = frequent.select(
         "token",
-        (F.row_number().over(order) + F.lit(len(SPECIALS) - 1)).alias("id"),
+        (F.col("place") + F.lit(len(SPECIALS))).cast("int").alias("id"),
         "freq",
         F.lit(False).alias("is_special"),
     )
@@ -54,7 +49,7 @@ def ranked_vocab(counts: DataFrame, min_frequency: int = 2, max_size: int = MAX_
 
 
 def word_vocab(
-    corpus: DataFrame, text: str = "text", min_frequency: int = 2, max_size: int = MAX_WORDS
+    corpus: DataFrame, text: str = "text", min_frequency: int = 2, max_size: int | None = None
 ) -> DataFrame:
     return ranked_vocab(word_counts(corpus, text), min_frequency, max_size)
 

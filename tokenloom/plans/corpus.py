@@ -11,7 +11,7 @@ from tokenloom.operators.encode import decode_chars, decode_words, encode_chars,
 from tokenloom.operators.positions import StreamIndex, stream_index
 from tokenloom.plans.registry import CHARS_SQL, as_text, query, vocab_sql, whole, words_sql
 from tokenloom.session import spread, stage, staging_path
-from tokenloom.sources.corpus import read_corpus, table
+from tokenloom.sources.corpus import read_corpus, table, turn_key
 from tokenloom.sources.vocab_store import load_or_build_vocab
 
 WORDS_SQL = words_sql("documents", "doc_id", "text", "words")
@@ -76,12 +76,12 @@ def char_tokens_query(spark, folder):
 
 @query(
     "word_tokens",
-    f"""WITH {WORDS_SQL} SELECT doc_id, count(*) AS n_tokens, string_agg(token, ' ' ORDER BY i) AS tokens
-    FROM words GROUP BY doc_id""",
+    f"""WITH {WORDS_SQL} SELECT doc_id, count(token) AS n_tokens, coalesce(string_agg(token, ' ' ORDER BY i), '') AS tokens
+    FROM documents LEFT JOIN words USING (doc_id) GROUP BY doc_id""",
 )
 def word_tokens_query(spark, folder):
     tokens = corpus(spark, folder).select("doc_id", word_tokens(F.col("text")).alias("tokens"))
-    return tokens.filter(F.size("tokens") > 0).select(
+    return tokens.select(
         "doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens")
     )
 
@@ -147,13 +147,14 @@ def token_id_join(spark, folder):
 @query(
     "word_encode",
     f"""WITH {WORDS_SQL}, {VOCAB_SQL}
-    SELECT doc_id, count(*) AS n_ids, string_agg(coalesce(id, 0), ' ' ORDER BY i) AS ids
-    FROM words LEFT JOIN vocab USING (token) GROUP BY doc_id""",
+    SELECT doc_id, count(token) AS n_ids,
+    coalesce(string_agg(coalesce(id, 0), ' ' ORDER BY i) FILTER (token IS NOT NULL), '') AS ids
+    FROM documents LEFT JOIN words USING (doc_id) LEFT JOIN vocab USING (token) GROUP BY doc_id""",
 )
 def word_encode(spark, folder):
     docs = corpus(spark, folder)
     encoded = encode_words(docs, vocab.word_vocab(docs), "doc_id")
-    return encoded.filter(F.size("ids") > 0).select(
+    return encoded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_ids"), as_text("ids").alias("ids")
     )
 
@@ -162,12 +163,12 @@ def word_encode(spark, folder):
     "word_decode",
     f"""WITH {WORDS_SQL}, {VOCAB_SQL}
     SELECT doc_id, coalesce(string_agg(token, ' ' ORDER BY i) FILTER (id IS NOT NULL), '') AS decoded
-    FROM words LEFT JOIN vocab USING (token) GROUP BY doc_id""",
+    FROM documents LEFT JOIN words USING (doc_id) LEFT JOIN vocab USING (token) GROUP BY doc_id""",
 )
 def word_decode(spark, folder):
     docs = corpus(spark, folder)
     words = stage(vocab.word_vocab(docs), "words")
-    encoded = encode_words(docs, words, "doc_id").filter(F.size("ids") > 0)
+    encoded = encode_words(docs, words, "doc_id")
     return decode_words(encoded, words, "doc_id").select("doc_id", "decoded")
 
 
@@ -213,14 +214,15 @@ def pack_windows(spark, folder):
     "next_token",
     f"""WITH {CHARS_SQL}, shifted AS (
       SELECT doc_id, i, id, lead(id) OVER (PARTITION BY doc_id ORDER BY i) AS next_id FROM stream)
-    SELECT doc_id, count(*) AS n_pairs, md5(string_agg(id, ' ' ORDER BY i)) AS x_md5,
-    md5(string_agg(next_id, ' ' ORDER BY i)) AS y_md5
-    FROM shifted WHERE next_id IS NOT NULL GROUP BY doc_id""",
+    SELECT doc_id, count(next_id) AS n_pairs,
+    md5(coalesce(string_agg(id, ' ' ORDER BY i) FILTER (next_id IS NOT NULL), '')) AS x_md5,
+    md5(coalesce(string_agg(next_id, ' ' ORDER BY i), '')) AS y_md5
+    FROM documents LEFT JOIN shifted USING (doc_id) GROUP BY doc_id""",
 )
 def next_token(spark, folder):
     docs = corpus(spark, folder)
     shifted = packing.next_tokens(encode_chars(docs, vocab.char_vocab(docs)))
-    return shifted.filter(F.size("x") > 0).select(
+    return shifted.select(
         "doc_id",
         F.size("x").cast("bigint").alias("n_pairs"),
         F.md5(as_text("x")).alias("x_md5"),
@@ -284,6 +286,20 @@ def random_split(spark, folder):
     return splits.random_split(corpus(spark, folder), "doc_id", 0.9, SEED).select("doc_id", "split")
 
 
+@query(
+    "split_leakage",
+    f"""WITH ranked AS (
+      SELECT doc_id, text, row_number() OVER (ORDER BY md5(concat_ws('|', doc_id, '{SEED}')), doc_id) AS r,
+      count(*) OVER () AS n FROM documents),
+    parts AS (SELECT doc_id, text, r <= floor(CAST(0.9 AS DOUBLE) * n) AS train FROM ranked)
+    SELECT v.doc_id, count(*) AS n_train FROM parts v JOIN parts t ON v.text = t.text AND t.train
+    WHERE NOT v.train GROUP BY v.doc_id""",
+)
+def split_leakage(spark, folder):
+    parts = splits.random_split(corpus(spark, folder), "doc_id", 0.9, SEED)
+    return splits.split_leakage(parts, "doc_id", "text")
+
+
 @query(
     "random_windows",
     f"""WITH {CHARS_SQL}, samples AS (
@@ -316,7 +332,7 @@ def batch_cursor(spark, folder):
 
 
 TURNS_SQL = """
-turn_texts AS (SELECT conv_id * 100 + turn AS doc_id, text FROM conversations),
+turn_texts AS (SELECT conv_id * 1048576 + turn AS doc_id, text FROM conversations),
 split_text AS (SELECT doc_id, string_split(text, '') AS parts FROM turn_texts WHERE text <> ''),
 tok AS (SELECT doc_id, unnest(parts) AS ch, generate_subscripts(parts, 1) AS i FROM split_text),
 vocab AS (SELECT ch, row_number() OVER (ORDER BY ch) - 1 AS id FROM (SELECT DISTINCT ch FROM tok)),
@@ -336,7 +352,7 @@ size AS (SELECT count(*) AS n FROM stream)
 )
 def prefix_examples(spark, folder):
     turns = spread(table(spark, folder, "conversations")).select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("doc_id"), "text"
+        turn_key(F.col("conv_id"), F.col("turn")).alias("doc_id"), "text"
     )
     docs = encode_chars(turns, vocab.char_vocab(turns))
     index = stream_index(turns, "doc_id", F.length("text"))

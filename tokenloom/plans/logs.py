@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tokenloom.operators.metrics import metrics_rollup
+from tokenloom.operators.metrics import metrics_rollup, metrics_steps
 from tokenloom.plans.registry import query, six
 from tokenloom.session import staging_path
 from tokenloom.sources.corpus import table
@@ -45,3 +45,21 @@ def rollup(spark, folder):
     return rolled.select(
         "run_id", "name", "steps", "micro_batches", "best_step", *[six(F.col(c) + NUDGE).alias(c) for c in numbers]
     )
+
+
+ROW_TOKENS = 16 * 1024
+
+
+@query(
+    "metrics_steps",
+    f"""WITH {LOG_SQL}, steps AS (SELECT run_id, name, step, count(*) AS micro_batches, sum(value) / count(*) AS mean,
+      (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds FROM log GROUP BY run_id, name, step)
+    SELECT run_id, name, step, micro_batches, round(mean + {NUDGE}, 6) AS mean, round(seconds * 1000, 3) AS ms,
+    round(CASE WHEN seconds > 0 THEN micro_batches * {ROW_TOKENS} / seconds END, 6) AS tokens_per_second FROM steps""",
+)
+def metrics_steps_query(spark, folder):
+    steps = metrics_steps(event_metrics(table(spark, folder, "events")), ROW_TOKENS)
+    return steps.select(
+        "run_id", "name", "step", "micro_batches", six(F.col("mean") + NUDGE).alias("mean"),
+        F.round("ms", 3).alias("ms"), six(F.col("tokens_per_second")).alias("tokens_per_second"),
+    )

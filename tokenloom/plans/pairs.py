@@ -9,14 +9,14 @@ from tokenloom.operators import bigram, evaluation, examples, splits, translatio
 from tokenloom.operators.encode import decode_words
 from tokenloom.plans.corpus import SEED
 from tokenloom.plans.registry import as_text, query, six, vocab_sql, whole, words_sql
-from tokenloom.session import spread, stage
+from tokenloom.session import once, spread, stage, staging_path
 from tokenloom.sources.corpus import read_pairs, table, turn_pairs
-from tokenloom.sources.predictions import predictions, preview
+from tokenloom.sources.predictions import predictions, save_predictions
 
 SEQ_LEN, SHORT = 350, 64
 
 PAIRS_SQL = """
-pairs AS (SELECT a.conv_id * 100 + a.turn AS pair_id, a.text AS src, b.text AS trg
+pairs AS (SELECT a.conv_id * 1048576 + a.turn AS pair_id, a.text AS src, b.text AS trg
   FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1
   WHERE a.role = 'user' AND b.role = 'assistant')"""
 IDS_SQL = f"""{PAIRS_SQL},
@@ -30,13 +30,14 @@ encoded AS (
   LEFT JOIN (SELECT pair_id, list(id ORDER BY i) AS ids FROM trg_ids GROUP BY pair_id) t USING (pair_id))"""
 
 
-def _padded_sql(tokens: str, seq_len: int) -> str:
-    return f"""array_to_string({tokens} || list_transform(range({seq_len} - len({tokens})), lambda q: 1), ' ')"""
+def _padded_sql(tokens: str) -> str:
+    return f"""array_to_string({tokens} || list_transform(range(seq_len - len({tokens})), lambda q: 1), ' ')"""
 
 
+# Long enough for every pair: no pair is left out.
 EXAMPLES_SQL = f"""{IDS_SQL},
-fitting AS (SELECT *, [2] || s || [3] AS e, [2] || t AS d, t || [3] AS l FROM encoded
-  WHERE len(s) <= {SEQ_LEN} - 2 AND len(t) <= {SEQ_LEN} - 1)"""
+lens AS (SELECT greatest({SEQ_LEN}, max(len(s)) + 2, max(len(t)) + 1) AS seq_len FROM encoded),
+fitting AS (SELECT *, [2] || s || [3] AS e, [2] || t AS d, t || [3] AS l FROM encoded, lens)"""
 
 
 def pairs_table(spark, folder) -> DataFrame:
@@ -49,9 +50,17 @@ def encoded_pairs(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
     return examples.encode_pairs(pairs, src, trg), src, trg
 
 
+def _whole_length(encoded: DataFrame) -> int:
+    """A sequence length that every pair fits, at least SEQ_LEN."""
+    most = encoded.agg(F.max(F.size("src_ids")), F.max(F.size("trg_ids"))).first()
+    return max(SEQ_LEN, (most[0] or 0) + 2, (most[1] or 0) + 1)
+
+
 def _examples(spark, folder) -> DataFrame:
-    kept, _ = examples.length_guard(encoded_pairs(spark, folder)[0], SEQ_LEN)
-    return examples.assemble_examples(kept, SEQ_LEN)
+    encoded = stage(encoded_pairs(spark, folder)[0], "encoded")
+    length = _whole_length(encoded)
+    kept, _ = examples.length_guard(encoded, length, "error")
+    return examples.assemble_examples(kept, length)
 
 
 @query("parallel_scan", f"WITH {PAIRS_SQL} SELECT * FROM pairs")
@@ -96,8 +105,8 @@ def length_guard(spark, folder):
 
 @query(
     "seq2seq_examples",
-    f"""WITH {EXAMPLES_SQL} SELECT pair_id, {_padded_sql("e", SEQ_LEN)} AS encoder_input,
-    {_padded_sql("d", SEQ_LEN)} AS decoder_input, {_padded_sql("l", SEQ_LEN)} AS label_output,
+    f"""WITH {EXAMPLES_SQL} SELECT pair_id, {_padded_sql("e")} AS encoder_input,
+    {_padded_sql("d")} AS decoder_input, {_padded_sql("l")} AS label_output,
     len(e) AS enc_len, len(d) AS dec_len, src AS src_text, trg AS trg_text FROM fitting""",
 )
 def seq2seq_examples(spark, folder):
@@ -109,8 +118,8 @@ def seq2seq_examples(spark, folder):
 
 @query(
     "padding_mask",
-    f"""WITH {EXAMPLES_SQL} SELECT pair_id, repeat('1', len(e)) || repeat('0', {SEQ_LEN} - len(e)) AS encoder_mask,
-    repeat('1', len(d)) || repeat('0', {SEQ_LEN} - len(d)) AS decoder_mask FROM fitting""",
+    f"""WITH {EXAMPLES_SQL} SELECT pair_id, repeat('1', len(e)) || repeat('0', seq_len - len(e)) AS encoder_mask,
+    repeat('1', len(d)) || repeat('0', seq_len - len(d)) AS decoder_mask FROM fitting""",
 )
 def padding_mask(spark, folder):
     masks = {"encoder_mask": "encoder_input", "decoder_mask": "decoder_input"}
@@ -121,7 +130,7 @@ def padding_mask(spark, folder):
 
 @query(
     "causal_mask",
-    f"""WITH {EXAMPLES_SQL}, places AS (SELECT pair_id, len(d) AS n, unnest(range({SEQ_LEN})) AS q_pos FROM fitting)
+    f"""WITH {EXAMPLES_SQL}, places AS (SELECT pair_id, len(d) AS n, unnest(range(seq_len)) AS q_pos FROM fitting)
     SELECT pair_id, q_pos, least(q_pos + 1, n) AS visible FROM places""",
 )
 def causal_mask(spark, folder):
@@ -153,32 +162,42 @@ FROM counts JOIN contexts USING (prev) JOIN spread USING (prev), sizes"""
 @query("smoothed_loss", f"WITH {SMOOTHED_SQL}")
 def smoothed_loss(spark, folder):
     encoded, _, words = encoded_pairs(spark, folder)
-    kept, _ = examples.length_guard(encoded, SEQ_LEN)
+    kept = stage(encoded, "encoded")
+    length = _whole_length(kept)
     size = words.count()
     counts = bigram.pair_counts(bigram.framed(kept, "trg_ids"), [], "trg_ids")
     model = stage(bigram.fit_bigram(counts, size), "model")
-    loss = bigram.smoothed_loss(examples.assemble_examples(kept, SEQ_LEN), model, size)
+    loss = bigram.smoothed_loss(examples.assemble_examples(kept, length), model, size)
     return loss.select("positions", six(F.col("loss")).alias("loss"))
 
 
 ITERS = 2
-LEXICAL_SQL = f"""{IDS_SQL},
+TRAIN_SHARE = 0.9
+PARTS_SQL = f"""{IDS_SQL},
+ranked AS (SELECT pair_id, row_number() OVER (ORDER BY md5(concat_ws('|', pair_id, '{SEED}')), pair_id) AS r,
+  count(*) OVER () AS n FROM pairs),
+parts AS (SELECT pair_id, r <= floor(CAST({TRAIN_SHARE} AS DOUBLE) * n) AS train FROM ranked)"""
+
+
+def _lexical_sql(only_train: bool) -> str:
+    where = " WHERE pair_id IN (SELECT pair_id FROM parts WHERE train)" if only_train else ""
+    return f"""{PARTS_SQL},
 src_types AS (SELECT pair_id, id AS src, count(*) AS ns FROM src_ids GROUP BY ALL),
 trg_types AS (SELECT pair_id, id AS trg, count(*) AS nt FROM trg_ids GROUP BY ALL),
-met AS (SELECT * FROM src_types JOIN trg_types USING (pair_id)),
+met AS (SELECT * FROM src_types JOIN trg_types USING (pair_id){where}),
 t0 AS (SELECT DISTINCT src, trg, CAST(1 AS DOUBLE) AS p FROM met)""" + "".join(
-    f""",
+        f""",
 e{k} AS (SELECT src, trg, nt * ns * p / sum(ns * p) OVER (PARTITION BY pair_id, trg) AS share
   FROM met JOIN t{k - 1} USING (src, trg)),
 g{k} AS (SELECT src, trg, sum(share) AS share FROM e{k} GROUP BY ALL),
 t{k} AS (SELECT src, trg, share / sum(share) OVER (PARTITION BY src) AS p FROM g{k})"""
-    for k in range(1, ITERS + 1)
-)
+        for k in range(1, ITERS + 1)
+    )
 
 
 @query(
     "lexical_translation",
-    f"WITH {LEXICAL_SQL} SELECT src, trg, round(p, 6) AS p FROM t{ITERS}",
+    f"WITH {_lexical_sql(False)} SELECT src, trg, round(p, 6) AS p FROM t{ITERS}",
 )
 def lexical_translation(spark, folder):
     encoded = stage(encoded_pairs(spark, folder)[0], "encoded")
@@ -186,22 +205,28 @@ def lexical_translation(spark, folder):
     return fitted.select(*whole("src", "trg"), six(F.col("p")).alias("p"))
 
 
-PREDICTED_SQL = f"""{LEXICAL_SQL},
+PREDICTED_SQL = f"""{_lexical_sql(True)},
 best AS (SELECT src, arg_min(trg, (-round(p, 9), trg)) AS trg FROM t{ITERS} WHERE trg > 3 GROUP BY src),
+held AS (SELECT * FROM pairs WHERE pair_id IN (SELECT pair_id FROM parts WHERE NOT train)),
 moved AS (SELECT pair_id, i, coalesce(trg, 0) AS id FROM src_ids LEFT JOIN best ON best.src = src_ids.id),
 texts AS (SELECT pair_id, coalesce(string_agg(token, ' ' ORDER BY i) FILTER (token IS NOT NULL), '') AS predicted
   FROM moved LEFT JOIN trg_vocab USING (id) GROUP BY pair_id),
 predictions AS (SELECT pair_id AS id, src AS source, trg AS expected, coalesce(predicted, '') AS predicted
-  FROM pairs LEFT JOIN texts USING (pair_id))"""
+  FROM held LEFT JOIN texts USING (pair_id))"""
 
 
 def predicted(spark, folder) -> DataFrame:
-    encoded, _, words = encoded_pairs(spark, folder)
-    encoded = stage(encoded, "encoded")
-    fitted = translation.fit_lexical(encoded, ITERS)
-    made = translation.translate_greedy(encoded, fitted)
-    decoded = decode_words(made, words, "pair_id", "pred_ids", "predicted")
-    return stage(predictions(decoded, "pair_id", "src", "trg", "predicted"), "predictions")
+    """Held-out pairs translated by the model of the training pairs; made once per session and folder."""
+
+    def make() -> DataFrame:
+        encoded, _, words = encoded_pairs(spark, folder)
+        parts = stage(splits.random_split(encoded, "pair_id", TRAIN_SHARE, SEED), "encoded")
+        fitted = translation.fit_lexical(parts.filter("split = 'train'"), ITERS)
+        made = translation.translate_greedy(parts.filter("split = 'val'"), fitted)
+        decoded = decode_words(made, words, "pair_id", "pred_ids", "predicted")
+        return stage(predictions(decoded, "pair_id", "src", "trg", "predicted"), "predictions")
+
+    return once(spark, folder, "predictions", make)
 
 
 @query("translate_greedy", f"WITH {PREDICTED_SQL} SELECT * FROM predictions")
@@ -209,9 +234,11 @@ def translate_greedy(spark, folder):
     return predicted(spark, folder)
 
 
-@query("prediction_table", f"WITH {PREDICTED_SQL} SELECT * FROM predictions ORDER BY id LIMIT 10")
+@query("prediction_table", f"WITH {PREDICTED_SQL} SELECT * FROM predictions")
 def prediction_table(spark, folder):
-    return preview(predicted(spark, folder), 10)
+    place = staging_path(spark, "saved")
+    save_predictions(predicted(spark, folder), place)
+    return spark.read.parquet(place).select("id", "source", "expected", "predicted")
 
 
 # The comparison engine's edit distance counts bytes, so it is asked about texts with every

@@ -58,10 +58,9 @@ def words_sql(source: str, key: str, text: str, name: str) -> str:
     )
 
 
-def vocab_sql(words: str, name: str, cap: int = 29_996) -> str:
+def vocab_sql(words: str, name: str) -> str:
     """CTE `name(token, id, freq)` of the word vocabulary without special tokens."""
     return (
         f"{name} AS (SELECT token, freq, 3 + row_number() OVER (ORDER BY freq DESC, token) AS id "
-        f"FROM (SELECT token, count(*) AS freq FROM {words} GROUP BY token HAVING count(*) >= 2) "
-        f"ORDER BY id LIMIT {cap})"
+        f"FROM (SELECT token, count(*) AS freq FROM {words} GROUP BY token HAVING count(*) >= 2))"
     )

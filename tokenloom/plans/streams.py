@@ -11,7 +11,7 @@ from tokenloom.plans.corpus import WORD_VOCAB_SQL, corpus
 from tokenloom.plans.logs import NUDGE
 from tokenloom.plans.pairs import PAIRS_SQL, pairs_table
 from tokenloom.plans.registry import CHARS_SQL, as_text, query, six, whole, words_sql
-from tokenloom.session import stage, staging_path
+from tokenloom.session import once, stage, staging_path
 from tokenloom.sources.corpus import table
 from tokenloom.sources.metric_log import event_metrics
 from tokenloom.streaming.metrics import append_to, metrics_windows
@@ -80,16 +80,17 @@ def pack_stream_query(spark, folder):
     return packed.select("source", "shard", "window_id", as_text("x").alias("x"), as_text("y").alias("y"))
 
 
-N_MERGES = 32
+N_MERGES = 96
 
 
 def merges_of(spark, folder):
-    return stage(bpe.train_bpe(corpus(spark, folder), N_MERGES), "merges")
+    """The merges of a folder, learned once per session."""
+    return once(spark, folder, "merges", lambda: stage(bpe.train_bpe(corpus(spark, folder), N_MERGES), "merges"))
 
 
 @query("bpe_train")
 def bpe_train(spark, folder):
-    return bpe.train_bpe(corpus(spark, folder), N_MERGES)
+    return merges_of(spark, folder)
 
 
 @query("bpe_encode")

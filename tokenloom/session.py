@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +68,17 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_MADE: dict[tuple, DataFrame] = {}
+
+
+def once(spark: SparkSession, folder: str, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A staged table that several jobs of a session share: made at the first call."""
+    key = (spark.sparkContext.applicationId, folder, label)
+    if key not in _MADE:
+        _MADE[key] = make()
+    return _MADE[key]
+
+
 def spread(df: DataFrame) -> DataFrame:
     """`df` over all cores when it is too small for its files to occupy them.
 

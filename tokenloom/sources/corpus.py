@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.session import fits, lookup_join, spread, stage
+from tokenloom.operators.positions import dense_order
+from tokenloom.session import lookup_join, spread, stage
 
+TURNS = 1 << 20  # turns of a conversation that a key has room for
 ROW_BITS = 33  # low bits of a generated row id, which count rows inside one task
 
 
@@ -22,7 +24,7 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     """`corpus(doc_id, text)` from a parquet table, from whole text files, or from lines of text.
 
     Whole files are numbered in path order. Use `lines` for files too large for one row: every
-    line is a row that keeps its newline, numbered in path and line order without a sort of the
+    line is a row that keeps its newline (if it has one), numbered in path and line order without a sort of the
     text, so that joining the rows in `doc_id` order gives the files back.
     """
     if fmt == "parquet":
@@ -38,16 +40,22 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("start"),
             _row().bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("row"),
-            F.concat("value", F.lit("\n")).alias("text"),
+            F.col("_metadata.file_size").alias("file_size"),
+            "value",
         )
-        splits = lines.select("path", "start").distinct().orderBy("path", "start")
-        ranked = stage(splits.select("path", "start", _row().alias("split")), "splits")
-        order = Window.orderBy("split")
-        if not fits(ranked):
-            raise ValueError("too many file splits; raise spark.sql.files.maxPartitionBytes")
-        dense = ranked.select("path", "start", F.row_number().over(order).alias("split"))
-        return lines.join(F.broadcast(dense), ["path", "start"]).select(
-            (F.shiftleft(F.col("split").cast("bigint"), ROW_BITS) + F.col("row")).alias("doc_id"), "text"
+        # A file whose lines with a newline each are longer than the file ends without one.
+        splits = lines.groupBy("path", "start").agg(
+            F.sum(F.octet_length("value") + 1).alias("bytes"), F.max("row").alias("last"), F.max("file_size").alias("file_size"))
+        splits = stage(dense_order(splits, "path", "start", into="split"), "splits")
+        ends = splits.groupBy("path").agg(
+            F.max("split").alias("split"), (F.sum("bytes") > F.max("file_size")).alias("open_end"))
+        splits = splits.join(ends, ["path", "split"], "left").select(
+            "path", "start", "split", F.when(F.col("open_end"), F.col("last")).alias("bare"))
+        placed = lookup_join(lines, splits, ["path", "start"], "inner", ["row"])
+        newline = F.when(F.coalesce(F.col("bare") == F.col("row"), F.lit(False)), "").otherwise("\n")
+        return placed.select(
+            (F.shiftleft(F.col("split").cast("bigint"), ROW_BITS) + F.col("row")).alias("doc_id"),
+            F.concat("value", newline).alias("text"),
         )
     raise ValueError(f"unknown corpus format {fmt!r}")
 
@@ -62,6 +70,13 @@ def read_pairs(df: DataFrame, src_lang: str, trg_lang: str, pair_id: str = "id")
     )
 
 
+def turn_key(conv: Column, turn: Column) -> Column:
+    """One number for a turn of a conversation; a turn that would run into the next stops the job."""
+    fits_in = (turn >= 0) & (turn < TURNS)
+    stop = F.raise_error(F.concat(F.lit("no key for turn "), turn.cast("string"))).cast("bigint")
+    return F.when(fits_in | turn.isNull(), conv * TURNS + turn).otherwise(stop)
+
+
 def turn_pairs(conversations: DataFrame) -> DataFrame:
     """Each user turn beside the assistant turn that answers it, as a translation map."""
     asked = conversations.filter(F.col("role") == "user").select(
@@ -71,6 +86,6 @@ def turn_pairs(conversations: DataFrame) -> DataFrame:
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("trg")
     )
     return asked.join(answered, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("id"),
+        turn_key(F.col("conv_id"), F.col("turn")).alias("id"),
         F.create_map(F.lit("user"), F.col("src"), F.lit("assistant"), F.col("trg")).alias("translation"),
     )

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.operators.vocab import MAX_WORDS, word_vocab
+from tokenloom.operators.vocab import word_vocab
 
 
 def fingerprint(corpus: DataFrame, text: str, params: dict) -> str:
@@ -44,7 +44,7 @@ def load_or_build_vocab(
     path: str,
     text: str = "text",
     min_frequency: int = 2,
-    max_size: int = MAX_WORDS,
+    max_size: int | None = None,
 ) -> DataFrame:
     """The vocabulary of this corpus with these parameters, built only if not stored yet."""
     params = {"min_frequency": min_frequency, "max_size": max_size}

@@ -20,14 +20,17 @@ def pack_stream(docs: DataFrame, T: int, shards: int = 16, source: str = "source
     """`(source, shard, window_id, x, y)` as documents with `ids` arrive.
 
     A source is spread over `shards` by a hash of the document, each a stream of its own, so that a
-    source with most of the documents is not one task. State is at most T tokens per shard.
+    source with most of the documents is not one task. State is at most T tokens per shard; a task holds
+    one shard's documents of one trigger, so `shards` should follow the size of a trigger.
     """
 
     def pack(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         next_id, left = state.get if state.exists else (0, [])
         left = np.array(left, dtype=np.int32)
-        for batch in batches:
-            arrived = batch.sort_values("key")["ids"]
+        # All of the shard's rows of this trigger, in order, whatever batches they arrived in.
+        parts = list(batches)
+        if parts:
+            arrived = pd.concat(parts).sort_values("key", kind="stable")["ids"]
             tokens = np.concatenate([left, *[np.asarray(i, dtype=np.int32) for i in arrived]])
             n = max(0, len(tokens) - 1) // T
             starts = np.arange(n) * T
