@@ -252,12 +252,12 @@ def node_links(nodes: DataFrame) -> DataFrame:
     nodes = stage(nodes, "sets")
     group = F.xxhash64("n", "prefix")
     members = nodes.select("node", group.alias("g"), (F.col("first") / F.col("n")).alias("own"))
+    groups = stage(nodes.select(group.alias("g"), "node", "n", "first", "prefix", "class")
+                   .groupBy("g", "n", "first", "prefix", "class").agg(F.min("node").alias("node")), "groups")
     postings = stage(
-        nodes.select(group.alias("g"), "node", "n", "first", "prefix", "class")
-        .groupBy("g", "n", "first", "prefix", "class").agg(F.min("node").alias("node"))
-        .select("g", "node", "n", "first", (F.col("first") / F.col("n")).alias("own"), "prefix",
-                F.posexplode(F.arrays_zip(F.col("prefix").alias("p"), F.col("class").alias("c"))).alias("i", "t"))
-        .select("g", "node", "n", "first", "own", "prefix", (F.col("first") + F.col("i")).alias("at"),
+        groups.select("g", "node", "n", "first", (F.col("first") / F.col("n")).alias("own"),
+                      F.posexplode(F.arrays_zip(F.col("prefix").alias("p"), F.col("class").alias("c"))).alias("i", "t"))
+        .select("g", "node", "n", "first", "own", (F.col("first") + F.col("i")).alias("at"),
                 F.col("t.p").alias("token"), F.col("t.c").alias("class")), "postings")
     # Long lists and groups in several parts, each with hubs of its own.
     parts = F.greatest(F.lit(1), F.pow(F.lit(2.0), F.col("class") / 4) / LIST_SPLIT).cast("int")
@@ -287,14 +287,16 @@ def node_links(nodes: DataFrame) -> DataFrame:
     largest = sizes.groupBy("token").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("cs"))
     largest = largest.filter("cs > 1").select("token", F.col("m.c").alias("main"))
     held = stage(held.join(largest, "token"), "open")
+    # Only what is still open carries its prefix along, to tell a pair's first common shingle.
+    held = held.join(groups.select("g", "prefix"), "g")
     x, y = held.filter("c != main").alias("x"), held.alias("y")
     once = (F.col("y.c") == F.col("y.main")) | (F.col("x.c") < F.col("y.c"))
     first = F.get(F.array_intersect("x.prefix", "y.prefix"), F.lit(0)) == F.col("x.token")
     meet = (F.col("x.token") == F.col("y.token")) & (F.col("x.c") != F.col("y.c")) & once & _fits("x", "y") & first
-    groups = x.join(y, meet).select(F.col("x.g").alias("ga"), F.col("x.c").alias("ca"),
+    pairs = x.join(y, meet).select(F.col("x.g").alias("ga"), F.col("x.c").alias("ca"),
                                     F.col("y.g").alias("gb"), F.col("y.c").alias("cb")).distinct()
     side = lambda k: placed.select(F.col("g").alias(f"g{k}"), F.col("c").alias(f"c{k}"), F.col("node").alias(k))
-    across = groups.join(side("a"), ["ga", "ca"]).join(side("b"), ["gb", "cb"]).select("a", "b")
+    across = pairs.join(side("a"), ["ga", "ca"]).join(side("b"), ["gb", "cb"]).select("a", "b")
     # Members of one group share their prefix, whatever their components.
     split = placed.groupBy("g").agg(F.min("c").alias("l"), F.max("c").alias("h")).filter("l < h").select("g")
     split = placed.join(split, "g", "left_semi")

@@ -111,7 +111,7 @@ def _votes(c: Column) -> dict[str, Column]:
     kind, text = c["kind"], c["text"]
     digits = F.regexp_replace(text, "[^0-9]", "")
     n = F.length(digits)
-    part = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+    part = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
     fine = _any(kind, {
         "ip": text.rlike(rf"^{part}(?:\.{part}){{3}}$"),
         "card": n.between(14, 19) & F.call_function("luhn_check", digits),

@@ -65,12 +65,12 @@ def window_entropies(text: bytes, width: int = WINDOW) -> np.ndarray:
     total = 0.0
     out = np.empty(max(0, len(text) - width + 1))
     for i, c in enumerate(text):
-        total += term[counts[c] + 1] - term[counts[c]]
-        counts[c] += 1
         if i >= width:
             gone = text[i - width]
             total += term[counts[gone] - 1] - term[counts[gone]]
             counts[gone] -= 1
+        total += term[counts[c] + 1] - term[counts[c]]
+        counts[c] += 1
         if i >= width - 1:
             out[i - width + 1] = math.log2(width) - total / width
     return out
