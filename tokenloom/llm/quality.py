@@ -108,7 +108,7 @@ class NeighbourVotes:
         total = vote.sum(1)
         good = (vote * self.labels[near]).sum(1)
         # A text unlike all of the sample (an empty one) has no votes; it gets the labels' own rate.
-        return np.where(total > 1e-6, good / np.maximum(total, 1e-6), self.rate).astype(np.float64)
+        return np.where(total > 1e-6, np.clip(good / np.maximum(total, 1e-6), 0, 1), self.rate).astype(np.float64)
 
 
 SAMPLE = "doc_id long, codes binary, counts binary"

@@ -100,9 +100,11 @@ def reshard(
     `old` gives the present shard (null counts as shard 0), `weights` the relative capacity of the
     new ones (equal if not given), `order` the columns that order rows inside a block and spread
     them over blocks; rows equal in all of them may swap slots. An empty table gives an empty one.
+    Columns of the four names are replaced.
     Columns named `_from_shard`, `_weight`, `_block`, `_blocks`, `_rank` or `_base` must not exist.
     """
     spark = rows.sparkSession
+    rows = rows.drop("old_shard", "shard", "slot", "moved")
     rows = rows.withColumn("_from_shard", F.coalesce(old, F.lit(0)).cast("int")).withColumn("_weight", size)
     sizes = {r["_from_shard"]: r["s"] for r in rows.groupBy("_from_shard").agg(F.sum("_weight").alias("s")).collect()}
     total = sum(sizes.values())
