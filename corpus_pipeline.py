@@ -63,7 +63,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = (docs.withColumn("_size", sharding.document_size(F.col("text")))
             .withColumn("_crc", F.crc32(F.coalesce(F.col("text"), F.lit("")))))
     out = sharding.reshard(rows, old_layout(F.col("source")), F.col("_size"), ["doc_id", "_crc", "_size"], SHARDS)
-    return out.select(*docs.columns, "old_shard", "shard", "slot", "moved")
+    kept = [c for c in docs.columns if c not in ("old_shard", "shard", "slot", "moved")]
+    return out.select(*kept, "old_shard", "shard", "slot", "moved")
 
 
 STAGES = [
