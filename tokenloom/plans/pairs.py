@@ -259,7 +259,24 @@ def char_error_rate(spark, folder):
     return rate.select(*whole("edits", "length"), six(F.col("cer")).alias("cer"))
 
 
-@query("word_error_rate")
+# Edit distance row by row: `line` has the distances of the words so far to every prefix of b.
+WER_SQL = f"""{PREDICTED_SQL},
+{words_sql("predictions", "id", "predicted", "pw")}, {words_sql("predictions", "id", "expected", "ew")},
+names AS (SELECT token, row_number() OVER () AS k FROM
+  (SELECT DISTINCT token FROM (SELECT token FROM pw UNION ALL SELECT token FROM ew))),
+al AS (SELECT id, list(k ORDER BY i) AS a FROM pw JOIN names USING (token) GROUP BY id),
+bl AS (SELECT id, list(k ORDER BY i) AS b FROM ew JOIN names USING (token) GROUP BY id),
+both_lists AS (SELECT id, coalesce(a, []) AS a, coalesce(b, []) AS b
+  FROM predictions LEFT JOIN al USING (id) LEFT JOIN bl USING (id)),
+distances AS (SELECT len(b) AS n, list_reduce([range(len(b) + 1)] || list_transform(a, lambda x: [x]),
+  lambda line, x: list_reduce(
+    [[line[1] + 1]] || list_transform(range(1, len(b) + 1), lambda j: [b[j], line[j], line[j + 1]]),
+    lambda made, y: made || [least(y[3] + 1, made[len(made)] + 1, y[2] + CASE WHEN y[1] = x[1] THEN 0 ELSE 1 END)]))[-1] AS d
+  FROM both_lists)
+SELECT CAST(sum(d) AS BIGINT) AS edits, CAST(sum(n) AS BIGINT) AS length, round(sum(d) / sum(n), 6) AS wer FROM distances"""
+
+
+@query("word_error_rate", f"WITH {WER_SQL}")
 def word_error_rate(spark, folder):
     rate = evaluation.word_error_rate(predicted(spark, folder))
     return rate.select(*whole("edits", "length"), six(F.col("wer")).alias("wer"))
