@@ -82,18 +82,60 @@ def pack_stream_query(spark, folder):
 
 N_MERGES = 96
 
+# Pieces without look-ahead: a mark goes before the last of several spaces that precede something
+# visible, texts are cut at the marks, and what is left of the pattern finds the pieces.
+MARK = "chr(1)"
+PLAIN_PIECES = r"''(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
+PIECES_SQL = f"""
+segments AS (SELECT doc_id, unnest(parts) AS segment, generate_subscripts(parts, 1) AS s FROM (SELECT doc_id,
+  string_split(regexp_replace(text, '(\\s+)(\\s\\S)', '\\1' || {MARK} || '\\2', 'g'), {MARK}) AS parts FROM documents)),
+found AS (SELECT doc_id, s, regexp_extract_all(segment, '{PLAIN_PIECES}') AS parts FROM segments),
+pieces AS MATERIALIZED (SELECT doc_id, s, unnest(parts) AS piece, generate_subscripts(parts, 1) AS i FROM found),
+w0 AS MATERIALIZED (SELECT piece, count(*) AS freq, regexp_replace(hex(encode(piece)), '(..)', '<\\1>', 'g') AS word
+  FROM pieces GROUP BY piece)"""
+
+
+def _merge_sql(k: int) -> str:
+    """The k-th merge, and the pieces after it."""
+    symbols = "string_split(substring(word, 2, length(word) - 2), '><')"
+    return f""",
+s{k} AS (SELECT freq, {symbols} AS s FROM w{k}),
+p{k} AS (SELECT freq, unnest(list_zip(s[:len(s) - 1], s[2:])) AS pair FROM s{k} WHERE len(s) > 1),
+m{k} AS MATERIALIZED (SELECT pair[1] AS l, pair[2] AS r FROM p{k} GROUP BY pair ORDER BY sum(freq) DESC, l, r LIMIT 1),
+w{k + 1} AS MATERIALIZED (SELECT piece, freq, replace(word, '<' || l || '><' || r || '>', '<' || l || r || '>') AS word
+  FROM w{k}, m{k})"""
+
+
+MERGES_SQL = PIECES_SQL + "".join(_merge_sql(k) for k in range(N_MERGES)) + """,
+merges AS (""" + " UNION ALL ".join(f"SELECT {k} AS rank, l, r FROM m{k}" for k in range(N_MERGES)) + ")"
+BYTES_SQL = ", ".join(f"('{b:02X}', {i})" for i, b in enumerate(bpe.BYTE_ORDER))
+
 
 def merges_of(spark, folder):
     """The merges of a folder, learned once per session."""
     return once(spark, folder, "merges", lambda: stage(bpe.train_bpe(corpus(spark, folder), N_MERGES), "merges"))
 
 
-@query("bpe_train")
+@query(
+    "bpe_train",
+    f"""WITH {MERGES_SQL} SELECT CAST(rank AS INTEGER) AS rank, l AS "left", r AS "right", l || r AS merged FROM merges""",
+)
 def bpe_train(spark, folder):
     return merges_of(spark, folder)
 
 
-@query("bpe_encode")
+@query(
+    "bpe_encode",
+    f"""WITH {MERGES_SQL},
+    ids AS (SELECT symbol, min(id) AS id FROM (SELECT * FROM (VALUES {BYTES_SQL}) b(symbol, id)
+      UNION ALL SELECT l || r, 256 + rank FROM merges) GROUP BY symbol),
+    spelled AS (SELECT piece, string_split(substring(word, 2, length(word) - 2), '><') AS s FROM w{N_MERGES}),
+    parts AS (SELECT piece, unnest(s) AS symbol, generate_subscripts(s, 1) AS k FROM spelled),
+    coded AS (SELECT piece, list(id ORDER BY k) AS ids FROM parts JOIN ids USING (symbol) GROUP BY piece),
+    rows AS (SELECT doc_id, flatten(list(ids ORDER BY s, i)) AS ids FROM pieces JOIN coded USING (piece) GROUP BY doc_id)
+    SELECT doc_id, coalesce(len(ids), 0) AS n_ids, coalesce(array_to_string(ids, ' '), '') AS ids
+    FROM documents LEFT JOIN rows USING (doc_id)""",
+)
 def bpe_encode(spark, folder):
     encoded = bpe.encode_bpe(corpus(spark, folder), merges_of(spark, folder))
     return encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), as_text("ids").alias("ids"))
