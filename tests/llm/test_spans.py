@@ -131,5 +131,5 @@ def test_document_frequencies_are_exact(spark):
     rng = random.Random(8)
     texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(rng.randint(0, 30))) for _ in range(300)]
     df = Counter(w for t in texts for w in set(t.split()))
-    got = sorted(r["df"] for r in imatch.document_frequencies(frame(spark, texts).repartition(7), 20).collect())
+    got = sorted(r["df"] for r in imatch.document_frequencies(frame(spark, texts).repartition(7), 20, 9).collect())
     assert got == sorted(n for n in df.values() if n >= 20)

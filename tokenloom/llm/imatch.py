@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.llm import kernels
-from tokenloom.llm.shared import partitions, record_batch, stage
+from tokenloom.llm.shared import record_batch, stage, tasks_for
 
 BAND = (0.0005, 0.05)
 RATES, EACH = (1 / 2, 1 / 8, 1 / 32, 1 / 128, 1 / 512), 8
@@ -40,22 +40,21 @@ def _distinct(part: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.repeat(np.arange(len(each)), [len(e) for e in each]), np.concatenate([*each, np.empty(0, np.uint64)])
 
 
-def document_frequencies(docs: DataFrame, least: int) -> DataFrame:
+def document_frequencies(docs: DataFrame, least: int, tasks: int) -> DataFrame:
     """(term, df) of the terms that at least `least` documents have.
 
     Terms are 48-bit hashes of lower-cased words. Each map task sums its own rows and sends packed
     (term, count) blocks by hash range, 5 bytes a term; nothing is dropped before the sum is whole.
     """
-    spark = docs.sparkSession
-    tasks = partitions(spark)
+    rest_bits = ID_BITS - min(24, max(10, (4 * tasks - 1).bit_length()))
 
     def pack(held):
         term, count = held
-        top = (term >> np.uint64(32)).astype(np.int64) >> 6  # 1,024 ranges of 38-bit remainders
+        top = (term >> np.uint64(rest_bits)).astype(np.int64)
         cuts = np.flatnonzero(np.r_[True, top[1:] != top[:-1]])
         rows = [[], [], []]
         for a, b in zip(cuts.tolist(), np.r_[cuts[1:], len(term)].tolist()):
-            rest = term[a:b] & np.uint64((1 << 38) - 1)
+            rest = term[a:b] & np.uint64((1 << rest_bits) - 1)
             rows[0].append(int(top[a]))
             rows[1].append(rest.view(np.uint8).reshape(-1, 8)[:, :5].tobytes())
             wide = count[a:b].astype(np.uint32)
@@ -90,7 +89,7 @@ def document_frequencies(docs: DataFrame, least: int) -> DataFrame:
                 raw = np.frombuffer(r["terms"], np.uint8).reshape(-1, 5)
                 wide = np.zeros((len(raw), 8), np.uint8)
                 wide[:, :5] = raw
-                terms.append(wide.view(np.uint64).ravel() | np.uint64(r["bucket"] << 38))
+                terms.append(wide.view(np.uint64).ravel() | np.uint64(r["bucket"] << rest_bits))
                 small = len(r["counts"]) == len(raw)
                 counts.append(np.frombuffer(r["counts"], np.uint8 if small else np.uint32).astype(np.int64))
         if terms:
@@ -105,9 +104,9 @@ def document_frequencies(docs: DataFrame, least: int) -> DataFrame:
 
 def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> np.ndarray:
     """Sorted terms whose document frequency is a share of all documents inside `band`."""
-    n = docs.count()
+    tasks, n = tasks_for(docs)
     least = max(2, int(np.ceil(band[0] * n)))
-    found = stage(document_frequencies(docs, least), "frequencies").filter(F.col("df") <= max(band[1] * n, 2))
+    found = stage(document_frequencies(docs, least, tasks), "frequencies").filter(F.col("df") <= max(band[1] * n, 2))
     terms = np.array([r[0] for r in found.select("term").limit(LEXICON_ROWS + 1).collect()], np.int64)
     if len(terms) > LEXICON_ROWS:
         raise ValueError("the lexicon is too large; raise the lower end of the band")
@@ -202,7 +201,7 @@ def edit_study(docs: DataFrame, terms: np.ndarray) -> DataFrame:
     to the range before it, so texts move once and each task reads its own in order.
     """
     spark = docs.sparkSession
-    tasks = partitions(spark)
+    tasks, _ = tasks_for(docs)
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     ids = docs.select("doc_id")
     cuts = ids.agg(F.percentile_approx("doc_id", [i / (2 * tasks) for i in range(1, 2 * tasks)], max(10_000, 20 * tasks))).first()[0]

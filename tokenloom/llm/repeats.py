@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.llm import kernels
-from tokenloom.llm.shared import partitions, record_batch, stage
+from tokenloom.llm.shared import record_batch, stage, tasks_for
 
 WIDTH, GRAM = 200, 100
 SPAN = WIDTH - GRAM + 1
@@ -133,7 +133,7 @@ def _flag(n: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 def _send(bits: int, block: int, keys: np.ndarray, strings: np.ndarray | None, places: np.ndarray, many: np.ndarray):
-    bucket = (keys >> np.uint64(64 - bits)).astype(np.uint16)
+    bucket = (keys >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
     cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.empty(0, np.int64)
@@ -231,8 +231,8 @@ def repeated_spans(docs: DataFrame, with_text: bool = False) -> DataFrame:
     texts under 200 bytes keep everything. Of equal texts of 200 bytes or more nothing is kept, nor of
     repeated rows: strings are judged on the input.
     """
-    tasks = partitions(docs.sparkSession)
-    bits = min(16, max(4, (4 * tasks - 1).bit_length()))
+    tasks, _ = tasks_for(docs)
+    bits = min(30, max(4, (4 * tasks - 1).bit_length()))
     blocks = _blocks(docs)
 
     def send_runs(batches):

@@ -17,6 +17,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def tasks_for(docs: DataFrame, per_task: int = 16 << 20) -> tuple[int, int]:
+    """(tasks, rows): enough tasks for `per_task` bytes of text each, at least the session's number."""
+    rows, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    return max(partitions(docs.sparkSession), -(-size // per_task)), rows
+
+
 def mixed(*columns: Column, seed: int) -> Column:
     """A reproducible 64-bit hash."""
     return F.xxhash64(F.lit(seed), *columns)
