@@ -254,11 +254,14 @@ def node_links(nodes: DataFrame) -> DataFrame:
     members = nodes.select("node", group.alias("g"), (F.col("first") / F.col("n")).alias("own"))
     groups = stage(nodes.select(group.alias("g"), "node", "n", "first", "prefix", "class")
                    .groupBy("g", "n", "first", "prefix", "class").agg(F.min("node").alias("node")), "groups")
-    postings = stage(
+    postings = (
         groups.select("g", "node", "n", "first", (F.col("first") / F.col("n")).alias("own"),
                       F.posexplode(F.arrays_zip(F.col("prefix").alias("p"), F.col("class").alias("c"))).alias("i", "t"))
         .select("g", "node", "n", "first", "own", (F.col("first") + F.col("i")).alias("at"),
-                F.col("t.p").alias("token"), F.col("t.c").alias("class")), "postings")
+                F.col("t.p").alias("token"), F.col("t.c").alias("class")))
+    # A list of one group gives no pair.
+    shared = postings.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token")
+    postings = stage(postings.join(shared, "token", "left_semi"), "postings")
     # Long lists and groups in several parts, each with hubs of its own.
     parts = F.greatest(F.lit(1), F.pow(F.lit(2.0), F.col("class") / 4) / LIST_SPLIT).cast("int")
     pairs = _to_hubs(postings.select("token", "node", "own", F.pmod("g", parts).alias("part")), ["token", "part"], HUBS)
