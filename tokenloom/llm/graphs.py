@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.shared import stage
+from tokenloom.llm.shared import stage_small
 
 MAX_ROUNDS = 60
 
@@ -23,7 +23,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     longest path. Every round is written to the shared folder, so none depends on any executor.
     """
     x, y = F.col(a), F.col(b)
-    edges = stage(links.filter(x != y).select(F.least(x, y).alias("v"), F.greatest(x, y).alias("u")).distinct(), "links")
+    edges = stage_small(links.filter(x != y).select(F.least(x, y).alias("v"), F.greatest(x, y).alias("u")).distinct(), "links")
     nodes = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     before = None
     for _ in range(MAX_ROUNDS):
@@ -34,7 +34,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # Small star: a node and its neighbours below are tied to the smallest of them.
         low = _least(big, "u", "v")
         joined = big.join(low, big.u == F.col("_n"))
-        edges = stage(joined.select(F.explode(F.array(
+        edges = stage_small(joined.select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("_m").alias("v")),
             F.struct(F.col("u").alias("u"), F.col("_m").alias("v")))).alias("e"))
             .select("e.u", "e.v").filter("u != v").distinct(), "stars")

@@ -34,7 +34,7 @@ from pyspark.sql import Window as W
 
 from tokenloom.llm import kernels
 from tokenloom.llm.graphs import components
-from tokenloom.llm.shared import partitions, record_batch, stage
+from tokenloom.llm.shared import partitions, record_batch, stage, stage_small
 
 WORDS, PERCENT = 5, 80
 TASK_TOKENS = 1_500_000
@@ -270,7 +270,7 @@ def node_links(nodes: DataFrame) -> DataFrame:
 
     def known():
         c = components(links)
-        return stage(members.join(c, "node", "left")
+        return stage_small(members.join(c, "node", "left")
                      .select("node", "g", "own", F.coalesce("component", "node").alias("c")), "placed")
 
     def leads(lists: DataFrame, keys: list[str]) -> DataFrame:
@@ -321,7 +321,7 @@ def near_duplicates(docs: DataFrame, n: int = WORDS) -> DataFrame:
     sets = stage(signatures(docs, n), "signatures")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     tasks = max(partitions(spark), -(-total // TASK_TOKENS))
-    found = stage(node_links(shared_tokens(docs, tasks, n)), "components")
+    found = stage_small(node_links(shared_tokens(docs, tasks, n)), "components")
     placed = sets.join(found, "node", "left").withColumn("_c", F.coalesce("component", "node"))
     least = placed.filter("node != 0").groupBy("_c").agg(F.min("doc_id").alias("_least"))
     return (placed.join(least, "_c", "left")
