@@ -41,6 +41,15 @@ def test_components_equal_all_pairs(spark, hot):
     assert classes(jaccard.near_duplicates(frame(spark, hot))) == brute.jaccard_components(hot)
 
 
+def test_links_are_all_counted(spark, hot, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 7)
+    docs = hot | {300: hot[299].upper(), 301: "", 302: " ", 303: None}
+    sets = {d: brute.shingle_set(t) for d, t in docs.items()}
+    links = {d: sum(100 * len(s & u) >= 80 * len(s | u) for e, u in sets.items() if e != d and s) for d, s in sets.items()}
+    got = {r["doc_id"]: r["n_links"] for r in jaccard.near_duplicates(frame(spark, docs), with_links=True).collect()}
+    assert got == links and got[0] > 2 and got[120] == 39 and got[301] == 0
+
+
 def test_threshold_is_exact(spark):
     # 20 and 25 of 25 shingles: union 25, intersection 20 is linked; one less is not.
     words = [f"w{i}" for i in range(29)]

@@ -15,7 +15,12 @@ once. First every list ties its members to its most central ones (those with the
 their own). Then, with the components known so far, every list ties one member of each component to
 its most central one. Last come all pairs of groups in different components, where a pair is taken
 from the list of its first common shingle only. That is the whole join less the pairs that could not
-change a component. No candidate is dropped.
+change a component.
+
+The links inside components are counted beside it (`link_counts`). The sets of a component are dealt to
+blocks of BLOCK; two blocks that have members in one posting list make a cell, to which just those
+members are sent, and all pairs of a cell are verified in its task. Every pair has one cell, and sets
+with a link share a prefix shingle, so no link is lost and none is counted twice.
 
 Similarity is exact: 100 * intersection >= percent * union on whole sets. Hash collisions would
 have to fall inside one pair of sets (after step 1 shingles are told apart by their range and 40 bits:
@@ -39,9 +44,11 @@ from tokenloom.llm.shared import partitions, record_batch, stage, stage_small
 WORDS, PERCENT = 5, 80
 TASK_TOKENS = 1_500_000
 LIST_SPLIT, HUBS = 4096, 2
+BLOCK, COLUMNS = 256, 16_384
 TOKEN_BITS = 40
 SETS = "doc_id long, n_shingles long, node long"
 TOKENS = "bucket int, nodes binary, sizes binary, counts binary, tokens binary, class binary"
+COUNTS = "node long, links long"
 NODES = "node long, n int, tokens array<long>, prefix array<long>, class array<int>, first int"
 
 
@@ -247,9 +254,83 @@ def _to_hubs(lists: DataFrame, keys: list[str], hubs: int) -> DataFrame:
     return (lists.withColumn("hubs", central).select(F.explode("hubs").alias("a"), F.col("node").alias("b")).dropna())
 
 
+def _common(tokens: list[np.ndarray], left: int) -> np.ndarray:
+    """Sizes of the overlaps of the first `left` sets with all sets, a slice of the shingles at a time."""
+    sizes = np.array([len(t) for t in tokens])
+    _, column = np.unique(np.concatenate(tokens), return_inverse=True)
+    row = np.repeat(np.arange(len(tokens)), sizes)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((left, len(tokens)), np.float32)
+    for a in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        lo, hi = np.searchsorted(column, [a, a + COLUMNS])
+        has = np.zeros((len(tokens), int(column[hi - 1]) + 1 - a), np.float32)
+        has[row[lo:hi], column[lo:hi] - a] = 1
+        out += has[:left] @ has.T
+    return out
+
+
+def _cell_counts(cell: list[dict]) -> tuple[list[int], np.ndarray]:
+    """Nodes of a cell and the copies that each is linked to there."""
+    cell.sort(key=lambda r: r["own"] != r["i"])
+    inner = cell[0]["i"] == cell[0]["j"]
+    left = len(cell) if inner else sum(r["own"] == r["i"] for r in cell)
+    n = np.array([r["n"] for r in cell], np.int64)
+    copies = np.array([r["copies"] for r in cell], np.int64)
+    both = _common([np.asarray(r["tokens"], np.int64) for r in cell], left).astype(np.int64)
+    linked = 100 * both >= PERCENT * (n[:left, None] + n[None, :] - both)
+    if inner:
+        np.fill_diagonal(linked, False)
+        return [r["node"] for r in cell], linked @ copies
+    linked[:, :left] = False
+    return [r["node"] for r in cell], np.r_[linked @ copies, (copies[:left] @ linked)[left:]]
+
+
+def link_counts(nodes: DataFrame, found: DataFrame, copies: DataFrame) -> DataFrame:
+    """(node, links): for every set with a link the rows of `copies` (node, copies) of all sets linked to it.
+
+    `found` is what `node_links` gives for `nodes`.
+    """
+    tasks = partitions(nodes.sparkSession)
+    large = found.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    placed = stage_small(found.join(large, "component").select(
+        "node", "component", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("own")), "blocks")
+    # A component of one block is one cell; of the others, posting lists tell which blocks meet.
+    single = placed.filter("parts = 1").select("node", "component", "own", F.lit(0).alias("i"), F.lit(0).alias("j"))
+    several = placed.filter("parts > 1").select("node", "component", "own")
+    lists = stage(several.join(nodes.select("node", F.explode("prefix").alias("token")), "node"), "lists")
+    held = lists.select("token", "component", "own").distinct()
+    meet = held.join(held.withColumnRenamed("own", "other"), ["token", "component"])
+    sent = (lists.join(meet, ["token", "component", "own"])
+            .select("node", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+            .distinct())
+    cells = (single.unionByName(sent).join(nodes.select("node", "n", "tokens"), "node").join(copies, "node")
+             .repartition(tasks, "component", "i", "j").sortWithinPartitions("component", "i", "j"))
+
+    def count(batches):
+        key, cell, rows = None, [], [[], []]
+        for batch in batches:
+            for r in batch.to_pylist():
+                at = (r["component"], r["i"], r["j"])
+                if at != key and cell:
+                    for held, x in zip(rows, _cell_counts(cell)):
+                        held.extend(x)
+                    cell = []
+                    if len(rows[0]) > 10_000:
+                        yield record_batch(COUNTS, *rows)
+                        rows = [[], []]
+                key = at
+                cell.append(r)
+        if cell:
+            for held, x in zip(rows, _cell_counts(cell)):
+                held.extend(x)
+        yield record_batch(COUNTS, *rows)
+
+    return cells.mapInArrow(count, COUNTS).groupBy("node").agg(F.sum("links").alias("links"))
+
+
 def node_links(nodes: DataFrame) -> DataFrame:
     """(node, component) of every set that has a link."""
-    nodes = stage(nodes, "sets")
     group = F.xxhash64("n", "prefix")
     members = nodes.select("node", group.alias("g"), (F.col("first") / F.col("n")).alias("own"))
     groups = stage(nodes.select(group.alias("g"), "node", "n", "first", "prefix", "class")
@@ -310,9 +391,11 @@ def node_links(nodes: DataFrame) -> DataFrame:
     return components(links)
 
 
-def near_duplicates(docs: DataFrame, n: int = WORDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, n: int = WORDS, with_links: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of `docs` (doc_id, text; more is ignored).
 
+    With `with_links` also n_links, the number of other rows that a row is linked to, its copies included.
+
     Null and empty texts have no shingles and stand alone: component_id is their own doc_id, as for
     any document without a link. Rows with a null doc_id keep it; a component's id is the smallest
     doc_id that is not null. Repeated rows are returned as often as they come.
@@ -321,9 +404,16 @@ def near_duplicates(docs: DataFrame, n: int = WORDS) -> DataFrame:
     sets = stage(signatures(docs, n), "signatures")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     tasks = max(partitions(spark), -(-total // TASK_TOKENS))
-    found = stage_small(node_links(shared_tokens(docs, tasks, n)), "components")
+    nodes = stage(shared_tokens(docs, tasks, n), "sets")
+    found = stage_small(node_links(nodes), "components")
     placed = sets.join(found, "node", "left").withColumn("_c", F.coalesce("component", "node"))
     least = placed.filter("node != 0").groupBy("_c").agg(F.min("doc_id").alias("_least"))
-    return (placed.join(least, "_c", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("node") == 0, F.col("doc_id")).otherwise(F.col("_least")).alias("component_id")))
+    columns = ["doc_id", "n_shingles",
+               F.when(F.col("node") == 0, F.col("doc_id")).otherwise(F.col("_least")).alias("component_id")]
+    placed = placed.join(least, "_c", "left")
+    if with_links:
+        copies = stage_small(sets.filter("node != 0").groupBy("node").agg(F.count("*").alias("copies")), "copies")
+        links = stage_small(link_counts(nodes, found, copies), "counts")
+        placed = placed.join(copies, "node", "left").join(links, "node", "left")
+        columns.append((F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    return placed.select(*columns)

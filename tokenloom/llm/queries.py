@@ -53,7 +53,7 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tokenloom.llm.jaccard import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), with_links=True)
 
 
 @query
