@@ -84,6 +84,26 @@ def test_entropy_adds_and_the_allow_list_suppresses():
     assert kinds("zQ8vX2mK9pEXAMPLE4wR7tY1nB5cD3") == [] and kinds("thisisaverylongordinarywordindeed") == []
 
 
+def test_only_what_the_allow_list_matches_is_suppressed():
+    found = lambda t: [(secrets.KINDS[k], t[s:e]) for s, e, k in secrets.scan(t.encode())]
+    key = "zQ8vX2mK9pL4wR7tY1nB5cD3"
+    ssh = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZW"
+    assert found(f"3f2b8c1e-9d4a-4b6f-8e2a-1c5d7f9b0a3e{key}") == [("entropy", key)]
+    assert found(f"{key}example") == found(f"EXAMPLE{key}") == [("entropy", key)]
+    assert found(f"{key}EXAMPLE{key[::-1]}") == [("entropy", key), ("entropy", key[::-1])]
+    assert [k for k, _ in found(ssh)] == ["entropy"] and [k for k, _ in found("=====" + key)] == ["entropy"]
+
+
+def test_entropy_is_kept_around_base_spans():
+    key, run = "zQ8vX2mK9pL4wR7tY1nB5cD3", "0123456789abcdef01234567"
+    for text in (f"{key}Z{run}Z{key}", f"{key}Z{run}", f"{run}Z{key}"):
+        spans = secrets.scan(text.encode())
+        base = [s for s in spans if s[2] < 3]
+        assert base == secrets.base_spans(text.encode()) and len(base) == 1
+        seen = [i for s, e, _ in spans for i in range(s, e)]
+        assert len(seen) == len(set(seen)) and set(seen) >= {i for i, c in enumerate(text) if c in key and c not in run}
+
+
 def test_secret_masking_keeps_the_rest(spark, edge, nothing):
     docs = spark.createDataFrame([(1, "é token=abcdefgh z", None, None, None), (2, None, None, None, None)], SCHEMA)
     got = {r["doc_id"]: r["text"] for r in secrets.mask_secrets(docs, "#").collect()}

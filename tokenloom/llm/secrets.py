@@ -2,9 +2,10 @@
 
 A candidate is a maximal run of at least MIN_LENGTH characters A-Za-z0-9+/_=-. For each of its
 character classes (CLASSES) the Shannon entropy of every window of WINDOW characters that lies in
-that class is computed from counts that change by one character in and one out per step. A candidate
-with a window above the threshold of a class is a span of kind `entropy`, from the first to the last
-such window, unless the allow-list knows it or a base span covers it.
+that class is computed from counts that change by one character in and one out per step. Example
+marks and identifiers of the allow-list cut a candidate, and each piece between them is judged alone. A
+piece with a window above the threshold of a class is a span of kind `entropy`, from the first to the
+last such window, less what base spans cover.
 
 Everything happens on whole texts inside one map over the documents; there is no shuffle.
 """
@@ -14,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -37,11 +39,10 @@ CLASSES = (
     ("upper", re.compile(rb"[A-Z0-9]+"), 3.4),
     ("base64", re.compile(rb"[A-Za-z0-9+/_=-]+"), 3.7),
 )
-# Allow-list: example keys of public documentation, identifiers and paths that are not secrets.
+# Allow-list: example marks of public documentation and identifiers, and pieces that are plain numbers,
+# words or paths. A window inside a repeated unit of up to 4 characters has at most 2 bits, below all classes.
+MARKS = re.compile(rb"[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}")
 ALLOWED = (
-    re.compile(rb"EXAMPLE", re.I),
-    re.compile(rb"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),
-    re.compile(rb"(.{1,4}?)\1{4,}"),
     re.compile(rb"[0-9+/_=-]+\Z"),
     re.compile(rb"[A-Za-z]+(?:[-_/=+][A-Za-z]+)*[-_/=+0-9]*\Z"),
 )
@@ -82,13 +83,32 @@ def _looks_mixed(piece: bytes, name: str) -> bool:
     return digit and (upper or lower) and (name != "base64" or (upper and lower))
 
 
+def _pieces(raw: bytes) -> Iterator[tuple[int, bytes]]:
+    """Start and bytes of what the allow-list leaves of the candidates."""
+    for m in CANDIDATE.finditer(raw):
+        at = m.start()
+        for mark in [*MARKS.finditer(raw, m.start(), m.end()), None]:
+            piece = raw[at : mark.start() if mark else m.end()]
+            if len(piece) >= WINDOW and not any(p.match(piece) for p in ALLOWED):
+                yield at, piece
+            at = mark.end() if mark else m.end()
+
+
+def _outside(start: int, end: int, covered: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The parts of a span that no span of `covered` meets."""
+    out = []
+    for s, e, _ in sorted(covered):
+        if e > start and s < end:
+            if s > start:
+                out.append((start, s))
+            start = max(start, e)
+    return [*out, (start, end)] if start < end else out
+
+
 def entropy_spans(raw: bytes, covered: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans of high entropy that no base span meets and no allow-list entry matches."""
+    """Spans of high entropy outside base spans and what the allow-list knows."""
     out = []
-    for m in CANDIDATE.finditer(raw):
-        piece = m.group()
-        if any(p.search(piece) if k < 3 else p.match(piece) for k, p in enumerate(ALLOWED)):
-            continue
+    for at, piece in _pieces(raw):
         best: list[int] = []
         for name, pattern, least in CLASSES:
             for run in pattern.finditer(piece):
@@ -98,9 +118,7 @@ def entropy_spans(raw: bytes, covered: list[tuple[int, int, int]]) -> list[tuple
                 if len(high):
                     best += [run.start() + int(high[0]), run.start() + int(high[-1]) + WINDOW]
         if best:
-            start, end = m.start() + min(best), m.start() + max(best)
-            if not any(s < end and start < e for s, e, _ in covered):
-                out.append((start, end, 3))
+            out += [(s, e, 3) for s, e in _outside(at + min(best), at + max(best), covered)]
     return out
 
 
