@@ -109,6 +109,18 @@ def test_long_texts_are_cut_into_stretches(spark, monkeypatch):
     assert len(got[1]["kept_text"]) == got[1]["n_bytes"] - got[1]["n_removed"]
 
 
+def test_repeated_blocks_and_a_partial_copy(spark):
+    rng = random.Random(9)
+    texts = {d: prose(rng, 120) for d in range(8)}
+    parts = {100 + d: prose(rng, 9) + t[150 + d : 450 + 5 * d] + prose(rng, 9) for d, t in texts.items()}
+    rows = [(d, t, None, None, None) for d, t in [*texts.items(), *texts.items(), *parts.items()]]
+    # Three partitions of eight rows: the first two are equal, and so are their blocks.
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3), SCHEMA)
+    got = removed(repeats.repeated_spans(docs))
+    brute_force = brute.repeated_bytes(texts | {1000 + d: t for d, t in texts.items()} | parts)
+    assert got == Counter((d % 1000, *v) for d, v in brute_force.items())
+
+
 def test_repeats_edge_rows(edge, edge_rows, nothing):
     got = {(r["doc_id"], r["n_bytes"], r["n_removed"]) for r in repeats.repeated_spans(edge).collect()}
     texts = {i: t for i, (_, t, *_) in enumerate(edge_rows)}

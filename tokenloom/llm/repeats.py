@@ -214,11 +214,14 @@ def _answers(row: dict, name: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _judged(found: tuple[np.ndarray, ...], answers: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """What was found for each run of a block; runs of one string have the answer of the first."""
+    """What was found for each run of a block; runs of one string have the answer of the first.
+
+    Blocks of equal rows share a name and so their answers: of several for one place the highest counts.
+    """
     first, _, _, string = found
     out = np.zeros(len(first), np.uint8)
     places, said = answers
-    out[np.searchsorted(first, places)] = said
+    np.maximum.at(out, np.searchsorted(first, places), said)
     _, lead, inverse = np.unique(string, return_index=True, return_inverse=True)
     return out[lead][inverse]
 
