@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.llm.audit import audit_sql
 from tokenloom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,16 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+def same_as(sql: str):
+    """Registers a query together with the SQL that gives its rows."""
+
+    def register(run: Callable[[SparkSession, str], DataFrame]):
+        SQL[run.__name__] = sql
+        return query(run)
+
+    return register
+
+
 # The layout before resharding: every source was written to one shard of 32, so shards are uneven.
 OLD_SHARDS, SHARDS = 32, 40
 
@@ -118,3 +129,46 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return find_personal_data(docs, fit(docs)).drop("text")
+
+
+@query
+def op11_language_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenloom.llm.langid import fit, predict
+    from tokenloom.llm.shared import held_out
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = held_out(F.col("doc_id"), 5, 0)
+    return predict(docs, fit(docs, ~held)).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@same_as(audit_sql())
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenloom.llm.audit import audit
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return audit(docs, table(spark, sf_dir, "labels"), F.col("lang"))
+
+
+# The hashed numbers, the cut texts and their digests; a text rebuilt from its parts is the text itself.
+INFILL_SQL = """WITH hashed AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS t,
+  ('0x' || substring(h, 1, 8))::BIGINT AS h1, ('0x' || substring(h, 9, 8))::BIGINT AS h2,
+  ('0x' || substring(h, 17, 8))::BIGINT AS h3, ('0x' || substring(h, 25, 8))::BIGINT AS h4 FROM hashed),
+cut AS (SELECT doc_id, text, len(t) AS n, array_to_string(t[1:least(h1 % (len(t) + 1), h2 % (len(t) + 1))], '') AS p,
+  array_to_string(t[1:greatest(h1 % (len(t) + 1), h2 % (len(t) + 1))], '') AS pm,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+    WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT doc_id, text, n, form, p, substring(pm, length(p) + 1) AS m, substring(text, length(pm) + 1) AS s FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+  ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM parts"""
+
+
+@same_as(INFILL_SQL)
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tokenloom.llm.infill import fill_in_middle, restore
+
+    made = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
