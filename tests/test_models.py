@@ -1,4 +1,6 @@
+import hashlib
 import math
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -56,25 +58,65 @@ def test_ngrams_and_backoff(docs):
         assert math.isclose(row["backoff_score"], score(other[row["doc_id"]]))
 
 
-def test_generation_small_and_joined_agree(spark):
-    rows = [(1, 2, 3), (1, 4, 3), (2, 1, 2), (2, 3, 1), (4, 1, 1)]
-    counts = spark.createDataFrame(rows, "prev int, next int, n bigint")
-    prompts = spark.createDataFrame([(i, 1 + i % 5) for i in range(60)], "prompt_id bigint, last int")
-    greedy = {r["prompt_id"]: r["out"] for r in generate.generate_greedy(prompts, counts, 15, eos_id=9).collect()}
-    assert greedy[0] == [2, 1] * 7 + [2]
-    assert greedy[2] == greedy[4] == []
-    joined = generate.generate_greedy(prompts, counts, 15, eos_id=9, max_rows=0)
-    assert {r["prompt_id"]: r["out"] for r in joined.collect()} == greedy
-    sampled = generate.generate_sample(prompts, counts, 6, 3, eos_id=3)
-    again = generate.generate_sample(prompts.repartition(7), counts, 6, 3, eos_id=3, max_rows=0)
-    one = {r["prompt_id"]: r["out"] for r in sampled.collect()}
-    assert one == {r["prompt_id"]: r["out"] for r in again.collect()}
-    assert {len(o) for o in one.values()} > {6}  # some stopped at the end token
-    assert all(3 not in o[:-1] for o in one.values())
-    assert {o[0] for i, o in one.items() if i % 5 == 0} == {2, 4}
-    top = generate.generate_sample(prompts, counts, 4, 3, top_k=1, n_return=2, eos_id=9).collect()
-    assert len(top) == 120 and {r["prompt_id"] for r in top} == set(range(120))
-    assert all(r["out"] == greedy[r["prompt_id"] // 2][:4] for r in top)
+def plain_generation(docs, prompts, order, steps, seed=None, top_k=None, eos=-1):
+    """Follows the longest context that anything came after, token by token."""
+    after = defaultdict(Counter)
+    for d in docs:
+        for i, token in enumerate(d):
+            for k in range(min(order - 1, i) + 1):
+                after[tuple(d[i - k : i])][token] += 1
+    made = {}
+    for number, prompt in prompts.items():
+        seen, out = list(prompt), []
+        for step in range(steps):
+            ends = [tuple(seen[len(seen) - k :]) for k in range(min(order - 1, len(seen)), -1, -1)]
+            context = next(c for c in ends if c in after)
+            ranked = sorted(after[context].items(), key=lambda x: (-x[1], x[0]))[:top_k]
+            draw = 0
+            if seed is not None:
+                digest = hashlib.md5(f"{number}|{step}|{seed}".encode()).hexdigest()
+                draw = int(digest[:15], 16) % sum(n for _, n in ranked)
+            for token, n in ranked:
+                if draw < n:
+                    break
+                draw -= n
+            out.append(token)
+            seen.append(token)
+            if token == eos:
+                break
+        made[number] = out
+    return made
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_generation_follows_the_longest_context(spark, order):
+    rng = random.Random(order)
+    texts = [[rng.choice([1, 1, 2, 3, 3, 4, 5, 6]) for _ in range(rng.randint(0, 40))] for _ in range(60)]
+    prompts = {i: [rng.randint(1, 9) for _ in range(rng.randint(0, 6))] for i in range(50)}  # 7 to 9 are unknown
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, ids array<int>")
+    starts = spark.createDataFrame(list(prompts.items()), "prompt_id bigint, ids array<int>").repartition(3)
+    grams = ngram.gram_counts(df, order, [])
+    for max_rows in (10_000, 0):  # the trie sent to the prompts, and met in a shuffle
+        greedy = generate.generate_greedy(starts, grams, order, 15, 6, max_rows)
+        assert dict(map(tuple, greedy.collect())) == plain_generation(texts, prompts, order, 15, eos=6)
+        sampled = generate.generate_sample(starts, grams, order, 15, 3, None, 1, 6, max_rows)
+        assert dict(map(tuple, sampled.collect())) == plain_generation(texts, prompts, order, 15, 3, eos=6)
+        top = generate.generate_sample(starts, grams, order, 6, 3, 2, 3, 6, max_rows)
+        copies = {3 * i + k: p for i, p in prompts.items() for k in range(3)}
+        assert dict(map(tuple, top.collect())) == plain_generation(texts, copies, order, 6, 3, 2, 6)
+
+
+def test_generation_without_a_model(spark, docs):
+    nothing = ngram.gram_counts(docs.limit(0), 3, [])
+    made = generate.generate_greedy(docs.withColumnRenamed("doc_id", "prompt_id"), nothing, 3, 4).collect()
+    assert len(made) == len(DOCS) and all(r["out"] == [] for r in made)
+
+
+def test_binary_search_over_cumulative_counts(spark):
+    upto = [3, 4, 9, 9 + 2**40]
+    df = spark.createDataFrame([(upto, d) for d in (0, 2, 3, 4, 8, 9, 2**40)] + [([1], 0)], "upto array<bigint>, d bigint")
+    got = [r[0] for r in df.select(generate._first_above(F.col("upto"), F.col("d"))).collect()]
+    assert got == [1, 1, 2, 3, 3, 4, 4, 1]
 
 
 def em(pairs, iters):

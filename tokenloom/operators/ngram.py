@@ -44,15 +44,20 @@ def _context(length: int) -> Column:
     return F.when(whole, F.concat_ws(" ", *[c.cast("string") for c in cols]))
 
 
-def fit_ngram(grams: DataFrame, order: int) -> DataFrame:
-    """`(n, context, next, count, total, rank)` for n = 1 … order."""
+def level_counts(grams: DataFrame, order: int) -> DataFrame:
+    """`(n, context, next, count)` for contexts of n - 1 tokens, n = 1 … order."""
     levels = F.array(*[F.struct(F.lit(n).alias("level"), _context(n - 1).alias("context")) for n in range(1, order + 1)])
-    counts = (
+    return (
         grams.select(F.col("n").alias("count"), "next", F.inline(levels))
         .filter(F.col("context").isNotNull())
         .groupBy(F.col("level").alias("n"), "context", "next")
         .agg(F.sum("count").alias("count"))
     )
+
+
+def fit_ngram(grams: DataFrame, order: int) -> DataFrame:
+    """`(n, context, next, count, total, rank)` for n = 1 … order."""
+    counts = level_counts(grams, order)
     same = Window.partitionBy("n", "context")
     return counts.withColumn("total", F.sum("count").over(same)).withColumn(
         "rank", F.row_number().over(same.orderBy(F.desc("count"), "next"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tokenloom.operators import bigram, generate, ngram, packing, splits
+from tokenloom.operators.encode import decode_chars
 from tokenloom.plans.corpus import B, SEED, T, char_stream
 from tokenloom.plans.registry import CHARS_SQL, as_text, query, six, whole
 from tokenloom.session import stage
@@ -160,79 +161,76 @@ def ngram_score(spark, folder):
     return scores.select("doc_id", "tokens", six(F.col("backoff_score")).alias("backoff_score"))
 
 
-STEPS = 5
-# Each document is a prompt that goes on after its last character; the line feed ends a text.
-PROMPTS_SQL = f"""{CHARS_SQL},
-pairs AS (SELECT id AS prev, lead(id) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM stream),
-counts AS (SELECT prev, next, count(*) AS n FROM pairs WHERE next IS NOT NULL GROUP BY ALL),
-ends AS (SELECT id AS eos FROM vocab WHERE ch = chr(10)),
-prompts AS (SELECT doc_id AS prompt_id, arg_max(id, i) AS last FROM stream GROUP BY doc_id)
-"""
+STEPS, GENERATE_ORDER = 30, 4
+# Each document is a prompt that goes on after its last characters; the line feed ends a text.
+RECENT = GENERATE_ORDER - 1
+
+
+def _levels_sql() -> str:
+    levels = ["SELECT '' AS context, next FROM grams"]
+    for k in range(1, GENERATE_ORDER):
+        context = " || ' ' || ".join(f"c{j}" for j in range(k, 0, -1))
+        levels.append(f"SELECT CAST({context} AS VARCHAR), next FROM grams WHERE c{k} IS NOT NULL")
+    return " UNION ALL ".join(levels)
 
 
-def _choices_sql(top_k: int | None) -> str:
+def _generate_sql(seed: int | None, top_k: int | None = None, returns: int = 1) -> str:
+    """Generation as recursion: in each step the longest context that is known, then its draw."""
+    lags = ", ".join(f"lag(id, {k}) OVER w AS c{k}" for k in range(1, GENERATE_ORDER))
     kept = "" if top_k is None else f"WHERE r <= {top_k}"
-    return f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY prev ORDER BY n DESC, next) AS r FROM counts),
-    choices AS (SELECT prev, next, sum(n) OVER (PARTITION BY prev ORDER BY r) - n AS lo,
-      sum(n) OVER (PARTITION BY prev ORDER BY r) AS hi, sum(n) OVER (PARTITION BY prev) AS total
-      FROM ranked {kept})"""
-
-
-def _steps_sql(seed: int | None) -> str:
-    """One CTE per step; a greedy step takes the first choice, a sampled one covers its draw."""
-    steps = ["s0 AS (SELECT prompt_id, last, '' AS out, false AS done FROM prompts)"]
-    for k in range(STEPS):
-        draw = f"CAST(('0x' || substring(md5(concat_ws('|', prompt_id, '{k}', '{seed}')), 1, 15)) AS BIGINT)"
-        chosen = "lo = 0" if seed is None else f"{draw} % total >= lo AND {draw} % total < hi"
-        steps.append(
-            f"""s{k + 1} AS (SELECT prompt_id, coalesce(next, last) AS last,
-            CASE WHEN next IS NULL THEN out ELSE trim(out || ' ' || next) END AS out,
-            done OR next IS NULL OR next = (SELECT eos FROM ends) AS done
-            FROM s{k} LEFT JOIN choices ON NOT done AND prev = last AND {chosen})"""
-        )
-    return ", ".join(steps)
+    met = " ".join(
+        f"LEFT JOIN contexts t{k} ON t{k}.context = array_to_string(recent[-{k}:], ' ') AND len(recent) >= {k}"
+        for k in range(1, GENERATE_ORDER))
+    longest = ", ".join(f"t{k}.context" for k in range(GENERATE_ORDER - 1, 0, -1))
+    total = ", ".join(f"t{k}.total" for k in range(GENERATE_ORDER - 1, 0, -1))
+    draw = f"CAST(('0x' || substring(md5(concat_ws('|', prompt_id, step, '{seed}')), 1, 15)) AS BIGINT) % total"
+    chosen = "lo = 0" if seed is None else f"{draw} >= lo AND {draw} < hi"
+    return f"""WITH RECURSIVE {CHARS_SQL},
+grams AS (SELECT id AS next, {lags} FROM stream WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+levels AS ({_levels_sql()}),
+counted AS (SELECT context, next, count(*) AS n FROM levels GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY context ORDER BY n DESC, next) AS r FROM counted),
+choices AS MATERIALIZED (SELECT c.*, ch FROM (SELECT context, next, sum(n) OVER (PARTITION BY context ORDER BY r) - n AS lo,
+  sum(n) OVER (PARTITION BY context ORDER BY r) AS hi FROM ranked {kept}) c JOIN vocab ON id = next),
+contexts AS MATERIALIZED (SELECT context, max(hi) AS total FROM choices GROUP BY context),
+prompts AS (SELECT doc_id * {returns} + unnest(range({returns})) AS prompt_id, coalesce(recent, []) AS recent FROM documents
+  LEFT JOIN (SELECT doc_id, list(id ORDER BY i)[-{RECENT}:] AS recent FROM stream GROUP BY doc_id) USING (doc_id)),
+made AS (
+  SELECT prompt_id, 0 AS step, recent, '' AS text, false AS done FROM prompts
+  UNION ALL SELECT prompt_id, step + 1, (recent || [next])[-{RECENT}:], text || ch, ch = chr(10)
+  FROM (SELECT made.*, coalesce({longest}, '') AS context, coalesce({total}, (SELECT total FROM contexts WHERE context = '')) AS total
+    FROM made {met} WHERE NOT done AND step < {STEPS}) JOIN choices USING (context) WHERE {chosen})
+SELECT prompt_id, arg_max(text, step) AS text, max(step) AS n_tokens FROM made GROUP BY prompt_id"""
 
 
 def _prompts(spark, folder):
     docs, chars, _ = char_stream(spark, folder)
-    counts = stage(bigram.pair_counts(docs, []), "pairs")
     ends = chars.filter(F.col("token") == "\n").first()
-    prompts = docs.filter(F.size("ids") > 0).select(
-        F.col("doc_id").alias("prompt_id"), F.element_at("ids", -1).alias("last")
-    )
-    return prompts, counts, ends["id"] if ends else -1
+    grams = ngram.gram_counts(docs, GENERATE_ORDER, [])
+    return docs.withColumnRenamed("doc_id", "prompt_id"), grams, ends["id"] if ends else -1, chars
 
 
-@query(
-    "generate_greedy",
-    f"WITH {PROMPTS_SQL}, {_choices_sql(None)}, {_steps_sql(None)} SELECT prompt_id, out FROM s{STEPS}",
-)
+def _as_texts(made, chars):
+    return decode_chars(made, chars, "out", "text").select("prompt_id", "text", F.size("out").alias("n_tokens"))
+
+
+@query("generate_greedy", _generate_sql(None))
 def generate_greedy(spark, folder):
-    prompts, counts, ends = _prompts(spark, folder)
-    made = generate.generate_greedy(prompts, counts, STEPS, ends)
-    return made.select("prompt_id", as_text("out").alias("out"))
+    prompts, grams, ends, chars = _prompts(spark, folder)
+    return _as_texts(generate.generate_greedy(prompts, grams, GENERATE_ORDER, STEPS, ends), chars)
 
 
-@query(
-    "generate_sample",
-    f"WITH {PROMPTS_SQL}, {_choices_sql(None)}, {_steps_sql(SEED)} SELECT prompt_id, out FROM s{STEPS}",
-)
+@query("generate_sample", _generate_sql(SEED))
 def generate_sample(spark, folder):
-    prompts, counts, ends = _prompts(spark, folder)
-    made = generate.generate_sample(prompts, counts, STEPS, SEED, eos_id=ends)
-    return made.select("prompt_id", as_text("out").alias("out"))
+    prompts, grams, ends, chars = _prompts(spark, folder)
+    return _as_texts(generate.generate_sample(prompts, grams, GENERATE_ORDER, STEPS, SEED, eos_id=ends), chars)
 
 
-TOP_K, RETURNS = 10, 5
-REPEATED_SQL = PROMPTS_SQL.replace("prompts AS (", "firsts AS (") + f""",
-prompts AS (SELECT prompt_id * {RETURNS} + unnest(range({RETURNS})) AS prompt_id, last FROM firsts)"""
+TOP_K, RETURNS = 50, 5
 
 
-@query(
-    "generate_topk",
-    f"WITH {REPEATED_SQL}, {_choices_sql(TOP_K)}, {_steps_sql(SEED)} SELECT prompt_id, out FROM s{STEPS}",
-)
+@query("generate_topk", _generate_sql(SEED, TOP_K, RETURNS))
 def generate_topk(spark, folder):
-    prompts, counts, ends = _prompts(spark, folder)
-    made = generate.generate_sample(prompts, counts, STEPS, SEED, TOP_K, RETURNS, ends)
-    return made.select("prompt_id", as_text("out").alias("out"))
+    prompts, grams, ends, chars = _prompts(spark, folder)
+    made = generate.generate_sample(prompts, grams, GENERATE_ORDER, STEPS, SEED, TOP_K, RETURNS, ends)
+    return _as_texts(made, chars)
