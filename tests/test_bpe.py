@@ -1,6 +1,9 @@
+import random
 import re
+import sys
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tokenloom.functions.registered import register_text_functions
@@ -65,6 +68,42 @@ def test_merges_and_ids_equal_a_plain_loop(spark, corpus, n):
         assert row["decoded"] == row["text"]
 
 
+@pytest.mark.parametrize("sample", [2, 40, 10_000])
+def test_poor_guesses_cost_passes_but_change_nothing(spark, monkeypatch, sample):
+    rng = random.Random(sample)
+    texts = [" ".join("".join(rng.choice("aabcd") for _ in range(rng.randint(1, 9))) for _ in range(40)) for _ in range(30)]
+    monkeypatch.setattr(sys.modules[__name__], "TEXTS", texts)
+    monkeypatch.setattr(bpe, "LEADERS", 8)  # many ties at the edge of what the driver sees
+    monkeypatch.setattr(bpe, "PLAN", 12)
+    monkeypatch.setattr(bpe, "CUT_EVERY", 10)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    got = bpe.train_bpe(df, 60, sample=sample).orderBy("rank").collect()
+    expected, _ = plain_training({p for t in texts for p in pieces(t)}, 60)
+    assert [(bytes.fromhex(r["left"]), bytes.fromhex(r["right"])) for r in got] == expected
+
+
+def test_a_merge_reads_the_holders_of_its_pair_only():
+    words = [[1, 2, 3], [2, 3, 2, 3], [4, 5], [1, 1, 1]]
+    index = bpe.PairIndex(np.concatenate(words), np.array([len(w) for w in words]), np.array([5, 2, 9, 1]))
+    read = []
+    plain = index.symbols
+    index.symbols = lambda i: read.append(i) or plain(i)
+    delta = index.merge(2, 3, 6)
+    assert sorted(read) == [0, 1]
+    assert {(k >> 32, k & 0xFFFFFFFF): n for k, n in delta.items()} == {
+        (1, 2): -5, (2, 3): -9, (1, 6): 5, (3, 2): -2, (6, 6): 2}
+    read.clear()
+    index.merge(1, 6, 7)  # a pair that the first merge made
+    assert read == [0] and index.symbols(0) == [7]
+    index.merge(1, 1, 8)
+    assert index.symbols(3) == [8, 1] and index.weights[1 << 32 | 1] == 0 and index.weights[4 << 32 | 5] == 9
+
+
+def test_no_text_no_merges(spark):
+    empty = spark.createDataFrame([(0, ""), (1, "")], "doc_id bigint, text string")
+    assert bpe.train_bpe(empty, 5).count() == 0 and bpe.train_bpe(empty.limit(0), 5).count() == 0
+
+
 def test_published_byte_order():
     assert bpe.BYTE_ORDER[:3] == [33, 34, 35] and sorted(bpe.BYTE_ORDER) == list(range(256))
     assert bpe.BYTE_ORDER[188:190] == [0, 1] and bpe.BYTE_ORDER[-1] == 173

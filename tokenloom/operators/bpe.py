@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import copy
+import heapq
 import math
-from functools import lru_cache, reduce
+from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import list_lengths, list_offsets, piece_tokens
@@ -16,8 +19,14 @@ from tokenloom.session import stage
 
 MERGES = "rank int, left string, right string, merged string"
 MAX_MERGES = 1_000_000
-LOOK_AHEAD = 64
-CUT_EVERY = 16  # merges between staged tables
+SAMPLE = 100_000  # pieces that guess the next merges; bears on the number of passes only
+PLAN = 128  # merges guessed for one pass
+LEADERS = 4096  # pairs that come to the driver in one pass
+PIECES_PER_TASK = 100_000
+CUT_EVERY = 128  # merges between staged tables
+PIECES, PIECES_COLUMNS = "symbols array<int>, freq bigint", ["symbols", "freq"]
+
+Merge = tuple[int, int, int]  # symbol ids: left, right, the merged one
 
 # Fixed order of the 256 single bytes in the published table: printable ones first.
 PRINTABLE = [range(33, 127), range(161, 173), range(174, 256)]
@@ -31,74 +40,241 @@ def piece_counts(corpus: DataFrame, text: str = "text") -> DataFrame:
     return pieces.groupBy("piece").agg(F.count("*").alias("freq"))
 
 
-def _spelled(piece: Column) -> Column:
-    """A piece as its bytes in hex, each in angle brackets, so that merging is a text replacement."""
-    return F.regexp_replace(F.hex(F.encode(piece, "UTF-8")), "(..)", "<$1>")
-
-
-def _top_pairs(words: DataFrame) -> list[Row]:
-    """The most frequent adjacent pairs, ties in the order of their bytes."""
-    symbols = F.split(F.expr("substring(word, 2, length(word) - 2)"), "><")
-    parts = words.select("freq", symbols.alias("s")).filter(F.size("s") > 1)
-    n = F.size("s") - 1
-    pairs = F.arrays_zip(F.slice("s", F.lit(1), n), F.slice("s", F.lit(2), n))
-    return (
-        parts.select("freq", F.inline(pairs).alias("left", "right"))
-        .groupBy("left", "right")
-        .agg(F.sum("freq").alias("n"))
-        .orderBy(F.desc("n"), "left", "right")
-        .limit(LOOK_AHEAD)
-        .collect()
-    )
+class PairIndex:
+    """Pieces as symbol ids, the weight of every adjacent pair, and the pieces that hold it.
 
+    A merge looks up the holders of its pair and touches no other piece. Pairs are keys left * 2^32 + right.
+    """
 
-def _independent(top: list[Row], limit: int) -> list[Row]:
-    """The leading pairs that successive single merges would also take, in this order.
-
-    A merge changes only counts of pairs that share a symbol with it, and a pair it creates is no
-    more frequent than a pair it replaces. So while pairs share no symbol, and each is strictly
-    more frequent than all that follow, the next one stays the next one. A pair of equal symbols is the
-    exception: it creates a pair of its own double, which no other listed pair bounds, so it ends the pass.
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray, freq: np.ndarray):
+        flat = flat.astype(np.int64)
+        self.flat, self.freq = flat, freq
+        self.ends = np.cumsum(sizes)
+        self.starts = self.ends - sizes
+        self.changed: dict[int, list[int]] = {}
+        piece = np.repeat(np.arange(len(sizes)), sizes)
+        inside = piece[1:] == piece[:-1]
+        pairs, holder = (flat[:-1] << 32 | flat[1:])[inside], piece[:-1][inside]
+        order = np.argsort(pairs, kind="stable")
+        pairs, holder = pairs[order], holder[order]
+        first = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]]) if len(pairs) else np.empty(0, np.int64)
+        kinds = pairs[first].tolist()
+        weights = np.add.reduceat(freq[holder], first).tolist() if len(first) else []
+        self.weights = dict(zip(kinds, weights))
+        self.held = dict(zip(kinds, np.split(holder, first[1:]))) if kinds else {}
+        self.since: dict[int, list[int]] = {}
+
+    def copy(self) -> PairIndex:
+        other = copy.copy(self)
+        other.changed, other.weights, other.held = dict(self.changed), dict(self.weights), dict(self.held)
+        other.since = {k: list(v) for k, v in self.since.items()}
+        return other
+
+    def symbols(self, i: int) -> list[int]:
+        return self.changed.get(i) or self.flat[self.starts[i] : self.ends[i]].tolist()
+
+    def merge(self, left: int, right: int, into: int) -> dict[int, int]:
+        """Merges a pair from left to right in all its pieces; by how much each pair's weight changes."""
+        pair = left << 32 | right
+        delta: dict[int, int] = {}
+        for i in {*self.held.pop(pair, np.empty(0, np.int64)).tolist(), *self.since.pop(pair, ())}:
+            old = self.symbols(i)
+            new = _joined(old, left, right, into)
+            if len(new) == len(old):
+                continue
+            n = int(self.freq[i])
+            for x, y in zip(old, old[1:]):
+                delta[x << 32 | y] = delta.get(x << 32 | y, 0) - n
+            for x, y in zip(new, new[1:]):
+                delta[x << 32 | y] = delta.get(x << 32 | y, 0) + n
+                if x == into or y == into:
+                    self.since.setdefault(x << 32 | y, []).append(i)
+            self.changed[i] = new
+        delta = {k: n for k, n in delta.items() if n}
+        for k, n in delta.items():
+            self.weights[k] = self.weights.get(k, 0) + n
+        return delta
+
+
+def _joined(parts: list, left, right, into) -> list:
+    out, i, n = [], 0, len(parts)
+    while i < n:
+        if parts[i] == left and i + 1 < n and parts[i + 1] == right:
+            out.append(into)
+            i += 2
+        else:
+            out.append(parts[i])
+            i += 1
+    return out
+
+
+class _Symbols:
+    """Byte strings of symbol ids. Equal byte strings are one symbol, however they were merged."""
+
+    def __init__(self):
+        self.bytes = [bytes([b]) for b in range(256)]
+        self.ids = {b: i for i, b in enumerate(self.bytes)}
+
+    def merged(self, left: int, right: int) -> int:
+        text = self.bytes[left] + self.bytes[right]
+        if text not in self.ids:
+            self.ids[text] = len(self.bytes)
+            self.bytes.append(text)
+        return self.ids[text]
+
+    def copy(self) -> _Symbols:
+        other = _Symbols()
+        other.bytes, other.ids = list(self.bytes), dict(self.ids)
+        return other
+
+    def order(self, pair: int) -> tuple[bytes, bytes]:
+        return self.bytes[pair >> 32], self.bytes[pair & 0xFFFFFFFF]
+
+
+def _read_pieces(batches: Iterator[pa.RecordBatch]) -> PairIndex:
+    parts = [(pc.list_flatten(b.column("symbols")).to_numpy(zero_copy_only=False), list_lengths(b.column("symbols")),
+              b.column("freq").to_numpy(zero_copy_only=False)) for b in batches]
+    if not parts:
+        return PairIndex(*[np.empty(0, np.int64)] * 3)
+    return PairIndex(*(np.concatenate(x).astype(np.int64) for x in zip(*parts)))
+
+
+def _changes(pieces: DataFrame, done: list[Merge], plan: list[Merge]) -> DataFrame:
+    """`(pair, step, n)`: weights after the merges `done` (step -1), and their change by each merge of `plan`."""
+
+    def run(batches):
+        index = _read_pieces(batches)
+        for merge in done:
+            index.merge(*merge)
+        yield _weights(-1, {k: n for k, n in index.weights.items() if n})
+        for step, merge in enumerate(plan):
+            yield _weights(step, index.merge(*merge))
+
+    def _weights(step, weights):
+        columns = [pa.array(x, pa.int64()) for x in (weights.keys(), weights.values())]
+        return pa.RecordBatch.from_arrays([columns[0], pa.array([step] * len(weights), pa.int32()), columns[1]], ["pair", "step", "n"])
+
+    found = pieces.mapInArrow(run, "pair bigint, step int, n bigint")
+    return found.groupBy("pair", "step").agg(F.sum("n").alias("n"))
+
+
+def _merged_pieces(pieces: DataFrame, done: list[Merge]) -> DataFrame:
+    def run(batches):
+        index = _read_pieces(batches)
+        for merge in done:
+            index.merge(*merge)
+        for a in range(0, len(index.freq), 10_000):
+            rows = range(a, min(a + 10_000, len(index.freq)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([index.symbols(i) for i in rows], pa.list_(pa.int32())), pa.array(index.freq[a : a + 10_000])], PIECES_COLUMNS)
+
+    return stage(pieces.mapInArrow(run, PIECES), "pieces")
+
+
+def _sample(pieces: DataFrame, rows: int) -> PairIndex:
+    """About `rows` pieces: half of them the most frequent, half a share of the others with a weight for all."""
+    frequent = pieces.orderBy(F.desc("freq")).select("freq").limit(rows // 2).agg(F.min("freq")).first()[0] or 0
+    rest = pieces.filter(F.col("freq") <= frequent).count()
+    share = max(1, -(-2 * rest // rows))
+    chosen = (F.col("freq") > frequent) | (F.pmod(F.xxhash64("symbols"), F.lit(share)) == 0)
+    weight = F.when(F.col("freq") > frequent, 1).otherwise(share)
+    table = pieces.filter(chosen).select("symbols", (F.col("freq") * weight).alias("freq")).toArrow()
+    return _read_pieces(table.to_batches())
+
+
+def _plan(sample: PairIndex, symbols: _Symbols, known: dict[int, int], length: int) -> list[Merge]:
+    """The merges that the sample, scaled to the true weights `known` so far, would take next."""
+    sample, symbols = sample.copy(), symbols.copy()
+    scale = {pair: n / sample.weights[pair] for pair, n in known.items() if sample.weights.get(pair, 0) > 0 and n > 0}
+    plan: list[Merge] = []
+
+    def entry(pair: int) -> tuple:
+        n = sample.weights[pair]
+        return -n * scale.get(pair, 1.0), symbols.order(pair), pair, n
+
+    leaders = [entry(pair) for pair, n in sample.weights.items() if n > 0]
+    heapq.heapify(leaders)
+    while leaders and len(plan) < length:
+        _, _, best, n = heapq.heappop(leaders)
+        if sample.weights[best] != n:  # an entry from before a change
+            continue
+        left, right = best >> 32, best & 0xFFFFFFFF
+        plan.append((left, right, symbols.merged(left, right)))
+        for pair in sample.merge(*plan[-1]):
+            if sample.weights[pair] > 0:
+                heapq.heappush(leaders, entry(pair))
+    return plan
+
+
+def _certain(changes: DataFrame, plan: list[Merge], symbols: _Symbols, limit: int) -> tuple[list[Merge], dict[int, int]]:
+    """The merges that are next for certain, and the weights of the leading pairs after them.
+
+    As long as the most frequent pair of all is the planned one, the changes of the plan hold. The first
+    time it is another one, that one is known for certain too, but nothing after it. Only pairs that could
+    lead come to the driver: those with the largest weights they could ever have in this pass.
     """
-    taken, used = [], set()
-    for i, row in enumerate(top[:limit]):
-        pair = {row["left"], row["right"]}
-        followed = i + 1 < len(top) and row["n"] > top[i + 1]["n"]
-        if taken and (pair & used or not followed):
-            break
-        taken.append(row)
-        used |= pair
-        if not followed or row["left"] == row["right"]:
-            break
-    return taken
+    step, n = F.col("step"), F.col("n")
+    pairs = stage(changes.groupBy("pair").agg(
+        F.sum(F.when((step < 0) | (n > 0), n).otherwise(0)).alias("most"),
+        F.collect_list(F.struct("step", "n")).alias("changes")), "pairs")
+    while True:
+        rows = pairs.orderBy(F.desc("most"), "pair").limit(limit).collect()
+        bound = rows[-1]["most"] if len(rows) == limit else 0
+        weights = {r["pair"]: 0 for r in rows}
+        by_step: dict[int, list] = {}
+        for r in rows:
+            for c in r["changes"]:
+                by_step.setdefault(c["step"], []).append((r["pair"], c["n"]))
+        taken: list[Merge] = []
+        names = symbols.copy()
+        for k in range(-1, len(plan)):
+            for pair, n in by_step.get(k, ()):
+                weights[pair] += n
+            heaviest = max(weights.values(), default=0)
+            if heaviest <= bound or k == len(plan) - 1:
+                break
+            best = min((p for p, n in weights.items() if n == heaviest), key=names.order)
+            merge = (best >> 32, best & 0xFFFFFFFF, names.merged(best >> 32, best & 0xFFFFFFFF))
+            taken.append(merge)
+            if merge != plan[k + 1]:
+                break
+        if taken or not bound:
+            return taken, weights
+        limit *= 4  # only where very many pairs tie
 
 
-def train_bpe(corpus: DataFrame, n_merges: int, text: str = "text") -> DataFrame:
-    """`merges(rank, left, right, merged)` in hex, by repeatedly merging the most frequent pair.
+def train_bpe(corpus: DataFrame, n_merges: int, text: str = "text", sample: int = SAMPLE) -> DataFrame:
+    """`merges(rank, left, right, merged)` in hex, by repeatedly merging the most frequent pair, first bytes on ties.
 
-    The corpus is read once, to count distinct pieces. Each pass counts pairs over that far smaller
-    table and takes as many merges as are sure to come next.
+    The corpus is read once, to count distinct pieces. A bounded sample of them guesses the next merges;
+    a pass over all pieces applies that plan, each task with an index from pairs to its pieces, and sums how
+    every pair's weight changes with every merge. From these sums the merges that are right are taken, up to
+    and with the first wrong guess. So a pass gives many merges, and the result does not depend on the sample.
     """
     spark = corpus.sparkSession
-    counts = piece_counts(corpus, text)
-    words = stage(counts.select(_spelled(F.col("piece")).alias("word"), "freq"), "pieces")
-    merges: list[tuple[int, str, str, str]] = []
-    since = 0
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bytes_of = F.transform(F.split(F.regexp_replace(F.hex(F.encode("piece", "UTF-8")), "(..)(?!$)", "$1 "), " "),
+                           lambda h: F.conv(h, 16, 10).cast("int"))
+    counted = stage(piece_counts(corpus, text).select(bytes_of.alias("symbols"), "freq"), "pieces")
+    rows = counted.count()
+    pieces = stage(counted.repartition(max(tasks, -(-rows // PIECES_PER_TASK)), "symbols"), "pieces")
+    guess = _sample(pieces, sample)
+    symbols, merges, done, known = _Symbols(), [], [], {}
+    length = PLAN
     while len(merges) < n_merges:
-        taken = _independent(_top_pairs(words), n_merges - len(merges))
+        plan = _plan(guess, symbols, known, min(length, n_merges - len(merges)))
+        # The last merge of a plan is not followed up, so one more step shows what comes after it.
+        taken, known = _certain(_changes(pieces, done, plan), [*plan, None], symbols, LEADERS)
         if not taken:
             break
-        for row in taken:
-            merges.append((len(merges), row["left"], row["right"], row["left"] + row["right"]))
-        merged = reduce(
-            lambda w, r: F.replace(w, F.lit(f"<{r['left']}><{r['right']}>"), F.lit(f"<{r['left']}{r['right']}>")),
-            taken,
-            F.col("word"),
-        )
-        words = words.select(merged.alias("word"), "freq")
-        since += len(taken)
-        if since >= CUT_EVERY:
-            words, since = stage(words, "pieces"), 0
+        length = min(PLAN, 16 + 2 * len(taken))  # no longer than guesses have lately been right
+        for left, right, into in taken[: n_merges - len(merges)]:
+            symbols.merged(left, right)
+            guess.merge(left, right, into)
+            merges.append((len(merges), *(symbols.bytes[x].hex().upper() for x in (left, right, into))))
+            done.append((left, right, into))
+        if len(done) >= CUT_EVERY:
+            pieces, done = _merged_pieces(pieces, done), []
     return spark.createDataFrame(merges, MERGES)
 
 

@@ -80,7 +80,7 @@ def pack_stream_query(spark, folder):
     return packed.select("source", "shard", "window_id", as_text("x").alias("x"), as_text("y").alias("y"))
 
 
-N_MERGES = 96
+N_MERGES = 320
 
 # Pieces without look-ahead: a mark goes before the last of several spaces that precede something
 # visible, texts are cut at the marks, and what is left of the pattern finds the pieces.
@@ -95,19 +95,22 @@ w0 AS MATERIALIZED (SELECT piece, count(*) AS freq, regexp_replace(hex(encode(pi
   FROM pieces GROUP BY piece)"""
 
 
-def _merge_sql(k: int) -> str:
-    """The k-th merge, and the pieces after it."""
-    symbols = "string_split(substring(word, 2, length(word) - 2), '><')"
-    return f""",
-s{k} AS (SELECT freq, {symbols} AS s FROM w{k}),
-p{k} AS (SELECT freq, unnest(list_zip(s[:len(s) - 1], s[2:])) AS pair FROM s{k} WHERE len(s) > 1),
-m{k} AS MATERIALIZED (SELECT pair[1] AS l, pair[2] AS r FROM p{k} GROUP BY pair ORDER BY sum(freq) DESC, l, r LIMIT 1),
-w{k + 1} AS MATERIALIZED (SELECT piece, freq, replace(word, '<' || l || '><' || r || '>', '<' || l || r || '>') AS word
-  FROM w{k}, m{k})"""
-
-
-MERGES_SQL = PIECES_SQL + "".join(_merge_sql(k) for k in range(N_MERGES)) + """,
-merges AS (""" + " UNION ALL ".join(f"SELECT {k} AS rank, l, r FROM m{k}" for k in range(N_MERGES)) + ")"
+# One row of state: all pieces as they are spelled so far, and the merges. Each round adds one merge.
+MERGES_SQL = f"""{PIECES_SQL},
+state(key, k, words, found) USING KEY (key) AS (
+  SELECT 0, 0, list({{'p': piece, 'w': word, 'f': freq}}), CAST([] AS STRUCT(l VARCHAR, r VARCHAR)[]) FROM w0
+  UNION ALL
+  SELECT 0, k + 1, list_transform(words, lambda x: {{'p': x.p, 'w': replace(x.w, '<' || m.l || '><' || m.r || '>',
+    '<' || m.l || m.r || '>'), 'f': x.f}}), list_append(found, {{'l': m.l, 'r': m.r}})
+  FROM state, LATERAL (
+    SELECT pair[1] AS l, pair[2] AS r FROM (SELECT x.f AS f, unnest(list_zip(s[:len(s) - 1], s[2:])) AS pair FROM
+      (SELECT x, string_split(substring(x.w, 2, length(x.w) - 2), '><') AS s FROM (SELECT unnest(words) AS x)) WHERE len(s) > 1)
+    GROUP BY pair ORDER BY sum(f) DESC, l, r LIMIT 1) m
+  WHERE k < {N_MERGES}),
+merges AS (SELECT i - 1 AS rank, found[i].l AS l, found[i].r AS r
+  FROM (SELECT found, unnest(range(1, len(found) + 1)) AS i FROM state)),
+spelled AS (SELECT x.p AS piece, string_split(substring(x.w, 2, length(x.w) - 2), '><') AS s
+  FROM (SELECT unnest(words) AS x FROM state))"""
 BYTES_SQL = ", ".join(f"('{b:02X}', {i})" for i, b in enumerate(bpe.BYTE_ORDER))
 
 
@@ -118,7 +121,7 @@ def merges_of(spark, folder):
 
 @query(
     "bpe_train",
-    f"""WITH {MERGES_SQL} SELECT CAST(rank AS INTEGER) AS rank, l AS "left", r AS "right", l || r AS merged FROM merges""",
+    f"""WITH RECURSIVE {MERGES_SQL} SELECT CAST(rank AS INTEGER) AS rank, l AS "left", r AS "right", l || r AS merged FROM merges""",
 )
 def bpe_train(spark, folder):
     return merges_of(spark, folder)
@@ -126,10 +129,9 @@ def bpe_train(spark, folder):
 
 @query(
     "bpe_encode",
-    f"""WITH {MERGES_SQL},
+    f"""WITH RECURSIVE {MERGES_SQL},
     ids AS (SELECT symbol, min(id) AS id FROM (SELECT * FROM (VALUES {BYTES_SQL}) b(symbol, id)
       UNION ALL SELECT l || r, 256 + rank FROM merges) GROUP BY symbol),
-    spelled AS (SELECT piece, string_split(substring(word, 2, length(word) - 2), '><') AS s FROM w{N_MERGES}),
     parts AS (SELECT piece, unnest(s) AS symbol, generate_subscripts(s, 1) AS k FROM spelled),
     coded AS (SELECT piece, list(id ORDER BY k) AS ids FROM parts JOIN ids USING (symbol) GROUP BY piece),
     rows AS (SELECT doc_id, flatten(list(ids ORDER BY s, i)) AS ids FROM pieces JOIN coded USING (piece) GROUP BY doc_id)
