@@ -40,16 +40,18 @@ from pyspark.sql import Window as W
 from tokenloom.llm import kernels
 from tokenloom.llm.graphs import components
 from tokenloom.llm.shared import partitions, record_batch, stage, stage_small
+from tokenloom.session import lookup_join
 
 WORDS, PERCENT = 5, 80
 TASK_TOKENS = 1_500_000
 LIST_SPLIT, HUBS = 4096, 2
 BLOCK, COLUMNS = 256, 16_384
 TOKEN_BITS = 40
+SKETCH_BITS = 512
 SETS = "doc_id long, n_shingles long, node long"
 TOKENS = "bucket int, nodes binary, sizes binary, counts binary, tokens binary, class binary"
 COUNTS = "node long, links long"
-NODES = "node long, n int, tokens array<long>, prefix array<long>, class array<int>, first int"
+NODES = "node long, n int, tokens array<long>, prefix array<long>, class array<int>, first int, sketch array<long>"
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
@@ -95,11 +97,10 @@ def _low_bytes(token: np.ndarray) -> bytes:
     return token.view(np.uint8).reshape(-1, 8)[:, : TOKEN_BITS // 8].tobytes()
 
 
-def _emit(labels: list[int], bucket: np.ndarray, node: np.ndarray, size: np.ndarray,
-          token: np.ndarray, kind: np.ndarray | None) -> pa.RecordBatch:
+def _emit(labels: list[int], bucket: np.ndarray, node: np.ndarray, token: np.ndarray, kind: np.ndarray | None) -> pa.RecordBatch:
     """One packed row per bucket; the elements must be sorted by node."""
-    order = np.argsort(bucket.astype(np.uint16), kind="stable")
-    bucket, node, size, token = bucket[order], node[order], size[order], np.ascontiguousarray(token[order])
+    order = np.argsort(bucket.astype(np.uint16 if len(labels) <= 1 << 16 else np.int64), kind="stable")
+    bucket, node, token = bucket[order], node[order], np.ascontiguousarray(token[order])
     kind = kind[order] if kind is not None else None
     cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.empty(0, np.int64)
     rows = [[], [], [], [], [], []]
@@ -107,24 +108,43 @@ def _emit(labels: list[int], bucket: np.ndarray, node: np.ndarray, size: np.ndar
         runs = np.flatnonzero(np.r_[True, node[a + 1 : b] != node[a : b - 1]])
         rows[0].append(labels[int(bucket[a])])
         rows[1].append(node[a:b][runs].tobytes())
-        rows[2].append(size[a:b][runs].astype(np.int32).tobytes())
+        rows[2].append(b"")
         counts = np.diff(np.r_[runs, b - a])
-        rows[3].append(counts.astype(np.uint16 if counts.max() < 1 << 16 else np.int64).tobytes())
+        rows[3].append(counts.astype(_width(int(counts.max()))).tobytes())
         # The answers keep the whole token id; what is dealt by range keeps its low bytes.
         rows[4].append(_low_bytes(token[a:b]) if kind is None else token[a:b].tobytes())
         rows[5].append(kind[a:b].tobytes() if kind is not None else b"")
     return record_batch(TOKENS, *rows)
 
 
+def _width(most: int):
+    return np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.int64
+
+
+def _emit_sizes(labels: list[int], bucket: np.ndarray, node: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+    """The sizes of sets, sent once per set and not with every run of its shingles."""
+    order = np.argsort(bucket, kind="stable")
+    bucket, node, size = bucket[order], node[order], size[order]
+    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.empty(0, np.int64)
+    spans = list(zip(cuts.tolist(), np.r_[cuts[1:], len(bucket)].tolist()))
+    empty = [b""] * len(spans)
+    return record_batch(TOKENS, [labels[int(bucket[a])] for a, _ in spans], [node[a:b].tobytes() for a, b in spans],
+                        [size[a:b].astype(np.int32).tobytes() for a, b in spans], empty, empty, empty)
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
-    """node, size, token, class of all packed rows of a task; token ids are label and low bytes."""
-    parts: list[list[np.ndarray]] = [[], [], [], []]
+    """node, token, class of all packed rows of a task, and node, size of its sets; token ids are label and low bytes."""
+    parts: list[list[np.ndarray]] = [[np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.uint8)],
+                                     [np.empty(0, np.int64)], [np.empty(0, np.int32)]]
     for batch in batches:
         for r in batch.to_pylist():
             nodes = np.frombuffer(r["nodes"], np.int64)
-            counts = np.frombuffer(r["counts"], np.uint16 if len(r["counts"]) == 2 * len(nodes) else np.int64).astype(np.int64)
-            parts[0].append(np.repeat(nodes, counts))
-            parts[1].append(np.repeat(np.frombuffer(r["sizes"], np.int32), counts))
+            if r["sizes"]:
+                parts[3].append(nodes)
+                parts[4].append(np.frombuffer(r["sizes"], np.int32))
+                continue
+            width = {1: np.uint8, 2: np.uint16, 8: np.int64}[len(r["counts"]) // len(nodes)]
+            parts[0].append(np.repeat(nodes, np.frombuffer(r["counts"], width).astype(np.int64)))
             if r["class"]:
                 token = np.frombuffer(r["tokens"], np.uint64)
             else:
@@ -132,13 +152,18 @@ def _read(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
                 wide = np.zeros((len(raw), 8), np.uint8)
                 wide[:, : TOKEN_BITS // 8] = raw
                 token = wide.view(np.uint64).ravel() | np.uint64(r["bucket"] << TOKEN_BITS)
-            parts[2].append(token)
-            parts[3].append(np.frombuffer(r["class"], np.uint8))
-    if not parts[0]:
-        return (np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.uint64), np.empty(0, np.uint8))
+            parts[1].append(token)
+            parts[2].append(np.frombuffer(r["class"], np.uint8))
     return tuple(np.concatenate(p) for p in parts)
 
 
+def _sketch(tokens: np.ndarray) -> np.ndarray:
+    """Bits of a set: two sets differ in at least as many tokens as their sketches differ in bits."""
+    bits = np.zeros(SKETCH_BITS, np.uint8)
+    bits[(kernels.mix(tokens) % np.uint64(SKETCH_BITS)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def shared_tokens(docs: DataFrame, tasks: int, n: int = WORDS) -> DataFrame:
     """One row (NODES) for each set that may have a partner.
 
@@ -159,50 +184,55 @@ def shared_tokens(docs: DataFrame, tasks: int, n: int = WORDS) -> DataFrame:
                         held.append((node, found))
                         room += len(found)
             if room > TASK_TOKENS:
-                yield flush(held)
+                yield from flush(held)
                 held, room = [], 0
         if held:
-            yield flush(held)
+            yield from flush(held)
 
     def flush(held):
         sizes = np.array([len(s) for _, s in held])
         token = np.concatenate([s for _, s in held])
-        node = np.repeat(np.array([k for k, _ in held], np.int64), sizes)
-        return _emit(labels, _range_of(token, tasks), node, np.repeat(sizes, sizes), token, None)
+        nodes = np.array([k for k, _ in held], np.int64)
+        yield _emit(labels, _range_of(token, tasks), np.repeat(nodes, sizes), token, None)
+        yield _emit_sizes(labels, _range_of(nodes.view(np.uint64), tasks), nodes, sizes)
 
     def count(batches):
-        node, size, token, _ = _read(batches)
+        node, token, _, sets, sizes = _read(batches)
         order = np.argsort(token, kind="stable")
         same = token[order]
         twice = np.zeros(len(same), bool)
         twice[1:] = same[1:] == same[:-1]
         twice[:-1] |= twice[1:]
         order = order[twice]
-        node, size, token = node[order], size[order], token[order]
+        node, token = node[order], token[order]
         order = np.lexsort((node, token))
-        node, size, token = node[order], size[order], token[order]
+        node, token = node[order], token[order]
         # One set may have come from several map partitions.
         fresh = np.ones(len(token), bool)
         fresh[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
-        node, size, token = node[fresh], size[fresh], token[fresh]
+        node, token = node[fresh], token[fresh]
         starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]]) if len(token) else np.empty(0, np.int64)
         spans = np.diff(np.r_[starts, len(token)])
         often = np.repeat(spans, spans)
         kept = often > 1
         kind = np.ceil(4 * np.log2(np.maximum(often, 1))).astype(np.uint8)[kept]
-        node, size, token = node[kept], size[kept], token[kept]
+        node, token = node[kept], token[kept]
         order = np.argsort(node, kind="stable")
         node = node[order]
-        yield _emit(labels, _range_of(node.view(np.uint64), tasks), node, size[order], token[order], kind[order])
+        yield _emit(labels, _range_of(node.view(np.uint64), tasks), node, token[order], kind[order])
+        # Sizes were dealt by their sets' range already; they only pass through.
+        sets, first = np.unique(sets, return_index=True)
+        yield _emit_sizes(labels, _range_of(sets.view(np.uint64), tasks), sets, sizes[first])
 
     def gather(batches):
-        node, size, token, kind = _read(batches)
+        node, token, kind, sets, sizes = _read(batches)
+        sets, which = np.unique(sets, return_index=True)
         order = np.lexsort((token, kind, node))
-        node, size, token, kind = node[order], size[order], token[order], kind[order]
+        node, token, kind = node[order], token[order], kind[order]
         starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else np.empty(0, np.int64)
-        rows = [[], [], [], [], [], []]
-        for a, b in zip(starts.tolist(), np.r_[starts[1:], len(node)].tolist()):
-            whole = int(size[a])
+        size = sizes[which[np.searchsorted(sets, node[starts])]]
+        rows = [[], [], [], [], [], [], []]
+        for a, b, whole in zip(starts.tolist(), np.r_[starts[1:], len(node)].tolist(), size.tolist()):
             need = -(-PERCENT * whole // 100)
             first = whole - (b - a)  # shingles of this set alone come first in the order
             prefix = whole - need + 1
@@ -214,9 +244,10 @@ def shared_tokens(docs: DataFrame, tasks: int, n: int = WORDS) -> DataFrame:
             rows[3].append(token[a : a + prefix - first].view(np.int64))
             rows[4].append(kind[a : a + prefix - first].astype(np.int32))
             rows[5].append(first)
+            rows[6].append(_sketch(token[a:b]))
             if len(rows[0]) == 2000:
                 yield record_batch(NODES, *rows)
-                rows = [[], [], [], [], [], []]
+                rows = [[], [], [], [], [], [], []]
         if rows[0]:
             yield record_batch(NODES, *rows)
 
@@ -225,11 +256,22 @@ def shared_tokens(docs: DataFrame, tasks: int, n: int = WORDS) -> DataFrame:
 
 
 def verify(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Those of `pairs` (a, b) whose sets are similar enough."""
-    side = lambda k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("tokens").alias(f"t{k}"))
-    both = F.size(F.array_intersect("ta", "tb"))
-    return (pairs.distinct().join(side("a"), "a").join(side("b"), "b")
-            .filter(100 * both >= PERCENT * (F.col("na") + F.col("nb") - both)).select("a", "b"))
+    """Those of `pairs` (a, b) whose sets are similar enough.
+
+    The sketches of two sets bound their overlap from above, so only pairs within the bound fetch all tokens.
+    """
+    def side(k: str, *columns: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), *[F.col(c).alias(f"{c}{k}") for c in columns])
+
+    def alike(both):
+        return 100 * both >= PERCENT * (F.col("na") + F.col("nb") - both)
+
+    apart = F.aggregate(F.zip_with("sketcha", "sketchb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    most = (F.col("na") - F.col("firsta") + F.col("nb") - F.col("firstb") - apart) / 2
+    pairs = (pairs.distinct().join(side("a", "first", "sketch"), "a").join(side("b", "first", "sketch"), "b")
+             .filter(alike(most)).select("a", "b"))
+    both = F.size(F.array_intersect("tokensa", "tokensb"))
+    return pairs.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b").filter(alike(both)).select("a", "b")
 
 
 def _fits(a: str, b: str):
@@ -406,14 +448,17 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, with_links: bool = False) -
     tasks = max(partitions(spark), -(-total // TASK_TOKENS))
     nodes = stage(shared_tokens(docs, tasks, n), "sets")
     found = stage_small(node_links(nodes), "components")
-    placed = sets.join(found, "node", "left").withColumn("_c", F.coalesce("component", "node"))
-    least = placed.filter("node != 0").groupBy("_c").agg(F.min("doc_id").alias("_least"))
-    columns = ["doc_id", "n_shingles",
-               F.when(F.col("node") == 0, F.col("doc_id")).otherwise(F.col("_least")).alias("component_id")]
-    placed = placed.join(least, "_c", "left")
+    # One row per set, then one per component; rows of hot sets and sets of hot components are salted.
+    own = sets.filter("node != 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    own = stage_small(own.join(found, "node", "left").filter("copies > 1 or component is not null"), "own")
+    least = own.filter("component is not null").groupBy("component").agg(F.min("least").alias("_least"))
+    known = lookup_join(own, least, ["component"], "left", ["node"]).select(
+        "node", "copies", F.coalesce("_least", "least").alias("component_id"))
+    columns = ["doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")]
     if with_links:
-        copies = stage_small(sets.filter("node != 0").groupBy("node").agg(F.count("*").alias("copies")), "copies")
-        links = stage_small(link_counts(nodes, found, copies), "counts")
-        placed = placed.join(copies, "node", "left").join(links, "node", "left")
+        linked = own.filter("component is not null").select("node", "copies")
+        links = stage_small(link_counts(nodes, found, linked), "counts")
+        known = known.join(links, "node", "left")
         columns.append((F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    placed = lookup_join(sets, stage_small(known, "known"), ["node"], "left", ["doc_id"])
     return placed.select(*columns)
