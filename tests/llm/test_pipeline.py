@@ -1,8 +1,9 @@
+import random
 from pathlib import Path
 
 import brute
 import pytest
-from conftest import SCHEMA
+from conftest import SCHEMA, prose
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -51,9 +52,26 @@ def test_stages_take_nulls_repeats_and_nothing(spark, edge, nothing, tmp_path):
             assert apply(spark, frame.select(*[f.name for f in SCHEMA]), FOLDER).count() >= 0
 
 
+def test_rows_are_decided_one_by_one(spark, monkeypatch):
+    """Rows that share a doc_id, or have none, are judged by their own text."""
+    rng = random.Random(3)
+    one, two, item = prose(rng, 80), prose(rng, 80), prose(rng, 40)
+    rows = [(1, one, "en", "a", 1), (2, one, "en", "a", 2), (2, two, "en", "b", 3), (2, two, "en", "a", 3), (None, two, "fr", "a", 3),
+            (None, one + " " + item, "en", "a", 0), (3, item, "en", "a", 0), (3, prose(rng, 50), "en", "a", 5), (None, None, "en", "a", 0),
+            (None, None, "en", "a", 0), (4, "", "en", "a", 0), (5, "", "en", "a", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    stages = dict(corpus_pipeline.STAGES)
+    kept = [tuple(r) for r in stages["near_duplicates"](spark, docs, FOLDER).collect()]
+    expected = [rows[0], rows[3], *rows[5:9], *rows[10:]]
+    assert sorted(kept, key=str) == sorted(expected, key=str)
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: spark.createDataFrame([(1, item)], "item_id long, text string"))
+    clean = [tuple(r) for r in stages["decontamination"](spark, docs, FOLDER).collect()]
+    assert sorted(clean, key=str) == sorted(rows[:5] + rows[7:], key=str)
+
+
 def test_one_query_for_each_operator():
     names = list(entry.queries())
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
 
 
 def test_nothing_else_imports_the_subpackage():

@@ -13,9 +13,9 @@
 A group of near copies has a posting list as long as the group, so pairs are not taken from it at
 once. First every list ties its members to its most central ones (those with the fewest shingles of
 their own). Then, with the components known so far, every list ties one member of each component to
-its most central one. Last come all pairs of groups in different components, where a pair is taken
-from the list of its first common shingle only. That is the whole join less the pairs that could not
-change a component.
+its most central one. Last come all pairs of groups in different components, each kept once whatever
+number of shingles it shares, and verified by sketch before the tokens are fetched. That is the whole join
+less the pairs that could not change a component.
 
 The links inside components are counted beside it (`link_counts`). The sets of a component are dealt to
 blocks of BLOCK; two blocks that have members in one posting list make a cell, to which just those
@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -48,7 +48,7 @@ LIST_SPLIT, HUBS = 4096, 2
 BLOCK, COLUMNS = 256, 16_384
 TOKEN_BITS = 40
 SKETCH_BITS = 512
-SETS = "doc_id long, n_shingles long, node long"
+SETS = "doc_id long, n_shingles long, node long, carried long"
 TOKENS = "bucket int, nodes binary, sizes binary, counts binary, tokens binary, class binary"
 COUNTS = "node long, links long"
 NODES = "node long, n int, tokens array<long>, prefix array<long>, class array<int>, first int, sketch array<long>"
@@ -60,7 +60,7 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.Array,
         for a, b in kernels.pieces(offsets):
             part = data[offsets[a] : offsets[b]]
             _, _, hashes, bounds = kernels.words(part, offsets[a : b + 1] - offsets[a], fold=True)
-            yield batch.column("doc_id").slice(a, b - a), kernels.shingles(hashes, bounds, n)
+            yield batch.slice(a, b - a), kernels.shingles(hashes, bounds, n)
 
 
 def _signature(found: np.ndarray) -> int:
@@ -71,14 +71,16 @@ def _signature(found: np.ndarray) -> int:
     return int(kernels.mix(kernels.mix(found ^ place).sum(dtype=np.uint64, keepdims=True)).view(np.int64)[0])
 
 
-def signatures(docs: DataFrame, n: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, node) of every row; node 0 is the empty set."""
+def signatures(docs: DataFrame, n: int = WORDS, carry: Column | None = None) -> DataFrame:
+    """(doc_id, n_shingles, node, carried) of every row; node 0 is the empty set, `carried` a long of the row."""
 
     def run(batches):
-        for ids, sets in _sets(batches, n):
-            yield record_batch(SETS, ids, [len(s) for s in sets], [_signature(s) for s in sets])
+        for rows, sets in _sets(batches, n):
+            yield record_batch(SETS, rows.column("doc_id"), [len(s) for s in sets], [_signature(s) for s in sets],
+                               rows.column("carried"))
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SETS)
+    carried = F.lit(None) if carry is None else carry
+    return docs.select(F.col("doc_id").cast("long"), "text", carried.cast("long").alias("carried")).mapInArrow(run, SETS)
 
 
 def _labels(spark, tasks: int) -> list[int]:
@@ -413,12 +415,9 @@ def node_links(nodes: DataFrame) -> DataFrame:
     largest = sizes.groupBy("token").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("cs"))
     largest = largest.filter("cs > 1").select("token", F.col("m.c").alias("main"))
     held = stage(held.join(largest, "token"), "open")
-    # Only what is still open carries its prefix along, to tell a pair's first common shingle.
-    held = held.join(groups.select("g", "prefix"), "g")
     x, y = held.filter("c != main").alias("x"), held.alias("y")
     once = (F.col("y.c") == F.col("y.main")) | (F.col("x.c") < F.col("y.c"))
-    first = F.get(F.array_intersect("x.prefix", "y.prefix"), F.lit(0)) == F.col("x.token")
-    meet = (F.col("x.token") == F.col("y.token")) & (F.col("x.c") != F.col("y.c")) & once & _fits("x", "y") & first
+    meet = (F.col("x.token") == F.col("y.token")) & (F.col("x.c") != F.col("y.c")) & once & _fits("x", "y")
     pairs = x.join(y, meet).select(F.col("x.g").alias("ga"), F.col("x.c").alias("ca"),
                                     F.col("y.g").alias("gb"), F.col("y.c").alias("cb")).distinct()
     side = lambda k: placed.select(F.col("g").alias(f"g{k}"), F.col("c").alias(f"c{k}"), F.col("node").alias(k))
@@ -433,17 +432,18 @@ def node_links(nodes: DataFrame) -> DataFrame:
     return components(links)
 
 
-def near_duplicates(docs: DataFrame, n: int = WORDS, with_links: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, n: int = WORDS, with_links: bool = False, carry: Column | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of `docs` (doc_id, text; more is ignored).
 
     With `with_links` also n_links, the number of other rows that a row is linked to, its copies included.
+    With `carry`, a long made from the columns of `docs`, also `carried`, to tell rows of one doc_id apart.
 
     Null and empty texts have no shingles and stand alone: component_id is their own doc_id, as for
     any document without a link. Rows with a null doc_id keep it; a component's id is the smallest
     doc_id that is not null. Repeated rows are returned as often as they come.
     """
     spark = docs.sparkSession
-    sets = stage(signatures(docs, n), "signatures")
+    sets = stage(signatures(docs, n, carry), "signatures")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     tasks = max(partitions(spark), -(-total // TASK_TOKENS))
     nodes = stage(shared_tokens(docs, tasks, n), "sets")
@@ -455,6 +455,7 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, with_links: bool = False) -
     known = lookup_join(own, least, ["component"], "left", ["node"]).select(
         "node", "copies", F.coalesce("_least", "least").alias("component_id"))
     columns = ["doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")]
+    columns += [] if carry is None else ["carried"]
     if with_links:
         linked = own.filter("component is not null").select("node", "copies")
         links = stage_small(link_counts(nodes, found, linked), "counts")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.session import stage  # noqa: F401
+from tokenloom.session import fits, stage  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +31,17 @@ def stage_small(df: DataFrame, label: str) -> DataFrame:
     return stage(df.coalesce(max(8, partitions(df.sparkSession) // 8)), label)
 
 
+def without(rows: DataFrame, gone: DataFrame, on: dict[str, Column]) -> DataFrame:
+    """`rows` that `gone` does not list; `on` maps its columns to expressions over `rows`, null equal to null.
+
+    A list within the broadcast bound goes to the rows, which then stay where they are; beyond it both are shuffled.
+    """
+    listed = stage_small(gone.select(*[F.col(c).alias(f"_gone_{c}") for c in on]).distinct(), "gone")
+    listed = F.broadcast(listed) if fits(listed) else listed
+    met = reduce(and_, [value.eqNullSafe(F.col(f"_gone_{c}")) for c, value in on.items()])
+    return rows.join(listed, met, "left_anti")
+
+
 def mixed(*columns: Column, seed: int) -> Column:
     """A reproducible 64-bit hash."""
     return F.xxhash64(F.lit(seed), *columns)
