@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.llm import decontaminate, jaccard, mixing, quality, sharding
 from tokenloom.llm.queries import REJECT_BELOW, SHARDS, old_layout
-from tokenloom.llm.shared import stage, table
+from tokenloom.llm.shared import stage, table, without
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,28 +26,35 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, votes).filter(F.col("score") >= REJECT_BELOW).select(*columns)
 
 
+def _text_key():
+    """Tells rows of one doc_id apart."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
 def keep_one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: of each group of near duplicates the smallest doc_id stays.
 
-    Rows repeated with one doc_id stay once. Documents without words are duplicates of nothing; rows
-    without a doc_id stay.
+    Rows are decided one by one, so different texts that share a doc_id do not hide each other. Of rows with
+    one doc_id and text, the least in order of all columns stays. Documents without words are duplicates of nothing.
+    A row without a doc_id goes if its group has a doc_id; else its text stays once.
     """
-    found = stage(jaccard.near_duplicates(docs.select("doc_id", "text")), "classes")
-    dropped = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    named = kept.filter("doc_id is not null").dropDuplicates(["doc_id"]) if _repeats(found) else kept
-    return named.unionByName(kept.filter("doc_id is null")) if named is not kept else kept
-
-
-def _repeats(found: DataFrame) -> bool:
-    """Whether a doc_id comes more than once."""
-    return bool(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count())
+    found = stage(jaccard.near_duplicates(docs.select("doc_id", "text"), carry=_text_key()), "classes")
+    dropped = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "carried")
+    kept = without(docs, dropped, {"doc_id": F.col("doc_id"), "carried": _text_key()})
+    if not found.groupBy("doc_id", "carried").count().filter("count > 1").limit(1).count():
+        return kept
+    least = kept.groupBy("doc_id", _text_key().alias("_key")).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return least.select("row.*")
 
 
 def drop_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark decontamination: documents that contain a test item go."""
-    hit = decontaminate.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return docs.join(hit.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Benchmark decontamination: rows whose text contains a test item go.
+
+    A text key stands for the row, so a row without a doc_id or with a repeated one is judged by its own text.
+    """
+    keyed = docs.select(_text_key().alias("doc_id"), "text")
+    hit = decontaminate.contaminated(keyed, table(spark, sf_dir, "benchmark"))
+    return without(docs, hit, {"doc_id": _text_key()})
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
