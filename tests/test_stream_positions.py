@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tokenloom.operators import packing, positions, splits
+from tokenloom.operators import packing, splits
 from tokenloom.operators.positions import running_sums, stream_index
 
 
@@ -20,13 +20,16 @@ def indexed(docs):
     return stream_index(docs, "doc_id", F.size("ids"))
 
 
+def blocks(docs, T, block=packing.BLOCK):
+    return packing.token_blocks(docs, "doc_id", T, block=block)
+
+
 def naive_windows(total, B, T):
     rows = max(0, total - 1) // (B * T) * B
     return {w: (list(range(w * T, w * T + T)), list(range(w * T + 1, w * T + T + 1))) for w in range(rows)}
 
 
-def test_offsets_of_scattered_keys(spark, monkeypatch):
-    monkeypatch.setattr(positions, "ROWS_PER_BUCKET", 7)
+def test_offsets_of_scattered_keys(spark):
     rng = random.Random(1)
     ids = sorted(rng.sample(range(10**12), 150) + list(range(100)))
     sizes = [rng.choice([0, 0, 1, 5, 40]) for _ in ids]
@@ -45,10 +48,11 @@ def test_offsets_of_scattered_keys(spark, monkeypatch):
 def test_windows_are_slices_of_the_stream(spark, total, shape):
     sizes = {"one": [total], "ones": [1] * total, "mixed": [min(3, total), 0, max(0, total - 3)]}[shape]
     docs = docs_of(spark, sizes or [0])
-    made = packing.pack_windows(docs, indexed(docs), 2, 4).collect()
-    assert {r["window_id"]: (r["x"], r["y"]) for r in made} == naive_windows(total, 2, 4)
-    assert len(made) == len({r["window_id"] for r in made})
-    assert all((r["batch_id"], r["row"]) == divmod(r["window_id"], 2) for r in made)
+    for block in (1, 3, 4, 7, 1000):
+        made = packing.pack_windows(blocks(docs, 4, block), 2).collect()
+        assert {r["window_id"]: (r["x"], r["y"]) for r in made} == naive_windows(total, 2, 4)
+        assert len(made) == len({r["window_id"] for r in made})
+        assert all((r["batch_id"], r["row"]) == divmod(r["window_id"], 2) for r in made)
 
 
 def test_a_document_with_most_tokens_and_partitions(spark):
@@ -56,7 +60,7 @@ def test_a_document_with_most_tokens_and_partitions(spark):
     expected = naive_windows(sum(sizes), 4, 8)
     for parts in (1, 4, 32):
         docs = docs_of(spark, sizes, parts=parts)
-        made = packing.pack_windows(docs, indexed(docs), 4, 8).collect()
+        made = packing.pack_windows(blocks(docs, 8, 30), 4).collect()
         assert {r["window_id"]: (r["x"], r["y"]) for r in made} == expected
 
 
@@ -70,14 +74,49 @@ def test_random_windows_repeat_and_stay_inside(spark):
         assert 20 <= r["start"] < 90 - 7
         assert r["x"] == list(range(r["start"], r["start"] + 7))
         assert r["y"] == [i + 1 for i in r["x"]]
+    joined = packing.random_windows(docs, index, 200, 7, 1, 20, 90, max_rows=0).collect()
+    assert all(first[r["sample_id"]] == r for r in joined) and len(joined) == 200
     with pytest.raises(ValueError):
         packing.random_windows(docs, index, 1, 7, 1, 0, 7)
 
 
+@pytest.mark.parametrize("max_rows", [0, 1000])
+def test_only_documents_under_a_sample_are_encoded(spark, max_rows):
+    rng = random.Random(6)
+    sizes = [rng.choice([0, 1, 2, 9, 60]) for _ in range(80)]
+    docs = docs_of(spark, sizes).withColumnRenamed("ids", "hidden")
+    index = stream_index(docs, "doc_id", F.size("hidden"))
+    begins = [0, 5, 5, index.total // 2, index.total - 8]
+    samples = spark.createDataFrame(list(enumerate(begins)), "sample_id bigint, begin bigint")
+    ends = [sum(sizes[: i + 1]) for i in range(len(sizes))]
+    met = [i for i, e in enumerate(ends) if any(b < e and b + 7 >= e - sizes[i] for b in begins) and sizes[i]]
+
+    def encode(df):
+        wrong = F.raise_error(F.concat(F.lit("not under a sample: "), F.col("doc_id").cast("string"))).cast("array<bigint>")
+        return df.withColumn("ids", F.when(F.col("doc_id").isin(met), F.col("hidden")).otherwise(wrong))
+
+    made = packing.windows_at(docs, index, samples, 7, encode, max_rows).collect()
+    assert {r["sample_id"]: (r["x"], r["y"]) for r in made} == {
+        i: (list(range(b, b + 7)), list(range(b + 1, b + 8))) for i, b in enumerate(begins)}
+
+
+def test_one_scan_and_one_encoding(spark):
+    docs = docs_of(spark, [5] * 40)
+    read = spark.sparkContext.accumulator(0)
+
+    def encode(df):
+        count = F.udf(lambda ids: read.add(1) or ids, "array<int>").asNondeterministic()
+        return df.withColumn("ids", count("ids"))
+
+    stream = packing.token_blocks(docs, "doc_id", 4, encode)
+    assert packing.pack_windows(stream, 2).count() == len(naive_windows(200, 2, 4))
+    assert read.value == 40
+
+
 def test_prefixes_and_cursor_and_plan(spark):
     docs = docs_of(spark, [17])
     index = indexed(docs)
-    windows = packing.pack_windows(docs, index, 2, 4)
+    windows = packing.pack_windows(blocks(docs, 4), 2)
     prefixes = packing.prefix_expand(windows.filter("window_id = 1")).orderBy("t").collect()
     assert [(r["context"], r["target"]) for r in prefixes] == [
         ([4], 5), ([4, 5], 6), ([4, 5, 6], 7), ([4, 5, 6, 7], 8)
@@ -125,9 +164,24 @@ def test_running_sums_in_blocks(spark):
         assert got == {(s, t): sum(u + s for u in range(t + 1)) for s, t, _ in rows}
 
 
+def test_streams_of_several_keys(spark):
+    rng = random.Random(3)
+    rows = [(d, rng.choice("aab"), list(range(100 * d, 100 * d + rng.choice([0, 1, 4, 30])))) for d in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, ids array<int>").repartition(5)
+    for block in (2, 9, 500):
+        stream = packing.token_blocks(docs, "doc_id", 4, by=("source",), block=block)
+        got = {(r["source"], r["window_id"]): r["run"] for r in packing.cut_windows(stream).collect()}
+        expected = {}
+        for source in "ab":
+            tokens = [t for _, s, ids in rows if s == source for t in ids]
+            expected |= {(source, w): tokens[4 * w : 4 * w + 5] for w in range((len(tokens) - 1) // 4)}
+        assert got == expected
+        assert dict(map(tuple, stream.totals.collect())) == {s: sum(len(r[2]) for r in rows if r[1] == s) for s in "ab"}
+
+
 def test_corpus_rows_never_meet_in_one_task(spark):
     docs = docs_of(spark, [5] * 40)
-    plan = packing.pack_windows(docs, indexed(docs), 2, 4)._jdf.queryExecution().executedPlan().toString()
+    plan = packing.pack_windows(blocks(docs, 4), 2)._jdf.queryExecution().executedPlan().toString()
     for part in plan.split("SinglePartition")[1:]:
-        # What meets in one task is already summed per bucket.
-        assert "partial_sum(size" in part.split("Exchange")[1] or "HashAggregate(keys=[bucket" in part[:400]
+        # What meets in one task is already summed per part.
+        assert "HashAggregate(keys=[part" in part[:400]

@@ -1,12 +1,12 @@
 import datetime as dt
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
 
 from tokenloom.operators import packing, vocab
-from tokenloom.operators.positions import stream_index
 from tokenloom.streaming.metrics import append_to, metrics_windows
-from tokenloom.streaming.packing import pack_stream
+from tokenloom.streaming.packing import LEFT, pack_batch, pack_stream, packed_windows
 from tokenloom.streaming.vocab import current_counts, follow_counts
 
 METRICS = "run_id bigint, step bigint, ts timestamp, name string, value double"
@@ -48,37 +48,55 @@ def test_word_counts_over_batches_equal_one_count(spark, tmp_path):
     assert sorted(map(tuple, current_counts(spark, out).collect())) == sorted(map(tuple, whole.collect()))
 
 
-def test_packing_keeps_every_token(spark, tmp_path):
-    schema = "doc_id bigint, source string, ids array<int>"
-    docs = [(d, "big" if d % 3 else "small", list(range(d * 100, d * 100 + d % 7))) for d in range(60)]
+def windows_of(tokens, T):
+    return [(tokens[w * T : w * T + T], tokens[w * T + 1 : w * T + T + 1]) for w in range(max(0, len(tokens) - 1) // T)]
+
+
+def packed(spark, out):
+    found = {}
+    for r in packed_windows(spark, out).collect():
+        found.setdefault(r["source"], {})[r["window_id"]] = (r["x"], r["y"])
+    return {s: [w[i] for i in range(len(w))] for s, w in found.items()}
+
+
+DOCS = "doc_id bigint, source string, ids array<int>"
+
+
+def test_packing_goes_on_where_the_last_run_ended(spark, tmp_path):
+    """Three runs of several files, some sources silent or too short for a window in a run."""
+    rng = random.Random(1)
+    docs = [(d, rng.choice(["big", "big", "small", "", None]), list(range(d * 100, d * 100 + rng.choice([0, 1, 3, 17])))) for d in range(90)]
+    docs = [d if not (30 <= d[0] < 60 and d[1] == "small") else (d[0], "big", d[2]) for d in docs] + [(95, "late", [7])]
     source, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
-    T = 4
-    for part in (docs[:25], docs[25:]):
-        add_file(spark, part, schema, source)
-        stream = spark.readStream.schema(schema).parquet(str(source))
-        append_to(pack_stream(stream, T, shards=3), out, state).awaitTermination()
-    rows = spark.read.parquet(out).collect()
-    tokens = Counter(t for r in rows for t in r["x"])
-    assert max(tokens.values()) == 1 and set(tokens) <= {t for d in docs for t in d[2]}
-    keyed = {}
-    for r in rows:
-        assert len(r["x"]) == len(r["y"]) == T and r["x"][1:] == r["y"][:-1]
-        keyed.setdefault((r["source"], r["shard"]), {})[r["window_id"]] = r
-    for windows in keyed.values():
-        assert sorted(windows) == list(range(len(windows)))
-        assert all(windows[i]["y"][-1] == windows[i + 1]["x"][0] for i in range(len(windows) - 1))
-    left = sum(len(d[2]) for d in docs) - len(tokens)
-    assert 0 <= left <= len(keyed) * T
-
-
-def test_one_shard_and_batch_equals_batch_packing(spark, tmp_path):
-    schema = "doc_id bigint, source string, ids array<int>"
+    streams = {}
+    for part in (docs[:30], docs[30:60], docs[60:]):
+        for half in (part[::2], part[1::2]):
+            add_file(spark, half, DOCS, source)
+        pack_stream(spark.readStream.schema(DOCS).parquet(str(source)), out, state, 4).awaitTermination()
+        for _, s, ids in sorted(part, key=lambda d: d[0]):
+            streams.setdefault(s or "", []).extend(ids)
+        assert packed(spark, out) == {s: windows_of(t, 4) for s, t in streams.items() if len(t) > 4}
+    pack_stream(spark.readStream.schema(DOCS).parquet(str(source)), out, state, 4).awaitTermination()
+    assert packed(spark, out) == {s: windows_of(t, 4) for s, t in streams.items() if len(t) > 4}
+
+
+def test_a_repeated_batch_changes_nothing(spark):
+    left = spark.createDataFrame([("a", 3, [1, 2]), ("b", 0, [])], LEFT)
+    docs = spark.createDataFrame([(1, "a", [3, 4, 5]), (2, "a", [6] * 9), (3, "c", [])], DOCS)
+    for _ in range(2):
+        windows, after = pack_batch(docs, left, 4)
+        tokens = [1, 2, 3, 4, 5] + [6] * 9
+        assert sorted((r["window_id"], r["x"], r["y"]) for r in windows.collect()) == [
+            (3 + w, x, y) for w, (x, y) in enumerate(windows_of(tokens, 4))]
+        assert {r["source"]: (r["next_id"], r["ids"]) for r in after.collect()} == {
+            "a": (6, tokens[12:]), "b": (0, []), **({"c": (0, [])} if any(r["source"] == "c" for r in after.collect()) else {})}
+
+
+def test_one_batch_equals_batch_packing(spark, tmp_path):
     docs = [(d, "s", [d] * (d % 5)) for d in range(30)]
     source, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
-    add_file(spark, docs, schema, source)
-    stream = spark.readStream.schema(schema).parquet(str(source))
-    append_to(pack_stream(stream, 4, shards=1), out, state).awaitTermination()
-    df = spark.createDataFrame(docs, schema)
-    batch = packing.pack_windows(df, stream_index(df, "doc_id", F.size("ids")), 1, 4)
+    add_file(spark, docs, DOCS, source)
+    pack_stream(spark.readStream.schema(DOCS).parquet(str(source)), out, state, 4).awaitTermination()
+    batch = packing.pack_windows(packing.token_blocks(spark.createDataFrame(docs, DOCS), "doc_id", 4), 1)
     expected = {r["window_id"]: (r["x"], r["y"]) for r in batch.collect()}
-    assert {r["window_id"]: (r["x"], r["y"]) for r in spark.read.parquet(out).collect()} == expected
+    assert dict(enumerate(packed(spark, out)["s"])) == expected

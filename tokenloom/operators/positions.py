@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.session import stage
 
-MAX_BUCKETS = 1024
-ROWS_PER_BUCKET = 50_000
 PART_BITS = 33  # low bits of a generated row id, which count rows inside one part
 HASH_DIGITS = 4  # 65,536 buckets of a hash order
 
@@ -36,37 +38,39 @@ class StreamIndex:
         return row[self.key], position - row["offset"]
 
 
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the task's number and the sum of `size` over the rows before."""
+    part, total = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        sizes = batch.column("size").to_numpy(zero_copy_only=False)
+        upto = total + np.cumsum(sizes)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(np.full(len(sizes), part, np.int32)), pa.array(upto - sizes)],
+            [*batch.schema.names, "part", "before"])
+        total = int(upto[-1]) if len(upto) else total
+
+
+def part_starts(sized: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """`(…by, part, start)`: the sum of `size` in all earlier parts. One row per part reaches a task."""
+    by = by or []
+    before = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = sized.groupBy(*by, "part").agg(F.sum("size").alias("size"))
+    return totals.select(*by, "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+
+
 def stream_index(sizes: DataFrame, key: str, size: Column) -> StreamIndex:
     """Running total of `size` in `key` order, in two phases.
 
-    The (key, size) table, far smaller than the text, is staged once. Cut points from one
-    quantile aggregate split the keys into buckets of about equal count; bucket totals are summed
-    first, then rows only within their bucket. `key` must be a unique number.
+    The (key, size) table, far smaller than the text, is sorted by range, and each task adds up its own
+    rows as it writes them. Parts then start where the totals of earlier parts end. The number of
+    parts follows the rows, and only one row per part meets in a task. `key` must be a unique number.
     """
-    sized = stage(sizes.select(F.col(key), size.cast("bigint").alias("size")), "sizes")
-    fractions = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-    stats = sized.agg(
-        F.count("*").alias("n"),
-        F.coalesce(F.sum("size"), F.lit(0)).alias("total"),
-        F.percentile_approx(key, fractions, 20_000).alias("cuts"),
-    ).first()
-    buckets = min(MAX_BUCKETS, -(-stats["n"] // ROWS_PER_BUCKET) + 7)
-    cuts = sorted(set((stats["cuts"] or [])[:: max(1, MAX_BUCKETS // buckets)]))
-    below = F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(key)) if cuts else F.array()
-    placed = sized.withColumn("bucket", F.size(below))
-
-    # At most MAX_BUCKETS rows, so one task may order them.
-    by_bucket = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy("bucket").agg(F.sum("size").alias("size")).select(
-        "bucket", F.coalesce(F.sum("size").over(by_bucket), F.lit(0)).alias("start")
-    )
-    in_bucket = Window.partitionBy("bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.withColumn("before", F.coalesce(F.sum("size").over(in_bucket), F.lit(0)))
-        .join(F.broadcast(starts), "bucket")
-        .select(key, "size", (F.col("start") + F.col("before")).alias("offset"))
-    )
-    return StreamIndex(offsets, key, stats["total"])
+    rows = sizes.select(F.col(key), size.cast("bigint").alias("size")).repartitionByRange(key).sortWithinPartitions(key)
+    kind = rows.schema[key].dataType.simpleString()
+    sized = stage(rows.mapInArrow(_numbered, f"`{key}` {kind}, size bigint, part int, before bigint"), "sizes")
+    offsets = sized.join(F.broadcast(part_starts(sized)), "part").select(
+        key, "size", (F.col("start") + F.col("before")).alias("offset"))
+    return StreamIndex(offsets, key, sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0])
 
 
 def dense_order(df: DataFrame, *order: Column | str, into: str = "idx") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.text import char_tokens, word_tokens
 from tokenloom.operators import packing, splits, vocab
+from tokenloom.operators.packing import Encoder
 from tokenloom.operators.encode import decode_chars, decode_words, encode_chars, encode_words
 from tokenloom.operators.positions import StreamIndex, stream_index
 from tokenloom.plans.registry import CHARS_SQL, as_text, query, vocab_sql, whole, words_sql
@@ -23,16 +24,23 @@ def corpus(spark: SparkSession, folder: str) -> DataFrame:
     return read_corpus(spark, f"{folder}/documents.parquet")
 
 
-def char_stream(spark: SparkSession, folder: str, placed: bool = False) -> tuple[DataFrame, DataFrame, StreamIndex]:
-    """Documents as character ids, the vocabulary, and where the documents lie in the stream.
+def char_texts(spark: SparkSession, folder: str) -> tuple[DataFrame, Encoder]:
+    """Documents as text, and what makes them character ids."""
+    docs = corpus(spark, folder)
+    chars = stage(vocab.char_vocab(docs), "chars")
+    return docs, lambda df: encode_chars(df, chars)
+
+
+def char_blocks(spark: SparkSession, folder: str, T: int) -> packing.TokenBlocks:
+    docs, encode = char_texts(spark, folder)
+    return packing.token_blocks(docs, "doc_id", T, encode)
 
-    `placed` documents carry their offset, for packing.
-    """
+
+def char_stream(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, StreamIndex]:
+    """Documents as character ids, the vocabulary, and where the documents lie in the stream."""
     docs = corpus(spark, folder)
     chars = stage(vocab.char_vocab(docs), "chars")
-    index = stream_index(docs, "doc_id", F.length("text"))
-    texts = index.attach(docs) if placed else docs
-    return encode_chars(texts, chars).drop("text"), chars, index
+    return encode_chars(docs, chars).drop("text"), chars, stream_index(docs, "doc_id", F.length("text"))
 
 
 @query("corpus_scan", "SELECT doc_id, text FROM documents")
@@ -204,8 +212,7 @@ WINDOWS_SQL = f"{CHARS_SQL}, {_windows_sql(B, T)}"
 
 @query("pack_windows", f"WITH {WINDOWS_SQL} SELECT * FROM windows")
 def pack_windows(spark, folder):
-    docs, _, index = char_stream(spark, folder, placed=True)
-    return packing.pack_windows(docs, index, B, T).select(
+    return packing.pack_windows(char_blocks(spark, folder, T), B).select(
         "window_id", "batch_id", "row", as_text("x").alias("x"), as_text("y").alias("y")
     )
 
@@ -311,8 +318,9 @@ def split_leakage(spark, folder):
     FROM wanted JOIN stream USING (pos) GROUP BY sample_id, start""",
 )
 def random_windows(spark, folder):
-    docs, _, index = char_stream(spark, folder, placed=True)
-    sampled = packing.random_windows(docs, index, index.total // 1000, T, SEED)
+    docs, encode = char_texts(spark, folder)
+    index = stream_index(docs, "doc_id", F.length("text"))
+    sampled = packing.random_windows(docs, index, index.total // 1000, T, SEED, encode=encode)
     return sampled.select("sample_id", "start", as_text("x").alias("x"), as_text("y").alias("y"))
 
 
@@ -324,9 +332,9 @@ def random_windows(spark, folder):
     SELECT step, epoch, batch_id, "row", x, y FROM steps JOIN windows USING (batch_id)""",
 )
 def batch_cursor(spark, folder):
-    docs, _, index = char_stream(spark, folder, placed=True)
-    windows = packing.pack_windows(docs, index, B, T)
-    n_batches = max(0, index.total - 1) // (B * T)
+    stream = char_blocks(spark, folder, T)
+    windows = packing.pack_windows(stream, B)
+    n_batches = max(0, stream.total - 1) // (B * T)
     stepped = packing.batches_for_steps(windows, n_batches, 5, n_batches + 3)
     return stepped.select("step", "epoch", "batch_id", "row", as_text("x").alias("x"), as_text("y").alias("y"))
 
@@ -354,9 +362,9 @@ def prefix_examples(spark, folder):
     turns = spread(table(spark, folder, "conversations")).select(
         turn_key(F.col("conv_id"), F.col("turn")).alias("doc_id"), "text"
     )
-    docs = encode_chars(turns, vocab.char_vocab(turns))
-    index = stream_index(turns, "doc_id", F.length("text"))
-    windows = packing.pack_windows(docs, index, 4, 8).select("window_id", "x", "y")
+    chars = stage(vocab.char_vocab(turns), "chars")
+    stream = packing.token_blocks(turns, "doc_id", 8, lambda df: encode_chars(df, chars))
+    windows = packing.pack_windows(stream, 4).select("window_id", "x", "y")
     return packing.prefix_expand(windows).select(
         "window_id", *whole("t"), as_text("context").alias("context"), *whole("target")
     )

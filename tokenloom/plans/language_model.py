@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tokenloom.operators import bigram, generate, ngram, packing, splits
-from tokenloom.operators.encode import decode_chars
-from tokenloom.plans.corpus import B, SEED, T, char_stream
+from tokenloom.operators.encode import decode_chars, encode_chars
+from tokenloom.plans.corpus import B, SEED, T, char_stream, corpus
 from tokenloom.plans.registry import CHARS_SQL, as_text, query, six, whole
 from tokenloom.session import stage
 
@@ -71,7 +71,6 @@ def bigram_loss(spark, folder):
 )
 def uniform_baseline(spark, folder):
     from tokenloom.operators.vocab import char_vocab
-    from tokenloom.plans.corpus import corpus
 
     loss = bigram.uniform_loss(char_vocab(corpus(spark, folder)))
     return loss.select("vocab_size", six(F.col("uniform_nll")).alias("uniform_nll"))
@@ -100,14 +99,16 @@ def _sampled_sql(split: str, low: str, high: str, seed: int) -> str:
     SELECT split, count(*) AS batches, round(avg(loss), 6) AS loss FROM batches GROUP BY split""",
 )
 def split_loss(spark, folder):
-    docs, chars, index, _, _, train = _split_counts(spark, folder)
+    _, chars, index, _, _, train = _split_counts(spark, folder)
     cut = int(0.9 * index.total)
     n = EVAL_BATCHES * B
-    sampled = packing.random_windows(docs, index, n, T, SEED, 0, cut).withColumn("split", F.lit("train"))
-    val = packing.random_windows(docs, index, n, T, SEED + 1, cut, index.total).withColumn("split", F.lit("val"))
+    bounds = {"train": (SEED, 0, cut), "val": (SEED + 1, cut, index.total)}
+    samples = [packing.sample_begins(index, n, T, *b).withColumn("split", F.lit(s)) for s, b in bounds.items()]
+    sampled = packing.windows_at(
+        corpus(spark, folder), index, samples[0].unionByName(samples[1]), T, lambda df: encode_chars(df, chars))
     size = chars.count()
     model = bigram.fit_bigram(train, size)
-    return bigram.split_loss(sampled.unionByName(val), model, B, size).select(
+    return bigram.split_loss(sampled, model, B, size).select(
         "split", "batches", six(F.col("loss")).alias("loss")
     )
 

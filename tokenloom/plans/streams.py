@@ -15,7 +15,7 @@ from tokenloom.session import once, stage, staging_path
 from tokenloom.sources.corpus import table
 from tokenloom.sources.metric_log import event_metrics
 from tokenloom.streaming.metrics import append_to, metrics_windows
-from tokenloom.streaming.packing import pack_stream
+from tokenloom.streaming.packing import pack_stream, packed_windows
 from tokenloom.streaming.vocab import current_counts, follow_counts
 
 
@@ -51,33 +51,29 @@ def vocab_stream(spark, folder):
     return built.select("token", *whole("id", "freq"), "is_special")
 
 
-STREAM_T, SHARDS = 64, 4
+STREAM_T = 64
 
 
 @query(
     "pack_stream",
-    f"""WITH {CHARS_SQL}, keyed AS (
-      SELECT source, CAST(('0x' || substring(md5(doc_id::VARCHAR), 1, 15)) AS BIGINT) % {SHARDS} AS shard, doc_id, i, id
-      FROM stream JOIN documents USING (doc_id)),
-    numbered AS (SELECT source, shard, id,
-      row_number() OVER (PARTITION BY source, shard ORDER BY doc_id, i) - 1 AS pos,
-      count(*) OVER (PARTITION BY source, shard) AS n FROM keyed),
+    f"""WITH {CHARS_SQL}, numbered AS (SELECT source, id,
+      row_number() OVER (PARTITION BY source ORDER BY doc_id, i) - 1 AS pos,
+      count(*) OVER (PARTITION BY source) AS n FROM stream JOIN documents USING (doc_id)),
     placed AS (
-      SELECT source, shard, n, pos // {STREAM_T} AS window_id, pos, id FROM numbered
-      UNION ALL SELECT source, shard, n, pos // {STREAM_T} - 1, pos, id FROM numbered
+      SELECT source, n, pos // {STREAM_T} AS window_id, pos, id FROM numbered
+      UNION ALL SELECT source, n, pos // {STREAM_T} - 1, pos, id FROM numbered
       WHERE pos % {STREAM_T} = 0 AND pos > 0)
-    SELECT source, shard, window_id, string_agg(id, ' ' ORDER BY pos) FILTER (pos < window_id * {STREAM_T} + {STREAM_T}) AS x,
+    SELECT coalesce(source, '') AS source, window_id,
+    string_agg(id, ' ' ORDER BY pos) FILTER (pos < window_id * {STREAM_T} + {STREAM_T}) AS x,
     string_agg(id, ' ' ORDER BY pos) FILTER (pos > window_id * {STREAM_T}) AS y
-    FROM placed WHERE window_id < (n - 1) // {STREAM_T} GROUP BY source, shard, window_id""",
+    FROM placed WHERE window_id < (n - 1) // {STREAM_T} GROUP BY source, window_id""",
 )
 def pack_stream_query(spark, folder):
     chars = stage(vocab.char_vocab(corpus(spark, folder)), "chars")
-    docs = encode_chars(follow(spark, folder, "documents"), chars)
+    docs = follow(spark, folder, "documents").select("doc_id", "source", "text")
     place, state = staging_path(spark, "windows"), staging_path(spark, "progress")
-    windows = pack_stream(docs, STREAM_T, SHARDS)
-    append_to(windows, place, state).awaitTermination()
-    packed = spark.read.schema(windows.schema).parquet(place)
-    return packed.select("source", "shard", "window_id", as_text("x").alias("x"), as_text("y").alias("y"))
+    pack_stream(docs, place, state, STREAM_T, lambda df: encode_chars(df, chars)).awaitTermination()
+    return packed_windows(spark, place).select("source", "window_id", as_text("x").alias("x"), as_text("y").alias("y"))
 
 
 N_MERGES = 320
