@@ -69,6 +69,23 @@ def test_split_leakage_counts_copies(spark):
     assert [tuple(r) for r in splits.split_leakage(parts, "doc_id", "text").collect()] == [(3, 2)]
 
 
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 20])
+def test_leaked_rows_go_whatever_the_filter_holds(spark, bits):
+    rng = random.Random(bits)
+    rows = [(i, f"text {rng.randint(0, 9000)}", "train" if i < 8000 else "val") for i in range(9000)] + [(9999, None, "val"), (9998, "", "val")]
+    parts = spark.createDataFrame(rows, "doc_id bigint, text string, split string").repartition(4)
+    known = {t for _, t, s in rows if s == "train"}
+    kept = {r["doc_id"] for r in splits.drop_leakage(parts, "doc_id", "text", bits=bits).collect()}
+    assert kept == {i for i, t, s in rows if s == "train" or t not in known}
+    assert splits.drop_leakage(parts.limit(0), "doc_id", "text", bits=bits).count() == 0
+
+
+def test_vocabulary_of_the_training_part(spark):
+    parts = spark.createDataFrame([("a a b b", "train"), ("c c c a", "val")], "text string, split string")
+    assert {r["token"] for r in vocab.fit_vocab(parts, "train").filter("not is_special").collect()} == {"a", "b"}
+    assert {r["token"] for r in vocab.fit_vocab(parts).filter("not is_special").collect()} == {"a", "b", "c"}
+
+
 def loop(freq, n):
     words, merges = {w: [bytes([b]) for b in w.encode()] for w in freq}, []
     while len(merges) < n:

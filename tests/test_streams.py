@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tokenloom.operators import packing, vocab
 from tokenloom.streaming.metrics import append_to, metrics_windows
 from tokenloom.streaming.packing import LEFT, pack_batch, pack_stream, packed_windows
-from tokenloom.streaming.vocab import current_counts, follow_counts
+from tokenloom.streaming.vocab import compacted, current_counts, follow_counts, live_segments
 
 METRICS = "run_id bigint, step bigint, ts timestamp, name string, value double"
 
@@ -38,14 +38,38 @@ def test_metric_windows_close_across_a_restart(spark, tmp_path):
 
 
 def test_word_counts_over_batches_equal_one_count(spark, tmp_path):
-    texts = ["a b a", "b c", "", "a é !", "c c c"]
+    texts = ["a b a", "b c", "", "a é !", "c c c", "a", "d d"]
     source, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
-    for text in texts:
+    for k, text in enumerate(texts):
         add_file(spark, [(text,)], "text string", source)
         stream = spark.readStream.schema("text string").parquet(str(source))
-        follow_counts(stream, out, state).awaitTermination()
-    whole = vocab.word_counts(spark.createDataFrame([(t,) for t in texts], "text string"))
-    assert sorted(map(tuple, current_counts(spark, out).collect())) == sorted(map(tuple, whole.collect()))
+        follow_counts(stream, out, state, fan=2).awaitTermination()
+        whole = vocab.word_counts(spark.createDataFrame([(t,) for t in texts[: k + 1]], "text string"))
+        assert sorted(map(tuple, current_counts(spark, out).collect())) == sorted(map(tuple, whole.collect()))
+    assert live_segments(spark, out) == [(2, 0, 3), (1, 4, 5), (0, 6, 6)]
+
+
+def test_few_segments_after_many_batches():
+    live, written = [], 0
+    for batch in range(1000):
+        live, merges = compacted(live, batch, 8)
+        written += sum(made[2] - made[1] + 1 for made, _ in merges)
+        assert [s[1] for s in live] == [0, *[s[2] + 1 for s in live[:-1]]] and live[-1][2] == batch
+        assert len(live) <= 7 * 4
+    assert written <= 3 * 1000  # each batch is rewritten once per level
+
+
+def test_a_repeated_count_adds_nothing(spark, tmp_path):
+    """The last batch again, as after a failure between its results and the progress log."""
+    source, out, state = tmp_path / "in", str(tmp_path / "out"), tmp_path / "state"
+    for text in ("a b", "b", "a", "c"):
+        add_file(spark, [(text,)], "text string", source)
+        follow_counts(spark.readStream.schema("text string").parquet(str(source)), out, str(state), fan=2).awaitTermination()
+    expected = sorted(map(tuple, current_counts(spark, out).collect()))
+    for name in ("3", ".3.crc"):
+        (state / "commits" / name).unlink(missing_ok=True)
+    follow_counts(spark.readStream.schema("text string").parquet(str(source)), out, str(state), fan=2).awaitTermination()
+    assert sorted(map(tuple, current_counts(spark, out).collect())) == expected
 
 
 def windows_of(tokens, T):

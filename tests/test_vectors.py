@@ -104,7 +104,40 @@ def test_embedding_join_paths_agree_and_no_id_vanishes(spark):
     one = vectors.embed_tokens(tokens, emb, True, True, ["doc_id"], missing="zero").collect()
     two = vectors.embed_tokens(tokens, emb, True, True, ["doc_id", "pos"], max_rows=0, missing="zero").collect()
     assert sorted(map(str, one)) == sorted(map(str, two)) and len(one) == 5
-    assert vectors.mean_pool(tokens, emb, "doc_id", missing="zero").first()["v"] == [2.0, 0.8]
     for rows in (vectors.MAX_BROADCAST_ROWS, 0):
         with pytest.raises(Exception, match="no vector for id 9"):
             vectors.embed_tokens(tokens, emb, salt_by=["pos"], max_rows=rows).collect()
+
+
+def test_mean_pool_paths_agree_and_keep_empty_rows(spark):
+    rng = np.random.default_rng(5)
+    known = {i: rng.normal(size=6) for i in range(0, 40, 2)}
+    emb = spark.createDataFrame([(i, v.tolist()) for i, v in known.items()], "id int, v array<double>")
+    rows = [(d, rng.integers(0, 40, rng.integers(0, 30)).tolist()) for d in range(50)] + [(50, []), (51, [2] * 3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, ids array<int>").repartition(3)
+    for max_rows in (1000, 0):
+        got = {r["doc_id"]: r["v"] for r in vectors.mean_pool(docs, emb, "doc_id", missing="zero", scaled=True, max_rows=max_rows).collect()}
+        assert len(got) == len(rows)
+        for d, ids in rows:
+            expected = np.mean([known.get(i, np.zeros(6)) for i in ids], axis=0) * 6**0.5 if ids else np.zeros(6)
+            np.testing.assert_allclose(got[d], expected, atol=1e-12)
+        with pytest.raises(Exception, match="no vector for id"):
+            vectors.mean_pool(docs, emb, "doc_id", max_rows=max_rows).collect()
+
+
+def test_wide_vectors_in_a_narrow_plan(spark):
+    """Long vectors, sequences over several blocks, groups over several batches."""
+    rng = np.random.default_rng(6)
+    table = {(s, t): rng.normal(size=1600) for s, n in (("a", 45), ("b", 7), (None, 3)) for t in range(n)}
+    df = spark.createDataFrame([(s, t, v.tolist()) for (s, t), v in table.items()], "seq_id string, t bigint, v array<double>").repartition(4)
+    made = vectors.causal_mean(df.filter("seq_id is not null"), block=10)
+    assert len(made._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    assert_close(made.collect(), "mean", {k: m for k, m in means({k: v for k, v in table.items() if k[0]}).items()})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)
+    try:
+        got = {r["seq_id"]: r["v"] for r in vectors.summed(df, ["seq_id"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert set(got) == {"a", "b", None}
+    for s, v in got.items():
+        np.testing.assert_allclose(v, sum(x for (k, _), x in table.items() if k == s), atol=1e-9)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Literal
 
 import numpy as np
@@ -83,6 +83,8 @@ def _project(m: np.ndarray, w: np.ndarray | None) -> np.ndarray:
     return m if w is None else m @ w
 
 
+ROWS_AT_ONCE = 16_384
+
 PART = "array<struct<t:bigint,m:double,s:double,acc:array<double>,e:array<double>>>"
 
 
@@ -123,3 +125,103 @@ def block_pool(scale: float | None, w_q, w_k, w_v, causal: bool, weights: bool):
         return pa.ListArray.from_arrays(list_offsets(list_lengths(at)), rows)
 
     return pool.asNondeterministic()
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    flat = pc.list_flatten(batch.column("v")).to_numpy(zero_copy_only=False)
+    return flat.reshape(batch.num_rows, -1)
+
+
+def _codes(batch: pa.RecordBatch, keys: list[str]) -> list[np.ndarray]:
+    """Per key column a number for each row, equal where the values are."""
+    return [pc.fill_null(batch.column(k).dictionary_encode(null_encoding="encode").indices, -1).to_numpy(zero_copy_only=False) for k in keys]
+
+
+def _runs(codes: list[np.ndarray]) -> np.ndarray:
+    """Rows at which the codes change."""
+    fresh = np.ones(len(codes[0]), bool)
+    fresh[1:] = np.any([c[1:] != c[:-1] for c in codes], axis=0)
+    return np.flatnonzero(fresh)
+
+
+def _sums(batch: pa.RecordBatch, keys: list[str], rows: np.ndarray, matrix: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(rows)) for k in keys), _rows([matrix])], [*keys, "v"])
+
+
+def fold_vectors(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Sums of the vectors of each group, one batch at a time."""
+    for batch in batches:
+        if batch.num_rows:
+            codes = _codes(batch, keys)
+            order = np.lexsort(codes)
+            starts = _runs([c[order] for c in codes])
+            yield _sums(batch, keys, order[starts], np.add.reduceat(_matrix(batch)[order], starts, axis=0))
+
+
+def fold_sorted_vectors(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Sums of the vectors of each group over all batches of a task, whose rows are sorted by group."""
+    held, key = None, None  # the last group so far, which the next batch may go on with
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        starts = _runs(_codes(batch, keys))
+        sums = np.add.reduceat(_matrix(batch), starts, axis=0)
+        values = lambda row: tuple(batch.column(k)[row].as_py() for k in keys)
+        if held is not None:
+            if values(0) == key:
+                sums[0] += _matrix(held)[0]
+            else:
+                yield held
+        done = _sums(batch, keys, starts, sums)
+        held, key = done.slice(len(starts) - 1), values(int(starts[-1]))
+        if len(starts) > 1:
+            yield done.slice(0, len(starts) - 1)
+    if held is not None:
+        yield held
+
+
+def running_sorted_vectors(batches: Iterator[pa.RecordBatch], keys: list[str], out: list[str]) -> Iterator[pa.RecordBatch]:
+    """Running sums within each group, from the `carry` of its first row (none: zeros); rows are sorted."""
+    key, total = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        matrix = _matrix(batch).astype(np.float64)
+        starts = _runs(_codes(batch, keys)).tolist()
+        for a, b in zip(starts, [*starts[1:], batch.num_rows]):
+            here = tuple(batch.column(k)[a].as_py() for k in keys)
+            if here != key:
+                carry = batch.column("carry")[a].as_py()
+                key, total = here, np.array(carry) if carry else np.zeros(matrix.shape[1])
+            matrix[a:b] = np.cumsum(matrix[a:b], axis=0) + total
+            total = matrix[b - 1].copy()
+        yield _sums(batch, out, np.arange(batch.num_rows), matrix)
+
+
+def pooled_vectors(table: pa.Table, d: int, must_exist: bool):
+    """Arrow function: array of ids -> mean of their rows of `table` (id, v); zeros for no ids."""
+    known = table.column("id").to_numpy().astype(np.int64)
+    order = np.argsort(known)
+    known = known[order]
+    flat = pc.list_flatten(table.column("v").combine_chunks()).to_numpy(zero_copy_only=False)
+    vectors = np.vstack([np.zeros(d), flat.reshape(-1, d)[order]]) if len(known) else np.zeros((1, d))
+
+    @F.arrow_udf("array<double>")
+    def pool(ids: pa.Array) -> pa.Array:
+        sizes, wanted = list_lengths(ids), pc.list_flatten(ids).to_numpy(zero_copy_only=False).astype(np.int64)
+        kinds, which = np.unique(wanted, return_inverse=True)
+        at = np.searchsorted(known, kinds)
+        hit = (at < len(known)) & (known[np.minimum(at, len(known) - 1)] == kinds) if len(known) else np.zeros(len(kinds), bool)
+        if must_exist and not hit.all():
+            raise ValueError(f"no vector for id {kinds[~hit][0]}")
+        # Distinct ids of a row with how often they come, so that a long row costs no more than its kinds.
+        row = np.repeat(np.arange(len(ids)), sizes)
+        pairs, n = np.unique(row * max(1, len(kinds)) + which, return_counts=True)
+        row, kind = pairs // max(1, len(kinds)), pairs % max(1, len(kinds))
+        out = np.zeros((len(ids), d))
+        for a in range(0, len(row), ROWS_AT_ONCE):
+            part = slice(a, a + ROWS_AT_ONCE)
+            np.add.at(out, row[part], vectors[np.where(hit, at + 1, 0)[kind[part]]] * n[part, None])
+        return _rows([out / np.maximum(sizes, 1)[:, None]])
+
+    return pool.asNondeterministic()

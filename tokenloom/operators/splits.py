@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.operators.positions import HASH_DIGITS, StreamIndex, row_index
+from tokenloom.session import fits, stage
+
+BLOOM_BITS = 1 << 26  # 8 MB
+HASHES = 5
+PIECE = 1 << 12  # bytes of a filter that are combined at a time
 
 
 def _inside(index: StreamIndex, position: int, size: Column) -> Column:
@@ -92,6 +101,66 @@ def split_leakage(parts: DataFrame, key: str, text: str, seen: str = "train", he
     return digests.filter(F.col("split") == held).join(known, "_digest").select(key, "n_train")
 
 
+def _bloom_places(one: np.ndarray, two: np.ndarray, bits: int) -> np.ndarray:
+    """The places of hashed texts in a filter of `bits` bits, HASHES rows of them."""
+    steps = np.arange(HASHES, dtype=np.uint64)[:, None]
+    return (one.view(np.uint64) + steps * (two.view(np.uint64) | np.uint64(1))) % np.uint64(bits)
+
+
+def bloom_filter(texts: DataFrame, text: str, bits: int = BLOOM_BITS) -> np.ndarray:
+    """A Bloom filter of the texts as bytes of bits. Its size is `bits`, however many texts there are.
+
+    Every task fills a filter of its own and passes on the pieces it used; the pieces are combined per place.
+    """
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(bits, bool)
+        for batch in batches:
+            one, two = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("one", "two"))
+            own[_bloom_places(one, two, bits).ravel().astype(np.int64)] = True
+        packed = np.packbits(own).reshape(-1, PIECE)
+        used = np.flatnonzero(packed.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([packed[i].tobytes() for i in used], pa.binary())], ["piece", "bits"])
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, b in zip(batch.column("piece").to_pylist(), batch.column("bits").to_pylist()):
+                found[i] = np.frombuffer(b, np.uint8) | found.get(i, 0)
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([b.tobytes() for b in found.values()], pa.binary())],
+                                         ["piece", "bits"])
+
+    kind = "piece bigint, bits binary"
+    hashed = texts.select(F.xxhash64(text).alias("one"), F.xxhash64(F.lit(1), text).alias("two"))
+    whole = np.zeros((-(-bits // (8 * PIECE)), PIECE), np.uint8)
+    for r in hashed.mapInArrow(fill, kind).repartition("piece").mapInArrow(combine, kind).toLocalIterator():
+        whole[r["piece"]] = np.frombuffer(r["bits"], np.uint8)
+    return whole.ravel()
+
+
+def drop_leakage(
+    parts: DataFrame, key: str, text: str, seen: str = "train", held: str = "val", bits: int = BLOOM_BITS
+) -> DataFrame:
+    """`parts` without the rows of the `held` split whose text the `seen` split has.
+
+    Held rows that a Bloom filter of the seen texts rules out are not shuffled at all; the others meet the
+    seen texts by digest, so the result is exact. The filter is broadcast: its size is a parameter, and a
+    corpus that fills it up only rules out less.
+    """
+    sent = parts.sparkSession.sparkContext.broadcast(bloom_filter(parts.filter(F.col("split") == seen), text, bits))
+
+    @F.arrow_udf("boolean")
+    def maybe(one: pa.Array, two: pa.Array) -> pa.Array:
+        places = _bloom_places(*(c.to_numpy(zero_copy_only=False) for c in (one, two)), bits)
+        hit = sent.value[(places >> np.uint64(3)).astype(np.int64)] >> (7 - (places & np.uint64(7))).astype(np.uint8) & 1
+        return pa.array(hit.all(0))
+
+    rows = parts.select(key, "split", F.sha2(text, 256).alias("_digest"), F.xxhash64(text).alias("_one"), F.xxhash64(F.lit(1), text).alias("_two"))
+    asked = rows.filter(F.col("split") == held).filter(maybe.asNondeterministic()("_one", "_two"))
+    known = rows.filter(F.col("split") == seen).select("_digest").distinct()
+    leaked = stage(asked.join(known, "_digest", "left_semi").select(key), "leaked")
+    return parts.join(F.broadcast(leaked) if fits(leaked) else leaked, key, "left_anti")
+
+
 def shuffle_batches(df: DataFrame, key: str, batch_size: int, seed: int, epoch: int = 0) -> DataFrame:
     """Adds `batch_id` and `row` in a hash order that differs by seed and epoch; last batch kept."""
     digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)), F.lit(str(epoch))))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import partial
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
@@ -10,10 +11,13 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.vectors import (
     block_pool,
+    fold_sorted_vectors,
+    fold_vectors,
+    pooled_vectors,
     position_vector,
+    running_sorted_vectors,
     standardized,
 )
-from tokenloom.operators.positions import running_sums
 from tokenloom.session import MAX_BROADCAST_ROWS, lookup_join, stage
 
 BLOCK = 1024
@@ -35,14 +39,48 @@ def column_moments(vectors: DataFrame, v: str = "v") -> DataFrame:
     return places.groupBy("dim").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
 
 
+def summed(rows: DataFrame, keys: list[str], v: str = "v") -> DataFrame:
+    """`(…keys, v)`: sums of equally long vectors. Each task adds up what it has before anything is shuffled."""
+    schema = rows.select(*keys, F.col(v).cast("array<double>").alias("v")).schema
+    parts = rows.select(*keys, F.col(v).cast("array<double>").alias("v")).mapInArrow(partial(fold_vectors, keys=keys), schema)
+    ordered = parts.repartition(*keys).sortWithinPartitions(*keys)
+    return ordered.mapInArrow(partial(fold_sorted_vectors, keys=keys), schema)
+
+
+def running_vectors(rows: DataFrame, seq: str, order: str, v: str = "v", block: int = 4096) -> DataFrame:
+    """`(seq, order, v)`: inclusive running sums of vectors along `order` in each `seq`.
+
+    Blocks as in `running_sums`; a vector stays one column, so the plan does not grow with its length.
+    """
+    last = rows.agg(F.max(order)).first()[0]
+    vectors = rows.select(seq, F.col(order).cast("bigint").alias(order), F.col(v).cast("array<double>").alias("v"))
+    return _running_vectors(vectors, seq, order, block, 0 if last is None else last)
+
+
+def _running_vectors(rows: DataFrame, seq: str, order: str, block: int, last: int) -> DataFrame:
+    if last < block:
+        ordered = rows.withColumn("carry", F.array().cast("array<double>")).repartition(seq).sortWithinPartitions(seq, order)
+        keys = [seq]
+    else:
+        place = f"{order}_block"
+        blocked = rows.withColumn(place, F.floor(F.col(order) / block).cast("bigint"))
+        totals = stage(summed(blocked, [seq, place]), "totals")
+        upto = _running_vectors(totals, seq, place, block, last // block)
+        carried = upto.withColumnRenamed("v", "_upto").join(totals.withColumnRenamed("v", "_own"), [seq, place]).select(
+            seq, place, F.zip_with("_upto", "_own", lambda x, y: x - y).alias("carry"))
+        keys = [seq, place]
+        ordered = blocked.join(carried, keys).repartition(*keys).sortWithinPartitions(*keys, order)
+    schema = rows.schema
+    return ordered.select(*rows.columns, *keys[1:], "carry").mapInArrow(
+        partial(running_sorted_vectors, keys=keys, out=[seq, order]), schema)
+
+
 def causal_mean(vectors: DataFrame, seq: str = "seq_id", order: str = "t", v: str = "v", block: int = 4096) -> DataFrame:
     """`(seq, order, mean)`: mean of the vectors up to each position; long sequences in blocks."""
-    d = width(vectors, v)
-    places = [F.col(v)[i].alias(f"v{i}") for i in range(d)]
-    wide = vectors.select(seq, order, F.lit(1).alias("n"), *places)
-    sums = running_sums(wide, seq, order, ["n"] + [f"v{i}" for i in range(d)], block)
-    means = F.array(*[F.col(f"sum_v{i}") / F.col("sum_n") for i in range(d)])
-    return sums.select(seq, order, means.alias("mean"))
+    counted = vectors.select(seq, order, F.concat(F.col(v).cast("array<double>"), F.array(F.lit(1.0))).alias("v"))
+    sums = running_vectors(counted, seq, order, "v", block)
+    n = F.element_at("v", -1)
+    return sums.select(seq, order, F.transform(F.slice("v", F.lit(1), F.size("v") - 1), lambda x: x / n).alias("mean"))
 
 
 def _blocks(df: DataFrame, seq: str, order: str, block: int, *fields: Column) -> DataFrame:
@@ -155,11 +193,30 @@ def embed_tokens(
 
 
 def mean_pool(
-    tokens: DataFrame, table: DataFrame, key: str, scaled: bool = False, missing: Literal["error", "zero"] = "error"
+    docs: DataFrame,
+    table: DataFrame,
+    key: str,
+    ids: str = "ids",
+    scaled: bool = False,
+    missing: Literal["error", "zero"] = "error",
+    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """`(key, v)`: mean vector of a row's tokens, each distinct token of a row joined once."""
+    """`(key, v)`: mean vector of the ids of every row; zeros for a row without ids. `key` must be unique.
+
+    A table within the broadcast bounds is looked up where the rows are, and nothing moves. A larger one is
+    met by the distinct ids of each row, whose weighted vectors are added up per task and then per row.
+    """
     d = width(table)
-    counts = tokens.groupBy(key, "id").agg(F.count("*").alias("n"))
-    placed = embed_tokens(counts, table, scaled, salt_by=[key], missing=missing)
-    means = [F.sum(F.col("n") * F.col("v")[i]) / F.sum("n") for i in range(d)]
-    return placed.groupBy(key).agg(F.array(*means).alias("v"))
+    max_rows = min(max_rows, MAX_BROADCAST_BYTES // (8 * max(1, d)))
+    factor = math.sqrt(d) if scaled else 1.0
+    rows = table.select("id", "v").limit(max_rows + 1).toArrow()
+    if rows.num_rows <= max_rows:
+        pooled = pooled_vectors(rows, d, missing == "error")
+        return docs.select(key, F.transform(pooled(F.col(ids)), lambda x: x * factor).alias("v"))
+    counts = docs.select(key, F.explode(ids).alias("id")).groupBy(key, "id").agg(F.count("*").alias("n"))
+    placed = embed_tokens(counts, table, salt_by=[key], max_rows=max_rows, missing=missing)
+    weighted = F.concat(F.transform("v", lambda x: x * F.col("n")), F.array(F.col("n").cast("double")))
+    sums = summed(placed.select(key, weighted.alias("v")), [key])
+    means = sums.select(key, F.transform(F.slice("v", 1, d), lambda x: x / F.element_at("v", -1) * factor).alias("v"))
+    zeros = F.array_repeat(F.lit(0.0), d)
+    return docs.select(key).join(means, key, "left").withColumn("v", F.coalesce("v", zeros))

@@ -54,6 +54,14 @@ def word_vocab(
     return ranked_vocab(word_counts(corpus, text), min_frequency, max_size)
 
 
+def fit_vocab(
+    parts: DataFrame, fit_on: str | None = None, text: str = "text", min_frequency: int = 2, max_size: int | None = None
+) -> DataFrame:
+    """`word_vocab` of one split of a corpus, as `fit_on="train"`; of all rows if none is named."""
+    rows = parts if fit_on is None else parts.filter(F.col("split") == fit_on)
+    return word_vocab(rows, text, min_frequency, max_size)
+
+
 def token_id_join(
     tokens: DataFrame,
     vocab: DataFrame,

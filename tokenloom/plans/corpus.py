@@ -307,6 +307,36 @@ def split_leakage(spark, folder):
     return splits.split_leakage(parts, "doc_id", "text")
 
 
+PARTS_SQL = f"""ranked AS (
+      SELECT doc_id, text, row_number() OVER (ORDER BY md5(concat_ws('|', doc_id, '{SEED}')), doc_id) AS r,
+      count(*) OVER () AS n FROM documents),
+    parts AS (SELECT doc_id, text, CASE WHEN r <= floor(CAST(0.9 AS DOUBLE) * n) THEN 'train' ELSE 'val' END AS split FROM ranked)"""
+
+
+@query(
+    "clean_split",
+    f"""WITH {PARTS_SQL} SELECT doc_id, split FROM parts
+    WHERE split = 'train' OR text NOT IN (SELECT text FROM parts WHERE split = 'train')""",
+)
+def clean_split(spark, folder):
+    parts = splits.random_split(corpus(spark, folder), "doc_id", 0.9, SEED)
+    return splits.drop_leakage(parts, "doc_id", "text").select("doc_id", "split")
+
+
+@query(
+    "train_vocab",
+    f"""WITH {PARTS_SQL}, train AS (SELECT doc_id, text FROM parts WHERE split = 'train'),
+    {words_sql("train", "doc_id", "text", "words")}, {VOCAB_SQL}
+    SELECT token, id, CAST(freq AS BIGINT) AS freq, false AS is_special FROM vocab
+    UNION ALL SELECT * FROM (VALUES ('[UNK]', 0, 0, true), ('[PAD]', 1, 0, true),
+    ('[SOS]', 2, 0, true), ('[EOS]', 3, 0, true))""",
+)
+def train_vocab(spark, folder):
+    parts = splits.random_split(corpus(spark, folder), "doc_id", 0.9, SEED)
+    built = vocab.fit_vocab(parts, fit_on="train")
+    return built.select("token", *whole("id", "freq"), "is_special")
+
+
 @query(
     "random_windows",
     f"""WITH {CHARS_SQL}, samples AS (

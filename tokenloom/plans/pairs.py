@@ -171,7 +171,7 @@ def smoothed_loss(spark, folder):
     return loss.select("positions", six(F.col("loss")).alias("loss"))
 
 
-ITERS = 2
+ITERS = 5
 TRAIN_SHARE = 0.9
 PARTS_SQL = f"""{IDS_SQL},
 ranked AS (SELECT pair_id, row_number() OVER (ORDER BY md5(concat_ws('|', pair_id, '{SEED}')), pair_id) AS r,
@@ -241,38 +241,48 @@ def prediction_table(spark, folder):
     return spark.read.parquet(place).select("id", "source", "expected", "predicted")
 
 
-# The comparison engine's edit distance counts bytes, so it is asked about texts with every
-# character outside ASCII made one '?', in both engines.
-PLAIN_SQL = "regexp_replace({}, '[^\\x00-\\x7F]', '?', 'g')"
+# The comparison engine's edit distance counts bytes, so it is asked about the texts with every distinct
+# character spelled as one byte of its own, which leaves all distances as they are.
+CER_SQL = f"""{PREDICTED_SQL},
+sides AS (SELECT id, 'a' AS side, predicted AS text FROM predictions UNION ALL SELECT id, 'b', expected FROM predictions),
+letters AS (SELECT id, side, unnest(string_split(text, '')) AS ch, generate_subscripts(string_split(text, ''), 1) AS i
+  FROM sides WHERE text <> ''),
+codes AS (SELECT ch, CASE WHEN k < 128 THEN chr(CAST(k AS INTEGER)) ELSE error('too many characters') END AS code
+  FROM (SELECT ch, row_number() OVER (ORDER BY ch) AS k FROM (SELECT DISTINCT ch FROM letters))),
+spelled AS (SELECT id, side, string_agg(code, '' ORDER BY i) AS text FROM letters JOIN codes USING (ch) GROUP BY id, side),
+both_texts AS (SELECT id, coalesce(a.text, '') AS a, coalesce(b.text, '') AS b FROM predictions
+  LEFT JOIN (SELECT * FROM spelled WHERE side = 'a') a USING (id) LEFT JOIN (SELECT * FROM spelled WHERE side = 'b') b USING (id))
+SELECT CAST(sum(levenshtein(a, b)) AS BIGINT) AS edits, CAST(sum(length(b)) AS BIGINT) AS length,
+round(sum(levenshtein(a, b)) / sum(length(b)), 6) AS cer FROM both_texts"""
 
 
-@query(
-    "char_error_rate",
-    f"""WITH {PREDICTED_SQL}, plain AS (SELECT {PLAIN_SQL.format("predicted")} AS a, {PLAIN_SQL.format("expected")} AS b
-      FROM predictions)
-    SELECT CAST(sum(levenshtein(a, b)) AS BIGINT) AS edits, CAST(sum(length(b)) AS BIGINT) AS length,
-    round(sum(levenshtein(a, b)) / sum(length(b)), 6) AS cer FROM plain""",
-)
+@query("char_error_rate", f"WITH {CER_SQL}")
 def char_error_rate(spark, folder):
-    plain = [F.regexp_replace(c, r"[^\x00-\x7F]", "?").alias(c) for c in ("predicted", "expected")]
-    rate = evaluation.char_error_rate(predicted(spark, folder).select(*plain))
+    rate = evaluation.char_error_rate(predicted(spark, folder))
     return rate.select(*whole("edits", "length"), six(F.col("cer")).alias("cer"))
 
 
-# Edit distance row by row: `line` has the distances of the words so far to every prefix of b.
-WER_SQL = f"""{PREDICTED_SQL},
-{words_sql("predictions", "id", "predicted", "pw")}, {words_sql("predictions", "id", "expected", "ew")},
+def word_edits_sql(table: str, key: str, a: str, b: str) -> str:
+    """CTE `distances(key, d, n)`: word edits of two columns, and the words of the second.
+
+    Row by row: `line` has the distances of the words so far to every prefix of b.
+    """
+    return f"""
+{words_sql(table, key, a, "aw")}, {words_sql(table, key, b, "bw")},
 names AS (SELECT token, row_number() OVER () AS k FROM
-  (SELECT DISTINCT token FROM (SELECT token FROM pw UNION ALL SELECT token FROM ew))),
-al AS (SELECT id, list(k ORDER BY i) AS a FROM pw JOIN names USING (token) GROUP BY id),
-bl AS (SELECT id, list(k ORDER BY i) AS b FROM ew JOIN names USING (token) GROUP BY id),
-both_lists AS (SELECT id, coalesce(a, []) AS a, coalesce(b, []) AS b
-  FROM predictions LEFT JOIN al USING (id) LEFT JOIN bl USING (id)),
-distances AS (SELECT len(b) AS n, list_reduce([range(len(b) + 1)] || list_transform(a, lambda x: [x]),
+  (SELECT DISTINCT token FROM (SELECT token FROM aw UNION ALL SELECT token FROM bw))),
+al AS (SELECT {key}, list(k ORDER BY i) AS a FROM aw JOIN names USING (token) GROUP BY {key}),
+bl AS (SELECT {key}, list(k ORDER BY i) AS b FROM bw JOIN names USING (token) GROUP BY {key}),
+both_lists AS (SELECT {key}, coalesce(a, []) AS a, coalesce(b, []) AS b
+  FROM {table} LEFT JOIN al USING ({key}) LEFT JOIN bl USING ({key})),
+distances AS (SELECT {key}, len(b) AS n, list_reduce([range(len(b) + 1)] || list_transform(a, lambda x: [x]),
   lambda line, x: list_reduce(
     [[line[1] + 1]] || list_transform(range(1, len(b) + 1), lambda j: [b[j], line[j], line[j + 1]]),
     lambda made, y: made || [least(y[3] + 1, made[len(made)] + 1, y[2] + CASE WHEN y[1] = x[1] THEN 0 ELSE 1 END)]))[-1] AS d
-  FROM both_lists)
+  FROM both_lists)"""
+
+
+WER_SQL = f"""{PREDICTED_SQL}, {word_edits_sql("predictions", "id", "predicted", "expected")}
 SELECT CAST(sum(d) AS BIGINT) AS edits, CAST(sum(n) AS BIGINT) AS length, round(sum(d) / sum(n), 6) AS wer FROM distances"""
 
 

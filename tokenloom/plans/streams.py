@@ -9,8 +9,8 @@ from tokenloom.operators import bpe, vocab
 from tokenloom.operators.encode import encode_chars
 from tokenloom.plans.corpus import WORD_VOCAB_SQL, corpus
 from tokenloom.plans.logs import NUDGE
-from tokenloom.plans.pairs import PAIRS_SQL, pairs_table
-from tokenloom.plans.registry import CHARS_SQL, as_text, query, six, whole, words_sql
+from tokenloom.plans.pairs import PAIRS_SQL, pairs_table, word_edits_sql
+from tokenloom.plans.registry import CHARS_SQL, as_text, query, six, whole
 from tokenloom.session import once, stage, staging_path
 from tokenloom.sources.corpus import table
 from tokenloom.sources.metric_log import event_metrics
@@ -82,17 +82,22 @@ N_MERGES = 320
 # visible, texts are cut at the marks, and what is left of the pattern finds the pieces.
 MARK = "chr(1)"
 PLAIN_PIECES = r"''(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
-PIECES_SQL = f"""
-segments AS (SELECT doc_id, unnest(parts) AS segment, generate_subscripts(parts, 1) AS s FROM (SELECT doc_id,
-  string_split(regexp_replace(text, '(\\s+)(\\s\\S)', '\\1' || {MARK} || '\\2', 'g'), {MARK}) AS parts FROM documents)),
-found AS (SELECT doc_id, s, regexp_extract_all(segment, '{PLAIN_PIECES}') AS parts FROM segments),
-pieces AS MATERIALIZED (SELECT doc_id, s, unnest(parts) AS piece, generate_subscripts(parts, 1) AS i FROM found),
+def pieces_sql(table: str, key: str, text: str) -> str:
+    return f"""
+segments AS (SELECT {key} AS key, unnest(parts) AS segment, generate_subscripts(parts, 1) AS s FROM (SELECT {key},
+  string_split(regexp_replace({text}, '(\\s+)(\\s\\S)', '\\1' || {MARK} || '\\2', 'g'), {MARK}) AS parts FROM {table})),
+found AS (SELECT key, s, regexp_extract_all(segment, '{PLAIN_PIECES}') AS parts FROM segments),
+pieces AS MATERIALIZED (SELECT key, s, unnest(parts) AS piece, generate_subscripts(parts, 1) AS i FROM found),
 w0 AS MATERIALIZED (SELECT piece, count(*) AS freq, regexp_replace(hex(encode(piece)), '(..)', '<\\1>', 'g') AS word
   FROM pieces GROUP BY piece)"""
 
 
-# One row of state: all pieces as they are spelled so far, and the merges. Each round adds one merge.
-MERGES_SQL = f"""{PIECES_SQL},
+def merges_sql(n: int) -> str:
+    """CTEs `merges(rank, l, r)` and `spelled(piece, s)` after `pieces_sql`.
+
+    One row of state: all pieces as they are spelled so far, and the merges. Each round adds one merge.
+    """
+    return f"""
 state(key, k, words, found) USING KEY (key) AS (
   SELECT 0, 0, list({{'p': piece, 'w': word, 'f': freq}}), CAST([] AS STRUCT(l VARCHAR, r VARCHAR)[]) FROM w0
   UNION ALL
@@ -102,11 +107,14 @@ state(key, k, words, found) USING KEY (key) AS (
     SELECT pair[1] AS l, pair[2] AS r FROM (SELECT x.f AS f, unnest(list_zip(s[:len(s) - 1], s[2:])) AS pair FROM
       (SELECT x, string_split(substring(x.w, 2, length(x.w) - 2), '><') AS s FROM (SELECT unnest(words) AS x)) WHERE len(s) > 1)
     GROUP BY pair ORDER BY sum(f) DESC, l, r LIMIT 1) m
-  WHERE k < {N_MERGES}),
+  WHERE k < {n}),
 merges AS (SELECT i - 1 AS rank, found[i].l AS l, found[i].r AS r
   FROM (SELECT found, unnest(range(1, len(found) + 1)) AS i FROM state)),
 spelled AS (SELECT x.p AS piece, string_split(substring(x.w, 2, length(x.w) - 2), '><') AS s
   FROM (SELECT unnest(words) AS x FROM state))"""
+
+
+MERGES_SQL = pieces_sql("documents", "doc_id", "text") + "," + merges_sql(N_MERGES)
 BYTES_SQL = ", ".join(f"('{b:02X}', {i})" for i, b in enumerate(bpe.BYTE_ORDER))
 
 
@@ -123,16 +131,20 @@ def bpe_train(spark, folder):
     return merges_of(spark, folder)
 
 
+# CTE `coded_rows(key, ids)`: the ids of every text.
+CODED_SQL = f"""
+ids AS (SELECT symbol, min(id) AS id FROM (SELECT * FROM (VALUES {BYTES_SQL}) b(symbol, id)
+  UNION ALL SELECT l || r, 256 + rank FROM merges) GROUP BY symbol),
+parts AS (SELECT piece, unnest(s) AS symbol, generate_subscripts(s, 1) AS k FROM spelled),
+coded AS (SELECT piece, list(id ORDER BY k) AS ids FROM parts JOIN ids USING (symbol) GROUP BY piece),
+coded_rows AS (SELECT key, flatten(list(ids ORDER BY s, i)) AS ids FROM pieces JOIN coded USING (piece) GROUP BY key)"""
+
+
 @query(
     "bpe_encode",
-    f"""WITH RECURSIVE {MERGES_SQL},
-    ids AS (SELECT symbol, min(id) AS id FROM (SELECT * FROM (VALUES {BYTES_SQL}) b(symbol, id)
-      UNION ALL SELECT l || r, 256 + rank FROM merges) GROUP BY symbol),
-    parts AS (SELECT piece, unnest(s) AS symbol, generate_subscripts(s, 1) AS k FROM spelled),
-    coded AS (SELECT piece, list(id ORDER BY k) AS ids FROM parts JOIN ids USING (symbol) GROUP BY piece),
-    rows AS (SELECT doc_id, flatten(list(ids ORDER BY s, i)) AS ids FROM pieces JOIN coded USING (piece) GROUP BY doc_id)
+    f"""WITH RECURSIVE {MERGES_SQL}, {CODED_SQL}
     SELECT doc_id, coalesce(len(ids), 0) AS n_ids, coalesce(array_to_string(ids, ' '), '') AS ids
-    FROM documents LEFT JOIN rows USING (doc_id)""",
+    FROM documents LEFT JOIN coded_rows ON key = doc_id""",
 )
 def bpe_encode(spark, folder):
     encoded = bpe.encode_bpe(corpus(spark, folder), merges_of(spark, folder))
@@ -146,19 +158,27 @@ def bpe_decode(spark, folder):
     return bpe.decode_bpe(encoded, merges).select("doc_id", F.col("decoded").alias("text"))
 
 
+UDF_MERGES = 24
+
+
 @query(
     "text_udf",
-    f"""WITH {PAIRS_SQL}, {words_sql("pairs", "pair_id", "src", "words")},
-    counted AS (SELECT pair_id, count(*) AS n_words, count(DISTINCT token) AS n_distinct FROM words GROUP BY pair_id)
-    SELECT pair_id, length(src) AS n_chars, n_words, n_distinct, CAST(0 AS BIGINT) AS self_edits
-    FROM pairs JOIN counted USING (pair_id)""",
+    f"""WITH RECURSIVE {PAIRS_SQL}, {word_edits_sql("pairs", "pair_id", "src", "trg")},
+    counted AS (SELECT pair_id, count(*) AS n_words, count(DISTINCT token) AS n_distinct FROM aw GROUP BY pair_id),
+    {pieces_sql("pairs", "pair_id", "src")}, {merges_sql(UDF_MERGES)}, {CODED_SQL}
+    SELECT pair_id, length(src) AS n_chars, coalesce(n_words, 0) AS n_words, coalesce(n_distinct, 0) AS n_distinct,
+    CAST(d AS BIGINT) AS edits, round(d / nullif(n, 0), 6) AS wer, coalesce(array_to_string(ids, ' '), '') AS ids
+    FROM pairs LEFT JOIN counted USING (pair_id) LEFT JOIN distances USING (pair_id)
+    LEFT JOIN coded_rows ON coded_rows.key = pair_id""",
 )
 def text_udf(spark, folder):
-    register_text_functions(spark)
+    pairs = pairs_table(spark, folder)
+    register_text_functions(spark, bpe.train_bpe(pairs, UDF_MERGES, "src"))
     return spark.sql(
         """SELECT pair_id, CAST(size(char_tokenize(src)) AS BIGINT) n_chars,
         CAST(size(word_tokenize(src)) AS BIGINT) n_words,
         CAST(size(array_distinct(word_tokenize(src))) AS BIGINT) n_distinct,
-        CAST(word_edits(src, src) AS BIGINT) self_edits FROM {pairs} WHERE size(word_tokenize(src)) > 0""",
-        pairs=pairs_table(spark, folder),
+        CAST(word_edits(src, trg) AS BIGINT) edits, round(wer(src, trg), 6) wer,
+        array_join(bpe_encode(src), ' ') ids FROM {pairs}""",
+        pairs=pairs,
     )

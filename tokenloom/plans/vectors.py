@@ -134,28 +134,27 @@ def cross_weights(spark, folder):
     "embedding_lookup",
     f"""WITH {CHARS_SQL}, {VECTORS_SQL},
     counts AS (SELECT doc_id, id, count(*) AS n FROM stream GROUP BY ALL),
-    dims AS (SELECT unnest(range(64)) AS dim),
-    pooled AS (SELECT doc_id, d.dim, sum(n * coalesce(x, 0) * 8) / sum(n) AS pooled
-      FROM counts CROSS JOIN dims d LEFT JOIN places p ON p.vec_id = counts.id AND p.dim = d.dim GROUP BY doc_id, d.dim),
+    dims AS (SELECT doc_id, unnest(range(64)) AS dim FROM documents),
+    pooled AS (SELECT doc_id, d.dim, coalesce(sum(n * coalesce(x, 0) * 8) / sum(n), 0) AS pooled
+      FROM dims d LEFT JOIN counts USING (doc_id) LEFT JOIN places p ON p.vec_id = counts.id AND p.dim = d.dim GROUP BY doc_id, d.dim),
     ends AS (SELECT doc_id, arg_max(id, i) AS id, max(i) - 1 AS pos FROM stream GROUP BY doc_id),
     angles AS (SELECT doc_id, d.dim, coalesce(x, 0) * 8 AS x, pos * exp(-(d.dim - d.dim % 2) * ln(10000.0::DOUBLE) / 64) AS a
-      FROM ends CROSS JOIN dims d LEFT JOIN places p ON p.vec_id = ends.id AND p.dim = d.dim)
+      FROM dims d LEFT JOIN ends USING (doc_id) LEFT JOIN places p ON p.vec_id = ends.id AND p.dim = d.dim)
     SELECT doc_id, dim, round(pooled, 6) + 0.0 AS pooled,
-    round(x + CASE WHEN dim % 2 = 0 THEN sin(a) ELSE cos(a) END, 6) + 0.0 AS last_vector
+    round(x + coalesce(CASE WHEN dim % 2 = 0 THEN sin(a) ELSE cos(a) END, 0), 6) + 0.0 AS last_vector
     FROM pooled JOIN angles USING (doc_id, dim)""",
 )
 def embedding_lookup(spark, folder):
     docs = corpus(spark, folder)
-    encoded = encode_chars(docs, vocab.char_vocab(docs)).filter(F.size("ids") > 0)
+    encoded = encode_chars(docs, vocab.char_vocab(docs))
     emb = sequences(spark, folder).select(F.col("vec_id").alias("id"), "v")
-    tokens = encoded.select("doc_id", F.explode("ids").alias("id"))
-    pooled = vectors.mean_pool(tokens, emb, "doc_id", scaled=True, missing="zero")
-    ends = encoded.select(
-        "doc_id", F.element_at("ids", -1).alias("id"), (F.size("ids") - 1).alias("pos")
-    )
+    pooled = vectors.mean_pool(encoded, emb, "doc_id", scaled=True, missing="zero")
+    # A document without characters has no last one: zeros, without a position.
+    ends = encoded.select("doc_id", F.try_element_at("ids", F.lit(-1)).alias("id"), (F.size("ids") - 1).alias("pos"))
     last = vectors.embed_tokens(ends, emb, scaled=True, positions=True, salt_by=["doc_id"], missing="zero")
-    joined = pooled.join(last.select("doc_id", F.col("v").alias("last_vector")), "doc_id")
-    return _long(joined, ["doc_id"], pooled="v", last_vector="last_vector")
+    zeros = F.transform("v", lambda x: F.lit(0.0))
+    last = last.withColumn("last_vector", F.when(F.col("pos") < 0, zeros).otherwise(F.col("v")))
+    return _long(pooled.join(last.select("doc_id", "last_vector"), "doc_id"), ["doc_id"], pooled="v", last_vector="last_vector")
 
 
 WEIGHTS = [((i * 7) % 11 - 5) / 10 for i in range(64)]
