@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -113,3 +115,23 @@ def test_pairs_from_map_and_struct(spark):
     struct = spark.sql("SELECT 1 AS id, named_struct('en', 'x', 'it', 'y') AS translation")
     for df in (made, struct):
         assert read_pairs(df, "en", "it").first().asDict() == {"pair_id": 1, "src": "x", "trg": "y"}
+
+
+def test_words_of_a_large_vocabulary_meet_it_in_blocks(spark, monkeypatch):
+    from tokenloom.operators import dictionary, encode
+
+    monkeypatch.setattr(dictionary, "BLOCK_ROWS", 3)
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["the", "a", "é", "x,y", "[PAD]", f"w{rng.randint(0, 300)}"]) for _ in range(rng.randint(0, 40))) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, f"s{i}") for i, t in enumerate([*texts, "", None])], "doc_id bigint, text string, source string").repartition(4)
+    words = vocab.word_vocab(docs.filter("text is not null"))
+    rows = {}
+    for max_rows in (10_000, 5):
+        encoded = encode.encode_words(docs, words, "doc_id", max_rows=max_rows)
+        assert encoded.columns == ["doc_id", "text", "source", "ids"]
+        decoded = encode.decode_words(encoded, words, "doc_id", max_rows=max_rows)
+        assert decoded.columns == ["doc_id", "text", "source", "ids", "decoded"]
+        rows[max_rows] = sorted(((r["doc_id"], r["text"], r["source"], r["ids"] or [], r["decoded"] or "") for r in decoded.collect()), key=str)
+    assert rows[5] == rows[10_000] and len(rows[5]) == 62
+    plan = encode.encode_words(docs, words, "doc_id", max_rows=5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode(_words" not in plan

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from typing import Literal
 
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from tokenloom.functions.text import (
     SPECIALS,
@@ -16,8 +18,8 @@ from tokenloom.functions.text import (
     marked_word_tokens,
     token_to_id,
 )
-from tokenloom.operators.vocab import token_id_join
-from tokenloom.session import MAX_BROADCAST_ROWS, lookup_join
+from tokenloom.operators.dictionary import map_elements
+from tokenloom.session import MAX_BROADCAST_ROWS
 
 MAX_CHARS = 0x110000
 
@@ -57,24 +59,17 @@ def encode_words(
 ) -> DataFrame:
     """Adds the array of word ids; unknown words get [UNK].
 
-    A vocabulary within `max_rows` is looked up inside the tasks, so no row moves. A larger one is
-    joined token by token, with tokens spread over salted keys, and the arrays are put together
-    again per `key`, which must be unique.
+    A vocabulary within `max_rows` is looked up inside the tasks, so no row moves. Of a larger one, each
+    block of rows meets the words that it has, see `dictionary`.
     """
     small = small_table(vocab, max_rows)
     words = marked_word_tokens(F.col(text))
     if small:
         return df.withColumn(into, token_to_id(*small, UNK_ID)(words))
-    tokens = df.select(key, F.posexplode(words).alias("pos", "token"))
-    ids = (
-        token_id_join(tokens, vocab, [key, "pos"], max_rows)
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_placed"))
-        .select(key, F.col("_placed.id").alias(into))
-    )
-    return df.join(ids, key, "left").withColumn(
-        into, F.coalesce(into, F.array().cast("array<int>"))
-    )
+    table = vocab.select("token", F.col("id").cast("int").alias("id"))
+    coded = map_elements(df.withColumn("_words", words), "_words", table, "token", "id", lambda ids: ids, into,
+                         ArrayType(IntegerType()), max_rows, F.lit(UNK_ID))
+    return coded.select(*[c for c in df.columns if c != into], into)
 
 
 def decode_words(
@@ -94,12 +89,9 @@ def decode_words(
     hidden = list(range(len(SPECIALS))) if skip_specials else []
     if small:
         return df.withColumn(into, id_to_text(*small, hidden, " ")(F.col(ids)))
-    placed = df.select(key, F.posexplode(ids).alias("pos", "id")).filter(~F.col("id").isin(hidden))
-    words = (
-        lookup_join(placed, vocab.select("id", "token"), ["id"], "left", [key, "pos"], max_rows)
-        .withColumn("token", F.coalesce("token", F.raise_error(F.concat(F.lit("no token with id "), F.col("id").cast("string")))))
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("_placed"))
-        .select(key, F.array_join(F.col("_placed.token"), " ").alias(into))
-    )
-    return df.join(words, key, "left").withColumn(into, F.coalesce(into, F.lit("")))
+    shown = F.filter(F.col(ids), lambda i: ~i.isin(hidden)) if hidden else F.col(ids)
+    unknown = F.raise_error(F.concat(F.lit("no token with id "), F.col("id").cast("string"))).cast("string")
+    table = vocab.select(F.col("id").cast("int").alias("id"), "token")
+    spelled = map_elements(df.withColumn("_shown", shown.cast("array<int>")), "_shown", table, "id", "token",
+                           lambda tokens: pc.binary_join(tokens, " "), into, StringType(), max_rows, unknown)
+    return spelled.select(*[c for c in df.columns if c != into], into)
