@@ -257,10 +257,11 @@ def shared_tokens(docs: DataFrame, tasks: int, n: int = WORDS) -> DataFrame:
             .mapInArrow(count, TOKENS).repartition(tasks, "bucket").mapInArrow(gather, NODES))
 
 
-def verify(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, nodes: DataFrame, sift: bool = False) -> DataFrame:
     """Those of `pairs` (a, b) whose sets are similar enough.
 
-    The sketches of two sets bound their overlap from above, so only pairs within the bound fetch all tokens.
+    With `sift`, for pairs of which few are: the sketches of two sets bound their overlap from above, and
+    only pairs within the bound fetch all tokens.
     """
     def side(k: str, *columns: str) -> DataFrame:
         return nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), *[F.col(c).alias(f"{c}{k}") for c in columns])
@@ -270,8 +271,10 @@ def verify(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     apart = F.aggregate(F.zip_with("sketcha", "sketchb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     most = (F.col("na") - F.col("firsta") + F.col("nb") - F.col("firstb") - apart) / 2
-    pairs = (pairs.distinct().join(side("a", "first", "sketch"), "a").join(side("b", "first", "sketch"), "b")
-             .filter(alike(most)).select("a", "b"))
+    pairs = pairs.distinct()
+    if sift:
+        pairs = (pairs.join(side("a", "first", "sketch"), "a").join(side("b", "first", "sketch"), "b")
+                 .filter(alike(most)).select("a", "b"))
     both = F.size(F.array_intersect("tokensa", "tokensb"))
     return pairs.join(side("a", "tokens"), "a").join(side("b", "tokens"), "b").filter(alike(both)).select("a", "b")
 
@@ -428,7 +431,7 @@ def node_links(nodes: DataFrame) -> DataFrame:
     within = (split.select("g", F.col("c").alias("ca"), F.col("node").alias("a"))
               .join(split.select("g", F.col("c").alias("cb"), F.col("node").alias("b")), "g")
               .filter("ca < cb").select("a", "b"))
-    links = stage(links.union(verify(_ordered(across.union(within)), nodes)), "linked")
+    links = stage(links.union(verify(_ordered(across.union(within)), nodes, sift=True)), "linked")
     return components(links)
 
 
