@@ -157,5 +157,12 @@ def test_items_are_found_wherever_they_stand(spark, edge, edge_rows, nothing):
         assert got == expected
     assert decontaminate.contaminated(edge, bench).count() == 0 and decontaminate.contaminated(nothing, bench).count() == 0
     assert decontaminate.contaminated(frame, bench.limit(0)).count() == 0
+    # The same scores whether the items lie in one index or in several.
+    whole, parts = ({(r["doc_id"], r["item_id"]): (r["score"], r["question_overlap"]) for r in decontaminate.contaminated(frame, bench, size).collect()}
+                    for size in (1000, 7))
+    assert all(parts[k] == pytest.approx(whole[k]) for k in whole)
+    short = spark.createDataFrame([(1, "zebra"), (2, "Purple Zebra")], "item_id long, text string")
+    texts = spark.createDataFrame([(1, "a zebra here"), (2, "the purple zebra"), (3, "zebra, purple"), (4, None)], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(texts, short).collect()) == [(1, 1), (2, 1), (2, 2)]
     answered = bench.limit(3).withColumn("answer", F.lit("no such answer anywhere"))
     assert decontaminate.contaminated(frame, answered).count() == 0

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.llm import kernels
-from tokenloom.llm.shared import record_batch
+from tokenloom.llm.shared import record_batch, stage
 
 K1, B = 1.2, 0.75
 ITEMS, BLOCK = 20_000, 4
@@ -38,22 +38,28 @@ END = 1 << 60
 
 
 class ItemIndex:
-    """Inverted index of one block of test items, given as {item: (question words, answer words)}."""
+    """Inverted index of one block of test items, given as (item, question words, answer words).
 
-    def __init__(self, items: list[tuple[int, np.ndarray, np.ndarray]]):
+    Weights follow from the statistics of all items, of which the block may be a part: `among` is
+    their number, their mean length, and for each word of the block how many of them have it.
+    """
+
+    def __init__(self, items: list[tuple[int, np.ndarray, np.ndarray]], among: tuple[int, float, dict[int, int]] | None = None):
         self.ids = [i for i, _, _ in items]
         self.parts = [(q, a) for _, q, a in items]
         words = [np.concatenate([q, a]) for q, a in self.parts]
         lengths = np.array([len(w) for w in words])
         self.half = max(32, int(lengths.max(initial=0)))
-        average = lengths.mean() if len(lengths) else 1.0
         counts = [Counter(w.tolist()) for w in words]
         df = Counter(t for c in counts for t in c)
+        number, average = len(words), lengths.mean() if len(lengths) else 1.0
         self.vocab = np.array(sorted(df), np.uint64)
+        if among is not None:
+            number, average, df = among
         at = {t: i for i, t in enumerate(self.vocab.tolist())}
         postings: list[list[tuple[int, float]]] = [[] for _ in at]
         for n, c in enumerate(counts):
-            weight = {t: math.log(1 + (len(words) - df[t] + 0.5) / (df[t] + 0.5)) * tf * (K1 + 1)
+            weight = {t: math.log(1 + (number - df[t] + 0.5) / (df[t] + 0.5)) * tf * (K1 + 1)
                       / (tf + K1 * (1 - B + B * lengths[n] / average)) for t, tf in c.items()}
             whole = sum(weight.values())
             for t, w in weight.items():
@@ -159,10 +165,16 @@ class ItemIndex:
                         skip(k, item)
 
 
-def _trigrams(words: np.ndarray) -> np.ndarray:
-    if len(words) < 3:
-        return np.unique(words)
-    return np.unique(kernels.mix(words[:-2] * kernels.PLACES[0] + words[1:-1] * kernels.PLACES[1] + words[2:] * kernels.PLACES[2]))
+def _grams(words: np.ndarray, n: int) -> np.ndarray:
+    """Distinct runs of `n` words."""
+    size = max(0, len(words) - n + 1)
+    return np.unique(kernels.mix(sum((words[k : k + size] * kernels.PLACES[k] for k in range(n)), np.zeros(size, np.uint64))))
+
+
+def _question_share(question: np.ndarray, passage: np.ndarray) -> float:
+    """Share of the question's word trigrams that the passage has; a shorter question is one run itself."""
+    n = min(3, len(question))
+    return _share(_grams(question, n), _grams(passage, n)) if n else 1.0
 
 
 def _share(part: np.ndarray, whole: np.ndarray) -> float:
@@ -200,10 +212,9 @@ def _match(index: ItemIndex, ids: pa.Array, data: np.ndarray, offsets: np.ndarra
         w0 = int(bounds[r]) + (p - int(base[r])) * half
         w1 = min(w0 + 2 * half, int(bounds[r + 1]))
         got = hashes[w0:w1]
-        grams = _trigrams(got)
         for n, score in hits:
             question, answer = index.parts[n]
-            q, s = _share(_trigrams(question), grams), _share(np.unique(answer), got)
+            q, s = _question_share(question, got), _share(np.unique(answer), got)
             if q >= QUESTION and s >= ANSWER and (r, n) not in best or (r, n) in best and (q, s) > best[r, n][1:3]:
                 if points is None:
                     points = kernels.code_points(data)
@@ -232,23 +243,44 @@ def item_words(question: str, answer: str | None) -> tuple[np.ndarray, np.ndarra
     return words[:cut], words[cut:]
 
 
+def _item_terms(batches):
+    """The distinct words of each item, and one row with its length."""
+    for batch in batches:
+        for text, answer in zip(batch.column("text").to_pylist(), batch.column("answer").to_pylist()):
+            words = np.concatenate(item_words(text, answer))
+            kinds = np.unique(words).view(np.int64)
+            yield record_batch("term long, length long", [*kinds.tolist(), None], [0] * len(kinds) + [len(words)])
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, items_per_index: int = ITEMS) -> DataFrame:
     """One row (OUT) per document and test item that it contains.
 
     `docs` has doc_id and text, `benchmark` item_id, text and perhaps answer. Null or empty texts and
-    items without words match nothing; repeated documents give repeated rows and items with one id
-    one row each. An index holds at most `items_per_index` items (with its own term statistics) and
-    is broadcast; a larger benchmark is searched in several passes. Documents are never shuffled.
+    items without words match nothing; an item of one or two words matches where it stands as a whole.
+    Repeated documents give repeated rows and items with one id
+    one row each. An index holds at most `items_per_index` items and is broadcast; a larger benchmark is
+    searched in several passes, with the term statistics of all items. Documents are never shuffled.
     """
     spark = docs.sparkSession
     columns = ["item_id", "text", F.col("answer") if "answer" in benchmark.columns else F.lit(None).cast("string").alias("answer")]
     items = benchmark.filter("text is not null").select(*columns)
     passes = max(1, -(-items.count() // items_per_index))
+    terms, number, average = None, 0, 1.0
+    if passes > 1:
+        words = stage(items.mapInArrow(_item_terms, "term long, length long"), "terms")
+        terms = stage(words.filter("term is not null").groupBy("term").agg(F.count("*").alias("df")), "terms")
+        number, length = words.filter("length > 0").agg(F.count("*"), F.sum("length")).first()
+        average = (length or 1) / max(1, number)
     found = None
     for k in range(passes):
         mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k) if passes > 1 else items
         block = [(r["item_id"], *item_words(r["text"], r["answer"])) for r in mine.orderBy("item_id", "text").collect()]
-        index = spark.sparkContext.broadcast(ItemIndex([x for x in block if len(x[1]) + len(x[2])]))
+        block = [x for x in block if len(x[1]) + len(x[2])]
+        among = None
+        if terms is not None:
+            own = mine.mapInArrow(_item_terms, "term long, length long").filter("term is not null").select("term").distinct()
+            among = (number, average, {r["term"] % (1 << 64): r["df"] for r in terms.join(own, "term").collect()})
+        index = spark.sparkContext.broadcast(ItemIndex(block, among))
 
         def run(batches, index=index):
             for batch in batches:

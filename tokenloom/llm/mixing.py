@@ -16,10 +16,10 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from tokenloom.llm.flow import FlowNetwork
-from tokenloom.llm.shared import mixed
+from tokenloom.llm.shared import mixed, own_prefix
 
 MAX_PATTERNS = 20_000
-BUCKETS = 1024
+ROWS_PER_RANGE = 50_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -89,7 +89,7 @@ class Mixture:
 def mix_sources(
     rows: DataFrame, size: str, sources: Column, order: list[str],
     weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5, most: int = 2,
-    seed: int = 7, max_patterns: int = MAX_PATTERNS, buckets: int = BUCKETS,
+    seed: int = 7, max_patterns: int = MAX_PATTERNS, rows_per_range: int = ROWS_PER_RANGE,
 ) -> Mixture:
     """Choose how often each document is used.
 
@@ -98,43 +98,45 @@ def mix_sources(
     a pattern misses its flow by half a document at most. A document of size 0 is used as its place
     in the order says and takes nothing. Runs with the same seed agree.
 
-    The running sum is taken in two steps: over `buckets` hash ranges of each pattern, then inside a
-    range, so that a pattern with a third of all rows is spread over `buckets` groups.
+    The running sum is taken in two steps: over hash ranges of about `rows_per_range` rows of each pattern,
+    then inside a range, so that a pattern with a third of all rows is many groups. Columns named
+    `copies` or `taken` are replaced; any other columns stay.
     """
     spark = rows.sparkSession
-    rows = rows.withColumn("_pattern", F.array_sort(F.array_distinct(sources)))
-    sums = rows.groupBy("_pattern").agg(F.sum(size).alias("s")).limit(max_patterns + 1).collect()
+    p = own_prefix(rows, "_mix_")
+    rows = rows.withColumn(f"{p}pattern", F.array_sort(F.array_distinct(sources)))
+    sums = rows.groupBy(f"{p}pattern").agg(F.sum(size).alias("s"), F.count("*").alias("n")).limit(max_patterns + 1).collect()
     if len(sums) > max_patterns:
         raise ValueError(f"more than {max_patterns} membership patterns")
-    patterns = {tuple(r["_pattern"]): r["s"] for r in sums}
+    patterns = {tuple(r[f"{p}pattern"]): r["s"] for r in sums}
     sizes: dict[str, int] = {}
     for pattern, words in patterns.items():
         for s in pattern:
             sizes[s] = sizes.get(s, 0) + words
     wanted = targets(sizes, weights, share * sum(patterns.values()) / max(1, sum(sizes.values())), most)
     routes = route(patterns, wanted, most)
-    sent = {p: sum(v for (q, _), v in routes.items() if q == p) for p in patterns} if len(patterns) < 50 else {}
-    if not sent:
-        sent = dict.fromkeys(patterns, 0)
-        for (p, _), v in routes.items():
-            sent[p] += v
+    sent = dict.fromkeys(patterns, 0)
+    for (pattern, _), v in routes.items():
+        sent[pattern] += v
     plan = F.broadcast(spark.createDataFrame(
-        [(list(p), n, patterns[p], sent[p]) for n, p in enumerate(patterns)],
-        "_pattern array<string>, _id int, _whole long, _sent long"))
+        [(list(x), n, patterns[x], sent[x]) for n, x in enumerate(patterns)],
+        f"{p}pattern array<string>, {p}id int, {p}whole long, {p}sent long"))
     place = mixed(*[F.col(c) for c in order], seed=seed)
-    rows = (rows.join(plan, "_pattern").withColumn("_place", place)
-            .withColumn("_bucket", F.pmod("_place", F.lit(buckets)).cast("int")))
-    totals = rows.groupBy("_id", "_bucket").agg(F.sum(size).alias("_in"))
-    totals = totals.withColumn("_base", F.sum("_in").over(W.partitionBy("_id").orderBy("_bucket")) - F.col("_in"))
-    inside = W.partitionBy("_id", "_bucket").orderBy("_place", *order, size).rowsBetween(W.unboundedPreceding, 0)
-    rows = (rows.withColumn("_upto", F.sum(size).over(inside))
-            .join(totals.select("_id", "_bucket", "_base"), ["_id", "_bucket"])
-            .withColumn("_middle", F.col("_base") + F.col("_upto") - F.col(size) / 2))
-    copies = sum((F.when(F.col("_middle") + F.col("_whole") * k <= F.col("_sent"), 1).otherwise(0)
+    # Ranges of the hash by its leading bits: how many there are does not change the order.
+    bits = max(1, (max((r["n"] for r in sums), default=0) // rows_per_range).bit_length())
+    rows = (rows.join(plan, f"{p}pattern").withColumn(f"{p}place", place)
+            .withColumn(f"{p}bucket", F.shiftright(f"{p}place", 64 - bits)))
+    totals = rows.groupBy(f"{p}id", f"{p}bucket").agg(F.sum(size).alias(f"{p}in"))
+    totals = totals.withColumn(f"{p}base", F.sum(f"{p}in").over(W.partitionBy(f"{p}id").orderBy(f"{p}bucket")) - F.col(f"{p}in"))
+    inside = W.partitionBy(f"{p}id", f"{p}bucket").orderBy(f"{p}place", *order, size).rowsBetween(W.unboundedPreceding, 0)
+    rows = (rows.withColumn(f"{p}upto", F.sum(size).over(inside))
+            .join(totals.select(f"{p}id", f"{p}bucket", f"{p}base"), [f"{p}id", f"{p}bucket"])
+            .withColumn(f"{p}middle", F.col(f"{p}base") + F.col(f"{p}upto") - F.col(size) / 2))
+    copies = sum((F.when(F.col(f"{p}middle") + F.col(f"{p}whole") * k <= F.col(f"{p}sent"), 1).otherwise(0)
                   for k in range(most)), F.lit(0))
-    copies = F.when(F.size("_pattern") == 0, 0).otherwise(copies)
+    copies = F.when(F.size(f"{p}pattern") == 0, 0).otherwise(copies)
     rows = (rows.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col(size))
-            .drop("_pattern", "_id", "_whole", "_sent", "_place", "_bucket", "_upto", "_base", "_middle"))
+            .drop(f"{p}pattern", f"{p}id", f"{p}whole", f"{p}sent", f"{p}place", f"{p}bucket", f"{p}upto", f"{p}base", f"{p}middle"))
     table = spark.createDataFrame(
         [(s, sizes[s], float(wanted[s])) for s in sorted(sizes)], "tag string, source_size long, target double")
     return Mixture(rows, table, routes)

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tokenloom.llm.flow import FlowNetwork
-from tokenloom.llm.shared import mixed
+from tokenloom.llm.shared import mixed, own_prefix
 
 BLOCKS_PER_SHARD = 512
 ROW_BYTES = 16
@@ -100,24 +100,24 @@ def reshard(
     `old` gives the present shard (null counts as shard 0), `weights` the relative capacity of the
     new ones (equal if not given), `order` the columns that order rows inside a block and spread
     them over blocks; rows equal in all of them may swap slots. An empty table gives an empty one.
-    Columns of the four names are replaced.
-    Columns named `_from_shard`, `_weight`, `_block`, `_blocks`, `_rank` or `_base` must not exist.
+    Columns of the four names are replaced; any other columns stay.
     """
     spark = rows.sparkSession
+    p = own_prefix(rows, "_move_")
     rows = rows.drop("old_shard", "shard", "slot", "moved")
-    rows = rows.withColumn("_from_shard", F.coalesce(old, F.lit(0)).cast("int")).withColumn("_weight", size)
-    sizes = {r["_from_shard"]: r["s"] for r in rows.groupBy("_from_shard").agg(F.sum("_weight").alias("s")).collect()}
+    rows = rows.withColumn(f"{p}from_shard", F.coalesce(old, F.lit(0)).cast("int")).withColumn(f"{p}weight", size)
+    sizes = {r[f"{p}from_shard"]: r["s"] for r in rows.groupBy(f"{p}from_shard").agg(F.sum(f"{p}weight").alias("s")).collect()}
     total = sum(sizes.values())
     weights = weights or [1] * shards
     edges = [total * sum(weights[:j]) // sum(weights) for j in range(shards + 1)]
     capacity = [b - a for a, b in zip(edges, edges[1:])]
     grain = max(1, total // (shards * blocks_per_shard))
     counts = F.broadcast(spark.createDataFrame(
-        [(k, -(-v // grain)) for k, v in sizes.items()], "_from_shard int, _blocks long"))
-    rows = (rows.join(counts, "_from_shard")
-            .withColumn("_block", F.pmod(mixed(*[F.col(c) for c in order], seed=5), F.col("_blocks"))))
-    blocks = [(r["_from_shard"], r["_block"], r["s"], r["n"]) for r in rows.groupBy("_from_shard", "_block").agg(
-        F.sum("_weight").alias("s"), F.count("*").alias("n")).collect()]
+        [(k, -(-v // grain)) for k, v in sizes.items()], f"{p}from_shard int, {p}blocks long"))
+    rows = (rows.join(counts, f"{p}from_shard")
+            .withColumn(f"{p}block", F.pmod(mixed(*[F.col(c) for c in order], seed=5), F.col(f"{p}blocks"))))
+    blocks = [(r[f"{p}from_shard"], r[f"{p}block"], r["s"], r["n"]) for r in rows.groupBy(f"{p}from_shard", f"{p}block").agg(
+        F.sum(f"{p}weight").alias("s"), F.count("*").alias("n")).collect()]
     placed = place_blocks([b[:3] for b in blocks], fewest_moves(sizes, capacity), capacity)
     base, filled = [], [0] * shards
     for old_shard, block, _, n in sorted(blocks):
@@ -125,14 +125,14 @@ def reshard(
         base.append((old_shard, block, new, filled[new]))
         filled[new] += n
     table = F.broadcast(spark.createDataFrame(base, T.StructType([
-        T.StructField("_from_shard", T.IntegerType()), T.StructField("_block", T.LongType()),
-        T.StructField("shard", T.IntegerType()), T.StructField("_base", T.LongType())])))
-    rank = F.row_number().over(W.partitionBy("_from_shard", "_block").orderBy(*order))
-    return (rows.withColumn("_rank", rank.cast("long")).join(table, ["_from_shard", "_block"])
-            .withColumn("slot", F.col("_base") + F.col("_rank") - 1)
-            .withColumn("moved", F.col("_from_shard") != F.col("shard"))
-            .withColumnRenamed("_from_shard", "old_shard")
-            .drop("_weight", "_block", "_blocks", "_rank", "_base"))
+        T.StructField(f"{p}from_shard", T.IntegerType()), T.StructField(f"{p}block", T.LongType()),
+        T.StructField("shard", T.IntegerType()), T.StructField(f"{p}base", T.LongType())])))
+    rank = F.row_number().over(W.partitionBy(f"{p}from_shard", f"{p}block").orderBy(*order))
+    return (rows.withColumn(f"{p}rank", rank.cast("long")).join(table, [f"{p}from_shard", f"{p}block"])
+            .withColumn("slot", F.col(f"{p}base") + F.col(f"{p}rank") - 1)
+            .withColumn("moved", F.col(f"{p}from_shard") != F.col("shard"))
+            .withColumnRenamed(f"{p}from_shard", "old_shard")
+            .drop(f"{p}weight", f"{p}block", f"{p}blocks", f"{p}rank", f"{p}base"))
 
 
 def rewrite(resharded: DataFrame, old_folder: str, new_folder: str) -> DataFrame:

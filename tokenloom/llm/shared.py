@@ -42,6 +42,13 @@ def without(rows: DataFrame, gone: DataFrame, on: dict[str, Column]) -> DataFram
     return rows.join(listed, met, "left_anti")
 
 
+def own_prefix(rows: DataFrame, prefix: str) -> str:
+    """A beginning for names of helper columns that no column of `rows` has."""
+    while any(c.lower().startswith(prefix) for c in rows.columns):
+        prefix = f"_{prefix}"
+    return prefix
+
+
 def mixed(*columns: Column, seed: int) -> Column:
     """A reproducible 64-bit hash."""
     return F.xxhash64(F.lit(seed), *columns)
