@@ -7,6 +7,8 @@ written as Parquet in the shared folder and read again. All stages but the last
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,24 @@ from tokenloom.llm.queries import REJECT_BELOW, SHARDS, old_layout
 from tokenloom.llm.shared import stage, table, without
 
 
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _guarded(apply):
+    """The stage with other columns of its input under names that nothing inside it uses."""
+    @wraps(apply)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        safe = {c: c if c in DOCUMENT else f"extra{i}" for i, c in enumerate(docs.columns)}
+        out = apply(spark, docs.toDF(*safe.values()), sf_dir)
+        # A column that the stage itself makes replaces the one of its name.
+        out = out.drop(*[new for c, new in safe.items() if c != new and c in out.columns])
+        back = {new: c for c, new in safe.items()}
+        return out.toDF(*[back.get(c, c) for c in out.columns])
+
+    return run
+
+
+@_guarded
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: documents with a score under the threshold go.
 
@@ -31,6 +51,7 @@ def _text_key():
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
+@_guarded
 def keep_one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: of each group of near duplicates the smallest doc_id stays.
 
@@ -47,6 +68,7 @@ def keep_one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return least.select("row.*")
 
 
+@_guarded
 def drop_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: rows whose text contains a test item go.
 
@@ -57,6 +79,7 @@ def drop_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return without(docs, hit, {"doc_id": _text_key()})
 
 
+@_guarded
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing sources to target weights: a document comes as often as the mix takes it (0 to 2 times)."""
     columns = docs.columns
@@ -65,13 +88,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select(*columns)
 
 
+@_guarded
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sharding: rows with their shard, its old shard and their slot in the new one."""
     rows = (docs.withColumn("_size", sharding.document_size(F.col("text")))
             .withColumn("_crc", F.crc32(F.coalesce(F.col("text"), F.lit("")))))
     out = sharding.reshard(rows, old_layout(F.col("source")), F.col("_size"), ["doc_id", "_crc", "_size"], SHARDS)
-    kept = [c for c in docs.columns if c not in ("old_shard", "shard", "slot", "moved")]
-    return out.select(*kept, "old_shard", "shard", "slot", "moved")
+    return out.select(*docs.columns, "old_shard", "shard", "slot", "moved")
 
 
 STAGES = [
