@@ -150,6 +150,22 @@ def test_translation_tables_with_copies(spark):
         assert made[0]["pred_ids"] == [6, 7, 6] and made[3]["pred_ids"] == [7]
 
 
+@pytest.mark.parametrize("cells", [1, 6, 1000])
+def test_translation_does_not_depend_on_blocks(spark, monkeypatch, cells):
+    """Pairs in slices, many blocks, messages staged between steps; one word in every sentence."""
+    monkeypatch.setattr(translation, "CELLS", cells)
+    monkeypatch.setattr(translation, "CUT_EVERY", 2)
+    rng = random.Random(cells)
+    pairs = [([4] + [rng.randint(5, 12) for _ in range(rng.randint(0, 8))], [rng.randint(4, 15) for _ in range(rng.randint(1, 9))]) for _ in range(25)]
+    rows = [(i, s, t) for i, (s, t) in enumerate(pairs)] + [(98, [], [4]), (99, [4], [])]
+    df = spark.createDataFrame(rows, "pair_id bigint, src_ids array<int>, trg_ids array<int>").repartition(3)
+    fitted = {(r["src"], r["trg"]): r["p"] for r in translation.fit_lexical(df, 5).collect()}
+    expected = em(pairs, 5)
+    assert fitted.keys() == expected.keys()
+    assert all(math.isclose(fitted[k], expected[k], rel_tol=1e-9) for k in expected)
+    assert translation.fit_lexical(df.limit(0), 2).count() == 0
+
+
 def test_length_guard_boundaries(spark):
     rows = [(0, [5] * 6, [5] * 7), (1, [5] * 7, [5]), (2, [5], [5] * 8), (3, [], [])]
     df = spark.createDataFrame(rows, "pair_id bigint, src_ids array<int>, trg_ids array<int>")

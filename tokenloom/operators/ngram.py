@@ -71,7 +71,7 @@ def score_ngram(model: DataFrame, docs: DataFrame, order: int, key: str, ids: st
     never saw scores as one seen once. The scores do not sum to one over tokens.
     """
     names = _context_names(order) + ["next"]
-    counts = gram_counts(docs, order, [key], ids)
+    counts = stage(gram_counts(docs, order, [key], ids), "grams")
     scored = counts.select(*names).distinct()
     choices = []
     for n in range(order, 0, -1):

@@ -2,20 +2,159 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import SPECIALS, UNK_ID
 from tokenloom.session import MAX_BROADCAST_ROWS, lookup_join, stage
 
 
-def _types(ids: str, name: str) -> Column:
-    """Distinct ids of a row with how often they occur in it."""
-    def counted(x: Column) -> Column:
-        n = F.size(F.filter(ids, lambda y: y == x))
-        return F.struct(x.alias(name), n.alias(f"n_{name}"))
+PIECES = "src binary, n_src binary, trg binary, n_trg binary, n_all long, weight long, cells long"
+MESSAGES = "bucket int, block int, codes binary, sums binary"
+ANSWERS = "block int, bucket int, rows binary, sums binary"
+CELLS = 1 << 20  # word pairs that a block holds at a time
+CUT_EVERY = 3  # steps between staged messages
+TOTAL = 0xFFFFFFFF  # stands for all target words of a source word
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sentence pairs as distinct ids with counts, long ones cut into slices of their target words."""
+    for batch in batches:
+        rows = []
+        for src, trg, weight in zip(*(batch.column(c) for c in ("src_ids", "trg_ids", "weight"))):
+            s, n_s = np.unique(np.array(src.values, np.int64), return_counts=True)
+            t, n_t = np.unique(np.array(trg.values, np.int64), return_counts=True)
+            width = max(1, CELLS // max(1, len(s)))
+            for a in range(0, len(t) if len(s) else 0, width):
+                part = slice(a, a + width)
+                rows.append((s.tobytes(), n_s.tobytes(), t[part].tobytes(), n_t[part].tobytes(), int(n_s.sum()), weight.as_py(),
+                             len(s) * len(t[part])))
+        yield pa.RecordBatch.from_pylist([dict(zip(_names(PIECES), r)) for r in rows], schema=_arrow(PIECES))
+
+
+def _names(ddl: str) -> list[str]:
+    return [c.split()[0] for c in ddl.split(", ")]
+
+
+def _arrow(ddl: str) -> pa.Schema:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    return pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in ddl.split(", ")])
+
+
+def _read_block(rows: list[dict]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+    """Pieces of a block, and the keys whose sums it needs: word pairs and source words, each once, and which cell has which."""
+    pieces, codes = [], []
+    for r in rows:
+        s, n_s, t, n_t = (np.frombuffer(r[c], np.int64) for c in ("src", "n_src", "trg", "n_trg"))
+        pieces.append((s, n_s, n_t, r["n_all"], r["weight"]))
+        codes.append((s[:, None] << 32 | t[None, :]).ravel())
+        codes.append(s << 32 | TOTAL)
+    keys, which = np.unique(np.concatenate(codes), return_inverse=True)
+    return pieces, keys, which
+
+
+def _expected(pieces: list[tuple], which: np.ndarray, n_keys: int, sums: np.ndarray | None) -> np.ndarray:
+    """Each target word's count shared among the source words of its sentence; sums per word pair and source word."""
+    out = np.zeros(n_keys)
+    at = 0
+    for s, n_s, n_t, n_all, weight in pieces:
+        cells = which[at : at + len(s) * len(n_t)].reshape(len(s), len(n_t))
+        totals = which[at + cells.size : at + cells.size + len(s)]
+        at += cells.size + len(s)
+        if sums is None:  # all source words are equally likely
+            share = np.broadcast_to(n_s[:, None] / n_all, cells.shape)
+        else:
+            share = n_s[:, None] * sums[cells] / sums[totals][:, None]
+            share = share / np.maximum(share.sum(0), 1e-300)
+        share = share * (weight * n_t)[None, :]
+        # A piece has every word pair and source word once.
+        out[cells] += share
+        out[totals] += share.sum(1)
+    return out
+
+
+def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = (keys.view(np.uint64) ^ (keys.view(np.uint64) >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+
 
-    return F.transform(F.array_distinct(ids), counted)
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
+    block, rows = None, []
+    for batch in batches:
+        for r in batch.to_pylist():
+            if r["block"] != block and rows:
+                yield block, rows
+                rows = []
+            block = r["block"]
+            rows.append(r)
+    if rows:
+        yield block, rows
+
+
+def _expect(batches: Iterator[pa.RecordBatch], buckets: int, first: bool) -> Iterator[pa.RecordBatch]:
+    """The expected counts of each block, dealt to the buckets of their keys."""
+    for block, rows in _by_block(batches):
+        given = [r for r in rows if r["bucket"] < 0]
+        with pa.ipc.open_stream(pa.py_buffer(given[0]["rows"])) as reader:
+            pieces, keys, which = _read_block(reader.read_all().to_pylist())
+        bucket = _bucket_of(keys, buckets)
+        order = np.argsort(bucket, kind="stable")
+        sums = None
+        if not first:
+            answers = np.concatenate([np.frombuffer(r["sums"]) for r in sorted((r for r in rows if r["bucket"] >= 0), key=lambda r: r["bucket"])])
+            sums = np.empty(len(keys))
+            sums[order] = answers
+        made = _expected(pieces, which, len(keys), sums)[order]
+        ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        spans = [(k, a, b) for k, (a, b) in enumerate(zip(ends.tolist(), ends[1:].tolist())) if b > a]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([k for k, _, _ in spans], pa.int32()), pa.array([block] * len(spans), pa.int32()),
+            pa.array([keys[order[a:b]].tobytes() for _, a, b in spans], pa.binary()),
+            pa.array([made[a:b].tobytes() for _, a, b in spans], pa.binary())], schema=_arrow(MESSAGES))
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[dict], np.ndarray, np.ndarray, np.ndarray]]:
+    """Per bucket: its messages, its distinct keys with their sums, and the key of each entry."""
+    held: dict[int, list[dict]] = {}
+    for batch in batches:
+        for r in batch.to_pylist():
+            held.setdefault(r["bucket"], []).append(r)
+    for rows in held.values():
+        rows.sort(key=lambda r: r["block"])  # one order of adding, whatever order messages come in
+        keys, which = np.unique(np.concatenate([np.frombuffer(r["codes"], np.int64) for r in rows]), return_inverse=True)
+        yield rows, keys, np.bincount(which, np.concatenate([np.frombuffer(r["sums"]) for r in rows]), len(keys)), which
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What every block asked for, in its own order."""
+    for rows, _, sums, which in _added(batches):
+        ends = np.cumsum([len(r["codes"]) // 8 for r in rows])
+        parts = np.split(sums[which], ends[:-1])
+        yield pa.RecordBatch.from_arrays([
+            pa.array([r["block"] for r in rows], pa.int32()), pa.array([r["bucket"] for r in rows], pa.int32()),
+            pa.nulls(len(rows), pa.binary()), pa.array([p.tobytes() for p in parts], pa.binary())], schema=_arrow(ANSWERS))
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, keys, sums, _ in _added(batches):
+        trg = keys & TOTAL
+        yield pa.RecordBatch.from_arrays(
+            [pa.array((keys >> 32).astype(np.int32)), pa.array(np.where(trg == TOTAL, -1, trg).astype(np.int32)), pa.array(sums)],
+            ["src", "trg", "share"])
+
+
+def _as_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block, rows in _by_block(batches):
+        out = pa.BufferOutputStream()
+        table = pa.RecordBatch.from_pylist([{k: r[k] for k in _names(PIECES)} for r in rows], schema=_arrow(PIECES))
+        with pa.ipc.new_stream(out, table.schema) as writer:
+            writer.write_batch(table)
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([-1], pa.int32()),
+                                          pa.array([out.getvalue().to_pybytes()], pa.binary()), pa.nulls(1, pa.binary())], schema=_arrow(ANSWERS))
 
 
 def fit_lexical(pairs: DataFrame, iters: int) -> DataFrame:
@@ -23,42 +162,34 @@ def fit_lexical(pairs: DataFrame, iters: int) -> DataFrame:
 
     In each step every target word of a pair shares its count among the pair's source words in
     proportion to the current table; the shares summed over all pairs and scaled per source word
-    are the next table. Copies of a pair become one row with a weight, and repeats inside a pair
-    are counted first, so no pair of words is more than a small part of the rows. Word pairs are
-    streamed from the row of their sentence pair and summed in the same task before a shuffle.
+    are the next table. Copies of a pair become one row with a weight.
+
+    Sentence pairs are packed to blocks of about CELLS word pairs. In a step a block adds up its shares per
+    word pair and per source word and sends each sum once to the bucket of its key; buckets add the sums
+    of all blocks and send them back. So a step has two exchanges, of packed sums, and a word pair that all
+    sentences have is one entry per block.
     """
-    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    once = pairs.groupBy("src_ids", "trg_ids").agg(
-        F.min("pair_id").alias("pair_id"), F.count("*").alias("weight")
-    )
-    # Each row grows to many, so the rows are spread evenly before.
-    typed = once.repartition(parts, "pair_id").select(
-        "pair_id",
-        "weight",
-        F.size("src_ids").alias("n_all"),
-        _types("src_ids", "src").alias("ss"),
-        _types("trg_ids", "trg").alias("ts"),
-    )
-    typed = stage(typed, "typed")
-    words = typed.select("pair_id", "weight", "n_all", "ss", F.inline("ts")).select(
-        "pair_id", "weight", "n_all", "trg", "n_trg", F.inline("ss")
-    )
-    table = None
-    for _ in range(iters):
-        if table is None:  # all source words are equally likely
-            met, p, whole = words, F.lit(1.0), F.col("n_all")
-        else:
-            met, p = words.join(table, ["src", "trg"]), F.col("p")
-            # One sentence's source words for one target word: bounded by that sentence.
-            whole = F.sum(F.col("n_src") * p).over(Window.partitionBy("pair_id", "trg"))
-        share = F.col("weight") * F.col("n_trg") * F.col("n_src") * p / whole
-        shares = met.withColumn("share", share).groupBy("src", "trg").agg(F.sum("share").alias("share"))
-        shares = stage(shares, "shares")
-        totals = shares.groupBy("src").agg(F.sum("share").alias("total"))
-        table = lookup_join(shares, totals, ["src"], "inner", ["trg"]).select(
-            "src", "trg", (F.col("share") / F.col("total")).alias("p")
-        )
-    return table
+    spark = pairs.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    once = pairs.filter((F.size("src_ids") > 0) & (F.size("trg_ids") > 0)).groupBy("src_ids", "trg_ids").agg(F.count("*").alias("weight"))
+    once = once.select(F.col("src_ids").cast("array<int>"), F.col("trg_ids").cast("array<int>"), "weight")
+    pieces = stage(once.repartition(tasks).mapInArrow(_pieces, PIECES), "pieces")
+    cells = pieces.agg(F.coalesce(F.sum("cells"), F.lit(0))).first()[0]
+    n_blocks = max(tasks, -(-cells // CELLS))
+    block = F.pmod(F.xxhash64("src", "trg"), F.lit(n_blocks)).cast("int").alias("block")
+    dealt = pieces.select("*", block).repartition(tasks, "block").sortWithinPartitions("block", "src", "trg")
+    blocks = stage(dealt.mapInArrow(_as_blocks, ANSWERS), "blocks")
+    messages = blocks.mapInArrow(lambda b: _expect(b, n_blocks, True), MESSAGES)
+    for step in range(1, iters):
+        answers = messages.repartition(tasks, "bucket").mapInArrow(_answer, ANSWERS)
+        met = blocks.unionByName(answers).repartition(tasks, "block").sortWithinPartitions("block")
+        messages = met.mapInArrow(lambda b: _expect(b, n_blocks, False), MESSAGES)
+        if step % CUT_EVERY == 0 and step + 1 < iters:
+            messages = stage(messages, "messages")
+    sums = stage(messages.repartition(tasks, "bucket").mapInArrow(_listed, "src int, trg int, share double"), "sums")
+    totals = sums.filter("trg < 0").select("src", F.col("share").alias("total"))
+    return lookup_join(sums.filter("trg >= 0"), totals, ["src"], "inner", ["trg"]).select(
+        "src", "trg", (F.col("share") / F.col("total")).alias("p"))
 
 
 def best_targets(table: DataFrame) -> DataFrame:

@@ -14,9 +14,6 @@ MAX_BROADCAST_ROWS = 200_000
 # In a shuffled join, keys with more than one HOT_SHARE-th of the rows go to SALTS tasks each.
 HOT_SHARE, SALTS = 1000, 16
 
-# Inputs from this size on, and below this size per core, are spread over the cores.
-SPREAD_FROM, SPREAD_SPLIT = 1 << 20, 8 << 20
-
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
@@ -80,15 +77,9 @@ def once(spark: SparkSession, folder: str, label: str, make: Callable[[], DataFr
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """`df` over all cores when it is too small for its files to occupy them.
-
-    Large inputs, which arrive in enough splits, are left as they are.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """`df` over all cores when it lies in fewer files than there are cores."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if SPREAD_FROM <= size < cores * SPREAD_SPLIT:
-        return df.repartition(cores)
-    return df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
