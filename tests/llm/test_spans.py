@@ -3,6 +3,7 @@ import random
 import brute
 import pytest
 from conftest import SCHEMA
+from pyspark.sql import functions as F
 
 from tokenloom.llm import imatch, pii, secrets
 
@@ -153,3 +154,26 @@ def test_document_frequencies_are_exact(spark):
     df = Counter(w for t in texts for w in set(t.split()))
     got = sorted(r["df"] for r in imatch.document_frequencies(frame(spark, texts).repartition(7), 20, 9).collect())
     assert got == sorted(n for n in df.values() if n >= 20)
+
+
+def test_very_many_matches_cost_in_proportion(spark):
+    """A long log: thousands of addresses of several kinds in one text, over many chunks."""
+    import time
+
+    def text(n):
+        return " ".join(f"user{i}@example.org 10.0.{i % 256}.{i % 250 + 1} +49 30 {1000000 + i}" for i in range(n))
+
+    docs = spark.createDataFrame([(1, text(300)), (2, "no match"), (3, text(2000))], "doc_id long, text string").withColumn("_out", F.lit("mine"))
+    model = pii.fit(docs)
+    rows = {r["doc_id"]: r for r in pii.find_personal_data(docs, model).collect()}
+    for d, n in ((1, 300), (3, 2000)):
+        base = brute.pii_base(text(n))
+        assert rows[d]["base_sha256"] == brute.digest(base) and rows[d]["n_email"] == rows[d]["n_ip"] == n
+        assert rows[d]["_out"] == "mine"
+    seconds = []
+    for n in (1000, 8000):
+        one = spark.createDataFrame([(1, text(n // 3))], "doc_id long, text string")
+        begin = time.perf_counter()
+        pii.find_personal_data(one, model).collect()
+        seconds.append(time.perf_counter() - begin)
+    assert seconds[1] < 8 * seconds[0] + 4

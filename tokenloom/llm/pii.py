@@ -16,11 +16,12 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.shared import stage
+from tokenloom.llm.shared import own_prefix, stage
 
 # Kinds in the order of the contract, then the looser ones.
 KINDS = ("email", "ip", "card", "phone", "email_text", "phone_local", "national_id", "person")
@@ -62,18 +63,20 @@ FEATURES = ("size", "before", "after")
 ROUNDS = 12
 ADD_FROM = math.log(4.0)
 CONTEXT = 40
+CHUNK = 256
 
 
 def _located(text: Column, kind: str) -> Column:
     """All leftmost non-overlapping matches of a kind with their place and surroundings.
 
     The pieces between matches give the places: a match starts where all pieces and matches before it
-    end.
+    end. Matches are added up in chunks of CHUNK, and the chunks shifted to where they begin, so that a text
+    with very many matches costs in proportion to them.
     """
     pattern = PATTERNS[kind]
     number = KINDS.index(kind)
 
-    def step(x: Column):
+    def chunk(x: Column, first: Column) -> Column:
         def add(done: Column, i: Column) -> Column:
             match, piece = x["m"][i], x["s"][i]
             start = done["at"] + F.length(piece)
@@ -82,8 +85,21 @@ def _located(text: Column, kind: str) -> Column:
                 start.alias("start"), F.lit(number).alias("kind"), end.alias("end"), match.alias("text"),
                 F.right(piece, F.lit(CONTEXT)).alias("before"), F.left(x["s"][i + 1], F.lit(1)).alias("after"))).alias("out"))
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(x["m"]) - 1),
-                           F.struct(F.lit(0).alias("at"), _none().alias("out")), add, lambda done: done["out"])
+        last = F.least(first + CHUNK, F.size(x["m"])) - 1
+        return F.aggregate(F.sequence(first, last), F.struct(F.lit(0).alias("at"), _none().alias("out")), add)
+
+    def joined(chunks: Column) -> Column:
+        begins = F.aggregate(
+            chunks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins")),
+            lambda done, c: F.struct((done["at"] + c["at"]).alias("at"), F.array_append(done["begins"], done["at"]).alias("begins")),
+            lambda done: done["begins"])
+        shifted = F.zip_with(chunks, begins, lambda c, begin: F.transform(
+            c["out"], lambda m: m.withField("start", m["start"] + begin).withField("end", m["end"] + begin)))
+        return F.when(F.size(chunks) == 1, chunks[0]["out"]).otherwise(F.flatten(shifted))
+
+    def step(x: Column) -> Column:
+        firsts = F.sequence(F.lit(0), F.size(x["m"]) - 1, F.lit(CHUNK))
+        return F.transform(F.array(F.transform(firsts, lambda first: chunk(x, first))), joined)[0]
 
     parts = F.array(F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"),
                              F.split(text, pattern, -1).alias("s")))
@@ -211,6 +227,20 @@ def _is_kind(number: int):
     return lambda c: c["kind"] == number
 
 
+def _meets(spans: Column, c: Column) -> Column:
+    """Whether `c` overlaps one of the ordered, disjoint `spans`: only the last that begins before its end can."""
+    rounds = F.sequence(F.lit(1), F.length(F.bin(F.size(spans).cast("bigint"))).cast("int"))
+
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        before, going = F.get(spans, mid)["start"] < c["end"], s["lo"] < s["hi"]
+        return F.struct(F.when(going & before, mid + 1).otherwise(s["lo"]).alias("lo"),
+                        F.when(going & ~before, mid).otherwise(s["hi"]).alias("hi"))
+
+    begun = F.aggregate(rounds, F.struct(F.lit(0).alias("lo"), F.size(spans).alias("hi")), halve, lambda s: s["lo"])
+    return F.coalesce((F.size(spans) > 0) & (F.get(spans, begun - 1)["end"] > c["start"]), F.lit(False))
+
+
 def _lookup(key: Column, values: dict[int, float]) -> Column:
     out = F.lit(0.0)
     for k, v in values.items():
@@ -234,16 +264,21 @@ def find_personal_data(docs: DataFrame, model: SpanModel) -> DataFrame:
     `spans`. Spans are kind:start:end in code points, end exclusive, by start and then kind. Columns of
     these names are replaced.
     """
-    def personal(c: Column, base: Column) -> Column:
+    def personal(c: Column, base: list[Column]) -> Column:
         score = _lookup(c["kind"], model.odds["kind"])
         for name in (*LABELERS, *FEATURES):
             score = score + _lookup(c[name], model.odds[name])
-        clear = ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-        return ~c["base"] & clear & (score >= ADD_FROM)
+        return reduce(lambda clear, spans: clear & ~_meets(spans, c), base, ~c["base"] & (score >= ADD_FROM))
+
+    def added_to(x: Column) -> Column:
+        # Base spans of one kind are apart from each other and in order.
+        kinds = F.struct(*[F.filter(x["base"], _is_kind(k)).alias(f"k{k}") for k in range(BASE_KINDS)])
+        return F.transform(F.array(kinds), lambda of: F.filter(
+            x["found"], lambda c: personal(c, [of[f"k{k}"] for k in range(BASE_KINDS)])))[0]
 
     def result(x: Column) -> Column:
         """All outputs of a text from its candidates and the base ones among them."""
-        added = F.when(F.size(x["found"]) > F.size(x["base"]), F.filter(x["found"], lambda c: personal(c, x["base"])))
+        added = F.when(F.size(x["found"]) > F.size(x["base"]), added_to(x))
         added = F.coalesce(added, F.slice(x["base"], 1, 0))
         counts = [F.size(F.filter(x["base"], _is_kind(k))).cast("long").alias(f"n_{name}")
                   for k, name in enumerate(KINDS[:BASE_KINDS])]
@@ -254,8 +289,9 @@ def find_personal_data(docs: DataFrame, model: SpanModel) -> DataFrame:
     # Arrays of one element name a value inside an expression, so that it is computed once.
     found = F.array(candidates(F.coalesce("text", F.lit(""))))
     both = F.transform(found, lambda f: F.struct(f.alias("found"), F.filter(f, lambda c: c["base"]).alias("base")))
-    return docs.withColumn("_out", F.get(F.transform(both, result), F.lit(0))).select(
-        *[c for c in docs.columns if c not in OUTPUTS], "_out.*")
+    out = f"{own_prefix(docs, '_found_')}out"
+    return docs.withColumn(out, F.get(F.transform(both, result), F.lit(0))).select(
+        *[c for c in docs.columns if c not in OUTPUTS], f"{out}.*")
 
 
 def redact(docs: DataFrame, found: str = "spans") -> DataFrame:
