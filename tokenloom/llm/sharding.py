@@ -139,14 +139,14 @@ def rewrite(resharded: DataFrame, old_folder: str, new_folder: str) -> DataFrame
     """Write the shards that gain or lose rows, and return where each shard is now: (shard, path).
 
     `resharded` comes from `reshard` with all columns of the documents. A shard whose rows all stay
-    keeps its old files, which are laid out as `old_folder`/shard=K.
+    keeps its old files, which are laid out as `old_folder`/shard=K. Rows are dealt by ranges of shard and
+    slot, so a large shard is written by many tasks, to files that follow each other in the order of slots.
     """
     spark = resharded.sparkSession
-    changed = [r[0] for r in resharded.filter("moved").select(
-        F.explode(F.array("old_shard", "shard"))).distinct().collect()]
-    every = [r[0] for r in resharded.select("shard").distinct().collect()]
+    places = resharded.select("old_shard", "shard", "moved").distinct().collect()  # at most old times new shards
+    changed = sorted({s for r in places if r["moved"] for s in (r["old_shard"], r["shard"])})
+    every = sorted({r["shard"] for r in places})
     (resharded.filter(F.col("shard").isin(changed)).drop("old_shard", "moved")
-     .repartition(F.col("shard")).write.partitionBy("shard").parquet(new_folder))
+     .repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(new_folder))
     return spark.createDataFrame(
-        [(s, f"{new_folder if s in changed else old_folder}/shard={s}") for s in sorted(every)],
-        "shard int, path string")
+        [(s, f"{new_folder if s in changed else old_folder}/shard={s}") for s in every], "shard int, path string")
