@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenloom.llm import decontaminate, jaccard, mixing, quality, sharding
 from tokenloom.llm.queries import REJECT_BELOW, SHARDS, old_layout
 from tokenloom.llm.shared import stage, table, without
+from tokenloom.session import staging_path
 
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
@@ -90,11 +91,16 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_guarded
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sharding: rows with their shard, its old shard and their slot in the new one."""
+    """Sharding: the shards that gain or lose rows are written anew; rows come back with their shard and slot in it."""
     rows = (docs.withColumn("_size", sharding.document_size(F.col("text")))
             .withColumn("_crc", F.crc32(F.coalesce(F.col("text"), F.lit("")))))
     out = sharding.reshard(rows, old_layout(F.col("source")), F.col("_size"), ["doc_id", "_crc", "_size"], SHARDS)
-    return out.select(*docs.columns, "old_shard", "shard", "slot", "moved")
+    out = out.select(*docs.columns, "old_shard", "shard", "slot", "moved")
+    folder = staging_path(spark, "shards")
+    where = sharding.rewrite(out, "", folder).filter(F.col("path").startswith(folder)).select("shard")
+    kept = out.join(F.broadcast(where), "shard", "left_anti").select(*docs.columns, "shard", "slot")
+    written = spark.read.schema(kept.schema).parquet(folder).select(*docs.columns, "shard", "slot")
+    return written.unionByName(kept)
 
 
 STAGES = [
