@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.operators import bpe, encode, scoring, splits, vocab
 from tokenloom.operators.positions import dense_order
+from tokenloom.session import once
 from tokenloom.sources.corpus import read_corpus, turn_key
 
 
@@ -80,6 +81,19 @@ def test_leaked_rows_go_whatever_the_filter_holds(spark, bits):
     assert splits.drop_leakage(parts.limit(0), "doc_id", "text", bits=bits).count() == 0
 
 
+def test_shared_tables_follow_their_files(spark, tmp_path):
+    place, made = str(tmp_path / "t"), []
+
+    def count():
+        made.append(spark.read.parquet(place).count())
+        return spark.range(made[-1])
+
+    spark.range(3).write.parquet(place)
+    assert once(spark.read.parquet(place), "x", count).count() == once(spark.read.parquet(place), "x", count).count() == 3
+    spark.range(2).write.mode("append").parquet(place)
+    assert once(spark.read.parquet(place), "x", count).count() == 5 and made == [3, 5]
+
+
 def test_vocabulary_of_the_training_part(spark):
     parts = spark.createDataFrame([("a a b b", "train"), ("c c c a", "val")], "text string, split string")
     assert {r["token"] for r in vocab.fit_vocab(parts, "train").filter("not is_special").collect()} == {"a", "b"}

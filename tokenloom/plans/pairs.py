@@ -216,7 +216,7 @@ predictions AS (SELECT pair_id AS id, src AS source, trg AS expected, coalesce(p
 
 
 def predicted(spark, folder) -> DataFrame:
-    """Held-out pairs translated by the model of the training pairs; made once per session and folder."""
+    """Held-out pairs translated by the model of the training pairs; made once per session and state of the files."""
 
     def make() -> DataFrame:
         encoded, _, words = encoded_pairs(spark, folder)
@@ -226,7 +226,7 @@ def predicted(spark, folder) -> DataFrame:
         decoded = decode_words(made, words, "pair_id", "pred_ids", "predicted")
         return stage(predictions(decoded, "pair_id", "src", "trg", "predicted"), "predictions")
 
-    return once(spark, folder, "predictions", make)
+    return once(table(spark, folder, "conversations"), "predictions", make)
 
 
 @query("translate_greedy", f"WITH {PREDICTED_SQL} SELECT * FROM predictions")

@@ -119,8 +119,8 @@ BYTES_SQL = ", ".join(f"('{b:02X}', {i})" for i, b in enumerate(bpe.BYTE_ORDER))
 
 
 def merges_of(spark, folder):
-    """The merges of a folder, learned once per session."""
-    return once(spark, folder, "merges", lambda: stage(bpe.train_bpe(corpus(spark, folder), N_MERGES), "merges"))
+    """The merges of a folder, learned once per session and state of its files."""
+    return once(table(spark, folder, "documents"), "merges", lambda: stage(bpe.train_bpe(corpus(spark, folder), N_MERGES), "merges"))
 
 
 @query(

@@ -68,9 +68,15 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 _MADE: dict[tuple, DataFrame] = {}
 
 
-def once(spark: SparkSession, folder: str, label: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """A staged table that several jobs of a session share: made at the first call."""
-    key = (spark.sparkContext.applicationId, folder, label)
+def files_state(df: DataFrame) -> tuple:
+    """Tells whether the files that `df` is read from are still the same ones."""
+    facts = F.xxhash64("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    return tuple(df.select(facts.alias("f")).distinct().agg(F.count("*"), F.bit_xor("f")).first())
+
+
+def once(source: DataFrame, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A staged table that several jobs of a session share: made at the first call for these files of `source`."""
+    key = (source.sparkSession.sparkContext.applicationId, label, files_state(source))
     if key not in _MADE:
         _MADE[key] = make()
     return _MADE[key]
