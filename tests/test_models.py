@@ -95,7 +95,7 @@ def test_generation_follows_the_longest_context(spark, order):
     prompts = {i: [rng.randint(1, 9) for _ in range(rng.randint(0, 6))] for i in range(50)}  # 7 to 9 are unknown
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, ids array<int>")
     starts = spark.createDataFrame(list(prompts.items()), "prompt_id bigint, ids array<int>").repartition(3)
-    grams = ngram.gram_counts(df, order, [])
+    grams = generate.context_counts(ngram.gram_counts(df, order, []), order)
     for max_rows in (10_000, 0):  # the trie sent to the prompts, and met in a shuffle
         greedy = generate.generate_greedy(starts, grams, order, 15, 6, max_rows)
         assert dict(map(tuple, greedy.collect())) == plain_generation(texts, prompts, order, 15, eos=6)
@@ -107,7 +107,7 @@ def test_generation_follows_the_longest_context(spark, order):
 
 
 def test_generation_without_a_model(spark, docs):
-    nothing = ngram.gram_counts(docs.limit(0), 3, [])
+    nothing = generate.context_counts(ngram.gram_counts(docs.limit(0), 3, []), 3)
     made = generate.generate_greedy(docs.withColumnRenamed("doc_id", "prompt_id"), nothing, 3, 4).collect()
     assert len(made) == len(DOCS) and all(r["out"] == [] for r in made)
 

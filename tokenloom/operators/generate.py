@@ -40,12 +40,16 @@ def _known_end(rows: DataFrame, tokens: str, contexts: DataFrame, order: int, sa
     return rows.select(*columns, F.coalesce(*found, F.lit(0)).alias(into))
 
 
-def context_trie(grams: DataFrame, order: int, top_k: int | None = None) -> DataFrame:
-    """`trie(context, next, upto, keep)` from `gram_counts`, staged; at most `top_k` followers each if given.
+def context_counts(grams: DataFrame, order: int) -> DataFrame:
+    """`(context, next, count)` of all lengths of context from `gram_counts`, staged."""
+    return stage(level_counts(grams, order).drop("n"), "contexts")
+
+
+def context_trie(counts: DataFrame, order: int, top_k: int | None = None) -> DataFrame:
+    """`trie(context, next, upto, keep)` from `context_counts`, staged; at most `top_k` followers each if given.
 
     Followers are ordered by falling count, smaller id first; `upto` sums their counts.
     """
-    counts = stage(level_counts(grams, order).drop("n"), "contexts")
     order_by = Window.partitionBy("context").orderBy(F.desc("count"), "next")
     ranked = counts.withColumn("rank", F.row_number().over(order_by)).withColumn(
         "upto", F.sum("count").over(order_by.rowsBetween(Window.unboundedPreceding, 0)))
@@ -146,15 +150,18 @@ def generate(
 
 
 def generate_greedy(
-    prompts: DataFrame, grams: DataFrame, order: int, steps: int, eos_id: int = EOS_ID, max_rows: int = MAX_BROADCAST_ROWS
+    prompts: DataFrame, counts: DataFrame, order: int, steps: int, eos_id: int = EOS_ID, max_rows: int = MAX_BROADCAST_ROWS
 ) -> DataFrame:
-    """Always the most frequent follower of the longest known context, smaller id first on ties."""
-    return generate(prompts, context_trie(grams, order, 1), order, steps, None, 1, eos_id, max_rows)
+    """Always the most frequent follower of the longest known context, smaller id first on ties.
+
+    `counts` are `context_counts`.
+    """
+    return generate(prompts, context_trie(counts, order, 1), order, steps, None, 1, eos_id, max_rows)
 
 
 def generate_sample(
     prompts: DataFrame,
-    grams: DataFrame,
+    counts: DataFrame,
     order: int,
     steps: int,
     seed: int,
@@ -164,5 +171,5 @@ def generate_sample(
     max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Draws followers of the longest known context, among the `top_k` most frequent if given."""
-    trie = context_trie(grams, order, top_k)
+    trie = context_trie(counts, order, top_k)
     return generate(prompts, trie, order, steps, seed, n_return, eos_id, max_rows)

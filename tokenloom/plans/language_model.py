@@ -8,7 +8,8 @@ from tokenloom.operators import bigram, generate, ngram, packing, splits
 from tokenloom.operators.encode import decode_chars, encode_chars
 from tokenloom.plans.corpus import B, SEED, T, char_stream, corpus
 from tokenloom.plans.registry import CHARS_SQL, as_text, query, six, whole
-from tokenloom.session import stage
+from tokenloom.session import once, stage
+from tokenloom.sources.corpus import table
 
 # Pairs of adjacent characters that lie in one document and one split.
 PAIRS_SQL = f"""{CHARS_SQL},
@@ -207,8 +208,9 @@ SELECT prompt_id, arg_max(text, step) AS text, max(step) AS n_tokens FROM made G
 def _prompts(spark, folder):
     docs, chars, _ = char_stream(spark, folder)
     ends = chars.filter(F.col("token") == "\n").first()
-    grams = ngram.gram_counts(docs, GENERATE_ORDER, [])
-    return docs.withColumnRenamed("doc_id", "prompt_id"), grams, ends["id"] if ends else -1, chars
+    counts = once(table(spark, folder, "documents"), "contexts", lambda: generate.context_counts(
+        ngram.gram_counts(docs, GENERATE_ORDER, []), GENERATE_ORDER))
+    return docs.withColumnRenamed("doc_id", "prompt_id"), counts, ends["id"] if ends else -1, chars
 
 
 def _as_texts(made, chars):
@@ -217,14 +219,14 @@ def _as_texts(made, chars):
 
 @query("generate_greedy", _generate_sql(None))
 def generate_greedy(spark, folder):
-    prompts, grams, ends, chars = _prompts(spark, folder)
-    return _as_texts(generate.generate_greedy(prompts, grams, GENERATE_ORDER, STEPS, ends), chars)
+    prompts, counts, ends, chars = _prompts(spark, folder)
+    return _as_texts(generate.generate_greedy(prompts, counts, GENERATE_ORDER, STEPS, ends), chars)
 
 
 @query("generate_sample", _generate_sql(SEED))
 def generate_sample(spark, folder):
-    prompts, grams, ends, chars = _prompts(spark, folder)
-    return _as_texts(generate.generate_sample(prompts, grams, GENERATE_ORDER, STEPS, SEED, eos_id=ends), chars)
+    prompts, counts, ends, chars = _prompts(spark, folder)
+    return _as_texts(generate.generate_sample(prompts, counts, GENERATE_ORDER, STEPS, SEED, eos_id=ends), chars)
 
 
 TOP_K, RETURNS = 50, 5
@@ -232,6 +234,6 @@ TOP_K, RETURNS = 50, 5
 
 @query("generate_topk", _generate_sql(SEED, TOP_K, RETURNS))
 def generate_topk(spark, folder):
-    prompts, grams, ends, chars = _prompts(spark, folder)
-    made = generate.generate_sample(prompts, grams, GENERATE_ORDER, STEPS, SEED, TOP_K, RETURNS, ends)
+    prompts, counts, ends, chars = _prompts(spark, folder)
+    made = generate.generate_sample(prompts, counts, GENERATE_ORDER, STEPS, SEED, TOP_K, RETURNS, ends)
     return _as_texts(made, chars)
