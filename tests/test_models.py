@@ -88,7 +88,7 @@ def plain_generation(docs, prompts, order, steps, seed=None, top_k=None, eos=-1)
     return made
 
 
-@pytest.mark.parametrize("order", [1, 2, 3, 4])
+@pytest.mark.parametrize("order", [1, 3])
 def test_generation_follows_the_longest_context(spark, order):
     rng = random.Random(order)
     texts = [[rng.choice([1, 1, 2, 3, 3, 4, 5, 6]) for _ in range(rng.randint(0, 40))] for _ in range(60)]

@@ -82,22 +82,23 @@ def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
-    block, rows = None, []
+def _grouped(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[tuple[int, list[dict]]]:
+    """Rows that follow each other with one value of `by`."""
+    value, rows = None, []
     for batch in batches:
         for r in batch.to_pylist():
-            if r["block"] != block and rows:
-                yield block, rows
+            if r[by] != value and rows:
+                yield value, rows
                 rows = []
-            block = r["block"]
+            value = r[by]
             rows.append(r)
     if rows:
-        yield block, rows
+        yield value, rows
 
 
 def _expect(batches: Iterator[pa.RecordBatch], buckets: int, first: bool) -> Iterator[pa.RecordBatch]:
     """The expected counts of each block, dealt to the buckets of their keys."""
-    for block, rows in _by_block(batches):
+    for block, rows in _grouped(batches, "block"):
         given = [r for r in rows if r["bucket"] < 0]
         with pa.ipc.open_stream(pa.py_buffer(given[0]["rows"])) as reader:
             pieces, keys, which = _read_block(reader.read_all().to_pylist())
@@ -105,7 +106,7 @@ def _expect(batches: Iterator[pa.RecordBatch], buckets: int, first: bool) -> Ite
         order = np.argsort(bucket, kind="stable")
         sums = None
         if not first:
-            answers = np.concatenate([np.frombuffer(r["sums"]) for r in sorted((r for r in rows if r["bucket"] >= 0), key=lambda r: r["bucket"])])
+            answers = np.concatenate([np.frombuffer(r["sums"]) for r in rows if r["bucket"] >= 0])
             sums = np.empty(len(keys))
             sums[order] = answers
         made = _expected(pieces, which, len(keys), sums)[order]
@@ -119,12 +120,7 @@ def _expect(batches: Iterator[pa.RecordBatch], buckets: int, first: bool) -> Ite
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[dict], np.ndarray, np.ndarray, np.ndarray]]:
     """Per bucket: its messages, its distinct keys with their sums, and the key of each entry."""
-    held: dict[int, list[dict]] = {}
-    for batch in batches:
-        for r in batch.to_pylist():
-            held.setdefault(r["bucket"], []).append(r)
-    for rows in held.values():
-        rows.sort(key=lambda r: r["block"])  # one order of adding, whatever order messages come in
+    for _, rows in _grouped(batches, "bucket"):
         keys, which = np.unique(np.concatenate([np.frombuffer(r["codes"], np.int64) for r in rows]), return_inverse=True)
         yield rows, keys, np.bincount(which, np.concatenate([np.frombuffer(r["sums"]) for r in rows]), len(keys)), which
 
@@ -148,7 +144,7 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _as_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block, rows in _by_block(batches):
+    for block, rows in _grouped(batches, "block"):
         out = pa.BufferOutputStream()
         table = pa.RecordBatch.from_pylist([{k: r[k] for k in _names(PIECES)} for r in rows], schema=_arrow(PIECES))
         with pa.ipc.new_stream(out, table.schema) as writer:
@@ -180,13 +176,18 @@ def fit_lexical(pairs: DataFrame, iters: int) -> DataFrame:
     dealt = pieces.select("*", block).repartition(tasks, "block").sortWithinPartitions("block", "src", "trg")
     blocks = stage(dealt.mapInArrow(_as_blocks, ANSWERS), "blocks")
     messages = blocks.mapInArrow(lambda b: _expect(b, n_blocks, True), MESSAGES)
+
+    def by_bucket(rows: DataFrame) -> DataFrame:
+        # Sorted, so that sums are always added in one order.
+        return rows.repartition(tasks, "bucket").sortWithinPartitions("bucket", "block")
+
     for step in range(1, iters):
-        answers = messages.repartition(tasks, "bucket").mapInArrow(_answer, ANSWERS)
-        met = blocks.unionByName(answers).repartition(tasks, "block").sortWithinPartitions("block")
+        answers = by_bucket(messages).mapInArrow(_answer, ANSWERS)
+        met = blocks.unionByName(answers).repartition(tasks, "block").sortWithinPartitions("block", "bucket")
         messages = met.mapInArrow(lambda b: _expect(b, n_blocks, False), MESSAGES)
         if step % CUT_EVERY == 0 and step + 1 < iters:
             messages = stage(messages, "messages")
-    sums = stage(messages.repartition(tasks, "bucket").mapInArrow(_listed, "src int, trg int, share double"), "sums")
+    sums = stage(by_bucket(messages).mapInArrow(_listed, "src int, trg int, share double"), "sums")
     totals = sums.filter("trg < 0").select("src", F.col("share").alias("total"))
     return lookup_join(sums.filter("trg >= 0"), totals, ["src"], "inner", ["trg"]).select(
         "src", "trg", (F.col("share") / F.col("total")).alias("p"))
