@@ -115,7 +115,7 @@ def test_generation_without_a_model(spark, docs):
 def test_binary_search_over_cumulative_counts(spark):
     upto = [3, 4, 9, 9 + 2**40]
     df = spark.createDataFrame([(upto, d) for d in (0, 2, 3, 4, 8, 9, 2**40)] + [([1], 0)], "upto array<bigint>, d bigint")
-    got = [r[0] for r in df.select(generate._first_above(F.col("upto"), F.col("d"))).collect()]
+    got = [r[0] for r in df.select(generate._first_above("upto", "d")).collect()]
     assert got == [1, 1, 2, 3, 3, 4, 4, 1]
 
 

@@ -66,19 +66,15 @@ def context_trie(counts: DataFrame, order: int, top_k: int | None = None) -> Dat
                              F.col("f.keep").alias("keep")), "trie")
 
 
-def _first_above(upto: Column, draw: Column) -> Column:
+def _first_above(upto: str, draw: str) -> Column:
     """Place (from 1) of the first cumulative count above `draw`, by binary search."""
-    rounds = F.sequence(F.lit(1), F.length(F.bin(F.size(upto).cast("bigint"))).cast("int"))
-    start = F.struct(F.lit(1).alias("lo"), F.size(upto).alias("hi"))
-
-    def halve(s: Column, _: Column) -> Column:
-        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        above = F.element_at(upto, mid) > draw
-        return F.struct(
-            F.when(above | (s["lo"] >= s["hi"]), s["lo"]).otherwise(mid + 1).alias("lo"),
-            F.when(above & (s["lo"] < s["hi"]), mid).otherwise(s["hi"]).alias("hi"))
-
-    return F.aggregate(rounds, start, halve, lambda s: s["lo"])
+    above = f"element_at({upto}, CAST((s.lo + s.hi) div 2 AS INT)) > {draw}"
+    return F.expr(f"""aggregate(sequence(1, CAST(length(bin(size({upto}))) AS INT)),
+        named_struct('lo', 1, 'hi', size({upto})),
+        (s, k) -> named_struct(
+            'lo', IF(s.lo >= s.hi OR {above}, s.lo, CAST((s.lo + s.hi) div 2 + 1 AS INT)),
+            'hi', IF(s.lo < s.hi AND {above}, CAST((s.lo + s.hi) div 2 AS INT), s.hi)),
+        s -> s.lo)""")
 
 
 def _frequent(trie: DataFrame) -> DataFrame:
@@ -132,7 +128,8 @@ def generate(
         if seed is None:
             at = F.lit(1)
         else:
-            at = _first_above(F.col("upto"), hash_below(F.element_at("upto", -1), F.col("prompt_id"), F.lit(step), F.lit(seed)))
+            draw = hash_below(F.element_at("upto", -1), F.col("prompt_id"), F.lit(step), F.lit(seed))
+            met, at = met.withColumn("draw", draw), _first_above("upto", "draw")
         met = met.withColumn("at", F.when(F.col("next").isNotNull(), at))
         met = met.select("prompt_id", "recent", "out", F.element_at("next", F.col("at")).alias("next"),
                          F.element_at("keep", F.col("at")).alias("keep"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.operators import bigram, generate, ngram, packing, splits
 from tokenloom.operators.encode import decode_chars, encode_chars
+from tokenloom.operators.vocab import char_vocab
 from tokenloom.plans.corpus import B, SEED, T, char_stream, corpus
 from tokenloom.plans.registry import CHARS_SQL, as_text, query, six, whole
 from tokenloom.session import once, stage
@@ -71,8 +72,6 @@ def bigram_loss(spark, folder):
     f"WITH {CHARS_SQL} SELECT count(*) AS vocab_size, round(ln(count(*)), 6) AS uniform_nll FROM vocab",
 )
 def uniform_baseline(spark, folder):
-    from tokenloom.operators.vocab import char_vocab
-
     loss = bigram.uniform_loss(char_vocab(corpus(spark, folder)))
     return loss.select("vocab_size", six(F.col("uniform_nll")).alias("uniform_nll"))
 
@@ -206,7 +205,9 @@ SELECT prompt_id, arg_max(text, step) AS text, max(step) AS n_tokens FROM made G
 
 
 def _prompts(spark, folder):
-    docs, chars, _ = char_stream(spark, folder)
+    texts = corpus(spark, folder)
+    chars = stage(char_vocab(texts), "chars")
+    docs = encode_chars(texts, chars).drop("text")
     ends = chars.filter(F.col("token") == "\n").first()
     counts = once(table(spark, folder, "documents"), "contexts", lambda: generate.context_counts(
         ngram.gram_counts(docs, GENERATE_ORDER, []), GENERATE_ORDER))
