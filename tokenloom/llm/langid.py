@@ -194,17 +194,18 @@ def fit(docs: DataFrame, train: Column, per_language: int = PER_LANGUAGE, words:
     least = F.when(F.col("kind") == 0, LEAST_COUNT).otherwise(1)
     kept = counts.filter(F.col("n") >= least).withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= most)
     listed = kept.select("kind", "key").distinct()
-    table = counts.join(listed, ["kind", "key"], "left_semi").select("lang", "kind", "key", "n").toPandas()
+    number = F.array_position(F.array(*[F.lit(k) for k in languages]), F.col("lang")).cast("int") - 1
+    table = counts.join(listed, ["kind", "key"], "left_semi").select(number.alias("lang"), "kind", "key", "n").toArrow()
+    lang, kinds, keys, n = (table.column(c).to_numpy() for c in ("lang", "kind", "key", "n"))
     totals = {(r["lang"], r["kind"]): r["n"] for r in counts.groupBy("lang", "kind").agg(F.sum("n").alias("n")).collect()}
     tables = {}
     for kind in range(LONGEST + 1):
-        part = table[table["kind"] == kind]
-        keys = np.unique(part["key"].to_numpy(np.int64).view(np.uint64))
-        n = np.zeros((len(keys), len(languages)))
-        n[np.searchsorted(keys, part["key"].to_numpy(np.int64).view(np.uint64)),
-          np.searchsorted(languages, part["lang"].to_numpy(str)) if len(part) else []] = part["n"]
+        mine = kinds == kind
+        known, which = np.unique(keys[mine].view(np.uint64), return_inverse=True)
+        often = np.zeros((len(known), len(languages)))
+        often[which, lang[mine]] = n[mine]
         whole = np.array([totals.get((k, kind), 0) for k in languages], np.float64)
-        tables[kind] = (keys, np.log((n + SMOOTHING) / (whole + SMOOTHING * max(1, len(keys)))))
+        tables[kind] = (known, np.log((often + SMOOTHING) / (whole + SMOOTHING * max(1, len(known)))))
     total = sum(sizes.values())
     return WordFirstModel(languages, [sizes[k] / total for k in languages], tables)
 
