@@ -97,10 +97,11 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = sharding.reshard(rows, old_layout(F.col("source")), F.col("_size"), ["doc_id", "_crc", "_size"], SHARDS)
     out = out.select(*docs.columns, "old_shard", "shard", "slot", "moved")
     folder = staging_path(spark, "shards")
-    where = sharding.rewrite(out, "", folder).filter(F.col("path").startswith(folder)).select("shard")
-    kept = out.join(F.broadcast(where), "shard", "left_anti").select(*docs.columns, "shard", "slot")
+    places = {r["shard"]: r["path"] for r in sharding.rewrite(out, "", folder).collect()}  # one row per shard
+    same = [s for s, path in places.items() if not path.startswith(folder)]
+    kept = out.filter(F.col("shard").isin(same)).select(*docs.columns, "shard", "slot")
     written = spark.read.schema(kept.schema).parquet(folder).select(*docs.columns, "shard", "slot")
-    return written.unionByName(kept)
+    return written.unionByName(kept) if same else written
 
 
 STAGES = [
