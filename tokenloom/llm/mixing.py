@@ -19,7 +19,7 @@ from tokenloom.llm.flow import FlowNetwork
 from tokenloom.llm.shared import mixed, own_prefix
 
 MAX_PATTERNS = 20_000
-ROWS_PER_RANGE = 50_000
+ROWS_PER_RANGE = 2_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
