@@ -124,3 +124,22 @@ def test_one_batch_equals_batch_packing(spark, tmp_path):
     batch = packing.pack_windows(packing.token_blocks(spark.createDataFrame(docs, DOCS), "doc_id", 4), 1)
     expected = {r["window_id"]: (r["x"], r["y"]) for r in batch.collect()}
     assert dict(enumerate(packed(spark, out)["s"])) == expected
+
+
+def test_a_table_of_one_file_or_a_folder_of_files_is_followed(spark, tmp_path):
+    from tokenloom.plans.streams import follow
+
+    rows = [(d, "s", [d]) for d in range(20)]
+    add_file(spark, rows, DOCS, tmp_path / "made")
+    (one,) = (tmp_path / "made").glob("part-*.parquet")
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "documents.parquet").write_bytes(one.read_bytes())
+    (tmp_path / "one" / "other.parquet").write_bytes(one.read_bytes())
+    for half in (rows[:10], rows[10:]):
+        add_file(spark, half, DOCS, tmp_path / "many" / "documents.parquet")
+    for name in ("one", "many"):
+        met = []
+        follow(spark, str(tmp_path / name), "documents").writeStream.foreachBatch(
+            lambda batch, _: met.extend(r["doc_id"] for r in batch.collect())
+        ).option("checkpointLocation", str(tmp_path / f"state_{name}")).trigger(availableNow=True).start().awaitTermination()
+        assert sorted(met) == list(range(20)), name

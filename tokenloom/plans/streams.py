@@ -20,9 +20,10 @@ from tokenloom.streaming.vocab import current_counts, follow_counts
 
 
 def follow(spark, folder: str, name: str):
-    """A table as a stream of its files."""
+    """A table, one file or a folder of files, as a stream of its files."""
     schema = table(spark, folder, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    # A pattern that only this name fits: as a plain path, a stream takes folders only.
+    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.[p]arquet")
 
 
 @query(
