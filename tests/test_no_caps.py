@@ -140,3 +140,23 @@ def test_merges_of_random_words_equal_a_plain_loop(spark, seed):
         word = "".join(rng.choice("ab") * rng.randint(1, 4) for _ in range(rng.randint(1, 4)))
         freq[word] = rng.randint(1, 30)
     assert trained(spark, freq, 10) == loop(freq, 10)
+
+
+def test_staged_blocks_are_read_in_bounded_groups(spark):
+    """A reader decodes thousands of rows of a row group at once, so a group must hold few ids."""
+    import numpy as np
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from tokenloom.operators.packing import token_blocks
+
+    @F.pandas_udf("array<int>")
+    def made(doc_id):
+        return doc_id.map(lambda d: np.random.default_rng(d).integers(0, 1 << 30, 200_000).astype(np.int32))
+
+    docs = spark.range(40).coalesce(1).select(F.col("id").alias("doc_id")).withColumn("ids", made("doc_id"))
+    stream = token_blocks(docs, "doc_id", 64)
+    groups = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in stream.blocks.inputFiles()]
+    held = [g.row_group(i).column(c).num_values for g in groups for i in range(g.num_row_groups)
+            for c in range(g.num_columns) if g.row_group(i).column(c).path_in_schema.startswith("ids")]
+    assert sum(held) == 8_000_000 == stream.total and max(held) <= 2_000_000

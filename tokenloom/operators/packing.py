@@ -22,7 +22,8 @@ from tokenloom.functions.text import list_lengths, list_offsets
 from tokenloom.operators.positions import StreamIndex, part_starts
 from tokenloom.session import MAX_BROADCAST_ROWS, fits, hash_below, stage
 
-BLOCK = 1 << 16  # tokens of a block
+BLOCK = 1 << 14  # tokens of a block
+ROW_GROUP = 4 << 20  # bytes of staged blocks that a task holds at a time
 
 Encoder = Callable[[DataFrame], DataFrame]
 
@@ -108,7 +109,8 @@ def token_blocks(
     rows = encoded.mapInArrow(
         lambda batches: _blocks_of(batches, by, T, block),
         f"{kinds}part int, before bigint, size bigint, ids array<int>, head array<int>, tail array<int>")
-    staged = stage(rows, "blocks")
+    # A reader takes thousands of rows of a row group at once, so it is the row groups that bound its memory.
+    staged = stage(rows, "blocks", ROW_GROUP)
     starts = part_starts(staged, list(by))
     starts = starts if by and not fits(starts) else F.broadcast(starts)
     blocks = staged.join(starts, [*by, "part"]).withColumn("start", F.col("start") + F.col("before")).drop("part", "before")
