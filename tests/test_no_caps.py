@@ -160,3 +160,21 @@ def test_staged_blocks_are_read_in_bounded_groups(spark):
     held = [g.row_group(i).column(c).num_values for g in groups for i in range(g.num_row_groups)
             for c in range(g.num_columns) if g.row_group(i).column(c).path_in_schema.startswith("ids")]
     assert sum(held) == 8_000_000 == stream.total and max(held) <= 2_000_000
+
+
+def test_many_samples_do_not_pass_through_the_driver(spark):
+    from pyspark.sql import functions as F
+
+    from tokenloom.operators.packing import random_windows
+    from tokenloom.operators.positions import stream_index
+
+    rows = [(d, list(range(d * 100, d * 100 + d % 40))) for d in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, ids array<int>")
+    index = stream_index(docs, "doc_id", F.size("ids"))
+    tokens = [t for _, ids in rows for t in ids]
+    made = random_windows(docs, index, 300, 8, 1, max_rows=20)
+    assert "BroadcastHashJoin" not in made._jdf.queryExecution().executedPlan().toString()
+    got = made.collect()
+    assert len(got) == 300 and all(r["x"] == tokens[r["start"] : r["start"] + 8] and r["y"] == tokens[r["start"] + 1 : r["start"] + 9] for r in got)
+    few = random_windows(docs, index, 300, 8, 1).collect()
+    assert sorted(map(tuple, few)) == sorted(map(tuple, got))

@@ -180,9 +180,9 @@ def _met_documents(index: StreamIndex, begins: DataFrame, T: int, max_rows: int)
     """
     rows = begins.select("begin").distinct()
     offsets = index.offsets.filter("size > 0")
-    found = [r[0] for r in rows.limit(max_rows + 1).collect()]
+    found = rows.limit(max_rows + 1).toArrow().column("begin").to_numpy()
     if len(found) <= max_rows:
-        sought = np.sort(np.array(found, np.int64))
+        sought = np.sort(found)
 
         @F.arrow_udf("array<bigint>")
         def meeting(offset: pa.Array, size: pa.Array) -> pa.Array:
@@ -201,7 +201,8 @@ def _met_documents(index: StreamIndex, begins: DataFrame, T: int, max_rows: int)
     end = F.col("offset") + F.col("size") - 1
     placed = offsets.withColumn("_block", F.explode(F.sequence(block(F.col("offset")), block(end))))
     overlap = (F.col("begin") <= end) & (F.col("begin") + T >= F.col("offset"))
-    return (placed.join(wanted, "_block").filter(overlap).groupBy(index.key, "offset")
+    # Begins look small to the planner, which would send them all through the driver.
+    return (placed.join(wanted.hint("merge"), "_block").filter(overlap).groupBy(index.key, "offset")
             .agg(F.collect_set("begin").alias("begins")))
 
 
@@ -214,7 +215,8 @@ def windows_at(
     The documents under the samples are found from their offsets before anything is encoded; only they are.
     """
     met = stage(_met_documents(index, samples, T, max_rows), "met")
-    chosen = docs.join(F.broadcast(met) if fits(met, max_rows) else met, index.key)
+    small = fits(met.select(F.explode("begins")), max_rows)
+    chosen = docs.join(F.broadcast(met) if small else met.hint("merge"), index.key)
     chosen = encode(chosen) if encode else chosen
     first, last = F.col("offset"), F.col("offset") + F.size("ids")
     parts = F.transform("begins", lambda b: F.struct(
@@ -222,7 +224,7 @@ def windows_at(
         F.slice("ids", (F.greatest(b, first) - first + 1).cast("int"),
                 (F.least(b + T + 1, last) - F.greatest(b, first)).cast("int")).alias("part")))
     runs = chosen.select(F.inline(parts)).groupBy("begin").agg(_joined_parts().alias("run"))
-    return _shifted(samples.join(runs, "begin"), T)
+    return _shifted(samples.join(runs if small else runs.hint("merge"), "begin"), T)
 
 
 def random_windows(
