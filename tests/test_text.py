@@ -135,3 +135,36 @@ def test_words_of_a_large_vocabulary_meet_it_in_blocks(spark, monkeypatch):
     assert rows[5] == rows[10_000] and len(rows[5]) == 62
     plan = encode.encode_words(docs, words, "doc_id", max_rows=5)._jdf.queryExecution().optimizedPlan().toString()
     assert "posexplode(_words" not in plan
+
+
+def test_functions_hold_little_beside_their_result(spark, monkeypatch):
+    """A batch of 8 million characters: the result has 4 bytes of each, the work beside it a bounded part."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tokenloom.functions import text as functions
+
+    letters = [chr(c) for c in range(97, 123)]
+    col = pa.array([("".join(letters) * 40)[: 1000 + k % 7] for k in range(8000)])
+    encode = functions.char_to_id(letters, list(range(26)), "error").func
+    tracemalloc.start()
+    ids = encode(col)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    n = sum(map(len, col.to_pylist()))
+    assert peak < 4 * n + (24 << 20)
+    # Slices of any length give the same rows, empty ones and nulls included.
+    odd = pa.array(["abc", None, "", "z" * 50, "b", None])
+    words = pa.array([["a", "q"], None, [], ["b"] * 9, ["a"]], pa.list_(pa.string()))
+    several = []
+    for size in (1 << 20, 7, 1):
+        monkeypatch.setattr(functions, "SLICE", size)
+        coded = functions.char_to_id(letters, list(range(26)), "error").func(odd)
+        dropped = functions.char_to_id(["a", "z"], [0, 1], "drop").func(odd)
+        numbers = functions.token_to_id(["a", "b"], [5, 6], 0).func(words)
+        several.append([r.to_pylist() for r in (
+            coded, dropped, numbers, functions.ids_text.func(coded), functions.id_to_chars(letters, list(range(26))).func(coded),
+            functions.id_to_text(["a", "b"], [5, 6], [0], " ").func(numbers))])
+    assert several[0] == several[1] == several[2]
+    assert several[0][0] == [[0, 1, 2], [], [], [25] * 50, [1], []] and several[0][1][0] == [0] and several[0][5][0] == "a"
