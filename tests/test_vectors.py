@@ -141,3 +141,27 @@ def test_wide_vectors_in_a_narrow_plan(spark):
     assert set(got) == {"a", "b", None}
     for s, v in got.items():
         np.testing.assert_allclose(v, sum(x for (k, _), x in table.items() if k == s), atol=1e-9)
+
+
+def test_pooling_holds_little_beside_its_result(spark):
+    """4 million ids of 2,000 rows: places and counts of a bounded part of them at a time."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tokenloom.functions.text import list_offsets
+    from tokenloom.functions.vectors import pooled_vectors
+
+    table = pa.table({"id": pa.array(range(50)), "v": pa.array([[float(i), 1.0] for i in range(50)])})
+    ids = np.random.default_rng(1).integers(0, 50, 4_000_000).astype(np.int32)
+    rows = pa.ListArray.from_arrays(list_offsets(np.full(2000, 2000)), pa.array(ids))
+    pool = pooled_vectors(table, 2, True).func
+    tracemalloc.start()
+    made = pool(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20
+    expected = ids.reshape(2000, 2000).mean(axis=1)
+    assert np.allclose(np.array(made.to_pylist()), np.stack([expected, np.ones(2000)], axis=1))
+    assert pool(pa.array([[1, 3], [], None], pa.list_(pa.int32()))).to_pylist() == [[2.0, 1.0], [0.0, 0.0], [0.0, 0.0]]
