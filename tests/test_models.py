@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tokenloom.operators import bigram, evaluation, examples, generate, ngram, translation
+from tokenloom.session import stage
 
 DOCS = [[5, 6, 7, 5, 6], [5, 6, 5], [7], [], [6, 6, 6, 7]]
 
@@ -166,6 +167,21 @@ def test_translation_does_not_depend_on_blocks(spark, monkeypatch, cells):
     assert translation.fit_lexical(df.limit(0), 2).count() == 0
 
 
+def test_translation_exchanges_no_word_pairs(spark, monkeypatch):
+    """Totals of source words move in a step, not the sums of word pairs; all steps are kept and read again."""
+    staged = []
+    monkeypatch.setattr(translation, "stage", lambda df, label: staged.append((label, stage(df, label))) or staged[-1][1])
+    monkeypatch.setattr(translation, "CUT_EVERY", 1)
+    rng = random.Random(3)
+    pairs = [([rng.randint(4, 99) for _ in range(30)], [rng.randint(4, 99) for _ in range(30)]) for _ in range(60)]
+    df = spark.createDataFrame([(i, s, t) for i, (s, t) in enumerate(pairs)], "pair_id bigint, src_ids array<int>, trg_ids array<int>")
+    fitted = {(r["src"], r["trg"]): r["p"] for r in translation.fit_lexical(df, 4).collect()}
+    expected = em(pairs, 4)
+    assert fitted.keys() == expected.keys() and all(math.isclose(fitted[k], expected[k], rel_tol=1e-9) for k in expected)
+    moved = [t.agg(F.sum(F.length("codes"))).first()[0] // 8 for label, t in staged if label == "messages"]
+    assert moved and max(moved) <= 8 * 96 < len(expected) / 2
+
+
 def test_length_guard_boundaries(spark):
     rows = [(0, [5] * 6, [5] * 7), (1, [5] * 7, [5]), (2, [5], [5] * 8), (3, [], [])]
     df = spark.createDataFrame(rows, "pair_id bigint, src_ids array<int>, trg_ids array<int>")
