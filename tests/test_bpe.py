@@ -119,3 +119,23 @@ def test_sql_functions(spark, corpus):
     assert (row["e"], row["w"], row["p"], row["r"]) == ([], ["a", ",", "b"], ["it", "'s"], 0.5)
     one = spark.createDataFrame([(0, "low")], "doc_id int, text string")
     assert row["b"] == bpe.encode_bpe(one, merges).first()["ids"]
+
+
+def test_many_pieces_are_merged_at_a_time_as_one_by_one():
+    rng = random.Random(5)
+    words = [[rng.randint(1, 3) for _ in range(rng.randint(1, 9))] for _ in range(200)]
+    freq = np.array([rng.randint(1, 9) for _ in words])
+    flat, sizes = np.concatenate(words), np.array([len(w) for w in words])
+    index, pieces = bpe.PairIndex(flat, sizes, freq), bpe.Pieces(flat, sizes)
+    for m in [(1, 1, 4), (2, 3, 5), (4, 4, 6), (5, 1, 7), (3, 9, 8)]:
+        assert dict(zip(*(x.tolist() for x in pieces.change(m, freq)))) == index.merge(*m)
+        assert pieces.flat.tolist() == [s for i in range(len(words)) for s in index.symbols(i)]
+
+
+def test_merges_that_make_the_start_of_an_earlier_one():
+    rules = [tuple(map(str.encode, r.split())) for r in ("b c", "a bc", "abc d", "a b", "ab c", "c c", "abc c", "a a", "aa aa", "b c")]
+    rng = random.Random(6)
+    pieces = ["".join(rng.choice("abcd") for _ in range(rng.randint(1, 10))).encode() for _ in range(500)] + [b"", b"aaaaa"]
+    one = bpe._piece_encoder(rules)
+    flat, sizes = bpe._pieces_encoder(rules)(pieces)
+    assert [p.tolist() for p in np.split(flat, np.cumsum(sizes)[:-1])] == [one(p) for p in pieces]

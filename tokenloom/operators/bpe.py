@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import copy
 import heapq
+import itertools
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ SAMPLE = 100_000  # pieces that guess the next merges; bears on the number of pa
 PLAN = 128  # merges guessed for one pass
 LEADERS = 4096  # pairs that come to the driver in one pass
 PIECES_PER_TASK = 100_000
-CUT_EVERY = 128  # merges between staged tables
+CUT_EVERY = 64  # merges between staged tables
 PIECES, PIECES_COLUMNS = "symbols array<int>, freq bigint", ["symbols", "freq"]
 
 Merge = tuple[int, int, int]  # symbol ids: left, right, the merged one
@@ -131,28 +131,94 @@ class _Symbols:
         return self.bytes[pair >> 32], self.bytes[pair & 0xFFFFFFFF]
 
 
-def _read_pieces(batches: Iterator[pa.RecordBatch]) -> PairIndex:
+class Pieces:
+    """Many pieces as symbol ids side by side, in which all pairs of one kind are merged at a time."""
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
+        self.flat = flat.astype(np.int32)
+        self.piece = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+
+    def pairs(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs that begin at places `at`, and the piece of each; none across the end of a piece."""
+        at = at[(at >= 0) & (at < len(self.flat) - 1)]
+        at = at[self.piece[at] == self.piece[at + 1]]
+        return self.flat[at].astype(np.int64) << 32 | self.flat[at + 1], self.piece[at]
+
+    def find(self, left: int, right: int) -> np.ndarray:
+        """Where the pair begins, from left to right without overlap."""
+        at = np.flatnonzero(self.flat[:-1] == left)
+        at = at[(self.flat[at + 1] == right) & (self.piece[at] == self.piece[at + 1])]
+        if left == right and len(at):
+            begins = np.r_[True, np.diff(at) != 1]
+            at = at[(at - at[begins][np.cumsum(begins) - 1]) % 2 == 0]
+        return at
+
+    def join(self, at: np.ndarray, into: int) -> np.ndarray:
+        """Merges the pairs at `at`; where they are afterwards."""
+        if len(at):
+            self.flat[at] = into
+            kept = np.ones(len(self.flat), bool)
+            kept[at + 1] = False
+            self.flat, self.piece = self.flat[kept], self.piece[kept]
+        return at - np.arange(len(at))
+
+    def change(self, merge: Merge, freq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merges a pair in all pieces; the pairs whose weight changes, and by how much."""
+        left, right, into = merge
+        at = self.find(left, right)
+        lost, losers = self.pairs(np.unique(np.concatenate([at - 1, at, at + 1])))
+        at = self.join(at, into)
+        won, winners = self.pairs(np.unique(np.concatenate([at - 1, at])))
+        return _summed(np.concatenate([lost, won]), np.concatenate([-freq[losers], freq[winners]]))
+
+
+def _summed(pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(pairs):
+        return pairs, n
+    order = np.argsort(pairs, kind="stable")
+    pairs, n = pairs[order], n[order]
+    first = np.flatnonzero(np.r_[True, np.diff(pairs) != 0])
+    sums = np.add.reduceat(n, first)
+    return pairs[first][sums != 0], sums[sums != 0]
+
+
+def _read_columns(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
+    """Symbols, sizes and frequencies of pieces."""
     parts = [(pc.list_flatten(b.column("symbols")).to_numpy(zero_copy_only=False), list_lengths(b.column("symbols")),
               b.column("freq").to_numpy(zero_copy_only=False)) for b in batches]
     if not parts:
-        return PairIndex(*[np.empty(0, np.int64)] * 3)
-    return PairIndex(*(np.concatenate(x).astype(np.int64) for x in zip(*parts)))
+        return (np.empty(0, np.int64),) * 3
+    return tuple(np.concatenate(x).astype(np.int64) for x in zip(*parts))
+
+
+def _read_pieces(batches: Iterator[pa.RecordBatch]) -> PairIndex:
+    return PairIndex(*_read_columns(list(batches)))
+
+
+def _merged(batches: Iterator[pa.RecordBatch], done: list[Merge]) -> Iterator[tuple[Pieces, np.ndarray]]:
+    """Pieces and their frequencies after the merges `done`, at most about PIECES_PER_TASK at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in itertools.chain(batches, [None]):
+        if held and (batch is None or sum(b.num_rows for b in held) + batch.num_rows > PIECES_PER_TASK):
+            flat, sizes, freq = _read_columns(held)
+            pieces, held = Pieces(flat, sizes), []
+            for left, right, into in done:
+                pieces.join(pieces.find(left, right), into)
+            yield pieces, freq
+        if batch is not None:
+            held.append(batch)
 
 
 def _changes(pieces: DataFrame, done: list[Merge], plan: list[Merge]) -> DataFrame:
     """`(pair, step, n)`: weights after the merges `done` (step -1), and their change by each merge of `plan`."""
 
     def run(batches):
-        index = _read_pieces(batches)
-        for merge in done:
-            index.merge(*merge)
-        yield _weights(-1, {k: n for k, n in index.weights.items() if n})
-        for step, merge in enumerate(plan):
-            yield _weights(step, index.merge(*merge))
-
-    def _weights(step, weights):
-        columns = [pa.array(x, pa.int64()) for x in (weights.keys(), weights.values())]
-        return pa.RecordBatch.from_arrays([columns[0], pa.array([step] * len(weights), pa.int32()), columns[1]], ["pair", "step", "n"])
+        for part, freq in _merged(batches, done):
+            pairs, holders = part.pairs(np.arange(len(part.flat)))
+            found = [_summed(pairs, freq[holders]), *(part.change(merge, freq) for merge in plan)]
+            steps = np.repeat(np.arange(-1, len(plan), dtype=np.int32), [len(p) for p, _ in found])
+            pairs, n = (np.concatenate(x) for x in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (pairs, steps, n)], ["pair", "step", "n"])
 
     found = pieces.mapInArrow(run, "pair bigint, step int, n bigint")
     return found.groupBy("pair", "step").agg(F.sum("n").alias("n"))
@@ -160,13 +226,10 @@ def _changes(pieces: DataFrame, done: list[Merge], plan: list[Merge]) -> DataFra
 
 def _merged_pieces(pieces: DataFrame, done: list[Merge]) -> DataFrame:
     def run(batches):
-        index = _read_pieces(batches)
-        for merge in done:
-            index.merge(*merge)
-        for a in range(0, len(index.freq), 10_000):
-            rows = range(a, min(a + 10_000, len(index.freq)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([index.symbols(i) for i in rows], pa.list_(pa.int32())), pa.array(index.freq[a : a + 10_000])], PIECES_COLUMNS)
+        for part, freq in _merged(batches, done):
+            sizes = np.bincount(part.piece, minlength=len(freq))
+            symbols = pa.ListArray.from_arrays(list_offsets(sizes), pa.array(part.flat))
+            yield pa.RecordBatch.from_arrays([symbols, pa.array(freq)], PIECES_COLUMNS)
 
     return stage(pieces.mapInArrow(run, PIECES), "pieces")
 
@@ -247,7 +310,7 @@ def train_bpe(corpus: DataFrame, n_merges: int, text: str = "text", sample: int
     """`merges(rank, left, right, merged)` in hex, by repeatedly merging the most frequent pair, first bytes on ties.
 
     The corpus is read once, to count distinct pieces. A bounded sample of them guesses the next merges;
-    a pass over all pieces applies that plan, each task with an index from pairs to its pieces, and sums how
+    a pass over all pieces applies that plan, each task to many pieces at a time, and sums how
     every pair's weight changes with every merge. From these sums the merges that are right are taken, up to
     and with the first wrong guess. So a pass gives many merges, and the result does not depend on the sample.
     """
@@ -296,24 +359,55 @@ def _piece_encoder(rules: list[tuple[bytes, bytes]]):
     for i, symbol in enumerate(_symbols(rules)):
         ids.setdefault(symbol, i)
 
-    @lru_cache(maxsize=1 << 17)
-    def encode(piece: str) -> list[int]:
-        parts = [bytes([b]) for b in piece.encode("utf-8")]
+    def encode(piece: bytes) -> list[int]:
+        parts = [bytes([b]) for b in piece]
         while len(parts) > 1:
             best = min(zip(parts, parts[1:]), key=lambda p: ranks.get(p, math.inf))
             if best not in ranks:
                 break
-            joined, i = [], 0
-            while i < len(parts):
-                hit = i + 1 < len(parts) and (parts[i], parts[i + 1]) == best
-                joined.append(parts[i] + parts[i + 1] if hit else parts[i])
-                i += 2 if hit else 1
-            parts = joined
+            parts = _joined(parts, *best, best[0] + best[1])
         return [ids[p] for p in parts]
 
     return encode
 
 
+def _pieces_encoder(rules: list[tuple[bytes, bytes]]):
+    """Codes many pieces at a time: one merge after the other, each in all of them.
+
+    That is the order of the ranks, but for a merge whose bytes an earlier merge goes on from: where such a
+    one takes place, an earlier merge could come next, and the piece is coded by itself.
+    """
+    one = _piece_encoder(rules)
+    ranks = {pair: rank for rank, pair in enumerate(rules)}
+    ids, used, steps = {}, set(), []
+    for i, symbol in enumerate(_symbols(rules)):
+        ids.setdefault(symbol, i)
+    for left, right in sorted(ranks, key=ranks.get):
+        steps.append((ids[left], ids[right], ids[left + right], left + right in used))
+        used |= {left, right}
+    of_byte = np.array([ids[bytes([b])] for b in range(256)], np.int32)
+
+    def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, and how many each has."""
+        sizes = np.array([len(p) for p in pieces], np.int64)
+        flat = of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
+        coded, apart = Pieces(flat, sizes), np.zeros(len(pieces), bool)
+        for left, right, into, goes_back in steps:
+            at = coded.find(left, right)
+            if goes_back:
+                apart[coded.piece[at]] = True
+            coded.join(at, into)
+        sizes = np.bincount(coded.piece, minlength=len(pieces))
+        if not apart.any():
+            return coded.flat, sizes
+        parts = np.split(coded.flat, np.cumsum(sizes)[:-1])
+        for i in np.flatnonzero(apart).tolist():
+            parts[i] = np.array(one(pieces[i]), np.int32)
+        return np.concatenate(parts), np.array([len(p) for p in parts])
+
+    return encode
+
+
 def encode_bpe(df: DataFrame, merges: DataFrame, text: str = "text", into: str = "ids") -> DataFrame:
     """Adds byte-pair ids. No row moves; a task encodes each distinct piece of a batch once."""
     return df.withColumn(into, bpe_function(merges)(piece_tokens(F.col(text))))
@@ -327,16 +421,17 @@ def bpe_function(merges: DataFrame):
     @F.arrow_udf("array<int>")
     def encode(col: pa.Array) -> pa.Array:
         if not made:
-            made.append(_piece_encoder(rules))
+            made.append(_pieces_encoder(rules))
         coded = pc.dictionary_encode(pc.list_flatten(col))
-        pieces = [made[0](p) for p in coded.dictionary.to_pylist()]
-        sizes = np.array([len(p) for p in pieces], dtype=np.int64)
-        flat = pa.array([i for p in pieces for i in p], pa.int32())
+        pieces = pc.cast(coded.dictionary, pa.binary()).to_pylist()
+        parts = [made[0](pieces[a : a + PIECES_PER_TASK]) for a in range(0, len(pieces), PIECES_PER_TASK)]
+        flat, sizes = (np.concatenate([np.empty(0, kind), *x]) for kind, x in zip((np.int32, np.int64), zip(*parts))) if parts else (
+            np.empty(0, np.int32), np.empty(0, np.int64))
         where = coded.indices.to_numpy(zero_copy_only=False)
-        parts = pa.ListArray.from_arrays(list_offsets(sizes), flat).take(coded.indices)
+        lists = pa.ListArray.from_arrays(list_offsets(sizes), pa.array(flat, pa.int32())).take(coded.indices)
         row = np.repeat(np.arange(len(col)), list_lengths(col))
         per_row = np.bincount(row, weights=sizes[where], minlength=len(col)).astype(np.int64)
-        return pa.ListArray.from_arrays(list_offsets(per_row), parts.flatten())
+        return pa.ListArray.from_arrays(list_offsets(per_row), lists.flatten())
 
     return encode.asNondeterministic()
 
