@@ -168,3 +168,13 @@ def test_functions_hold_little_beside_their_result(spark, monkeypatch):
             functions.id_to_text(["a", "b"], [5, 6], [0], " ").func(numbers))])
     assert several[0] == several[1] == several[2]
     assert several[0][0] == [[0, 1, 2], [], [], [25] * 50, [1], []] and several[0][1][0] == [0] and several[0][5][0] == "a"
+
+
+def test_coverage_from_counts_that_made_the_vocabulary(spark):
+    rows = [("en", "a b a c"), ("en", "d"), ("it", "a a e"), (None, "b b"), ("it", None)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    counts = vocab.word_counts(docs, by=["lang"])
+    words = vocab.ranked_vocab(counts.groupBy("token").agg(F.sum("freq").alias("freq")))
+    assert sorted(words.collect()) == sorted(vocab.word_vocab(docs).collect())
+    got = {r["lang"]: (r["n_tokens"], r["n_unknown"]) for r in vocab.coverage(docs, words, "lang", counts=counts).collect()}
+    assert got == {"en": (5, 2), "it": (3, 1), None: (2, 0)}
