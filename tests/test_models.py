@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tokenloom.operators import bigram, evaluation, examples, generate, ngram, translation
+from tokenloom.plans import language_model
 from tokenloom.session import stage
 
 DOCS = [[5, 6, 7, 5, 6], [5, 6, 5], [7], [], [6, 6, 6, 7]]
@@ -182,6 +183,14 @@ def test_translation_exchanges_no_word_pairs(spark, monkeypatch):
     assert moved and max(moved) <= 8 * 96 < len(expected) / 2
 
 
+def test_prompts_are_encoded_by_their_last_characters(spark, tmp_path):
+    texts = ["abcab", "b", "", "été 😀abc"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    prompts, _, _, chars = language_model._prompts(spark, str(tmp_path))
+    ids = {r["token"]: r["id"] for r in chars.collect()}
+    assert {r["prompt_id"]: r["ids"] for r in prompts.collect()} == {i: [ids[c] for c in t[-3:]] for i, t in enumerate(texts)}
+
+
 def test_length_guard_boundaries(spark):
     rows = [(0, [5] * 6, [5] * 7), (1, [5] * 7, [5]), (2, [5], [5] * 8), (3, [], [])]
     df = spark.createDataFrame(rows, "pair_id bigint, src_ids array<int>, trg_ids array<int>")

@@ -211,7 +211,9 @@ def _prompts(spark, folder):
     ends = chars.filter(F.col("token") == "\n").first()
     counts = once(table(spark, folder, "documents"), "contexts", lambda: generate.context_counts(
         ngram.gram_counts(docs, GENERATE_ORDER, []), GENERATE_ORDER))
-    return docs.withColumnRenamed("doc_id", "prompt_id"), counts, ends["id"] if ends else -1, chars
+    # A prompt goes on after its last characters, so only those are encoded for it.
+    ends_of = encode_chars(texts.withColumn("text", F.right("text", F.lit(RECENT))), chars).drop("text")
+    return ends_of.withColumnRenamed("doc_id", "prompt_id"), counts, ends["id"] if ends else -1, chars
 
 
 def _as_texts(made, chars):
