@@ -178,3 +178,55 @@ def test_coverage_from_counts_that_made_the_vocabulary(spark):
     assert sorted(words.collect()) == sorted(vocab.word_vocab(docs).collect())
     got = {r["lang"]: (r["n_tokens"], r["n_unknown"]) for r in vocab.coverage(docs, words, "lang", counts=counts).collect()}
     assert got == {"en": (5, 2), "it": (3, 1), None: (2, 0)}
+
+
+def test_words_cut_in_tasks_are_those_of_the_patterns(spark, monkeypatch):
+    import pyarrow as pa
+
+    from tokenloom.functions import text as functions
+    from tokenloom.functions import words
+    from tokenloom.functions.text import marked_word_tokens
+
+    points = [chr(c) for c in range(1, 0x20000) if not 0xD800 <= c < 0xE000]
+    texts = [*TEXTS, "".join(points), *("é".join(points[i : i + 40]) for i in range(0, 20_000, 37)), "[PA", "D]", "[[PAD]][PAD", "[SOS]", None]
+    plain, marked = (words.word_cutter(spark, m) for m in (False, True))
+    rows = frame(spark, texts, 1).orderBy("doc_id").select(
+        word_tokens(F.col("text")).alias("w"), marked_word_tokens(F.col("text")).alias("m")).collect()
+    for size in (1 << 20, 5):
+        monkeypatch.setattr(functions, "SLICE", size)
+        assert plain(pa.array(texts)).to_pylist() == [r["w"] or [] for r in rows]
+        assert marked(pa.array(texts)).to_pylist() == [r["m"] or [] for r in rows]
+        assert marked(pa.array(texts).slice(3, 4)).to_pylist() == [r["m"] for r in rows[3:7]]
+    assert plain(pa.array([], pa.string())).to_pylist() == []
+    counts = {(r["doc_id"] % 2, w): 0 for r in frame(spark, TEXTS).collect() for w in plain(pa.array([r["text"]]))[0].as_py()}
+    for i, t in enumerate(TEXTS):
+        for w in plain(pa.array([t]))[0].as_py():
+            counts[i % 2, w] += 1
+    monkeypatch.setattr(words, "COUNTED", 9)
+    docs = frame(spark, [*TEXTS, None]).select((F.col("doc_id") % 2).alias("odd"), "text")
+    assert {(r["odd"], r["token"]): r["freq"] for r in vocab.word_counts(docs, by=["odd"]).collect()} == counts
+
+
+def test_only_words_beyond_the_first_ones_are_joined(spark, monkeypatch):
+    """Blocks ask for the words that are not looked up in the tasks, once each, and carry no text that nobody wants."""
+    from tokenloom.operators import dictionary, encode
+
+    asked = []
+    monkeypatch.setattr(dictionary, "BATCH_BYTES", 64)
+    monkeypatch.setattr(dictionary, "lookup_join", lambda big, *a, f=dictionary.lookup_join, **k: asked.append(big) or f(big, *a, **k))
+    texts = [f"the the a rare{i % 20} once{i} [PAD]" for i in range(40)]
+    docs = frame(spark, [*texts, "", None])
+    words = vocab.word_vocab(docs)
+    encoded = encode_words(docs, words, "doc_id", max_rows=9, keep_text=False)
+    assert encoded.columns == ["doc_id", "ids"]
+    decoded = decode_words(encoded, words, "doc_id", max_rows=9, keep_ids=False)
+    assert decoded.columns == ["doc_id", "decoded"]
+    # All 40 texts have "the" and "a", which are among the first nine; `once…` are in no vocabulary.
+    met = [{r[0] for r in df.select(c).distinct().collect()} for df, c in zip(asked, ("token", "id"))]
+    first = {r["token"] for r in words.filter("id < 9").collect()}
+    assert {"the", "a"} <= first and not met[0] & first and min(met[1]) == 9 and len(met[1]) == len(met[0]) - 40
+    ids = {r["token"]: r["id"] for r in words.collect()}
+    known = {i: [w for w in t.split() if w in ids and w != "[PAD]"] for i, t in enumerate([*texts, ""])} | {41: []}
+    assert {r["doc_id"]: r["decoded"] or "" for r in decoded.collect()} == {i: " ".join(w) for i, w in known.items()}
+    codes = {r["doc_id"]: r["ids"] for r in encoded.collect()}
+    assert all(codes[i] == [ids.get(w, 0) for w in t.split()] for i, t in enumerate([*texts, ""])) and not codes[41]

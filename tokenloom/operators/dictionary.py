@@ -1,8 +1,9 @@
 """Looking up the elements of array columns in a table too large for the tasks.
 
-Rows are packed to blocks, each with the distinct elements of its rows and the arrays as places in that
-list. Only the distinct elements are joined with the table, once per block; the results go back to their
-block, where the arrays are written out again. No row is made for an element of an array.
+Rows are packed to blocks, each with the arrays as places in a list: the known rows of the table, which are
+looked up inside the tasks, and then the other distinct elements of the block. Only these are joined with
+the table, once per block; the results go back to their block, where the arrays are written out again. No
+row is made for an element of an array.
 """
 
 from __future__ import annotations
@@ -16,11 +17,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tokenloom.functions.text import list_lengths, list_offsets
+from tokenloom.functions.text import list_lengths, list_offsets, row_slices
+from tokenloom.functions.words import Cutter, value_sizes
 from tokenloom.session import lookup_join, stage
 
-BLOCK_ROWS, BLOCK_ELEMENTS = 2000, 1 << 20
+# A row group of staged blocks, which a reader decodes as a whole, has a hundred of them at least.
+BLOCK_ROWS, BLOCK_ELEMENTS = 2000, 1 << 16
+BATCH_BYTES = 1 << 22  # bytes of texts or numbers that are coded at a time
+ROW_GROUP = 16 << 20  # bytes of staged blocks that a task holds at a time
 TASK_BITS = 33  # low bits of a block's number, which count blocks of one task
 
 
@@ -35,40 +41,53 @@ def _cuts(sizes: np.ndarray) -> list[int]:
     return [*cuts, len(sizes)]
 
 
-def _packed(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+def _packed(batches: Iterator[pa.RecordBatch], column: str, cut: Cutter | None, known: pa.Array) -> Iterator[pa.RecordBatch]:
     block = TaskContext.get().partitionId() << TASK_BITS
     for batch in batches:
-        sizes = list_lengths(batch.column(column))
-        cuts = _cuts(sizes) if batch.num_rows else []
-        for a, b in zip(cuts, cuts[1:]):
-            part = batch.slice(a, b - a)
-            coded = pc.list_flatten(part.column(column)).dictionary_encode()
-            codes = pa.ListArray.from_arrays(list_offsets(sizes[a:b]), coded.indices.cast(pa.int32()))
-            rest = [n for n in part.schema.names if n != column]
-            rows = pa.RecordBatch.from_arrays([*(part.column(n) for n in rest), codes], [*rest, column])
-            out = pa.BufferOutputStream()
-            with pa.ipc.new_stream(out, rows.schema) as writer:
-                writer.write_batch(rows)
-            kinds = pa.ListArray.from_arrays(list_offsets(np.array([len(coded.dictionary)])), coded.dictionary)
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([out.getvalue().to_pybytes()]), kinds], ["block", "rows", "kinds"])
-            block += 1
+        for a, b in row_slices(value_sizes(batch.column(column)), BATCH_BYTES):
+            rows = batch.slice(a, b - a)
+            lists = cut(rows.column(column)) if cut else rows.column(column)
+            sizes = list_lengths(lists)
+            coded = pc.list_flatten(lists).dictionary_encode()
+            # Places of known elements; others are below 0 until they are numbered in their block.
+            found = pc.fill_null(pc.index_in(coded.dictionary, value_set=known), -1).to_numpy()
+            codes = coded.indices.to_numpy()
+            rest = [n for n in rows.schema.names if n != column]
+            cuts, ends = _cuts(sizes) if len(sizes) else [], np.append(0, np.cumsum(sizes))
+            for i, j in zip(cuts, cuts[1:]):
+                own = codes[ends[i] : ends[j]]
+                places = found[own]
+                asked, order = np.unique(own[places < 0], return_inverse=True)
+                places[places < 0] = len(known) + order
+                arrays = pa.ListArray.from_arrays(list_offsets(sizes[i:j]), pa.array(places, pa.int32()))
+                part = pa.RecordBatch.from_arrays([*(rows.column(n).slice(i, j - i) for n in rest), arrays], [*rest, column])
+                out = pa.BufferOutputStream()
+                with pa.ipc.new_stream(out, part.schema) as writer:
+                    writer.write_batch(part)
+                kinds = pa.ListArray.from_arrays(list_offsets(np.array([len(asked)])), coded.dictionary.take(pa.array(asked)))
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([out.getvalue().to_pybytes()]), kinds], ["block", "rows", "kinds"])
+                block += 1
 
 
 def map_elements(
     df: DataFrame, column: str, table: DataFrame, element: str, value: str, finish: Callable[[pa.ListArray], pa.Array],
-    into: str, kind: T.DataType, max_rows: int, missing: Column | None = None,
+    into: str, kind: T.DataType, max_rows: int, missing: Column | None = None, known: tuple[list, list] = ([], []),
+    cut: Cutter | None = None,
 ) -> DataFrame:
     """`df` without `column`, but with `into`: `finish` of the arrays whose elements are replaced by their `value`.
 
-    `table(element, value)` is unique on `element`. Elements outside it get `missing`.
+    `cut` makes the arrays of `column`, if it does not hold them. `table(element, value)` is unique on `element`;
+    `known` holds other elements with their values, at best the most frequent ones. Elements outside both get `missing`.
     """
-    inner = df.schema[column].dataType.elementType
-    blocks = stage(df.mapInArrow(lambda b: _packed(b, column), T.StructType([
-        T.StructField("block", T.LongType()), T.StructField("rows", T.BinaryType()), T.StructField("kinds", T.ArrayType(inner))])), "blocks")
+    inner, answered = table.schema[element].dataType, to_arrow_type(table.schema[value].dataType)
+    keys, found = pa.array(known[0], to_arrow_type(inner)), pa.array(known[1], answered)
+    blocks = stage(df.mapInArrow(lambda b: _packed(b, column, cut, keys), T.StructType([
+        T.StructField("block", T.LongType()), T.StructField("rows", T.BinaryType()), T.StructField("kinds", T.ArrayType(inner))])), "blocks", ROW_GROUP)
+    # An element comes once per block, so none has many rows.
     asked = blocks.select("block", F.posexplode("kinds").alias("pos", element))
-    met = lookup_join(asked, table.select(element, value), [element], "left", ["block", "pos"], max_rows)
+    met = lookup_join(asked, table.select(element, value), [element], "left", max_rows=max_rows)
     answer = F.col(value) if missing is None else F.coalesce(F.col(value), missing)
-    # A block's answers: as many as it has distinct elements.
+    # A block's answers: as many as it has distinct elements that are not known.
     answers = met.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pos", answer.alias("v")))).alias("_a"))
     joined = blocks.join(answers.select("block", F.col("_a.v").alias("values")), "block", "left").select("rows", "values")
     rest = [f for f in df.schema if f.name not in (column, into)]
@@ -79,8 +98,8 @@ def map_elements(
                 with pa.ipc.open_stream(pa.py_buffer(rows.as_py())) as reader:
                     part = reader.read_next_batch()
                 codes = part.column(column)
-                known = values.values if values.is_valid else pa.array([], batch.schema.field("values").type.value_type)
-                arrays = pa.ListArray.from_arrays(list_offsets(list_lengths(codes)), known.take(pc.list_flatten(codes)))
+                every = pa.concat_arrays([found, pc.cast(values.values, answered)]) if values.is_valid else found
+                arrays = pa.ListArray.from_arrays(list_offsets(list_lengths(codes)), every.take(pc.list_flatten(codes)))
                 yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in rest), finish(arrays)], [*(f.name for f in rest), into])
 
     return joined.mapInArrow(unpack, T.StructType([*rest, T.StructField(into, kind)])).select(
