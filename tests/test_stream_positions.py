@@ -185,3 +185,35 @@ def test_corpus_rows_never_meet_in_one_task(spark):
     for part in plan.split("SinglePartition")[1:]:
         # What meets in one task is already summed per part.
         assert "HashAggregate(keys=[part" in part[:400]
+
+
+def test_blocks_are_coded_in_slices_of_a_batch(spark, monkeypatch):
+    """One function per task makes blocks of texts; it never holds the ids of a batch together."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tokenloom.operators import vocab
+    from tokenloom.operators.encode import CharEncoder, encode_chars
+    from tokenloom.operators.packing import _coded
+
+    texts = ["abcde" * 3, "", None, "é中😀" * 7, "a", "bb" * 40]
+    docs = spark.createDataFrame([(i, t, f"s{i % 2}") for i, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    chars = vocab.char_vocab(docs)
+    encode = CharEncoder(chars)
+    for by in ((), ("source",)):
+        made = [packing.token_blocks(docs, "doc_id", 4, e, by, block=16).blocks for e in (encode, lambda df: encode_chars(df, chars))]
+        rows = [sorted((*[r[c] for c in by], r["start"], r["size"], r["ids"], r["head"], r["tail"]) for r in b.collect()) for b in made]
+        assert rows[0] == rows[1] and sum(r[len(by) + 1] for r in rows[0]) == sum(len(t or "") for t in texts)
+    plan = made[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" not in plan
+    batch = pa.RecordBatch.from_arrays([pa.array(["abcde" * 1000] * 4000)], ["ids"])
+    code = encode.in_task()
+    tracemalloc.start()
+    n = sum(len(b.column("ids").flatten()) for b in _coded([batch], (), code))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 20_000_000 and peak < 2 * n
+    with pytest.raises(Exception, match="not in the vocabulary"):
+        other = spark.createDataFrame([(1, "ab~")], "doc_id bigint, text string")
+        packing.token_blocks(other, "doc_id", 4, encode).blocks.collect()

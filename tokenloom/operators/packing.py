@@ -18,7 +18,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.functions.text import list_lengths, list_offsets
+from tokenloom.functions.text import list_lengths, list_offsets, row_slices
+from tokenloom.functions.words import value_sizes
+from tokenloom.operators.encode import CharEncoder
 from tokenloom.operators.positions import StreamIndex, part_starts
 from tokenloom.session import MAX_BROADCAST_ROWS, fits, hash_below, stage
 
@@ -95,19 +97,32 @@ def _blocks_of(batches: Iterator[pa.RecordBatch], by: tuple[str, ...], T: int, b
         yield flush()
 
 
+def _coded(batches: Iterator[pa.RecordBatch], by: tuple[str, ...], code: Callable[[pa.Array], pa.Array]) -> Iterator[pa.RecordBatch]:
+    """The rows with ids instead of texts, some at a time, so that the ids of a batch are never held together."""
+    for batch in batches:
+        for a, b in row_slices(value_sizes(batch.column("ids"))):
+            rows = batch.slice(a, b - a)
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in by), code(rows.column("ids"))], [*by, "ids"])
+
+
 def token_blocks(
     docs: DataFrame, order: str | list[str], T: int, encode: Encoder | None = None, by: tuple[str, ...] = (), block: int = BLOCK
 ) -> TokenBlocks:
     """The stream of all documents in the order of `order`, which must be total, staged once.
 
     `encode` adds `ids` to the sorted documents, so that text is moved and not ids. One scan, one encoding.
+    A `CharEncoder` works in the tasks that join the blocks.
     """
     keys = [*by, *([order] if isinstance(order, str) else order)]
     ordered = docs.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    encoded = (encode(ordered) if encode else ordered).select(*by, "ids")
+    code = encode.in_task() if isinstance(encode, CharEncoder) else None
+    if code:
+        encoded = ordered.select(*by, F.col(encode.text).alias("ids"))
+    else:
+        encoded = (encode(ordered) if encode else ordered).select(*by, "ids")
     kinds = "".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}, " for c in by)
     rows = encoded.mapInArrow(
-        lambda batches: _blocks_of(batches, by, T, block),
+        lambda batches: _blocks_of(_coded(batches, by, code) if code else batches, by, T, block),
         f"{kinds}part int, before bigint, size bigint, ids array<int>, head array<int>, tail array<int>")
     # A reader takes thousands of rows of a row group at once, so it is the row groups that bound its memory.
     staged = stage(rows, "blocks", ROW_GROUP)
