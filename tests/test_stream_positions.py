@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -215,3 +216,35 @@ def test_blocks_are_coded_in_slices_of_a_batch(spark, monkeypatch):
     with pytest.raises(Exception, match="not in the vocabulary"):
         other = spark.createDataFrame([(1, "ab~")], "doc_id bigint, text string")
         packing.token_blocks(other, "doc_id", 4, encode).blocks.collect()
+
+
+STEPS_AT = [(3, 0, 3), (3, 5, 6), (2, 1, 4), (3, -4, 9), (3, -2, 0), (1, 0, 5), (8, 7, 3), (3, 2, 1), (3, 1, -2)]
+
+
+@pytest.mark.parametrize("max_rows", [packing.MAX_BROADCAST_ROWS, 1])
+def test_steps_of_windows_as_a_loop_gives_them(spark, monkeypatch, max_rows):
+    monkeypatch.setattr(packing, "MAX_BROADCAST_ROWS", max_rows)
+    ids = [0, 0, 0, 1, None, -1, 2, 7, 1]  # repeated, without a number, and numbers that no step comes to
+    windows = spark.createDataFrame([(i // 2, b, [i]) for i, b in enumerate(ids)], "window_id bigint, batch_id bigint, x array<int>")
+    for n, start, n_steps in STEPS_AT:
+        made = packing.batches_for_steps(windows, n, start, n_steps)
+        assert made.columns == ["batch_id", "window_id", "x", "step", "epoch"]
+        cursor = [(s, int(math.fmod(s + start, n)), (s + start) // n) for s in range(n_steps)]
+        expected = [(b, i // 2, [i], s, e) for s, at, e in cursor for i, b in enumerate(ids) if at == b]
+        assert sorted(map(tuple, made.collect())) == sorted(expected)
+    assert packing.batches_for_steps(windows.limit(0), 0, 5, 3).count() == 0
+
+
+def test_windows_do_not_move_to_their_steps(spark):
+    """However many steps there are: windows are the largest table, and a shuffle would write them all."""
+    windows = spark.range(1000).select(F.col("id").alias("window_id"), (F.col("id") / 2).cast("bigint").alias("batch_id"),
+                                       F.array("id").alias("x"), F.array("id").alias("y"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        n = packing.MAX_BROADCAST_ROWS + 1
+        made = packing.batches_for_steps(windows, n, 5, n + 3)
+        assert "Exchange hashpartitioning" not in made._jdf.queryExecution().executedPlan().toString()
+        assert made.count() == 1000 + 2 * 3  # the steps after the last batch come to batches 5, 6 and 7 again
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

@@ -280,11 +280,16 @@ def epoch_plan(index: StreamIndex, B: int, T: int, total_batch: int) -> DataFram
 
 
 def batches_for_steps(windows: DataFrame, n_batches: int, start: int, n_steps: int) -> DataFrame:
-    """The batch of every step; after the last batch the cursor returns to the first."""
-    at = F.col("id") + start
-    steps = windows.sparkSession.range(n_steps).select(
-        F.col("id").alias("step"), (at % n_batches).alias("batch_id"), _whole(at / n_batches).alias("epoch")
-    )
-    if n_steps <= MAX_BROADCAST_ROWS:
-        steps = F.broadcast(steps)
-    return windows.join(steps, "batch_id")
+    """The batch of every step; after the last batch the cursor returns to the first.
+
+    No window moves: each meets the numbers of the epochs, which tell the steps that come to its batch.
+    Without batches there are no rows.
+    """
+    first, last = (start // n_batches, (start + n_steps - 1) // n_batches) if n_batches else (0, -1)
+    epochs = windows.sparkSession.range(first, last + 1).select(F.col("id").alias("_epoch"))
+    if last - first < MAX_BROADCAST_ROWS:
+        epochs = F.broadcast(epochs)
+    at = F.col("_epoch") * n_batches + F.pmod("batch_id", F.lit(n_batches))
+    met = (at % n_batches == F.col("batch_id")) & at.between(start, start + n_steps - 1)
+    rest = [c for c in windows.columns if c != "batch_id"]
+    return windows.join(epochs, met).select("batch_id", *rest, (at - start).alias("step"), F.col("_epoch").alias("epoch"))
