@@ -248,3 +248,16 @@ def test_windows_do_not_move_to_their_steps(spark):
         assert made.count() == 1000 + 2 * 3  # the steps after the last batch come to batches 5, 6 and 7 again
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_windows_far_into_a_stream(spark):
+    """Places in the stream that 32 bits do not hold, inside blocks and over their ends."""
+    B, T, shift = 2, 4, 3 * 10**9
+    near = blocks(docs_of(spark, [7, 0, 9, 1, 20, 14]), T, block=9)
+    far = packing.TokenBlocks(near.blocks.withColumn("start", F.col("start") + shift), near.totals.select((F.col("total") + shift).alias("total")), T)
+    made = packing.pack_windows(far, B)
+    expected = {shift // T + w: x for w, x in naive_windows(51, B, T).items()}
+    assert {r["window_id"]: (r["x"], r["y"]) for r in made.collect()} == expected
+    n = (far.total - 1) // (B * T)
+    steps = packing.batches_for_steps(made, n, n - 2, 3).select("step", "batch_id", "epoch", "row")
+    assert sorted(map(tuple, steps.collect())) == [(s, n - 2 + s, 0, r) for s in range(2) for r in range(B)]

@@ -160,7 +160,7 @@ def cut_windows(stream: TokenBlocks) -> DataFrame:
     over_begin = _upto(_whole((start - T - 1) / T) + 1, _whole((start - 1) / T))
     over_end = F.filter(_upto(F.greatest(first, _whole((end - T - 1) / T) + 1), _whole((end - 1) / T)), lambda w: w * T + T + 1 > end)
     head = F.transform(F.filter(over_begin, lambda w: w >= 0), lambda w: F.struct(
-        w.alias("window_id"), start.alias("start"), F.slice("head", 1, F.least(w * T + T + 1, end).cast("int") - start.cast("int")).alias("part")))
+        w.alias("window_id"), start.alias("start"), F.slice("head", 1, (F.least(w * T + T + 1, end) - start).cast("int")).alias("part")))
     tail = F.transform(over_end, lambda w: F.struct(
         w.alias("window_id"), (w * T).alias("start"),
         F.slice("tail", (F.size("tail") - (end - w * T) + 1).cast("int"), (end - w * T).cast("int")).alias("part")))
